@@ -16,4 +16,33 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return taken_words(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES = {f.__name__: f for f in (op5_mixing,)}
+def op7_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .audio import describe_audio, store_text_audio
+
+    return describe_audio(store_text_audio(_table(spark, sf_dir, "documents")))
+
+
+def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .sharding import shard
+
+    return shard(_table(spark, sf_dir, "documents")).select(
+        F.col("row.doc_id").alias("doc_id"),
+        "size",
+        F.crc32(F.coalesce(F.col("row.text"), F.lit("")).cast("binary")).alias("text_crc32"),
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from public_tokenizers import path
+
+    from .packing import pack_documents
+
+    packed = pack_documents(_table(spark, sf_dir, "documents"), path("word_bpe_49k.json"))
+    return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "tier", "step_group")
+
+
+QUERIES = {f.__name__: f for f in (op5_mixing, op7_media, op8_sharding, op10_packing)}
