@@ -44,7 +44,7 @@ def _below(keys: list[tuple[int, int]]):
     return lambda h, d: F.arrow_udf(index, "long")(h, d)
 
 
-def _between(low: tuple[int, int], high: tuple[int, int], n: int) -> list[tuple[int, int]]:
+def _between(low: tuple[int, int], high: tuple[int, int], n: int, ids: tuple[int, int]) -> list[tuple[int, int]]:
     """Up to ``n`` keys strictly between two: by hash where the hashes differ by more than one step, else by id."""
     (h0, d0), (h1, d1) = low, high
     if h1 - h0 > 1:
@@ -53,6 +53,7 @@ def _between(low: tuple[int, int], high: tuple[int, int], n: int) -> list[tuple[
         if d1 > _LOW:
             return [(h1, _LOW)]
         d1 = _HIGH
+    d0, d1 = max(d0, ids[0] - 1), min(d1, ids[1] + 1)
     return [(h0, d) for d in sorted({d0 + (d1 - d0) * k // (n + 1) for k in range(1, n + 1)} - {d0, d1})]
 
 
@@ -64,8 +65,8 @@ def splitters(keys: DataFrame, n_shards: int, fine: int, tolerance: float, loose
     two candidates. Each round sends the driver one count per candidate, at most 16 a boundary.
     """
     n_buckets = n_shards * fine
-    first = keys.agg(F.coalesce(F.sum("size"), F.lit(0)), F.count(F.lit(1))).first()
-    total, n_rows = int(first[0]), int(first[1])
+    first = keys.agg(F.coalesce(F.sum("size"), F.lit(0)), F.count(F.lit(1)), F.min("d"), F.max("d")).first()
+    total, n_rows, ids = int(first[0]), int(first[1]), (first[2] or 0, first[3] or 0)
     aims = [(total * k / n_buckets, (tolerance * fine if k % fine == 0 else loose) * total / n_buckets) for k in range(1, n_buckets)]
     known: dict[tuple[int, int], tuple[int, int]] = {(_LOW, _LOW): (0, 0), (_HIGH, _HIGH): (total, n_rows)}
     probes = [(_LOW + (1 << 64) * k // n_buckets, _LOW) for k in range(1, n_buckets)]
@@ -86,7 +87,7 @@ def splitters(keys: DataFrame, n_shards: int, fine: int, tolerance: float, loose
         for aim, slack in aims:
             at = max(1, min(int(np.searchsorted(bytes_below, aim, "left")), len(order) - 1))
             if min(abs(bytes_below[at] - aim), abs(bytes_below[at - 1] - aim)) > slack and known[order[at]][1] - known[order[at - 1]][1] > 1:
-                probes += [p for p in _between(order[at - 1], order[at], _PROBES) if p not in known]
+                probes += [p for p in _between(order[at - 1], order[at], _PROBES, ids) if p not in known]
     order = sorted(known)
     bytes_below = np.array([known[k][0] for k in order])
     chosen, rows_at = [], [0]
