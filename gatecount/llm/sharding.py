@@ -44,17 +44,12 @@ def _below(keys: list[tuple[int, int]]):
     return lambda h, d: F.arrow_udf(index, "long")(h, d)
 
 
-def _between(low: tuple[int, int], high: tuple[int, int], n: int, ids: tuple[int, int]) -> list[tuple[int, int]]:
-    """Up to ``n`` keys strictly between two: by hash where the hashes differ by more than one step, else by id."""
-    (h0, d0), (h1, d1) = low, high
-    if h1 - h0 > 1:
-        return [(h, _LOW) for h in sorted({h0 + (h1 - h0) * k // (n + 1) for k in range(1, n + 1)} - {h0, h1})]
-    if h1 > h0:  # the ids of one hash, up to the next hash
-        if d1 > _LOW:
-            return [(h1, _LOW)]
-        d1 = _HIGH
-    d0, d1 = max(d0, ids[0] - 1), min(d1, ids[1] + 1)
-    return [(h0, d) for d in sorted({d0 + (d1 - d0) * k // (n + 1) for k in range(1, n + 1)} - {d0, d1})]
+def _within(hashes: tuple[int, int], ids: tuple[int, int], n: int) -> list[tuple[int, int]]:
+    """Up to ``n`` candidate keys over the hashes, or, of a single hash, over the ids that rows between two keys have."""
+    (h0, h1), (d0, d1) = hashes, ids
+    if h1 > h0:
+        return [(h, _LOW) for h in {h0 + (h1 + 1 - h0) * k // n for k in range(n)} | {min(h1 + 1, _HIGH)}]
+    return [(h0, _LOW), (min(h0 + 1, _HIGH), _LOW), *[(h0, d) for d in {d0 + (d1 + 1 - d0) * k // n for k in range(n)}]]
 
 
 def splitters(keys: DataFrame, n_shards: int, fine: int, tolerance: float, loose: float = 0.3) -> tuple[list[tuple[int, int]], list[int], int]:
@@ -65,20 +60,22 @@ def splitters(keys: DataFrame, n_shards: int, fine: int, tolerance: float, loose
     two candidates. Each round sends the driver one count per candidate, at most 16 a boundary.
     """
     n_buckets = n_shards * fine
-    first = keys.agg(F.coalesce(F.sum("size"), F.lit(0)), F.count(F.lit(1)), F.min("d"), F.max("d")).first()
-    total, n_rows, ids = int(first[0]), int(first[1]), (first[2] or 0, first[3] or 0)
+    first = keys.agg(F.coalesce(F.sum("size"), F.lit(0)), F.count(F.lit(1))).first()
+    total, n_rows = int(first[0]), int(first[1])
     aims = [(total * k / n_buckets, (tolerance * fine if k % fine == 0 else loose) * total / n_buckets) for k in range(1, n_buckets)]
     known: dict[tuple[int, int], tuple[int, int]] = {(_LOW, _LOW): (0, 0), (_HIGH, _HIGH): (total, n_rows)}
     probes = [(_LOW + (1 << 64) * k // n_buckets, _LOW) for k in range(1, n_buckets)]
+    spans: dict[tuple[int, int], list[int]] = {}
     rounds = 0
     while probes and rounds < _ROUNDS:
         rounds += 1
         probes = sorted(set(probes))
-        counted = keys.groupBy(_below(probes)(F.col("h"), F.col("d")).alias("i")).agg(F.sum("size"), F.count(F.lit(1))).collect()
-        counts = {i: (size, rows) for i, size, rows in counted}
+        counted = keys.groupBy(_below(probes)(F.col("h"), F.col("d")).alias("i")).agg(F.sum("size"), F.count(F.lit(1)), F.min("h"), F.max("h"), F.min("d"), F.max("d")).collect()
+        counts = {x[0]: x[1:] for x in counted}
         below = rows_below = 0
-        for k, key in enumerate(probes):
-            size, rows = counts.get(k, (0, 0))
+        for k, key in enumerate([*probes, (_HIGH, _HIGH)]):
+            size, rows, *reach = counts.get(k, (0, 0))
+            spans[key] = reach  # of the rows between this candidate and the one before it
             below, rows_below = below + size, rows_below + rows
             known[key] = (below, rows_below)
         order = sorted(known)
@@ -86,8 +83,10 @@ def splitters(keys: DataFrame, n_shards: int, fine: int, tolerance: float, loose
         probes = []
         for aim, slack in aims:
             at = max(1, min(int(np.searchsorted(bytes_below, aim, "left")), len(order) - 1))
-            if min(abs(bytes_below[at] - aim), abs(bytes_below[at - 1] - aim)) > slack and known[order[at]][1] - known[order[at - 1]][1] > 1:
-                probes += [p for p in _between(order[at - 1], order[at], _PROBES, ids) if p not in known]
+            if min(abs(bytes_below[at] - aim), abs(bytes_below[at - 1] - aim)) > slack and known[order[at]][1] - known[order[at - 1]][1] > 1 and spans.get(order[at]):
+                h0, h1, d0, d1 = spans[order[at]]
+                if inner := [p for p in _within((h0, h1), (d0, d1), _PROBES) if order[at - 1] < p < order[at]]:
+                    probes += [*inner, order[at - 1], *order[at : at + 1][: order[at] != order[-1]]]  # its ends again, so that spans hold
     order = sorted(known)
     bytes_below = np.array([known[k][0] for k in order])
     chosen, rows_at = [], [0]
