@@ -10,6 +10,14 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .langid import fit, held_out, predict
+
+    docs = _table(spark, sf_dir, "documents")
+    model = fit(docs.filter(~held_out(F.col("doc_id"))))
+    return predict(docs.select("doc_id", "text"), model).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .mixing import taken_words
 
@@ -36,6 +44,13 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .warc import read_archive, write_archive
+
+    records = read_archive(spark, *write_archive(_table(spark, sf_dir, "pages")), payloads=False)
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from public_tokenizers import path
 
@@ -45,4 +60,4 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "tier", "step_group")
 
 
-QUERIES = {f.__name__: f for f in (op5_mixing, op7_media, op8_sharding, op10_packing)}
+QUERIES = {f.__name__: f for f in (op4_language, op5_mixing, op7_media, op8_sharding, op9_warc, op10_packing)}
