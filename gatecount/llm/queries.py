@@ -10,6 +10,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .html import extract
+
+    return extract(_table(spark, sf_dir, "pages"))
+
+
 def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .langid import fit, held_out, predict
 
@@ -60,4 +66,4 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "tier", "step_group")
 
 
-QUERIES = {f.__name__: f for f in (op4_language, op5_mixing, op7_media, op8_sharding, op9_warc, op10_packing)}
+QUERIES = {f.__name__: f for f in (op2_html, op4_language, op5_mixing, op7_media, op8_sharding, op9_warc, op10_packing)}
