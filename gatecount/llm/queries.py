@@ -30,6 +30,12 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return taken_words(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op6_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .multiindex import near_duplicates
+
+    return near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
 def op7_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .audio import describe_audio, store_text_audio
 
@@ -66,4 +72,4 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "tier", "step_group")
 
 
-QUERIES = {f.__name__: f for f in (op2_html, op4_language, op5_mixing, op7_media, op8_sharding, op9_warc, op10_packing)}
+QUERIES = {f.__name__: f for f in (op2_html, op4_language, op5_mixing, op6_vectors, op7_media, op8_sharding, op9_warc, op10_packing)}
