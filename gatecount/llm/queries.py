@@ -10,6 +10,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .ngram import quality
+
+    return quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op2_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .html import extract
 
@@ -72,4 +78,4 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "tier", "step_group")
 
 
-QUERIES = {f.__name__: f for f in (op2_html, op4_language, op5_mixing, op6_vectors, op7_media, op8_sharding, op9_warc, op10_packing)}
+QUERIES = {f.__name__: f for f in (op1_quality, op2_html, op4_language, op5_mixing, op6_vectors, op7_media, op8_sharding, op9_warc, op10_packing)}
