@@ -22,6 +22,12 @@ def op2_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(_table(spark, sf_dir, "pages"))
 
 
+def op3_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .jaccard import similar_documents
+
+    return similar_documents(_table(spark, sf_dir, "documents"))
+
+
 def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .langid import fit, held_out, predict
 
@@ -78,4 +84,4 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "tier", "step_group")
 
 
-QUERIES = {f.__name__: f for f in (op1_quality, op2_html, op4_language, op5_mixing, op6_vectors, op7_media, op8_sharding, op9_warc, op10_packing)}
+QUERIES = {f.__name__: f for f in (op1_quality, op2_html, op3_jaccard, op4_language, op5_mixing, op6_vectors, op7_media, op8_sharding, op9_warc, op10_packing)}
