@@ -42,7 +42,7 @@ def event_rows(event: DataFrame, ticket: DataFrame, rates: DataFrame) -> DataFra
 
 
 def lift_by(rows: DataFrame, keys: list[str], shrink: float = SHRINK) -> DataFrame:
-    """dimension, key, events, raw and shrunken lift, for all keys in one pass of grouping sets."""
+    """dimension, key, events, raw and shrunken lift, for all keys in one pass over unpivoted rows."""
     long = rows.select(*[F.col(k).cast("string").alias(k) for k in keys], "attended", "mix_expected").unpivot(["attended", "mix_expected"], keys, "dimension", "key").filter("key is not null")
     own = long.groupBy("dimension", "key").agg(F.count(F.lit(1)).alias("events"), F.sum("attended").alias("a"), F.sum("mix_expected").alias("e"))
     return own.select("dimension", "key", "events", _ratio(F.col("a"), F.col("e")).alias("raw"), rounded((F.col("a") + shrink) / (F.col("e") + shrink), 4).alias("lift"))
