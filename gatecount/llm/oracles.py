@@ -1,5 +1,32 @@
-"""DuckDB SQL for the queries of this subpackage that SQL can express."""
+"""DuckDB SQL for the queries of this subpackage that SQL can express.
+
+The other queries fit models, pack, shard by hashes that DuckDB lacks, or return digests of
+files; tests hold them against brute force, round trips or held-out accuracy.
+"""
 
 from __future__ import annotations
 
-ORACLE_SQL: dict[str, str] = {}
+_WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+ORACLE_SQL: dict[str, str] = {
+    "op3_jaccard": f"""with recursive d as (select doc_id, {_WORDS.format(_LOWER)} as w from documents),
+        s as (select doc_id, case when len(w) >= 5 then list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], chr(31)))) when len(w) > 0 then [array_to_string(w, chr(31))] else [] end as s from d),
+        u as (select doc_id, len(s) as n, unnest(s) as x from s),
+        links as (select a.doc_id as a, b.doc_id as b from u a join u b on a.x = b.x and a.doc_id <> b.doc_id group by a.doc_id, b.doc_id, a.n, b.n having 100 * count(*) >= 75 * (a.n + b.n - count(*))),
+        reach as (select doc_id, doc_id as root from s union select l.b, r.root from reach r join links l on r.doc_id = l.a)
+        select s.doc_id, cast(len(s.s) as bigint) as n_shingles, r.component_id from s join (select doc_id, min(root) as component_id from reach group by doc_id) r on s.doc_id = r.doc_id""",
+    "op5_mixing": f"""with d as (select doc_id, source, coalesce(len({_WORDS.format("text")}), 0) as size from documents),
+        ranked as (select source, sum(size)::double as s, [5e0, 2e0, 1e0][(row_number() over (order by source nulls last) - 1) % 3 + 1] as w from d group by source),
+        rising as (select *, 2 * s as cap, sum(s) over () * 1.5e0 as total, sum(2 * s) over up - 2 * s as before, sum(w) over () - sum(w) over up + w as w_left from ranked
+            window up as (order by 2 * s / w, source nulls last rows between unbounded preceding and current row)),
+        capped as (select *, cap * w_left <= (total - before) * w as full_ from rising),
+        targets as (select source, s, case when full_ then cap else w * ((total - coalesce(sum(case when full_ then cap end) over (), 0e0)) / sum(case when not full_ then w end) over ()) end as target from capped),
+        keyed as (select *, md5(concat('0:', coalesce(cast(doc_id as varchar), ''))) as k from d),
+        placed as (select *, sum(size) over (partition by source order by cast(concat('0x', substr(k, 1, 5)) as bigint) % 1024, k, doc_id, size rows between unbounded preceding and current row) - size as pos from keyed)
+        select p.doc_id, cast(size as bigint) as size, cast(s as bigint) as source_size, target, cast(least(greatest(round(target) - pos, 0), size) + least(greatest(round(target) - s - pos, 0), size) as bigint) as taken
+        from placed p join targets t on p.source is not distinct from t.source""",
+    "op9_warc": """with p as (select page_id, cast(strlen(coalesce(html, '')) as bigint) as payload_bytes, sha1(coalesce(html, '')) as payload_digest from pages),
+        k as (select payload_digest, max(page_id) as kept from p where payload_bytes >= 1000 group by payload_digest)
+        select p.page_id, payload_bytes, p.payload_digest, case when kept > page_id then 'revisit' else 'response' end as record_type, case when kept > page_id then kept end as refers_to from p left join k on p.payload_digest = k.payload_digest""",
+}
