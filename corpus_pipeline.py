@@ -39,16 +39,16 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose perplexity under a model of trusted text is not above their language's quantile."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    rejected = saved(ngram.quality(docs, labels).filter("not kept").select("doc_id").distinct(), "rejected")
+    rejected = saved(ngram.quality(docs, labels).filter("not kept").select("doc_id").distinct(), "rejected", narrow=True)
     return docs.join(_sized(rejected), "doc_id", "left_anti").select(*COLUMNS)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of copies and near copies: that with the smallest id."""
-    found = saved(jaccard.similar_documents(docs).select("doc_id", "component_id"), "components")
-    dropped = saved(found.filter("doc_id != component_id").select("doc_id").distinct(), "dropped")
+    found = saved(jaccard.similar_documents(docs).select("doc_id", "component_id"), "components", narrow=True)
+    dropped = saved(found.filter("doc_id != component_id").select("doc_id").distinct(), "dropped", narrow=True)
     kept = docs.join(_sized(dropped), "doc_id", "left_anti")
-    repeated = saved(found.filter("doc_id = component_id").groupBy("doc_id").count().filter("count > 1").select("doc_id"), "repeated")
+    repeated = saved(found.filter("doc_id = component_id").groupBy("doc_id").count().filter("count > 1").select("doc_id"), "repeated", narrow=True)
     if repeated.isEmpty():
         return kept.select(*COLUMNS)
     again = _sized(repeated)
@@ -59,7 +59,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often, nought to two times, as the mix of sources takes their words, rounded."""
     taken = mixing.taken_words(docs).filter("size > 0").groupBy("doc_id").agg(F.max(F.round(F.col("taken") / F.col("size"))).cast("int").alias("times"))
-    other = saved(taken.filter("times != 1"), "times")
+    other = saved(taken.filter("times != 1"), "times", narrow=True)
     times = docs.join(_sized(other), "doc_id", "left").withColumn("times", F.coalesce("times", F.lit(1)))
     return times.filter("times > 0").withColumn("pass", F.explode(F.sequence(F.lit(1), F.col("times")))).select(*COLUMNS)
 

@@ -18,7 +18,7 @@ _ROUNDS = 60
 
 def components(edges: DataFrame) -> DataFrame:
     """node, root: for each node of ``edges`` (u, v), but the roots themselves, the smallest node it can reach."""
-    now = saved(_down(edges.select(F.col("u").alias("a"), F.col("v").alias("b"))), "components")
+    now = saved(_down(edges.select(F.col("u").alias("a"), F.col("v").alias("b"))), "components", narrow=True)
     was = None
     for _ in range(_ROUNDS):
         stat = tuple(now.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b"))).first())
@@ -31,7 +31,7 @@ def components(edges: DataFrame) -> DataFrame:
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").select("a", "b", "m")
         small = small.select("a", F.col("m").alias("b")).unionByName(small.select(F.col("b").alias("a"), F.col("m").alias("b")))
-        now = saved(_down(small), "components")
+        now = saved(_down(small), "components", narrow=True)
     return now.select(F.col("a").alias("node"), F.col("b").alias("root"))
 
 

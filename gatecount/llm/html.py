@@ -6,7 +6,7 @@ same count in every page) form an equivalence class. A vector is kept as sums of
 times per-page random numbers, so classes come from one aggregation, however many pages a
 host has. A class is valid if it has at least ``class_size`` tokens, one of them a tag, and
 occurs in ``support`` of the host's pages. Valid classes nest by their tokens' paths and make up the
-template; text segments of a valid class belong to it. What varies between template tokens
+template; blocks of text whose segments all lie in valid classes belong to it. What varies between template tokens
 are the slots; the main one is found by walking down the template from the body, as long as
 one child holds most of the slots' text.
 
@@ -22,6 +22,7 @@ import html as entities
 import re
 from collections import defaultdict
 from collections.abc import Iterator
+from itertools import chain
 
 import pandas as pd
 import pyarrow as pa
@@ -213,15 +214,19 @@ def main_slot(tags: pd.DataFrame, share: float = 0.75) -> int:
 
 
 def main_text(page: str, main: int | None, boiler: frozenset[int] = frozenset()) -> str:
-    """The text of a page's main slot: blocks joined by two line feeds."""
-    for use_main, use_names in ((True, True), (False, True), (False, False)):
-        own = main if use_main else _own_main(page) if use_names else 0
-        blocks, words = [], []
-        for kind, stack, what in walk(page):
+    """The text of a page's main slot: blocks joined by two line feeds.
+
+    Blocks of template text alone are left out. If that leaves nothing, template text counts; then the page's
+    own main slot; then elements whose names mark them as asides.
+    """
+    for own, skip, use_names in ((main, boiler, True), (main, (), True), (None, (), True), (0, (), False)):
+        own = _own_main(page) if own is None else own
+        blocks, words, varies = [], [], False
+        for kind, stack, what in chain(walk(page), [("cut", [], "")]):
             if kind == "cut":
-                if words and (block := " ".join(entities.unescape("".join(words)).split())):
+                if varies and (block := " ".join(entities.unescape("".join(words)).split())):
                     blocks.append(block)
-                words = []
+                words, varies = [], False
             elif kind == "space":
                 words.append(" ")
             elif kind == "text":
@@ -230,11 +235,8 @@ def main_text(page: str, main: int | None, boiler: frozenset[int] = frozenset())
                     continue
                 if own and not any(x.key == own for x in stack):
                     continue
-                if boiler and _segment_key(stack, what) in boiler:
-                    continue
                 words.append(what)
-        if words and (block := " ".join(entities.unescape("".join(words)).split())):
-            blocks.append(block)
+                varies = varies or not skip or _segment_key(stack, what) not in skip
         if blocks:
             return "\n\n".join(blocks)
     return ""
@@ -256,8 +258,9 @@ def extract(pages: DataFrame, *, broadcast_tokens: int = 1_000_000, **options) -
     Templates are broadcast while they hold at most ``broadcast_tokens`` tokens in all; beyond, pages
     meet their host's template in a join whose large partitions Spark splits.
     """
-    from .scratch import saved
+    from .scratch import bounded_batches, saved
 
+    bounded_batches(pages.sparkSession)
     found = saved(templates(pages, **options), "templates")
     names = ["page_id", "url", "html", "main", "boiler"]
     kept = pages.select("page_id", "url", "html")
@@ -281,7 +284,7 @@ def extract(pages: DataFrame, *, broadcast_tokens: int = 1_000_000, **options) -
                 else:
                     main, boiler = columns[2][k], frozenset(columns[3][k] or ())
                 page = columns[1][k] or ""
-                texts.append(main_text(page, _own_main(page) if main is None else main, boiler))
+                texts.append(main_text(page, main, boiler))
                 templated.append(main is not None)
             yield pa.record_batch([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64()), pa.array(templated)], names=schema.names)
 

@@ -3,7 +3,7 @@
 Each set is a point: its shingles are hashed into groups, and the counts of the groups are its
 coordinates. The overlap of two sets is at most the sum over groups of the smaller count, and the
 overlap of two boxes of points at most the sum of the smaller upper corners, which is what an
-R-tree over the points prunes by. Larger sets have more groups (about eight shingles
+R-tree over the points prunes by. Larger sets have more groups (one or two shingles
 in each); groups are nested, so points of two sizes are compared at the coarser one.
 
 So that no index spans all documents, the points are dealt to partitions by their rarest shingles:
@@ -15,7 +15,8 @@ documents have come last. The points that share such a shingle are a list:
 2. In each list every point is paired with the smallest; pairs within the bound are verified, and links
    give first components.
 3. Lists that still hold several components are joined by R-tree, pairs of different components
-   only; survivors are verified. Long lists are cut into blocks, joined pair by pair of blocks.
+   only, first just the closest pairs that would connect each list, then all that are left;
+   survivors are verified. Long lists are cut into blocks, joined pair by pair of blocks.
 
 So every pair of different texts that links is either verified or already connected.
 Shingles are compared by 64-bit hashes.
@@ -37,12 +38,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .scratch import partitions, saved
+from .scratch import bounded_batches, partitions, saved
 from .text import ASCII_LOWER, mix, pieces, ragged, shingles, span_hashes, words
 
 _CELL_BITS = 20
 _CHUNK_CELLS = 1 << 16
-_PER_GROUP, _LEAST_GROUPS, _MOST_GROUPS = 8, 16, 1 << 14
+_PER_GROUP, _LEAST_GROUPS, _MOST_GROUPS = 2, 16, 1 << 20
 _BLOCK = 2048
 _LEAF = 32
 _BROADCAST_IDS = 1_000_000
@@ -196,7 +197,7 @@ def shared_lists(sets: DataFrame) -> DataFrame:
     def as_lists(rows: list) -> pa.RecordBatch:
         return pa.record_batch([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int32()), pa.array([r[2] for r in rows], pa.list_(pa.int64()))], names=["list", "block", "keys"])
 
-    return saved(posts.mapInArrow(runs, "list long, block int, keys array<long>").dropDuplicates(["list", "block"]), "jaccard-lists")
+    return saved(posts.mapInArrow(runs, "list long, block int, keys array<long>").dropDuplicates(["list", "block"]), "jaccard-lists", narrow=True)
 
 
 def _needed(n: np.ndarray, m: np.ndarray) -> np.ndarray:
@@ -205,13 +206,14 @@ def _needed(n: np.ndarray, m: np.ndarray) -> np.ndarray:
 
 
 def _folded(points: np.ndarray, groups: int) -> np.ndarray:
-    return points.reshape(len(points), groups, -1).sum(axis=2, dtype=np.int32) if points.shape[1] != groups else points.astype(np.int32)
+    return points.reshape(len(points), groups, -1).sum(axis=2, dtype=np.uint32) if points.shape[1] != groups else points
 
 
-def tree_pairs(n: np.ndarray, points: list[bytes], side: np.ndarray | None = None, root: np.ndarray | None = None) -> list[tuple[int, int]]:
-    """Pairs (i, j), i < j, within the bound, by an R-tree join of the points with themselves.
+def tree_pairs(n: np.ndarray, points: list[bytes], side: np.ndarray | None = None, root: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(i, j, slack) of the pairs i < j within the bound, by an R-tree join of the points with themselves.
 
-    ``side`` keeps pairs of different sides only, ``root`` pairs of different roots only.
+    ``side`` keeps pairs of different sides only, ``root`` pairs of different roots only; slack is how far
+    the bound is above the least overlap, as a part of it.
     """
     level = _levels(n)
     trees = {}
@@ -220,13 +222,15 @@ def tree_pairs(n: np.ndarray, points: list[bytes], side: np.ndarray | None = Non
         raw = np.frombuffer(b"".join(points[i] for i in own), "<u2").reshape(len(own), -1)
         order = np.lexsort((*(raw[:, c] for c in range(min(3, raw.shape[1]))), n[own]))
         trees[int(k)] = own[order], raw[order]
-    out: list[tuple[int, int]] = []
+    out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     for k, (own, raw) in trees.items():
         for other in (k, k + 1):
             if other in trees:
                 theirs, their_raw = trees[other]
                 _join_leaves(own, _folded(raw, 1 << k), theirs, _folded(their_raw, 1 << k), n, side, root, other == k, out)
-    return out
+    if not out:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.float32)
+    return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
 
 def _join_leaves(a: np.ndarray, x: np.ndarray, b: np.ndarray, y: np.ndarray, n: np.ndarray, side, root, same: bool, out: list) -> None:
@@ -245,14 +249,39 @@ def _join_leaves(a: np.ndarray, x: np.ndarray, b: np.ndarray, y: np.ndarray, n:
         boxes = boxes[np.minimum(top_a[i], top_b[boxes]).sum(axis=1) >= _needed(low_a[i], low_b[boxes])]
         for box in boxes:
             mine, theirs = slice(start, start + _LEAF), slice(at_b[box], at_b[box] + _LEAF)
-            bound = np.minimum(x[mine, None], y[None, theirs]).sum(axis=2)
-            p, q = np.nonzero(bound >= _needed(n[a[mine]][:, None], n[b[theirs]][None]))
-            u, v = a[mine][p], b[theirs][q]
-            keep = u < v if same and box == i else np.ones(len(u), bool)
+            mask = np.ones((len(a[mine]), len(b[theirs])), bool)
             for different in (side, root):
                 if different is not None:
-                    keep &= different[u] != different[v]
-            out += zip(np.minimum(u, v)[keep].tolist(), np.maximum(u, v)[keep].tolist(), strict=True)
+                    mask &= different[a[mine]][:, None] != different[b[theirs]][None]
+            if same and box == i:
+                mask &= a[mine][:, None] < b[theirs][None]
+            if not mask.any():
+                continue
+            bound = np.stack([np.minimum(row, y[theirs]).sum(axis=1, dtype=np.int32) for row in x[mine]])
+            need = _needed(n[a[mine]][:, None], n[b[theirs]][None])
+            p, q = np.nonzero(mask & (bound >= need))
+            if len(p):
+                u, v = a[mine][p], b[theirs][q]
+                out.append((np.minimum(u, v), np.maximum(u, v), (bound[p, q] / need[p, q]).astype(np.float32)))
+
+
+def forest(i: np.ndarray, j: np.ndarray, slack: np.ndarray, root: np.ndarray) -> np.ndarray:
+    """Places of the pairs that join ``root``s without a ring, the closest pairs first."""
+    parent: dict[int, int] = {}
+
+    def top(x: int) -> int:
+        while (up := parent.get(x, x)) != x:
+            parent[x] = parent.get(up, up)
+            x = up
+        return x
+
+    kept = []
+    for k in np.argsort(-slack, kind="stable"):
+        u, v = top(int(root[i[k]])), top(int(root[j[k]]))
+        if u != v:
+            parent[u] = v
+            kept.append(k)
+    return np.array(kept, np.int64)
 
 
 def _first_pairs(lists: DataFrame, classes: DataFrame) -> DataFrame:
@@ -275,13 +304,16 @@ def _first_pairs(lists: DataFrame, classes: DataFrame) -> DataFrame:
     return pairs.join(a, "key_a").join(b, "key_b").filter(F.arrow_udf(within, "boolean")("n_a", "n_b", "p_a", "p_b")).select("a", "b")
 
 
-def _tree_pairs_of_lists(lists: DataFrame, classes: DataFrame, roots: DataFrame) -> DataFrame:
-    """a, b: pairs within the bound, of different components, in the lists that hold several components."""
+def _tree_pairs_of_lists(lists: DataFrame, classes: DataFrame, roots: DataFrame, spanning: bool) -> DataFrame:
+    """a, b: pairs within the bound, of different components, in the lists that hold several components.
+
+    ``spanning`` gives only as many pairs as would join all components of a list.
+    """
     spark = lists.sparkSession
     blocks = lists.groupBy("list").agg((F.max("block") + 1).alias("blocks"))
     members = lists.select("list", "block", F.explode("keys").alias("key")).join(classes.select("key", "rep"), "key")
     members = members.join(roots, F.col("rep") == F.col("node"), "left").select("list", "block", "key", F.coalesce("root", "rep").alias("root"))
-    members = saved(members, "jaccard-members")
+    members = saved(members, "jaccard-members", narrow=True)
     mixed = members.groupBy("list").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high").select("list").join(blocks, "list")
     members = members.join(mixed, "list").join(classes.select("key", "rep", "n", "point"), "key")
     members = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
@@ -291,19 +323,24 @@ def _tree_pairs_of_lists(lists: DataFrame, classes: DataFrame, roots: DataFrame)
     def join(rows: pd.DataFrame) -> pd.DataFrame:
         found = []
         for (_, i, j), own in rows.groupby(["list", "i", "j"], sort=False):
-            if own["root"].nunique() < 2:
+            root = own["root"].to_numpy()
+            if (root == root[0]).all():
                 continue
             rep = own["rep"].to_numpy()
-            side = own["block"].to_numpy() if i != j else None
-            found += [(min(rep[u], rep[v]), max(rep[u], rep[v])) for u, v in tree_pairs(own["n"].to_numpy(), own["point"].tolist(), side, own["root"].to_numpy())]
-        return pd.DataFrame(sorted(set(found)), columns=["a", "b"]).astype("int64")
+            u, v, slack = tree_pairs(own["n"].to_numpy(), own["point"].tolist(), own["block"].to_numpy() if i != j else None, root)
+            if spanning and len(u):
+                keep = forest(u, v, slack, root)
+                u, v = u[keep], v[keep]
+            found.append(np.stack([np.minimum(rep[u], rep[v]), np.maximum(rep[u], rep[v])], axis=1))
+        pairs = np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), np.int64)
+        return pd.DataFrame(pairs, columns=["a", "b"]).astype("int64")
 
     return members.withColumn("bin", F.pmod(F.xxhash64("list", "i", "j"), F.lit(bins))).groupBy("bin").applyInPandas(join, "a long, b long").distinct()
 
 
 def verified(pairs: DataFrame, docs: DataFrame, width: int) -> DataFrame:
     """a, b, linked of ``pairs`` of doc ids, by the whole sets of both texts."""
-    ids = saved(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "jaccard-ids")
+    ids = saved(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "jaccard-ids", narrow=True)
     few = ids.count() <= _BROADCAST_IDS
 
     def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -327,20 +364,25 @@ def verified(pairs: DataFrame, docs: DataFrame, width: int) -> DataFrame:
 
     left = pairs.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("x")), "a")
     right = sets.select(F.col("id").alias("b"), F.col("shingles").alias("y"))
-    return saved(left.join(right, "b").select("a", "b", F.arrow_udf(linked, "boolean")("x", "y").alias("linked")).distinct(), "jaccard-links")
+    return saved(left.join(right, "b").select("a", "b", F.arrow_udf(linked, "boolean")("x", "y").alias("linked")).distinct(), "jaccard-links", narrow=True)
 
 
 def similar_documents(docs: DataFrame, *, width: int = 5) -> DataFrame:
     """doc_id, n_shingles, component_id of each row of ``docs`` (doc_id, text): links are Jaccard 0.75 or more."""
+    bounded_batches(docs.sparkSession)
     sets = set_table(docs, width)
     real = sets.filter("n > 0 and doc_id is not null")
     classes = saved(real.groupBy("key").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("point").alias("point")), "jaccard-classes")
     lists = shared_lists(real)
-    first = verified(saved(_first_pairs(lists, classes), "jaccard-pairs"), docs, width)
-    roots = components(first.filter("linked").select(F.col("a").alias("u"), F.col("b").alias("v")))
-    more = _tree_pairs_of_lists(lists, classes, roots).join(first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
-    second = verified(saved(more, "jaccard-pairs"), docs, width).filter("linked").select(F.col("a").alias("u"), F.col("b").alias("v"))
-    roots = components(second.unionByName(roots.select(F.col("node").alias("u"), F.col("root").alias("v"))))
+    tried = verified(saved(_first_pairs(lists, classes), "jaccard-pairs", narrow=True), docs, width)
+    roots = components(tried.filter("linked").select(F.col("a").alias("u"), F.col("b").alias("v")))
+    for spanning in (True, False):
+        more = _tree_pairs_of_lists(lists, classes, roots, spanning)
+        known = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        checked = verified(saved(more.join(known, ["a", "b"], "left_anti"), "jaccard-pairs", narrow=True), docs, width)
+        links = checked.filter("linked").select(F.col("a").alias("u"), F.col("b").alias("v"))
+        roots = components(links.unionByName(roots.select(F.col("node").alias("u"), F.col("root").alias("v"))))
+        tried = tried.unionByName(checked)
     reps = classes.select("key", "rep").join(roots, F.col("rep") == F.col("node"), "left").select("key", F.coalesce("root", "rep").alias("component"))
     out = sets.join(reps, "key", "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))

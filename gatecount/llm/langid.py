@@ -18,21 +18,25 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from typing import TYPE_CHECKING
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .scratch import bounded_batches, saved
 from .text import pieces, span_hashes, words
 
+if TYPE_CHECKING:
+    import pandas as pd
+
 #: Bytes between words, once lower-cased: everything but a-z and bytes of longer characters.
 _GAP = np.ones(256, bool)
 _GAP[97:123] = False
 _GAP[128:] = False
-_MOST_KNOWN = 1 << 20
+_MOST_KNOWN, _MOST_LANGUAGES, _PIECE_BYTES = 1 << 18, 10_000, 1 << 19
 
 
 def held_out(doc_id: Column) -> Column:
@@ -54,32 +58,40 @@ def grams(word: str, n: int) -> list[str]:
     return [marked[i : i + n] for i in range(len(marked) - n + 1)]
 
 
+class Table:
+    """Log frequencies in each language of some items: one row of a matrix for each."""
+
+    def __init__(self, items: list[str], counts: np.ndarray):
+        self.place = {item: k for k, item in enumerate(items)}
+        self.logs = np.log((counts + 0.5) / (counts.sum(axis=0) + 0.5 * max(len(items), 1))).astype(np.float32)
+
+
 class Model:
     """Log frequencies by language of words and of character n-grams."""
 
-    def __init__(self, languages: list[str], lexicon: dict[str, np.ndarray], grams_: list[dict[str, np.ndarray]]):
-        self.languages, self.lexicon, self.grams = languages, lexicon, grams_
+    def __init__(self, languages: list[str], words_: Table, grams_: Table, longest: int):
+        self.languages, self.words, self.grams, self.longest = languages, words_, grams_, longest
 
     def score(self, word: str) -> np.ndarray | None:
         """The log frequency of a word in each language; None if it has no letter."""
-        known = self.lexicon.get(word)
+        known = self.words.place.get(word)
         if known is not None:
-            return known
+            return self.words.logs[known]
         if not any(map(str.isalpha, word)):
             return None
-        for n in range(len(self.grams), 0, -1):
-            own = self.grams[n - 1]
-            found = [own[g] for g in grams(word, n) if g in own]
+        place = self.grams.place
+        for n in range(self.longest, 0, -1):
+            found = [place[g] for g in grams(word, n) if g in place]
             if found:
-                return np.mean(found, axis=0)
+                return self.grams.logs[found].mean(axis=0)
         return np.zeros(len(self.languages), np.float32)
 
 
-def _log_frequencies(rows: pd.DataFrame, languages: list[str]) -> dict[str, np.ndarray]:
-    table = rows.pivot_table(index="item", columns="lang", values="n", aggfunc="sum", fill_value=0).reindex(columns=languages, fill_value=0)
-    values = table.to_numpy(np.float64)
-    logs = np.log((values + 0.5) / (values.sum(axis=0) + 0.5 * len(values))).astype(np.float32)
-    return dict(zip(table.index, logs, strict=True))
+def _table_of(counts: DataFrame, languages: list[str]) -> Table:
+    """One row for each item, its counts in the languages side by side: what the driver takes is bounded by ``_most_frequent``."""
+    wide = counts.groupBy("item").agg(*[F.sum(F.when(F.col("lang") == x, F.col("n")).otherwise(0)).alias(f"n{k}") for k, x in enumerate(languages)]).toArrow()
+    columns = [wide.column(k + 1).to_numpy() for k in range(len(languages))]
+    return Table(wide.column(0).to_pylist(), np.stack(columns, axis=1).astype(np.float64) if columns else np.zeros((wide.num_rows, 0)))
 
 
 def _most_frequent(counts: DataFrame, limit: int) -> DataFrame:
@@ -95,23 +107,27 @@ def _most_frequent(counts: DataFrame, limit: int) -> DataFrame:
     return counts.join(totals.filter(F.col("total") >= least).select("item"), "item")
 
 
-def fit(labelled: DataFrame, *, max_docs: int = 4000, max_words: int = 100_000, max_grams: int = 200_000, longest: int = 5) -> Model:
+def fit(labelled: DataFrame, *, max_docs: int = 4000, max_words: int = 50_000, max_grams: int = 100_000, longest: int = 5) -> Model:
     """A model from (doc_id, text, lang); rows without text or language are left out."""
+    bounded_batches(labelled.sparkSession)
     labelled = labelled.filter("text is not null and lang is not null").select("doc_id", "text", "lang")
-    sizes = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("docs"))
+    sizes = saved(labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("docs")), "languages", narrow=True)
+    sizes = F.broadcast(sizes) if sizes.count() <= _MOST_LANGUAGES else sizes
     share = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) * F.col("docs") < F.lit(max_docs * 1_000_000)
     sample = labelled.join(sizes, "lang").filter(share).select("lang", "text")
 
     def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             langs = batch.column(0).to_numpy(zero_copy_only=False)
-            for lang in pd.unique(langs):
+            for lang in set(langs.tolist()):
                 tally: Counter = Counter()
                 for word, n in _word_counts(batch.column(1).filter(pa.array(langs == lang))):
                     tally[word] += n
                 yield pa.record_batch([pa.array([lang] * len(tally), pa.string()), pa.array(list(tally), pa.string()), pa.array(list(tally.values()), pa.int64())], names=["lang", "item", "n"])
 
     def count_grams(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import pandas as pd
+
         for frame in frames:
             tally: Counter = Counter()
             for lang, word, n in zip(frame["lang"], frame["item"], frame["n"], strict=True):
@@ -120,18 +136,16 @@ def fit(labelled: DataFrame, *, max_docs: int = 4000, max_words: int = 100_000,
                         tally[lang, g] += n
             yield pd.DataFrame([(lang, g, n) for (lang, g), n in tally.items()], columns=["lang", "item", "n"])
 
-    counts = sample.mapInArrow(count_words, "lang string, item string, n long").groupBy("lang", "item").agg(F.sum("n").alias("n")).persist()
-    pieces_ = counts.mapInPandas(count_grams, "lang string, item string, n long").groupBy("lang", "item").agg(F.sum("n").alias("n"))
-    lexicon, parts = _most_frequent(counts, max_words).toPandas(), _most_frequent(pieces_.persist(), max_grams).toPandas()
-    counts.unpersist()
-    pieces_.unpersist()
-    languages = sorted(set(lexicon["lang"]) | set(parts["lang"]))
-    sizes_ = parts["item"].str.len()
-    return Model(languages, _log_frequencies(lexicon, languages) if len(lexicon) else {}, [_log_frequencies(parts[sizes_ == n], languages) if (sizes_ == n).any() else {} for n in range(1, longest + 1)])
+    counts = saved(sample.mapInArrow(count_words, "lang string, item string, n long").groupBy("lang", "item").agg(F.sum("n").alias("n")), "language-words")
+    pieces_ = saved(counts.mapInPandas(count_grams, "lang string, item string, n long").groupBy("lang", "item").agg(F.sum("n").alias("n")), "language-grams")
+    languages = sorted(r["lang"] for r in counts.select("lang").distinct().collect())
+    if not languages:
+        return Model([], Table([], np.zeros((0, 0))), Table([], np.zeros((0, 0))), longest)
+    return Model(languages, _table_of(_most_frequent(counts, max_words), languages), _table_of(_most_frequent(pieces_, max_grams), languages), longest)
 
 
 class _Scorer:
-    """Scores of the words met so far in a Python worker, by hash; starts anew beyond 2^20 words."""
+    """Scores of the words met so far in a Python worker, by hash; starts anew beyond 2^18 words."""
 
     def __init__(self, model: Model):
         self.model = model
@@ -180,8 +194,7 @@ def predict(docs: DataFrame, model: Model, *, text: str = "text", steady: int =
             scorer = _scorers[key] = _Scorer(sent.value)
         for batch in batches:
             column = pc.utf8_lower(batch.column(names.index(text)))
-            best, score = [np.zeros(0, np.int64)], [np.zeros(0)]
-            for first, last, data, offsets in pieces(column):
+            for first, last, data, offsets in pieces(column, _PIECE_BYTES):
                 n = last - first
                 start, end, row = words(data, offsets, _GAP)
                 each = scorer(data, start, end)
@@ -190,10 +203,10 @@ def predict(docs: DataFrame, model: Model, *, text: str = "text", steady: int =
                 if not sums.shape[1]:
                     sums, seen = np.zeros((n, 1)), np.zeros(n)
                 mean = sums / np.maximum(seen, 1)[:, None] * np.minimum(seen, steady)[:, None]
-                top = mean.argmax(axis=1)
-                best.append(np.where(seen > 0, top, len(languages) - 1))
-                score.append(np.where(seen > 0, 1 / np.exp(mean - mean.max(axis=1, keepdims=True)).sum(axis=1), 0.0))
-            pred = pa.array(np.array(languages, object)[np.concatenate(best)], pa.string())
-            yield pa.record_batch([*batch.columns, pred, pa.array(np.concatenate(score), pa.float64())], names=[*names, "lang_pred", "score"])
+                best = np.where(seen > 0, mean.argmax(axis=1), len(languages) - 1)
+                score = np.where(seen > 0, 1 / np.exp(mean - mean.max(axis=1, keepdims=True)).sum(axis=1), 0.0)
+                pred = pa.array(np.array(languages, object)[best], pa.string())
+                yield pa.record_batch([*batch.slice(first, n).columns, pred, pa.array(score, pa.float64())], names=[*names, "lang_pred", "score"])
 
+    bounded_batches(docs.sparkSession)
     return docs.select(*[F.col(f"`{n}`") for n in names]).mapInArrow(run, schema)

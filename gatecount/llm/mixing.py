@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .scratch import saved
+from .scratch import bounded_batches, saved
 from .text import pieces, words
 
 #: The golden-ratio step over a circle of 2^31 points, odd so that the points visit all of them.
@@ -125,8 +125,9 @@ def mix(docs: DataFrame, *, weights: tuple[int, ...] = (5, 2, 1), share: float =
     doc_id, size, start, n_words: the words that a slot takes of a document, in one row for each
     document that its block touches. Sorting by slot gives the mix.
     """
+    bounded_batches(docs.sparkSession)
     sized = saved(docs.select("doc_id", "source", word_count(F.col("text")).alias("size")), "mix-sizes")
-    targets = saved(source_targets(sized, weights, share, max_repeats), "mix-targets")
+    targets = saved(source_targets(sized, weights, share, max_repeats), "mix-targets", narrow=True)
     plan = schedule(targets, block_words)
     stream = stream_positions(sized.filter("size > 0"), seed)
     t = targets.select(F.col("source").alias("t_source"), "source_size", F.round("target").cast("long").alias("words"))

@@ -144,7 +144,7 @@ def near_duplicates(vectors: DataFrame, *, threshold: float = 0.95, recall: floa
         return lone(every)
     fits = (F.length("raw") == width["w"]) & F.col("vec_id").isNotNull()
     whole = every.filter(fits)
-    classes = saved(whole.groupBy("key").agg(F.min("vec_id").alias("class"), F.count(F.lit(1)).alias("copies"), F.first("raw").alias("raw")), "vector-classes")
+    classes = saved(whole.groupBy("key").agg(F.min("vec_id").alias("class"), F.count(F.lit(1)).alias("copies"), F.first("raw").alias("raw")), "vector-classes", narrow=True)
     n = classes.count()
     sample = _unit([r["raw"] for r in classes.orderBy("key").limit(_SAMPLE).select("raw").collect()], kind)
     sent = vectors.sparkSession.sparkContext.broadcast(Index(sample, n, threshold, recall))
@@ -158,7 +158,7 @@ def near_duplicates(vectors: DataFrame, *, threshold: float = 0.95, recall: floa
     # at most as many counts as the grid has cells
     members = placed.groupBy("cell").agg(F.count(F.lit(1)).alias("m")).withColumn("m_blocks", F.ceil(F.col("m") / _MEMBERS).cast("int"))
     queries = placed.select(F.explode("visits").alias("cell")).groupBy("cell").agg(F.count(F.lit(1)).alias("q")).withColumn("q_blocks", F.ceil(F.col("q") / _QUERIES).cast("int"))
-    sizes = saved(members.join(queries, "cell").select("cell", "m_blocks", "q_blocks"), "cell-sizes")
+    sizes = saved(members.join(queries, "cell").select("cell", "m_blocks", "q_blocks"), "cell-sizes", narrow=True)
     pick = lambda n: F.pmod(F.xxhash64("class"), F.col(n)).cast("int")
     every_block = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     left = placed.join(sizes, "cell").withColumn("mb", pick("m_blocks")).withColumn("qb", every_block("q_blocks")).select("cell", "mb", "qb", "class", "copies", "raw", "visits")

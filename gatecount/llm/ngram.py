@@ -31,11 +31,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .scratch import partitions, saved
+from .scratch import bounded_batches, partitions, saved
 from .text import mix, pieces, span_hashes, words
 
 SHARDS = 32
-_BLOCK_WORDS, _BLOCK_ROWS = 1_500_000, 1 << 15
+_BLOCK_WORDS, _BLOCK_ROWS, _HELD_WORDS = 1_500_000, 1 << 15, 4_000_000
 _START, _END, _CLASSES, _FIRST = 0, 1, 32, 34  # ids of text borders, number of shape classes, first word id
 _BITS = 22
 _HELD_BACK = 5
@@ -144,13 +144,24 @@ def vocabulary_of(trusted: DataFrame, limit: int) -> Vocabulary:
     """The most frequent words of each language of (lang, text): those at or above the count that at most ``limit`` reach."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, list[np.ndarray]] = {}
+        size = 0
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            for name, parts in held.items():
+                unique, n = np.unique(np.concatenate(parts), return_counts=True)
+                yield pa.record_batch([pa.array([name] * len(unique), pa.string()), pa.array(unique.view(np.int64)), pa.array(n, pa.int64())], names=["lang", "word", "n"])
+
         for batch in batches:
             names = np.array([x or "" for x in batch.column(0).to_pylist()], object)
             for name in pd.unique(names):
-                texts = batch.column(1).filter(pa.array(names == name))
-                h = np.concatenate([np.zeros(0, np.uint64), *[x[4] for x in _read(texts, None, None)]])
-                unique, n = np.unique(h, return_counts=True)
-                yield pa.record_batch([pa.array([name] * len(unique), pa.string()), pa.array(unique.view(np.int64)), pa.array(n, pa.int64())], names=["lang", "word", "n"])
+                for x in _read(batch.column(1).filter(pa.array(names == name)), None, None):
+                    held.setdefault(name, []).append(x[4])
+                    size += len(x[4])
+            if size >= _HELD_WORDS:
+                yield from flush()
+                held, size = {}, 0
+        yield from flush()
 
     counts = saved(trusted.select("lang", "text").mapInArrow(count, "lang string, word long, n long").groupBy("lang", "word").agg(F.sum("n").alias("n")), "ngram-words")
     levels = counts.groupBy("lang", F.least(F.col("n"), F.lit(1 << 16)).alias("n")).agg(F.count(F.lit(1)).alias("words")).orderBy("lang", F.desc("n")).collect()
@@ -172,17 +183,26 @@ def count_shards(training: DataFrame, sent) -> DataFrame:
     """shard, data: the distinct bigrams of (lang, text) and their counts, in shards by key hash."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts, size = [], 0
+
+        def flush() -> pa.RecordBatch:
+            keys, n = np.unique(np.concatenate(parts), return_counts=True)
+            shard = _shard_of(keys)
+            out = [(s, _pack(_delta(keys[own]), n[own].astype(np.uint32))) for s in range(SHARDS) if len(own := np.flatnonzero(shard == s))]
+            return pa.record_batch([pa.array([x[0] for x in out], pa.int32()), pa.array([x[1] for x in out], pa.binary())], names=["shard", "data"])
+
         for batch in batches:
             langs = _lang_index(batch.column(0), sent.value.languages)
-            parts = [np.zeros(0, np.uint64)]
             for first, _, row, _, ids in _read(batch.column(1), langs, sent.value):
                 rows, context, word = _bigrams(row, ids)
                 lang = langs[first + rows]
                 parts.append(_keys(lang, context, word)[lang >= 0])
-            keys, n = np.unique(np.concatenate(parts), return_counts=True)
-            shard = _shard_of(keys)
-            out = [(s, _pack(_delta(keys[own]), n[own].astype(np.uint32))) for s in range(SHARDS) if len(own := np.flatnonzero(shard == s))]
-            yield pa.record_batch([pa.array([x[0] for x in out], pa.int32()), pa.array([x[1] for x in out], pa.binary())], names=["shard", "data"])
+                size += len(parts[-1])
+            if size >= _HELD_WORDS:
+                yield flush()
+                parts, size = [], 0
+        if parts:
+            yield flush()
 
     def merge(rows: pd.DataFrame) -> pd.DataFrame:
         parts = [_unpack(x, "<u8", "<u4") for x in rows["data"]]
@@ -385,6 +405,7 @@ def quality(docs: DataFrame, labels: DataFrame, *, vocabulary: int = 50_000, qua
     there are fewer than ``least_documents``. Ids of trusted documents are broadcast up to
     ``broadcast_labels`` of them, and joined beyond.
     """
+    bounded_batches(docs.sparkSession)
     spark = docs.sparkSession
     trusted = labels.groupBy("doc_id").agg(F.min(F.coalesce((F.col("quality") == 1) & (F.col("toxic") == 0), F.lit(False))).alias("trusted")).filter("trusted")
     if trusted.count() <= broadcast_labels:

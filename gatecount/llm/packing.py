@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
+from .scratch import bounded_batches
 from .text import CHUNK_BYTES
 from .tokens import tokenizer
 
@@ -158,6 +159,7 @@ def pack_documents(docs: DataFrame, tokenizer_file: str, *, end_id: int = 1, con
         if names:
             yield from flush()
 
+    bounded_batches(docs.sparkSession)
     return docs.select("doc_id", "text").mapInArrow(run, SCHEMA)
 
 

@@ -19,12 +19,23 @@ def folder(spark: SparkSession, name: str) -> str:
     return f"{top.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def saved(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
-    """``df`` written as Parquet to the shared folder, and read again."""
+def saved(df: DataFrame, name: str, compression: str = "zstd", narrow: bool = False) -> DataFrame:
+    """``df`` written as Parquet to the shared folder, and read again.
+
+    ``narrow`` tables, ids and links of what comes from a shuffle, go to an eighth as many files as the
+    shuffle has partitions: each file costs a store several calls.
+    """
     path = folder(df.sparkSession, name)
+    if narrow:
+        df = df.coalesce(max(1, partitions(df.sparkSession) // 8))
     df.write.option("compression", compression).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Has Spark hand Python workers at most about 8 MB at a time, however long the texts are."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -1,7 +1,7 @@
 """Vectorised text helpers that read Arrow string buffers without Python strings.
 
 Every function works on the UTF-8 bytes of a whole Arrow batch at once. Batches are
-cut at row borders into pieces of a few megabytes, so the memory in use does not
+cut at row borders into pieces of about a megabyte, so the memory in use does not
 follow the batch; a single longer text makes one longer piece.
 """
 
@@ -12,7 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 
 #: The six ASCII white-space bytes 0x20 and 0x09 to 0x0D.
 SPACE = np.zeros(256, bool)
