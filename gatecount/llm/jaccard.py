@@ -4,7 +4,8 @@ Each set is a point: its shingles are hashed into groups, and the counts of the
 coordinates. The overlap of two sets is at most the sum over groups of the smaller count, and the
 overlap of two boxes of points at most the sum of the smaller upper corners, which is what an
 R-tree over the points prunes by. Larger sets have more groups (one or two shingles
-in each); groups are nested, so points of two sizes are compared at the coarser one.
+in each); groups are nested, so points of two sizes are compared at the coarser one. Points are
+stored with four times the groups, packed; pairs that the tree leaves are bound by those as well.
 
 So that no index spans all documents, the points are dealt to partitions by their rarest shingles:
 two sets that link must share one of the first n - ceil(0.75 n) + 1 in any common order. The order
@@ -28,7 +29,8 @@ documents of their own with one id. Only doc_id and text are read.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -44,6 +46,8 @@ from .text import ASCII_LOWER, mix, pieces, ragged, shingles, span_hashes, words
 _CELL_BITS = 20
 _CHUNK_CELLS = 1 << 16
 _PER_GROUP, _LEAST_GROUPS, _MOST_GROUPS = 2, 16, 1 << 20
+_FINER = 2  # points are kept with 2^2 times the groups that the tree compares; pairs that survive are bound by those
+_OPENED = 256
 _BLOCK = 2048
 _LEAF = 32
 _BROADCAST_IDS = 1_000_000
@@ -61,6 +65,18 @@ def unzip(data: bytes, n: int) -> np.ndarray:
     return np.frombuffer(_CODEC.decompress(data, 4 * n, asbytes=True), "<u4")
 
 
+def pack_point(groups: np.ndarray) -> bytes:
+    """Counts as their low bytes and then their high ones, compressed: about a bit for each group."""
+    return _CODEC.compress(groups.astype("<u2").view(np.uint8).reshape(-1, 2).T.tobytes(), asbytes=True)
+
+
+def unpack_point(data, groups: int, wanted: int) -> np.ndarray:
+    """The counts of a packed point of ``groups`` groups, added up to ``wanted`` groups."""
+    raw = np.frombuffer(_CODEC.decompress(data, 2 * groups, asbytes=True), np.uint8).astype(np.uint16)
+    counts = raw[:groups] | (raw[groups:] << 8)
+    return counts if wanted == groups else counts.reshape(wanted, -1).sum(axis=1, dtype=np.uint32)
+
+
 def _sets(column: pa.Array, width: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, end row, row, hash) of the distinct shingles of runs of rows, in order of row and hash."""
     for first, last, data, offsets in pieces(column):
@@ -121,10 +137,10 @@ def set_table(docs: DataFrame, width: int) -> DataFrame:
                 begin = (np.cumsum(n) - n)[has]
                 if len(has):
                     key[has] = mix(np.add.reduceat(spread, begin) ^ mix(n[has].astype(np.uint64)))
-                level = _levels(n)
+                level = _levels(n) + _FINER
                 at = np.cumsum(1 << level) - (1 << level)
-                groups = np.bincount(at[row] + (spread >> (64 - level[row]).astype(np.uint64)).astype(np.int64), minlength=int((1 << level).sum())).astype("<u2")
-                points = [groups[a : a + (1 << b)].tobytes() if k else None for a, b, k in zip(at, level, n, strict=True)]
+                groups = np.bincount(at[row] + (spread >> (64 - level[row]).astype(np.uint64)).astype(np.int64), minlength=int((1 << level).sum()))
+                points = [pack_point(groups[a : a + (1 << b)]) if k else None for a, b, k in zip(at, level, n, strict=True)]
                 by = np.argsort(row * 64 + rank[(h >> np.uint64(64 - _CELL_BITS)).astype(np.int64)], kind="stable")
                 place = ragged(n)
                 # a copy of a set that this task has met gives no shingles again
@@ -219,7 +235,8 @@ def tree_pairs(n: np.ndarray, points: list[bytes], side: np.ndarray | None = Non
     trees = {}
     for k in np.unique(level):
         own = np.flatnonzero(level == k)
-        raw = np.frombuffer(b"".join(points[i] for i in own), "<u2").reshape(len(own), -1)
+        kind = np.uint16 if n[own].max() < 1 << 16 else np.uint32
+        raw = np.stack([unpack_point(points[i], 1 << (k + _FINER), 1 << k).astype(kind) for i in own])
         order = np.lexsort((*(raw[:, c] for c in range(min(3, raw.shape[1]))), n[own]))
         trees[int(k)] = own[order], raw[order]
     out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
@@ -227,13 +244,35 @@ def tree_pairs(n: np.ndarray, points: list[bytes], side: np.ndarray | None = Non
         for other in (k, k + 1):
             if other in trees:
                 theirs, their_raw = trees[other]
-                _join_leaves(own, _folded(raw, 1 << k), theirs, _folded(their_raw, 1 << k), n, side, root, other == k, out)
+                opened = _opener(points, level, 1 << (k + _FINER))
+                _join_leaves(own, raw, theirs, _folded(their_raw, 1 << k), n, side, root, other == k, opened, out)
     if not out:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.float32)
     return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
 
-def _join_leaves(a: np.ndarray, x: np.ndarray, b: np.ndarray, y: np.ndarray, n: np.ndarray, side, root, same: bool, out: list) -> None:
+def _opener(points: list[bytes], level: np.ndarray, groups: int) -> Callable[[int], np.ndarray]:
+    """Gives a point's counts in ``groups`` groups; a few hundred stay unpacked."""
+
+    @lru_cache(maxsize=_OPENED)
+    def opened(i: int) -> np.ndarray:
+        return unpack_point(points[i], 1 << int(level[i] + _FINER), groups)
+
+    return opened
+
+
+def _fine_bound(u: np.ndarray, v: np.ndarray, opened: Callable[[int], np.ndarray]) -> np.ndarray:
+    """The bound of pairs (u, v) by the finer groups."""
+    each, place = np.unique(v, return_inverse=True)
+    theirs = np.stack([opened(int(i)) for i in each])
+    out = np.zeros(len(u), np.int64)
+    for i in np.unique(u):
+        own = np.flatnonzero(u == i)
+        out[own] = np.minimum(opened(int(i)), theirs[place[own]]).sum(axis=1, dtype=np.int64)
+    return out
+
+
+def _join_leaves(a: np.ndarray, x: np.ndarray, b: np.ndarray, y: np.ndarray, n: np.ndarray, side, root, same: bool, opened: Callable[[int], np.ndarray], out: list) -> None:
     def leaves(ids: np.ndarray, p: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         at = np.arange(0, len(ids), _LEAF)
         return at, np.maximum.reduceat(p, at), np.minimum.reduceat(n[ids], at), np.maximum.reduceat(n[ids], at)
@@ -261,8 +300,11 @@ def _join_leaves(a: np.ndarray, x: np.ndarray, b: np.ndarray, y: np.ndarray, n:
             need = _needed(n[a[mine]][:, None], n[b[theirs]][None])
             p, q = np.nonzero(mask & (bound >= need))
             if len(p):
-                u, v = a[mine][p], b[theirs][q]
-                out.append((np.minimum(u, v), np.maximum(u, v), (bound[p, q] / need[p, q]).astype(np.float32)))
+                u, v, least = a[mine][p], b[theirs][q], need[p, q]
+                fine = _fine_bound(u, v, opened)
+                left = fine >= least
+                u, v = u[left], v[left]
+                out.append((np.minimum(u, v), np.maximum(u, v), (fine[left] / least[left]).astype(np.float32)))
 
 
 def forest(i: np.ndarray, j: np.ndarray, slack: np.ndarray, root: np.ndarray) -> np.ndarray:
@@ -293,12 +335,12 @@ def _first_pairs(lists: DataFrame, classes: DataFrame) -> DataFrame:
 
     def within(n_a: pa.Array, n_b: pa.Array, p_a: pa.Array, p_b: pa.Array) -> pa.Array:
         n, m = n_a.to_numpy(zero_copy_only=False), n_b.to_numpy(zero_copy_only=False)
-        least_, level, other = _needed(n, m), _levels(n), _levels(m)
+        least_, level, other = _needed(n, m), _levels(n) + _FINER, _levels(m) + _FINER
         out = np.zeros(len(n), bool)
         for k in np.flatnonzero((4 * n >= 3 * m) & (4 * m >= 3 * n)):
-            groups = 1 << min(level[k], other[k])
-            x, y = (np.frombuffer(p[int(k)].as_buffer(), "<u2").reshape(groups, -1).sum(axis=1, dtype=np.int64) for p in (p_a, p_b))
-            out[k] = np.minimum(x, y).sum() >= least_[k]
+            groups = 1 << int(min(level[k], other[k]))
+            x, y = (unpack_point(p[int(k)].as_buffer(), 1 << int(b[k]), groups) for p, b in ((p_a, level), (p_b, other)))
+            out[k] = np.minimum(x, y).sum(dtype=np.int64) >= least_[k]
         return pa.array(out)
 
     return pairs.join(a, "key_a").join(b, "key_b").filter(F.arrow_udf(within, "boolean")("n_a", "n_b", "p_a", "p_b")).select("a", "b")

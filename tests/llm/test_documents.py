@@ -83,9 +83,9 @@ def test_tree_pairs_lose_nothing():
     sets += [set(list(s)[: int(len(s) * 0.9)]) for s in sets]
     n = np.array([len(s) for s in sets])
     points = []
-    for s, level in zip(sets, jaccard._levels(n), strict=True):
+    for s, level in zip(sets, jaccard._levels(n) + jaccard._FINER, strict=True):
         h = jaccard.mix(np.array(sorted(s), np.uint64))
-        points.append(np.bincount((h >> np.uint64(64 - level)).astype(int), minlength=1 << level).astype("<u2").tobytes())
+        points.append(jaccard.pack_point(np.bincount((h >> np.uint64(64 - level)).astype(int), minlength=1 << level)))
     i, j, _ = jaccard.tree_pairs(n, points)
     found = set(zip(i.tolist(), j.tolist(), strict=True))
     linked = {(a, b) for b in range(len(sets)) for a in range(b) if 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])}
