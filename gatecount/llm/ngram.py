@@ -308,7 +308,7 @@ def log_scores(docs: DataFrame, counts: DataFrame, sent_vocabulary, sent_weights
             unique, back = np.unique(key, return_inverse=True)
             pair, tf = np.unique(back.astype(np.int64) * n_rows + doc, return_counts=True)
             at, doc = pair // n_rows, (pair % n_rows).astype(np.uint16)
-            tf = np.minimum(tf, 65535).astype(np.uint16)
+            tf = tf.astype(np.uint32)
             per_key = np.bincount(at, minlength=len(unique))
             shard = _shard_of(unique)
             out = []
@@ -365,7 +365,7 @@ def log_scores(docs: DataFrame, counts: DataFrame, sent_vocabulary, sent_weights
             if info_:
                 out.append((block, True, data))
                 continue
-            own, per_key, doc, tf = _unpack(data, "<u8", "<u4", "<u2", "<u2")
+            own, per_key, doc, tf = _unpack(data, "<u8", "<u4", "<u2", "<u4")
             own = np.cumsum(own, dtype=np.uint64)
             at = np.searchsorted(keys, own)
             hit = at < len(keys)

@@ -241,6 +241,14 @@ def test_quality_of_odd_rows(spark):
     assert sum(rows[k].kept for k in range(300)) >= 290
 
 
+def test_quality_counts_every_repeat_of_a_bigram(spark):
+    rng = np.random.default_rng(0)
+    texts = [" ".join(rng.choice(["red", "green", "blue", "pink"], 8)) for _ in range(60)] + ["red " * n for n in (60_000, 200_000)]
+    labels = spark.createDataFrame([(k, 1, 0) for k in range(60)], "doc_id long, quality int, toxic int")
+    out = {r.doc_id: r for r in ngram.quality(documents(spark, texts), labels, least_documents=1).collect()}
+    assert out[61].perplexity == pytest.approx(out[60].perplexity, rel=1e-3)
+
+
 def test_audio_round_trip(spark):
     out = audio.describe_audio(audio.store_text_audio(documents(spark, ODD))).orderBy("doc_id").collect()
     for r, t in zip(out, ODD, strict=True):
