@@ -1,17 +1,17 @@
 """Quality by an interpolated modified Kneser-Ney bigram model of trusted text.
 
 Counts come from all trusted documents but a fifth, which is held back to set thresholds.
-Each language has a vocabulary of at most ``vocabulary`` words; other words fall into classes by
-shape (case, digits, symbols, last mark), so the model is closed and unigram tables have a fixed
-bound. Bigram counts do not: they are kept in shards by key hash. The log probability of a
-bigram is its context's back-off weight and its word's unigram weight, and, if the bigram was
-seen, a correction:
+Every word and bigram counts, by hash: a word's hash holds its language and its shape class (case, digits,
+symbols, last mark) in the lowest five bits. Nothing held by the driver or by a task's broadcast follows the
+number of words. The log probability of a bigram is its context's back-off weight and its word's
+unigram weight, and, if the bigram was seen, a correction:
 
     log p(w | v) = log g(v) + log u(w) + d(v, w)
 
-so a document's score is a sum over its words, known where the text is read, and of the
-corrections, which come from joining the documents' distinct bigrams with the count shards.
-Documents' bigrams travel as compressed blocks: keys, documents within the block, counts.
+A word never seen has the mass of words seen once in its class (as a share of the distinct bigrams) times the
+probability of its spelling under a byte bigram model, so that the model is closed. A document's score
+is a sum over its bigrams, which comes from joining the documents' distinct bigrams with shards of the model by word
+hash. Documents' bigrams travel as compressed blocks: words, contexts, documents within the block, counts.
 
 Defined results: a document without words has no perplexity and is not kept; one in a language
 without a model has no perplexity and is kept; a null language is the language ``""``; a document is trusted
@@ -36,8 +36,9 @@ from .text import mix, pieces, span_hashes, words
 
 SHARDS = 32
 _BLOCK_WORDS, _BLOCK_ROWS, _HELD_WORDS = 1_500_000, 1 << 15, 4_000_000
-_START, _END, _CLASSES, _FIRST = 0, 1, 32, 34  # ids of text borders, number of shape classes, first word id
-_BITS = 22
+_CLASSES, _RESERVED = 32, 34  # number of shape classes; classes and text borders
+_PAIRS, _UNIT = 257 * 257, 1 << 16  # byte pairs with a border; parts of a natural logarithm in spelling tables
+_CONTEXT_BITS = np.uint64(16)  # low bits of a context's hash left out beside its word's whole hash
 _HELD_BACK = 5
 _zstd = pa.Codec("zstd", 3)
 
@@ -46,7 +47,7 @@ def _pack(*arrays: np.ndarray) -> bytes:
     """Arrays as byte planes, compressed: high bytes of small numbers take no room."""
     parts = []
     for a in arrays:
-        raw = np.ascontiguousarray(a).view(np.uint8).reshape(len(a), -1).T.tobytes()
+        raw = np.ascontiguousarray(a).view(np.uint8).reshape(len(a), a.dtype.itemsize).T.tobytes()
         parts.append(len(raw).to_bytes(8, "little") + bytes(_zstd.compress(raw, asbytes=True)))
     return b"".join(len(p).to_bytes(8, "little") + p for p in parts)
 
@@ -85,50 +86,60 @@ def _shapes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
 
 
 @dataclass
-class Vocabulary:
-    """Sorted word hashes of each language; a word's id is its place, after borders and shape classes."""
+class Languages:
+    """Names in order, with the hashes of the text borders of each."""
 
-    languages: list[str]
-    hashes: list[np.ndarray]
+    names: list[str]
 
-    def size(self, k: int) -> int:
-        return _FIRST + len(self.hashes[k])
+    def __post_init__(self) -> None:
+        self.salt = mix(np.arange(1, len(self.names) + 1, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+        self.start, self.end = (mix(self.salt + np.uint64(k)) & ~np.uint64(_CLASSES - 1) for k in (1, 2))
 
 
-def _read(texts: pa.Array, langs: np.ndarray, vocabulary: Vocabulary | None) -> Iterator[tuple]:
-    """(first row, end row, row, language, hash or id) of the words of runs of rows; unknown languages have -1."""
+def _read(texts: pa.Array, langs: np.ndarray, known: Languages) -> Iterator[tuple]:
+    """(first row, end row, row, hash, bytes, start, end) of the words of runs of rows; of rows in known languages only."""
     for first, last, data, offsets in pieces(texts):
         start, end, row = words(data, offsets)
-        h = span_hashes(data, start, end)
-        if vocabulary is None:
-            yield first, last, row, None, h
-            continue
         lang = langs[first:last][row]
-        ids = _shapes(data, start, end).astype(np.int64) + 2 if len(row) else np.zeros(0, np.int64)
-        for k, known in enumerate(vocabulary.hashes):
-            own = np.flatnonzero(lang == k)
-            if len(own) and len(known):
-                at = np.minimum(np.searchsorted(known, h[own]), len(known) - 1)
-                hit = known[at] == h[own]
-                ids[own[hit]] = at[hit] + _FIRST
-        yield first, last, row, lang, ids
-
-
-def _bigrams(row: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row, context, word) of each bigram, with a border before and after each row's words."""
+        h = np.zeros(len(row), np.uint64)
+        if len(row) and len(known.names):
+            h = (mix(span_hashes(data, start, end) ^ known.salt[lang]) & ~np.uint64(_CLASSES - 1)) | _shapes(data, start, end).astype(np.uint64)
+        yield first, last, row, h, data, start, end
+
+
+def _byte_pairs(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Codes of each byte after the one before it, of each word's first byte, and of its end; 256 is the border."""
+    inner = np.zeros(len(data), np.int64)
+    inner[1:] = data[:-1].astype(np.int64) * 257 + data[1:]
+    return inner, 256 * 257 + data[start].astype(np.int64), data[end - 1].astype(np.int64) * 257 + 256
+
+
+def _spelling(table: np.ndarray, lang: np.ndarray, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Log probability of each word's bytes, from sums of integers, so that equal words have equal ones anywhere."""
+    inner, opens, closes = _byte_pairs(data, start, end)
+    out = np.zeros(len(start))
+    for k in np.unique(lang):
+        own = lang == k
+        total = np.cumsum(table[k][inner])
+        out[own] = (total[end[own] - 1] - total[start[own]] + table[k][opens[own]] + table[k][closes[own]]) / _UNIT
+    return out
+
+
+def _bigrams(row: np.ndarray, lang: np.ndarray, h: np.ndarray, known: Languages) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(row, language, context, word) of each bigram, with a border before and after each row's words."""
     if not len(row):
-        return row, ids, ids
+        return row, lang, h, h
     begins = np.flatnonzero(np.diff(row, prepend=-1))
-    rows = np.insert(row, begins, row[begins])
-    context = np.insert(ids, begins, _START)
-    word = np.append(context[1:], _END)
+    rows, langs = np.insert(row, begins, row[begins]), np.insert(lang, begins, lang[begins])
+    context = np.insert(h, begins, known.start[lang[begins]])
     ends = np.append(np.flatnonzero(np.diff(rows)), len(rows) - 1)
-    word[ends] = _END
-    return rows, context, word
+    word = np.append(context[1:], context[:1])
+    word[ends] = known.end[langs[ends]]
+    return rows, langs, context, word
 
 
-def _keys(lang: np.ndarray, context: np.ndarray, word: np.ndarray) -> np.ndarray:
-    return (lang.astype(np.uint64) << np.uint64(2 * _BITS)) | (context.astype(np.uint64) << np.uint64(_BITS)) | word.astype(np.uint64)
+def _bigram_key(word: np.ndarray, context: np.ndarray) -> np.ndarray:
+    return mix(word ^ mix(context))
 
 
 def _shard_of(keys: np.ndarray) -> np.ndarray:
@@ -140,75 +151,79 @@ def _lang_index(column: pa.Array, languages: list[str]) -> np.ndarray:
     return np.array([place.get(x or "", -1) for x in column.to_pylist()], np.int64)
 
 
-def vocabulary_of(trusted: DataFrame, limit: int) -> Vocabulary:
-    """The most frequent words of each language of (lang, text): those at or above the count that at most ``limit`` reach."""
+def _runs(*sorted_columns: np.ndarray) -> np.ndarray:
+    """Where a new value begins in columns sorted together."""
+    if not len(sorted_columns[0]):
+        return np.zeros(0, np.int64)
+    return np.flatnonzero(np.append(True, np.any([c[1:] != c[:-1] for c in sorted_columns], axis=0)))
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, list[np.ndarray]] = {}
-        size = 0
 
-        def flush() -> Iterator[pa.RecordBatch]:
-            for name, parts in held.items():
-                unique, n = np.unique(np.concatenate(parts), return_counts=True)
-                yield pa.record_batch([pa.array([name] * len(unique), pa.string()), pa.array(unique.view(np.int64)), pa.array(n, pa.int64())], names=["lang", "word", "n"])
+def _counted(lang: np.ndarray, v: np.ndarray, w: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Distinct bigrams by context and word, with sums of counts."""
+    order = np.lexsort((w, v))
+    lang, v, w, n = lang[order], v[order], w[order], n[order]
+    at = _runs(v, w)
+    return lang[at], v[at], w[at], np.add.reduceat(n, at) if len(at) else n
 
-        for batch in batches:
-            names = np.array([x or "" for x in batch.column(0).to_pylist()], object)
-            for name in pd.unique(names):
-                for x in _read(batch.column(1).filter(pa.array(names == name)), None, None):
-                    held.setdefault(name, []).append(x[4])
-                    size += len(x[4])
-            if size >= _HELD_WORDS:
-                yield from flush()
-                held, size = {}, 0
-        yield from flush()
-
-    counts = saved(trusted.select("lang", "text").mapInArrow(count, "lang string, word long, n long").groupBy("lang", "word").agg(F.sum("n").alias("n")), "ngram-words")
-    levels = counts.groupBy("lang", F.least(F.col("n"), F.lit(1 << 16)).alias("n")).agg(F.count(F.lit(1)).alias("words")).orderBy("lang", F.desc("n")).collect()
-    least: dict[str, list[int]] = {}
-    for lang, n, held in levels:
-        state = least.setdefault(lang, [0, 1 << 62])
-        state[0] += held
-        if state[0] <= limit and n > 1:
-            state[1] = n
-    if not least:
-        return Vocabulary([], [])
-    cut = F.create_map(*[F.lit(x) for lang, (_, n) in least.items() for x in (lang, n)])
-    kept = counts.filter(F.col("n") >= cut[F.col("lang")]).select("lang", "word").toPandas()
-    languages = sorted(least)
-    return Vocabulary(languages, [np.sort(kept.loc[kept["lang"] == x, "word"].to_numpy(np.int64).view(np.uint64)) for x in languages])
-
-
-def count_shards(training: DataFrame, sent) -> DataFrame:
-    """shard, data: the distinct bigrams of (lang, text) and their counts, in shards by key hash."""
+
+_COUNTS = ("<u4", "<u8", "<u8", "<u4")
+
+
+def _pack_counts(lang: np.ndarray, v: np.ndarray, w: np.ndarray, n: np.ndarray) -> bytes:
+    return _pack(lang.astype(np.uint32), v, w, n.astype(np.uint32))
+
+
+def count_shards(training: DataFrame, known: Languages) -> DataFrame:
+    """shard, data: the distinct bigrams of (lang, text) and their counts, in shards by context; shard -1 has the counts of byte pairs."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, size = [], 0
+        letters = np.zeros(len(known.names) * _PAIRS, np.int64)
+
+        def out(rows: list) -> pa.RecordBatch:
+            return pa.record_batch([pa.array([x[0] for x in rows], pa.int32()), pa.array([x[1] for x in rows], pa.binary())], names=["shard", "data"])
 
         def flush() -> pa.RecordBatch:
-            keys, n = np.unique(np.concatenate(parts), return_counts=True)
-            shard = _shard_of(keys)
-            out = [(s, _pack(_delta(keys[own]), n[own].astype(np.uint32))) for s in range(SHARDS) if len(own := np.flatnonzero(shard == s))]
-            return pa.record_batch([pa.array([x[0] for x in out], pa.int32()), pa.array([x[1] for x in out], pa.binary())], names=["shard", "data"])
+            lang, v, w = (np.concatenate([x[c] for x in parts]) for c in range(3))
+            bigrams = _counted(lang, v, w, np.ones(len(v), np.int64))
+            shard = _shard_of(bigrams[1])
+            return out([(s, _pack_counts(*[x[own] for x in bigrams])) for s in range(SHARDS) if len(own := np.flatnonzero(shard == s))])
 
         for batch in batches:
-            langs = _lang_index(batch.column(0), sent.value.languages)
-            for first, _, row, _, ids in _read(batch.column(1), langs, sent.value):
-                rows, context, word = _bigrams(row, ids)
-                lang = langs[first + rows]
-                parts.append(_keys(lang, context, word)[lang >= 0])
-                size += len(parts[-1])
+            langs = _lang_index(batch.column(0), known.names)
+            for first, _, row, h, data, start, end in _read(batch.column(1), langs, known):
+                lang = langs[first + row]
+                inner, opens, closes = _byte_pairs(data, start, end)
+                of_byte, depth = np.zeros(len(data) + 1, np.int64), np.zeros(len(data) + 1, np.int64)
+                of_byte[start + 1], depth[start + 1] = lang, 1
+                np.subtract.at(depth, end, 1)
+                inside = np.cumsum(depth)[: len(data)] > 0
+                begun = np.maximum.accumulate(np.where(depth > 0, np.arange(len(data) + 1), 0))[: len(data)]
+                for codes, own in ((inner[inside], of_byte[begun[inside]]), (opens, lang), (closes, lang)):
+                    at, n = np.unique(own * _PAIRS + codes, return_counts=True)
+                    letters[at] += n
+                _, own, v, w = _bigrams(row, lang, h, known)
+                parts.append((own, v, w))
+                size += len(v)
             if size >= _HELD_WORDS:
                 yield flush()
                 parts, size = [], 0
-        if parts:
+        if size:
             yield flush()
+        at = np.flatnonzero(letters)
+        if len(at):
+            yield out([(-1, _pack(at, letters[at]))])
 
     def merge(rows: pd.DataFrame) -> pd.DataFrame:
-        parts = [_unpack(x, "<u8", "<u4") for x in rows["data"]]
-        keys, back = np.unique(np.concatenate([np.cumsum(k, dtype=np.uint64) for k, _ in parts]), return_inverse=True)
-        n = np.bincount(back, weights=np.concatenate([n for _, n in parts])).astype(np.uint32)
-        return pd.DataFrame({"shard": [int(rows["shard"].iloc[0])], "data": [_pack(_delta(keys), n)]})
+        shard = int(rows["shard"].iloc[0])
+        if shard < 0:
+            at, back = np.unique(np.concatenate([_unpack(x, "<i8", "<i8")[0] for x in rows["data"]]), return_inverse=True)
+            n = np.zeros(len(at), np.int64)
+            np.add.at(n, back, np.concatenate([_unpack(x, "<i8", "<i8")[1] for x in rows["data"]]))
+            return pd.DataFrame({"shard": [shard], "data": [_pack(at, n)]})
+        parts = [_unpack(x, *_COUNTS) for x in rows["data"]]
+        lang, v, w, n = (np.concatenate([x[c] for x in parts]) for c in range(4))
+        return pd.DataFrame({"shard": [shard], "data": [_pack_counts(*_counted(lang, v, w, n.astype(np.int64)))]})
 
     rows = training.select("lang", "text").mapInArrow(emit, "shard int, data binary")
     return saved(rows.groupBy("shard").applyInPandas(merge, "shard int, data binary"), "ngram-counts", "none")
@@ -224,78 +239,132 @@ def discounts(n: np.ndarray) -> np.ndarray:
     return np.clip(d, 0.05, [0.95, 1.95, 2.95])
 
 
-class Weights:
-    """Of each language: discounts, log unigram weights and log back-off weights by word id."""
-
-    def __init__(self, vocabulary: Vocabulary, statistics: pd.DataFrame, levels: pd.DataFrame):
-        self.discounts, self.total, self.log_g, self.log_u = [], [], [], []
-        for k in range(len(vocabulary.languages)):
-            size = vocabulary.size(k)
-            d = discounts(levels[levels["lang"] == k].set_index("n")["types"].reindex(range(1, 5), fill_value=0).to_numpy())
-            own = statistics[statistics["lang"] == k]
-            table = {role: own[own["role"] == role] for role in (0, 1)}
-            total, kinds = np.zeros(size), np.zeros((size, 3))
-            at = table[0]["word"].to_numpy(np.int64)
-            total[at] = table[0]["n"]
-            kinds[at] = table[0][["n1", "n2", "n3"]].to_numpy()
-            g = np.where(total > 0, kinds @ d / np.maximum(total, 1), 1.0)
-            before = np.zeros(size)
-            before[table[1]["word"].to_numpy(np.int64)] = table[1][["n1", "n2", "n3"]].sum(axis=1)
-            all_ = before.sum()
-            if all_:
-                e = discounts(np.array([(before == c).sum() for c in range(1, 5)]))
-                taken = np.where(before > 0, e[np.clip(before, 1, 3).astype(int) - 1], 0)
-                u = np.maximum(before - taken, 0) / all_ + taken.sum() / all_ / size
-            else:
-                u = np.full(size, 1 / size)
-            self.discounts.append(d)
-            self.total.append(total)
-            self.log_g.append(np.log(g))
-            self.log_u.append(np.log(u))
-
-    def corrections(self, keys: np.ndarray, n: np.ndarray) -> np.ndarray:
-        """d(v, w) of each seen bigram."""
-        lang = (keys >> np.uint64(2 * _BITS)).astype(np.int64)
-        mask = np.uint64((1 << _BITS) - 1)
-        v, w = ((keys >> np.uint64(_BITS)) & mask).astype(np.int64), (keys & mask).astype(np.int64)
-        out = np.zeros(len(keys))
-        for k in np.unique(lang):
-            own = lang == k
-            c = n[own].astype(float)
-            left = np.log(np.maximum(c - self.discounts[k][np.clip(c, 1, 3).astype(int) - 1], 1e-9) / self.total[k][v[own]])
-            low = self.log_g[k][v[own]] + self.log_u[k][w[own]]
-            out[own] = np.logaddexp(left, low) - low
-        return out
-
-
-def weights_of(counts: DataFrame, vocabulary: Vocabulary) -> Weights:
-    """Sums over all count shards, by language and word: no more rows than the vocabularies have words."""
-
-    def sums(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        mask = np.uint64((1 << _BITS) - 1)
+_WORDS = ("<u4", "<u8", "<f4", "<u4", "u1", "<u8", "<f4", "<f4")
+
+
+def word_shards(counts: DataFrame, known: Languages) -> DataFrame:
+    """shard, data: words with their back-off weight as a context, and their bigrams' discounted shares, in shards by word."""
+    rows = counts.filter("shard >= 0").select("data")
+
+    def levels(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for data in frame["data"]:
-                keys, n = _unpack(data, "<u8", "<u4")
-                keys = np.cumsum(keys, dtype=np.uint64)
-                lang = (keys >> np.uint64(2 * _BITS)).astype(np.int64)
-                table = {"lang": lang, "n": n.astype(np.int64), "n1": n == 1, "n2": n == 2, "n3": n >= 3}
-                for role, word in ((0, (keys >> np.uint64(_BITS)) & mask), (1, keys & mask)):
-                    yield pd.DataFrame(table | {"role": role, "word": word.astype(np.int64)}).groupby(["lang", "role", "word"], as_index=False)[["n", "n1", "n2", "n3"]].sum().astype("int64")
-                yield pd.DataFrame({"lang": lang, "role": 2, "word": np.minimum(n, 5).astype(np.int64), "n": 1, "n1": 0, "n2": 0, "n3": 0}).groupby(["lang", "role", "word"], as_index=False).sum().astype("int64")
+                lang, _, _, n = _unpack(data, *_COUNTS)
+                yield pd.DataFrame({"lang": lang.astype(np.int64), "n": np.minimum(n, 5).astype(np.int64), "types": 1}).groupby(["lang", "n"], as_index=False).sum()
 
-    rows = counts.select("data").mapInPandas(sums, "lang long, role long, word long, n long, n1 long, n2 long, n3 long")
-    table = rows.groupBy("lang", "role", "word").agg(*[F.sum(c).alias(c) for c in ("n", "n1", "n2", "n3")]).toPandas()
-    return Weights(vocabulary, table[table["role"] < 2], table[table["role"] == 2].rename(columns={"n": "types", "word": "n"}))
+    table = np.zeros((len(known.names), 6))
+    for lang, n, types in rows.mapInPandas(levels, "lang long, n long, types long").groupBy("lang", "n").agg(F.sum("types")).collect():
+        table[lang, n] = types
+    cuts = np.array([discounts(x[1:5]) for x in table]).reshape(-1, 3)
 
+    def spread(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for data in frame["data"]:
+                lang, v, w, n = _unpack(data, *_COUNTS)
+                at = _runs(v)
+                each = np.diff(np.append(at, len(v)))
+                cut = cuts[lang, np.minimum(n, 3) - 1]
+                total = np.add.reduceat(n.astype(float), at)
+                log_g = np.log(np.add.reduceat(cut, at) / total).astype(np.float32)
+                left = np.log(np.maximum(n - cut, 1e-9) / np.repeat(total, each)).astype(np.float32)
+                of_each = np.repeat(log_g, each)
+                of_v, of_w, out = _shard_of(v[at]), _shard_of(w), []
+                for s in range(SHARDS):
+                    c, own = at[of_v == s], of_w == s
+                    contexts = _pack(lang[c], v[c], log_g[of_v == s])
+                    bigrams = _pack(lang[own], w[own], v[own] >> _CONTEXT_BITS, np.minimum(n[own], 2).astype(np.uint8), of_each[own], left[own])
+                    out.append((s, contexts + bigrams, len(contexts)))
+                yield pd.DataFrame(out, columns=["shard", "data", "split"])
 
-def log_scores(docs: DataFrame, counts: DataFrame, sent_vocabulary, sent_weights) -> DataFrame:
+    def merge(rows: pd.DataFrame) -> pd.DataFrame:
+        contexts = [_unpack(x[:k], "<u4", "<u8", "<f4") for x, k in zip(rows["data"], rows["split"], strict=True)]
+        bigrams = [_unpack(x[k:], "<u4", "<u8", "<u8", "u1", "<f4", "<f4") for x, k in zip(rows["data"], rows["split"], strict=True)]
+        c_lang, c, log_g = (np.concatenate([x[k] for x in contexts]) for k in range(3))
+        lang, w, v, n, g, left = (np.concatenate([x[k] for x in bigrams]) for k in range(6))
+        order = np.lexsort((v, w))
+        lang, w, v, n, g, left = (x[order] for x in (lang, w, v, n, g, left))
+        at = _runs(w)
+        word = np.union1d(c, w)
+        langs, own_g, before, once = np.zeros(len(word), np.uint32), np.zeros(len(word), np.float32), np.zeros(len(word), np.uint32), np.zeros(len(word), np.uint8)
+        k = np.searchsorted(word, c)
+        langs[k], own_g[k] = c_lang, log_g
+        k = np.searchsorted(word, w[at])
+        langs[k], before[k] = lang[at], np.diff(np.append(at, len(w)))
+        once[k] = (before[k] == 1) & (n[at] == 1)
+        return pd.DataFrame({"shard": [int(rows["shard"].iloc[0])], "data": [_pack(langs, _delta(word), own_g, before, once, v, g, left)]})
+
+    merged = rows.mapInPandas(spread, "shard int, data binary, split long").groupBy("shard").applyInPandas(merge, "shard int, data binary")
+    return saved(merged, "ngram-words", "none")
+
+
+class Weights:
+    """What does not follow the number of words: of each language discounts, masses, spelling; see the module's text."""
+
+    def __init__(self, known: Languages, counts: DataFrame, words_: DataFrame):
+        n_lang = len(known.names)
+
+        def sums(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for frame in frames:
+                for data in frame["data"]:
+                    lang, word, log_g, before, once = _unpack(data, *_WORDS)[:5]
+                    word = np.cumsum(word, dtype=np.uint64)
+                    lang, before = lang.astype(np.int64), before.astype(np.int64)
+                    inner = (word != known.end[lang]) & (word != known.start[lang])
+                    rare = inner & (once > 0)
+                    first = np.flatnonzero(word == known.start[lang])
+                    # kinds: 0 to 31 words seen once by class, 100 distinct bigrams, 101 words, 200 and on words by the contexts before them
+                    for kind, own, value in (((word & np.uint64(_CLASSES - 1)).astype(np.int64), rare, np.ones(len(word))), (100, before > 0, before), (101, inner, np.ones(len(word))), (200 + np.minimum(before, 5), before > 0, np.ones(len(word)))):
+                        kind = np.broadcast_to(kind, len(word))
+                        yield pd.DataFrame({"lang": lang[own], "kind": kind[own], "value": value[own].astype(float)}).groupby(["lang", "kind"], as_index=False).sum()
+                    yield pd.DataFrame({"lang": lang[first], "kind": np.full(len(first), 300), "value": log_g[first].astype(float)})
+
+        table = np.zeros((n_lang, 301))
+        for lang, kind, value in words_.select("data").mapInPandas(sums, "lang long, kind long, value double").groupBy("lang", "kind").agg(F.sum("value")).collect():
+            table[lang, kind] = value
+        self.all_, size, level = np.maximum(table[:, 100], 1), _RESERVED + table[:, 101], table[:, 200:206]
+        self.log_start = table[:, 300]
+        self.discounts = np.array([discounts(x[1:5]) for x in level]).reshape(-1, 3)
+        taken = level[:, 1] * self.discounts[:, 0] + level[:, 2] * self.discounts[:, 1] + level[:, 3:].sum(axis=1) * self.discounts[:, 2]
+        unseen = table[:, :_CLASSES] / self.all_[:, None]
+        self.rest = 1 - unseen.sum(axis=1)
+        self.floor = np.where(table[:, 100] > 0, taken / self.all_, 1) / size
+        self.log_class = np.log(self.rest[:, None] * self.floor[:, None] + unseen)
+        letters = np.zeros(n_lang * _PAIRS)
+        for row in counts.filter("shard < 0").select("data").collect():
+            at, n = _unpack(bytes(row["data"]), "<i8", "<i8")
+            letters[at] = n
+        letters = letters.reshape(n_lang, 257, 257)
+        single = (letters.sum(axis=1) + 1) / (letters.sum(axis=(1, 2)) + 257)[:, None]
+        self.spelling = np.rint(np.log((letters + 16 * single[:, None]) / (letters.sum(axis=2) + 16)[:, :, None]) * _UNIT).astype(np.int64).reshape(n_lang, _PAIRS)
+
+    def unigrams(self, lang: np.ndarray, before: np.ndarray) -> np.ndarray:
+        """log u of each seen word."""
+        cut = np.where(before > 0, self.discounts[lang, np.clip(before, 1, 3) - 1], 0)
+        return np.log(self.rest[lang] * (np.maximum(before - cut, 0) / self.all_[lang] + self.floor[lang]))
+
+    def model(self, data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Words with their log g + log u, and keys of bigrams with their corrections, of one shard; both sorted."""
+        lang, word, log_g, before, _, v, g, left = _unpack(data, *_WORDS)
+        word, before = np.cumsum(word, dtype=np.uint64), before.astype(np.int64)
+        log_u = self.unigrams(lang, before)
+        low = np.repeat(log_u, before) + g
+        key = _bigram_key(np.repeat(word, before), v)
+        order = np.argsort(key)
+        return word, log_u + log_g, key[order], (np.logaddexp(left, low) - low)[order]
+
+    def unseen(self, lang: np.ndarray, h: np.ndarray, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """log u of each word as if it had never been seen."""
+        return (self.log_class[lang, (h & np.uint64(_CLASSES - 1)).astype(np.int64)] + _spelling(self.spelling, lang, data, start, end)).astype(np.float32)
+
+
+def log_scores(docs: DataFrame, words_: DataFrame, known: Languages, sent_weights) -> DataFrame:
     """The input's columns but the text, n_words and score: the natural log probability of each document (null without a model)."""
     names = [c for c in docs.columns if c != "text"]
     info = docs.select(*names).schema
     groups = max(1, -(-partitions(docs.sparkSession) // SHARDS))
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, weights = sent_vocabulary.value, sent_weights.value
+        weights = sent_weights.value
         block = TaskContext.get().partitionId() << 32
         held: list[tuple] = []
         table: list[pa.RecordBatch] = []
@@ -303,20 +372,20 @@ def log_scores(docs: DataFrame, counts: DataFrame, sent_vocabulary, sent_weights
 
         def flush() -> pa.RecordBatch:
             nonlocal block, held, table, n_rows, n_words
-            doc, key = np.concatenate([x[0] for x in held]), np.concatenate([x[1] for x in held])
-            base, sizes = np.concatenate([x[2] for x in held]), np.concatenate([x[3] for x in held])
-            unique, back = np.unique(key, return_inverse=True)
+            doc, v, w, none, base, sizes = (np.concatenate([x[c] for x in held]) for c in range(6))
+            (word, some, at_w), (context, at_v) = np.unique(w, return_index=True, return_inverse=True), np.unique(v, return_inverse=True)
+            unique, back = np.unique(at_w * np.int64(len(context)) + at_v, return_inverse=True)
             pair, tf = np.unique(back.astype(np.int64) * n_rows + doc, return_counts=True)
-            at, doc = pair // n_rows, (pair % n_rows).astype(np.uint16)
-            tf = tf.astype(np.uint32)
-            per_key = np.bincount(at, minlength=len(unique))
-            shard = _shard_of(unique)
-            out = []
+            at, doc, tf = pair // n_rows, (pair % n_rows).astype(np.uint16), tf.astype(np.uint32)
+            per_key, of_key = np.bincount(at, minlength=len(unique)), unique // max(len(context), 1)
+            per_word, seen_as = np.bincount(of_key, minlength=len(word)), context[unique % max(len(context), 1)] >> _CONTEXT_BITS
+            shard, out = _shard_of(word), []
             for s in range(SHARDS):
-                own = np.flatnonzero(shard == s)
-                if len(own):
-                    entries = np.flatnonzero((shard == s)[at])
-                    out.append((s, block, False, _pack(_delta(unique[own]), per_key[own].astype(np.uint32), doc[entries], tf[entries])))
+                own = shard == s
+                if own.any():
+                    keys = own[of_key]
+                    entries = keys[at]
+                    out.append((s, block, False, _pack(_delta(word[own]), none[some][own], per_word[own].astype(np.uint32), seen_as[keys], per_key[keys].astype(np.uint32), doc[entries], tf[entries])))
             sink = pa.BufferOutputStream()
             with pa.ipc.new_stream(sink, table[0].schema) as writer:
                 for t in table:
@@ -329,22 +398,26 @@ def log_scores(docs: DataFrame, counts: DataFrame, sent_vocabulary, sent_weights
             return pa.record_batch([pa.array(cols[0], pa.int32()), pa.array([group] * len(out), pa.int32()), pa.array(cols[1], pa.int64()), pa.array(cols[2]), pa.array(cols[3], pa.binary())], names=["shard", "part", "block", "info", "data"])
 
         for batch in batches:
-            langs = _lang_index(batch.column(batch.schema.get_field_index("lang")), vocabulary.languages)
-            for first, last, row, lang, ids in _read(batch.column(batch.schema.get_field_index("text")), langs, vocabulary):
+            langs = _lang_index(batch.column(batch.schema.get_field_index("lang")), known.names)
+            for first, last, row, h, data, start, end in _read(batch.column(batch.schema.get_field_index("text")), langs, known):
+                sizes, lang = np.bincount(row, minlength=last - first), langs[first:last][row]
+                own = lang >= 0
+                row, lang, h, start, end = (x[own] for x in (row, lang, h, start, end))
+                none = weights.unseen(lang, h, data, start, end) if len(row) else np.zeros(0, np.float32)
                 for a in range(first, last, _BLOCK_ROWS):
                     b = min(last, a + _BLOCK_ROWS)
                     inside = (row >= a - first) & (row < b - first)
-                    rows, v, w = _bigrams(row[inside] - (a - first), ids[inside])
-                    own = langs[a:b][rows]
-                    base = np.zeros(b - a)
-                    for k in range(len(vocabulary.languages)):
-                        sel = own == k
-                        base += np.bincount(rows[sel], weights=weights.log_g[k][v[sel]] + weights.log_u[k][w[sel]], minlength=b - a)
-                    base[langs[a:b] < 0] = np.nan
+                    rows, _, v, w = _bigrams(row[inside] - (a - first), lang[inside], h[inside], known)
+                    # a row's bigrams are its words and then its end, which is never unseen
+                    spare = np.zeros(len(rows), np.float32)
+                    spare[np.append(rows[1:] == rows[:-1], False) if len(rows) else []] = none[inside]
+                    has = sizes[a - first : b - first] > 0
+                    base = np.full(b - a, np.nan)
+                    known_ = langs[a:b] >= 0
+                    base[known_] = np.where(has[known_], weights.log_start[langs[a:b][known_]], 0.0)
                     if n_rows + b - a > _BLOCK_ROWS:
                         yield flush()
-                    sel = own >= 0
-                    held.append((rows[sel] + n_rows, _keys(own, v, w)[sel], base, np.bincount(row[inside] - (a - first), minlength=b - a)))
+                    held.append((rows + n_rows, v, w, spare, base, sizes[a - first : b - first]))
                     table.append(batch.slice(a, b - a).select(names))
                     n_rows += b - a
                     n_words += len(rows)
@@ -355,27 +428,29 @@ def log_scores(docs: DataFrame, counts: DataFrame, sent_vocabulary, sent_weights
 
     def join(model: pd.DataFrame, blocks: pd.DataFrame) -> pd.DataFrame:
         if len(model):
-            keys, n = _unpack(model["data"].iloc[0], "<u8", "<u4")
-            keys = np.cumsum(keys, dtype=np.uint64)
-            value = sent_weights.value.corrections(keys, n)
+            words_, weight, keys, value = sent_weights.value.model(model["data"].iloc[0])
         else:
-            keys, value = np.zeros(0, np.uint64), np.zeros(0)
+            words_, keys = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+            weight, value = np.zeros(0), np.zeros(0)
+
+        def found(table: np.ndarray, values: np.ndarray, wanted: np.ndarray, other: np.ndarray) -> np.ndarray:
+            if not len(table):
+                return other
+            at = np.minimum(np.searchsorted(table, wanted), len(table) - 1)
+            return np.where(table[at] == wanted, values[at], other)
+
         out = []
         for block, info_, data in zip(blocks["block"], blocks["info"], blocks["data"], strict=True):
             if info_:
                 out.append((block, True, data))
                 continue
-            own, per_key, doc, tf = _unpack(data, "<u8", "<u4", "<u2", "<u4")
-            own = np.cumsum(own, dtype=np.uint64)
-            at = np.searchsorted(keys, own)
-            hit = at < len(keys)
-            hit[hit] = keys[at[hit]] == own[hit]
-            each = np.repeat(np.where(hit, value[np.minimum(at, max(len(keys) - 1, 0))] if len(keys) else 0.0, 0.0), per_key)
-            use = np.flatnonzero(each)
-            if len(use):
-                total = np.bincount(doc[use], weights=each[use] * tf[use])
-                seen = np.flatnonzero(total)
-                out.append((block, False, _pack(seen.astype(np.uint16), total[seen].astype(np.float32))))
+            word, none, per_word, context, per_key, doc, tf = _unpack(data, "<u8", "<f4", "<u4", "<u8", "<u4", "<u2", "<u4")
+            word = np.cumsum(word, dtype=np.uint64)
+            each = np.repeat(found(words_, weight, word, none.astype(float)), per_word)
+            each = each + found(keys, value, _bigram_key(np.repeat(word, per_word), context), np.zeros(len(context)))
+            total = np.bincount(doc, weights=np.repeat(each, per_key) * tf)
+            seen = np.unique(doc)
+            out.append((block, False, _pack(seen.astype(np.uint16), total[seen].astype(np.float32))))
         return pd.DataFrame(out, columns=["block", "info", "data"])
 
     def collect(rows: pd.DataFrame) -> pd.DataFrame:
@@ -391,13 +466,13 @@ def log_scores(docs: DataFrame, counts: DataFrame, sent_vocabulary, sent_weights
         return frame.assign(n_words=n.astype(np.int64), score=np.where(np.isnan(score) | (n == 0), None, score))
 
     rows = docs.mapInArrow(emit, "shard int, part int, block long, info boolean, data binary")
-    model = counts.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(groups - 1)))).select("shard", "part", "data")
+    model = words_.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(groups - 1)))).select("shard", "part", "data")
     joined = model.groupBy("shard", "part").cogroup(rows.groupBy("shard", "part")).applyInPandas(join, "block long, info boolean, data binary")
     schema = info.add("n_words", "long").add("score", "double")
     return joined.groupBy("block").applyInPandas(collect, schema)
 
 
-def quality(docs: DataFrame, labels: DataFrame, *, vocabulary: int = 50_000, quantile: float = 0.99, least_documents: int = 50, broadcast_labels: int = 5_000_000) -> DataFrame:
+def quality(docs: DataFrame, labels: DataFrame, *, quantile: float = 0.99, least_documents: int = 50, broadcast_labels: int = 5_000_000) -> DataFrame:
     """doc_id, lang, n_words, perplexity, threshold, kept for each row of ``docs`` (doc_id, text, lang).
 
     The threshold is the ``quantile`` of the perplexities of the trusted documents held back, by
@@ -413,11 +488,12 @@ def quality(docs: DataFrame, labels: DataFrame, *, vocabulary: int = 50_000, qua
     marked = docs.select("doc_id", F.coalesce("lang", F.lit("")).alias("lang"), "text").join(trusted, "doc_id", "left")
     held = F.pmod(F.xxhash64("doc_id"), F.lit(_HELD_BACK)) == 0
     marked = marked.select("doc_id", "lang", "text", F.when(F.col("trusted"), F.when(held, 2).otherwise(1)).otherwise(0).alias("role"))
-    words_ = vocabulary_of(marked.filter("role > 0"), vocabulary)
-    sent = spark.sparkContext.broadcast(words_)
-    counts = count_shards(marked.filter("role = 1"), sent)
-    weights = spark.sparkContext.broadcast(weights_of(counts, words_))
-    scored = saved(log_scores(marked, counts, sent, weights).withColumn("perplexity", F.exp(-F.col("score") / (F.col("n_words") + 1))).drop("score"), "ngram-scores")
+    training = marked.filter("role = 1")
+    known = Languages(sorted(r["lang"] for r in training.select("lang").distinct().collect()))
+    counts = count_shards(training, known)
+    words_ = word_shards(counts, known)
+    weights = spark.sparkContext.broadcast(Weights(known, counts, words_))
+    scored = saved(log_scores(marked, words_, known, weights).withColumn("perplexity", F.exp(-F.col("score") / (F.col("n_words") + 1))).drop("score"), "ngram-scores")
     scored = scored.withColumn("length", F.floor(F.log2(F.greatest("n_words", F.lit(1))) / 2).cast("int"))
     set_by = scored.filter("role = 2 and perplexity is not null")
     levels = {}

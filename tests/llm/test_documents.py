@@ -249,6 +249,20 @@ def test_quality_counts_every_repeat_of_a_bigram(spark):
     assert out[61].perplexity == pytest.approx(out[60].perplexity, rel=1e-3)
 
 
+def test_quality_counts_words_seen_once_and_spells_unseen_ones(spark):
+    rng = np.random.default_rng(2)
+    letters = lambda n: "".join(rng.choice(list("aeiounrst"), n))
+    texts = [" ".join([*rng.choice(["red", "green", "blue", "pink"], 12), letters(6)]) for _ in range(200)]
+    known = next(k for k in range(200) if k not in {r.doc_id for r in documents(spark, texts).filter(F.pmod(F.xxhash64("doc_id"), F.lit(5)) == 0).collect()})
+    once = texts[known].split()[-1]
+    texts += [f"red {w} green" for w in (once, "ratoine", "qzxkvwj")] + ["qzxkvwj " * 13]
+    labels = spark.createDataFrame([(k, 1, 0) for k in range(200)], "doc_id long, quality int, toxic int")
+    out = {r.doc_id: r for r in ngram.quality(documents(spark, texts), labels, least_documents=1).collect()}
+    assert 2 * out[200].perplexity < out[201].perplexity
+    assert 2 * out[201].perplexity < out[202].perplexity
+    assert not out[203].kept
+
+
 def test_audio_round_trip(spark):
     out = audio.describe_audio(audio.store_text_audio(documents(spark, ODD))).orderBy("doc_id").collect()
     for r, t in zip(out, ODD, strict=True):
