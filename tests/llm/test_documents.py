@@ -274,6 +274,16 @@ def test_audio_round_trip(spark):
     assert out[4].feature == out[5].feature and out[0].feature == out[1].feature
 
 
+def test_stored_pcm_is_the_whole_recording(spark):
+    text = "whole recording, every sample. " * 9
+    stored = audio.store_text_audio(documents(spark, [text]))
+    payload = text.encode().ljust(320, b"\0")
+    pcm = np.frombuffer(bytes(stored.first()["pcm"]), "<i2")
+    assert np.array_equal(pcm, audio.TABLES[audio.MULAW][np.frombuffer(payload, np.uint8)])
+    assert audio.describe_audio(stored).first()["feature"] == audio.features(pcm, 8000)
+    assert audio.resample(np.array([8, 8, 8, 8, 3, 4], np.int16), 8000, 2000, rest=True).tolist() == [8, 3]
+
+
 def test_companding_tables():
     mu, a = audio.TABLES[audio.MULAW], audio.TABLES[audio.ALAW]
     assert (mu[0xFF], mu[0x7F], mu[0x80], mu[0x00]) == (0, 0, 32124, -32124)
