@@ -7,8 +7,8 @@ times per-page random numbers, so classes come from one aggregation, however man
 host has. A class is valid if it has at least ``class_size`` tokens, one of them a tag, and
 occurs in ``support`` of the host's pages. Valid classes nest by their tokens' paths and make up the
 template; blocks of text whose segments all lie in valid classes belong to it. What varies between template tokens
-are the slots; the main one is found by walking down the template from the body, as long as
-one child holds most of the slots' text.
+are the slots; the main one is found by walking down the tree, from the article or main where one marks most of the
+text, as long as one child holds all varying text outside parts marked by their names as asides.
 
 Defined results: a null or empty page, and one without text, gives an empty text; a null url or one
 without host belongs to the host ``""``; hosts with fewer than ``least_pages`` pages have no template and
@@ -50,7 +50,7 @@ _HOST = re.compile(r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)")
 _WORD = re.compile(r"[a-z]+|[A-Z][a-z]*")
 _MASK = (1 << 31) - 1
 
-STATS = "host string, kind string, key long, parent long, leaf boolean, v1 long, v2 long, pages long, chars long"
+STATS = "host string, kind string, key long, parent long, leaf boolean, article boolean, v1 long, v2 long, pages long, chars long"
 
 
 def host_of(url: str | None) -> str:
@@ -154,28 +154,30 @@ def token_statistics(pages: DataFrame) -> DataFrame:
             for page_id, url, page in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
                 host, (r1, r2) = host_of(url), _page_numbers(page_id)
                 own: dict[tuple, list] = defaultdict(lambda: [0, 0])
-                own["page", 0, 0, False][0] = 1
+                own["page", 0, 0, False, False][0] = 1
                 for kind, stack, what in walk(page or ""):
                     if kind == "tag":
                         top = stack[-1]
-                        own["tag", top.key, stack[-2].key if len(stack) > 1 else 0, top.name in LEAF][0] += 1
+                        own["tag", top.key, stack[-2].key if len(stack) > 1 else 0, top.name in LEAF, _outermost(stack, len(stack) - 1)][0] += 1
                     elif kind == "text":
-                        own["text", _segment_key(stack, what), 0, False][0] += 1
+                        segment = own["text", _segment_key(stack, what), stack[-1].key if stack else 0, False, False]
+                        segment[0] += 1
                         if stack and not stack[-1].never and not stack[-1].aside:
+                            segment[1] += len(what)
                             for k, x in enumerate(stack):
-                                own["tag", x.key, stack[k - 1].key if k else 0, x.name in LEAF][1] += len(what)
+                                own["tag", x.key, stack[k - 1].key if k else 0, x.name in LEAF, _outermost(stack, k)][1] += len(what)
                 for key, (n, chars) in own.items():
                     row = total.setdefault((host, *key), [0, 0, 0, 0])
                     row[0] += n * r1
                     row[1] += n * r2
                     row[2] += 1
                     row[3] += chars
-            keys, sums = list(zip(*total, strict=True)) or [()] * 5, list(zip(*total.values(), strict=True)) or [()] * 4
-            kinds = (pa.string(), pa.string(), pa.int64(), pa.int64(), pa.bool_(), *[pa.int64()] * 4)
+            keys, sums = list(zip(*total, strict=True)) or [()] * 6, list(zip(*total.values(), strict=True)) or [()] * 4
+            kinds = (pa.string(), pa.string(), pa.int64(), pa.int64(), pa.bool_(), pa.bool_(), *[pa.int64()] * 4)
             yield pa.record_batch([pa.array(c, t) for c, t in zip([*keys, *sums], kinds, strict=True)], names=[x.split()[0] for x in STATS.split(", ")])
 
     rows = pages.select("page_id", "url", "html").mapInArrow(count, STATS)
-    return rows.groupBy("host", "kind", "key").agg(F.first("parent").alias("parent"), F.first("leaf").alias("leaf"), *[F.sum(c).alias(c) for c in ("v1", "v2", "pages", "chars")])
+    return rows.groupBy("host", "kind", "key").agg(F.first("parent").alias("parent"), F.first("leaf").alias("leaf"), F.first("article").alias("article"), *[F.sum(c).alias(c) for c in ("v1", "v2", "pages", "chars")])
 
 
 def templates(pages: DataFrame, *, support: float = 0.5, class_size: int = 3, least_pages: int = 5) -> DataFrame:
@@ -192,22 +194,42 @@ def templates(pages: DataFrame, *, support: float = 0.5, class_size: int = 3, le
         classes = host_rows.groupby(["v1", "v2", "pages"])
         valid = host_rows[(classes["key"].transform("size") >= class_size) & (host_rows["kind"] == "tag").groupby([host_rows[c] for c in ("v1", "v2", "pages")]).transform("any")]
         tags = valid[valid["kind"] == "tag"]
-        boiler = sorted(valid.loc[valid["kind"] == "text", "key"].tolist())
+        fixed = valid[valid["kind"] == "text"]
+        boiler = sorted(fixed["key"].tolist())
         loose = host_rows[(host_rows["kind"] == "tag") & ~host_rows["key"].isin(tags["key"])]
-        return pd.DataFrame({"host": [host_rows["host"].iloc[0]], "main": [main_slot(pd.concat([tags, loose]))], "boiler": [boiler]})
+        return pd.DataFrame({"host": [host_rows["host"].iloc[0]], "main": [main_slot(_varying(pd.concat([tags, loose]), fixed))], "boiler": [boiler]})
 
     return common.groupBy("host").applyInPandas(deduce, "host string, main long, boiler array<long>")
 
 
+def _outermost(stack: list[_Open], k: int) -> bool:
+    """Whether an open element is an article or main that stands in no other."""
+    return stack[k].name in ARTICLE and not (k and stack[k - 1].article)
+
+
+def _varying(tags: pd.DataFrame, fixed: pd.DataFrame) -> pd.DataFrame:
+    """``tags`` without the text of template segments, in their own elements and all above."""
+    above, less = dict(zip(tags["key"], tags["parent"], strict=True)), defaultdict(int)
+    for key, chars in zip(fixed["parent"], fixed["chars"], strict=True):
+        while key in above:
+            less[key] += chars
+            key = above[key]
+    return tags.assign(chars=[c - less[k] for k, c in zip(tags["key"], tags["chars"], strict=True)])
+
+
 def main_slot(tags: pd.DataFrame, share: float = 0.75) -> int:
-    """Walks down from the root while one child, not itself a block of text, holds ``share`` of the text; 0 for the root."""
-    children = defaultdict(list)
-    for key, parent, leaf, chars in zip(tags["key"], tags["parent"], tags["leaf"], tags["chars"], strict=True):
+    """The article or main, if its name marks ``share`` of the text, or else the root (0); from there down while one child, not itself a block of text, holds all of it."""
+    children, marked = defaultdict(list), []
+    for key, parent, leaf, article, chars in zip(tags["key"], tags["parent"], tags["leaf"], tags["article"], tags["chars"], strict=True):
         children[parent].append((chars, key, leaf))
+        if article:
+            marked.append((chars, key))
     at, held = 0, sum(c for c, _, _ in children[0])
+    if marked and max(marked)[0] >= max(1, share * held):
+        held, at = max(marked)
     while children[at]:
         chars, key, leaf = max(children[at])
-        if leaf or chars <= 0 or chars < share * held:
+        if leaf or chars <= 0 or chars < held:
             break
         at, held = key, chars
     return int(at)
@@ -248,8 +270,8 @@ def _own_main(page: str) -> int:
     for kind, stack, what in walk(page):
         if kind == "text" and stack and not stack[-1].never and not stack[-1].aside:
             for k, x in enumerate(stack):
-                rows.setdefault(x.key, [stack[k - 1].key if k else 0, x.name in LEAF, 0])[2] += len(what)
-    return main_slot(pd.DataFrame([(k, *v) for k, v in rows.items()], columns=["key", "parent", "leaf", "chars"]))
+                rows.setdefault(x.key, [stack[k - 1].key if k else 0, x.name in LEAF, _outermost(stack, k), 0])[3] += len(what)
+    return main_slot(pd.DataFrame([(k, *v) for k, v in rows.items()], columns=["key", "parent", "leaf", "article", "chars"]))
 
 
 def extract(pages: DataFrame, *, broadcast_tokens: int = 1_000_000, **options) -> DataFrame:

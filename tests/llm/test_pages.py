@@ -30,6 +30,16 @@ def test_articles_without_the_rest(spark):
     assert (out[50].text, out[51].text, out[52].text) == ("", "", "just words é")
 
 
+def test_headline_and_lead_beside_the_body_stay(spark):
+    body = "".join(f"<p>Body {{k}} paragraph {x} is long enough to hold most of the text.</p>" for x in range(9))
+    for top, bottom in (("<article>", "</article>"), ('<div class="story">', "</div>")):
+        page = f'<html><body><nav>Home</nav><div class="sidebar">Popular {{k}}</div>{top}<h1>Title {{k}}</h1><p>Lead {{k}}.</p><div class="body">{body}</div><div class="more"><p>Sequel {{k}}.</p></div>{bottom}<footer>&copy; site</footer></body></html>'
+        rows = [(k, f"http://h.example/{k}", page.format(k=k)) for k in range(8)] + [(50, "http://one.example", page.format(k=50))]
+        for r in html.extract(page_table(spark, rows)).collect():
+            blocks = r.text.split("\n\n")
+            assert blocks[:2] == [f"Title {r.page_id}", f"Lead {r.page_id}."] and blocks[-1] == f"Sequel {r.page_id}." and len(blocks) == 12
+
+
 def test_joined_templates_give_the_same(spark):
     rows = [(k, f"http://h.example/{k}", PAGE.format(k=k)) for k in range(6)]
     by = lambda n: sorted((r.page_id, r.text) for r in html.extract(page_table(spark, rows), broadcast_tokens=n).collect())
