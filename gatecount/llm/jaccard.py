@@ -168,7 +168,7 @@ def shared_lists(sets: DataFrame) -> DataFrame:
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         h = k = np.zeros(0, np.int64)
-        gone = 0  # blocks of the first run that are out already
+        gone, last = 0, None  # blocks of the first run that are out already, with its name and last key
 
         def close(name: int, keys: np.ndarray, block: int, final: bool) -> tuple[list, int]:
             """Blocks of a run; of a run that goes on, full ones only. Also how many keys went out."""
@@ -189,7 +189,12 @@ def shared_lists(sets: DataFrame) -> DataFrame:
             if not len(h):
                 continue
             new = np.append(True, (h[1:] != h[:-1]) | (k[1:] != k[:-1]))
+            new[0] = (h[0], k[0]) != last
             h, k = h[new], k[new]
+            if not len(h):
+                continue
+            if gone and h[0] != last[0]:
+                gone = 0
             cut = np.flatnonzero(np.append(True, h[1:] != h[:-1]))
             ends = np.append(cut[1:], len(h))
             many = ends - cut > 1
@@ -204,9 +209,9 @@ def shared_lists(sets: DataFrame) -> DataFrame:
                 rows += blocks
                 if not final:
                     rest, gone = cut[run] + used, before + len(blocks)
+                    if used:
+                        last = (h[rest - 1], k[rest - 1])
             h, k = h[rest:], k[rest:]
-            if batch is None or not len(h):
-                gone = gone if len(h) else 0
             if rows:
                 yield as_lists(rows)
 

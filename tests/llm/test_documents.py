@@ -77,6 +77,21 @@ def test_jaccard_in_small_blocks(spark, monkeypatch):
     assert sorted(map(tuple, got)) == sorted(components(texts, ids))
 
 
+def test_long_lists_that_end_with_a_batch(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "_BLOCK", 4)
+    sets = spark.createDataFrame([(k, [7]) for k in range(30)] + [(k, [9]) for k in range(100, 103)], "key long, prefix array<long>")
+    size = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "8")
+    try:
+        rows = jaccard.shared_lists(sets).collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+    long = [r for r in rows if r.list == 7]
+    assert sorted(r.block for r in long) == list(range(8))
+    assert sorted(k for r in long for k in r.keys) == list(range(30))
+    assert [list(r.keys) for r in rows if r.list != 7] == [[100, 101, 102]]
+
+
 def test_tree_pairs_lose_nothing():
     rng = np.random.default_rng(0)
     sets = [set(rng.choice(3000, rng.integers(20, 200), replace=False).tolist()) for _ in range(40)]
