@@ -1,17 +1,23 @@
-"""Quality by an interpolated modified Kneser-Ney bigram model of trusted text.
+"""Quality by an interpolated modified Kneser-Ney n-gram model of trusted text.
 
-Counts come from all trusted documents but a fifth, which is held back to set thresholds.
-Every word and bigram counts, by hash: a word's hash holds its language and its shape class (case, digits,
-symbols, last mark) in the lowest five bits. Nothing held by the driver or by a task's broadcast follows the
-number of words. The log probability of a bigram is its context's back-off weight and its word's
-unigram weight, and, if the bigram was seen, a correction:
+Counts come from all trusted documents but a fifth, which is held back to set thresholds. Every word
+and n-gram counts, by hash: a word's hash holds its language and, in the lowest five bits, its shape class
+(case, digits, symbols, last mark). Nothing that the driver or a broadcast holds follows the number of words.
 
-    log p(w | v) = log g(v) + log u(w) + d(v, w)
+The log probability of a word is a sum over the orders k of its n-gram, each term a weight of one k-gram:
 
-A word never seen has the mass of words seen once in its class (as a share of the distinct bigrams) times the
-probability of its spelling under a byte bigram model, so that the model is closed. A document's score
-is a sum over its bigrams, which comes from joining the documents' distinct bigrams with shards of the model by word
-hash. Documents' bigrams travel as compressed blocks: words, contexts, documents within the block, counts.
+    log p(w | c) = log u(w) + sum over k of log g_k(c_k) [c_k seen] + d_k(c_k, w) [c_k w seen]
+
+u is the unigram part, g_k a context's back-off weight and d_k what a seen k-gram adds; log g_k goes
+with the (k-1)-gram that the context is. Texts are padded with borders, and orders below the highest count
+the distinct words before a gram. A word never seen has the mass of words seen once in its class (as a share of the
+distinct bigrams) times the probability of its spelling under a byte bigram model, so that the model is closed.
+
+The model lies in shards by last word, nested: words, under each the nearest words before it, under those the ones
+before. A document's n-grams travel to the shards in the same form, as compressed blocks of some
+thousands of documents, with lists of documents at the last level only; each shard adds up what its grams
+give each document. Words have 40 hashed bits; under a gram the next word back is told by 32 bits, further ones by 24.
+Logarithms of the model are kept in steps of 1/1024. How many shards there are follows the training text.
 
 Defined results: a document without words has no perplexity and is not kept; one in a language
 without a model has no perplexity and is kept; a null language is the language ``""``; a document is trusted
@@ -28,21 +34,23 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .scratch import bounded_batches, partitions, saved
-from .text import mix, pieces, span_hashes, words
+from .scratch import bounded_batches, discard, partitions, saved
+from .text import mix, pieces, ragged, span_hashes, words
 
-SHARDS = 32
-_BLOCK_WORDS, _BLOCK_ROWS, _HELD_WORDS = 1_500_000, 1 << 15, 4_000_000
-_CLASSES, _RESERVED = 32, 34  # number of shape classes; classes and text borders
+_LEAST_SHARDS, _SHARD_BYTES = 32, 16 << 20  # bytes of training text that make a shard
+_BLOCK_WORDS, _BLOCK_ROWS, _HELD_WORDS = 3_000_000, 1 << 15, 4_000_000
+_CLASSES, _CLASS_BITS, _RESERVED = 32, 5, 34  # shape classes; classes and text borders
+_WORD_BITS = 45  # of a word's hash, with its class
+_MARK_BITS = (32, 24)  # that tell the nearest word before a gram, and any further one
 _PAIRS, _UNIT = 257 * 257, 1 << 16  # byte pairs with a border; parts of a natural logarithm in spelling tables
-_CONTEXT_BITS = np.uint64(16)  # low bits of a context's hash left out beside its word's whole hash
+_STEP, _NONE = 1024, -(1 << 15)  # parts of a natural logarithm in the model; a gram that is no more than a context
+_NEW_STEP = 256  # parts of a natural logarithm in what a block says of words as if unseen
 _HELD_BACK = 5
 _zstd = pa.Codec("zstd", 3)
 
-
 def _pack(*arrays: np.ndarray) -> bytes:
     """Arrays as byte planes, compressed: high bytes of small numbers take no room."""
     parts = []
@@ -64,10 +72,6 @@ def _unpack(data: bytes, *kinds: str) -> list[np.ndarray]:
     return out
 
 
-def _delta(keys: np.ndarray) -> np.ndarray:
-    return np.diff(keys, prepend=np.uint64(0))
-
-
 def _shapes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """A class from 0 to 31 of each word: starts upper, has lower, has digit, has symbol, ends in a mark."""
 
@@ -85,6 +89,11 @@ def _shapes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     return first + 2 * any_of(lower) + 4 * any_of(digit) + 8 * (any_of(symbol) | any_of(doubled & mark)) + 16 * mark[end - 1]
 
 
+def _shortened(x: np.ndarray) -> np.ndarray:
+    """40 mixed bits above five empty ones."""
+    return (mix(x) >> np.uint64(64 - _WORD_BITS)) & ~np.uint64(_CLASSES - 1)
+
+
 @dataclass
 class Languages:
     """Names in order, with the hashes of the text borders of each."""
@@ -93,7 +102,7 @@ class Languages:
 
     def __post_init__(self) -> None:
         self.salt = mix(np.arange(1, len(self.names) + 1, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93))
-        self.start, self.end = (mix(self.salt + np.uint64(k)) & ~np.uint64(_CLASSES - 1) for k in (1, 2))
+        self.start, self.end = (_shortened(self.salt + np.uint64(k)) for k in (1, 2))
 
 
 def _read(texts: pa.Array, langs: np.ndarray, known: Languages) -> Iterator[tuple]:
@@ -103,7 +112,7 @@ def _read(texts: pa.Array, langs: np.ndarray, known: Languages) -> Iterator[tupl
         lang = langs[first:last][row]
         h = np.zeros(len(row), np.uint64)
         if len(row) and len(known.names):
-            h = (mix(span_hashes(data, start, end) ^ known.salt[lang]) & ~np.uint64(_CLASSES - 1)) | _shapes(data, start, end).astype(np.uint64)
+            h = _shortened(span_hashes(data, start, end) ^ known.salt[lang]) | _shapes(data, start, end).astype(np.uint64)
         yield first, last, row, h, data, start, end
 
 
@@ -125,56 +134,171 @@ def _spelling(table: np.ndarray, lang: np.ndarray, data: np.ndarray, start: np.n
     return out
 
 
-def _bigrams(row: np.ndarray, lang: np.ndarray, h: np.ndarray, known: Languages) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(row, language, context, word) of each bigram, with a border before and after each row's words."""
-    if not len(row):
-        return row, lang, h, h
-    begins = np.flatnonzero(np.diff(row, prepend=-1))
-    rows, langs = np.insert(row, begins, row[begins]), np.insert(lang, begins, lang[begins])
-    context = np.insert(h, begins, known.start[lang[begins]])
-    ends = np.append(np.flatnonzero(np.diff(rows)), len(rows) - 1)
-    word = np.append(context[1:], context[:1])
-    word[ends] = known.end[langs[ends]]
-    return rows, langs, context, word
+def _lang_index(column: pa.Array, languages: list[str]) -> np.ndarray:
+    place = {x: k for k, x in enumerate(languages)}
+    return np.array([place.get(x or "", -1) for x in column.to_pylist()], np.int64)
 
 
-def _bigram_key(word: np.ndarray, context: np.ndarray) -> np.ndarray:
-    return mix(word ^ mix(context))
+def _mark_bits(level: int) -> int:
+    return _MARK_BITS[min(level, len(_MARK_BITS)) - 1]
 
 
-def _shard_of(keys: np.ndarray) -> np.ndarray:
-    return (mix(keys) % np.uint64(SHARDS)).astype(np.int64)
+def _mark(word: np.ndarray, level: int) -> np.ndarray:
+    """What tells the ``level``-th word before a gram from others in its place."""
+    return word >> np.uint64(_WORD_BITS - _mark_bits(level))
 
 
-def _lang_index(column: pa.Array, languages: list[str]) -> np.ndarray:
-    place = {x: k for k, x in enumerate(languages)}
-    return np.array([place.get(x or "", -1) for x in column.to_pylist()], np.int64)
+def _shard_of(word: np.ndarray, shards: int) -> np.ndarray:
+    """Rises with the hash, so that sorted words are sorted by shard."""
+    return ((word >> np.uint64(_CLASS_BITS)) * np.uint64(shards) >> np.uint64(_WORD_BITS - _CLASS_BITS)).astype(np.int64)
+
+
+def _starts(per: np.ndarray) -> np.ndarray:
+    return (np.cumsum(per) - per)[per > 0]
+
+
+def _steps(keys: np.ndarray, per: np.ndarray) -> np.ndarray:
+    """Rising keys under each parent as differences."""
+    out, at = np.diff(keys, prepend=np.uint64(0)), _starts(per)
+    out[at] = keys[at]
+    return out
 
 
-def _runs(*sorted_columns: np.ndarray) -> np.ndarray:
-    """Where a new value begins in columns sorted together."""
-    if not len(sorted_columns[0]):
-        return np.zeros(0, np.int64)
-    return np.flatnonzero(np.append(True, np.any([c[1:] != c[:-1] for c in sorted_columns], axis=0)))
+def _unsteps(steps: np.ndarray, per: np.ndarray) -> np.ndarray:
+    total, at = np.cumsum(steps, dtype=np.uint64), _starts(per)
+    return total - np.repeat(total[at] - steps[at], per[per > 0])
 
 
-def _counted(lang: np.ndarray, v: np.ndarray, w: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Distinct bigrams by context and word, with sums of counts."""
-    order = np.lexsort((w, v))
-    lang, v, w, n = lang[order], v[order], w[order], n[order]
-    at = _runs(v, w)
-    return lang[at], v[at], w[at], np.add.reduceat(n, at) if len(at) else n
+@dataclass
+class Nested:
+    """Distinct grams: sorted words; under each the marks of words before it; and so on.
 
+    ``per[k]`` tells how many keys of level k + 1 each key of level k has.
+    """
 
-_COUNTS = ("<u4", "<u8", "<u8", "<u4")
+    keys: list[np.ndarray]
+    per: list[np.ndarray]
+
+    @classmethod
+    def of(cls, columns: list[np.ndarray]) -> tuple[Nested, list[np.ndarray]]:
+        """From words and the words before them, nearest first; also each row's place at each level."""
+        keys, place = np.unique(columns[0], return_inverse=True)
+        out, places = cls([keys], []), [place]
+        for level, column in enumerate(columns[1:], 1):
+            both, place = np.unique((place.astype(np.uint64) << np.uint64(_mark_bits(level))) | _mark(column, level), return_inverse=True)
+            out.push(level, both)
+            places.append(place)
+        return out, places
+
+    def push(self, level: int, both: np.ndarray) -> None:
+        """Adds a level of sorted (place above, mark) pairs."""
+        bits = np.uint64(_mark_bits(level))
+        self.per.append(np.bincount((both >> bits).astype(np.int64), minlength=len(self.keys[-1])))
+        self.keys.append(both & np.uint64((1 << int(bits)) - 1))
+
+    def pairs(self, level: int, above: np.ndarray | None = None) -> np.ndarray:
+        """(place above, mark) of each key of a level; ``above`` are other places for those of the level above."""
+        at = np.arange(len(self.keys[level - 1]), dtype=np.uint64) if above is None else above.astype(np.uint64)
+        return (np.repeat(at, self.per[level - 1]) << np.uint64(_mark_bits(level))) | self.keys[level]
+
+    def parts(self, shards: int) -> list[list[slice]]:
+        """The stretch of each level that belongs to each shard."""
+        at = np.searchsorted(_shard_of(self.keys[0], shards), np.arange(shards + 1))
+        out = [at]
+        for per in self.per:
+            out.append(np.concatenate([[0], np.cumsum(per)])[out[-1]])
+        return [[slice(int(x[s]), int(x[s + 1])) for x in out] for s in range(shards)]
+
+    def packable(self, part: list[slice] | None = None) -> list[np.ndarray]:
+        part = part or [slice(None)] * len(self.keys)
+        keys = self.keys[0][part[0]]
+        out = [np.diff(keys, prepend=np.uint64(0))]
+        for level, per in enumerate(self.per, 1):
+            per, keys = per[part[level - 1]], self.keys[level][part[level]]
+            out += [per.astype(np.uint32), (_steps(keys, per) if level == 1 else keys).astype(np.uint32)]
+        return out
+
+    @classmethod
+    def unpacked(cls, arrays: list[np.ndarray]) -> Nested:
+        out = cls([np.cumsum(arrays[0], dtype=np.uint64)], [])
+        for level, (per, keys) in enumerate(zip(arrays[1::2], arrays[2::2], strict=True), 1):
+            per, keys = per.astype(np.int64), keys.astype(np.uint64)
+            out.per.append(per)
+            out.keys.append(_unsteps(keys, per) if level == 1 else keys)
+        return out
+
+    @staticmethod
+    def kinds(levels: int) -> list[str]:
+        return ["<u8", *["<u4", "<u4"] * (levels - 1)]
+
+
+def _grams(row: np.ndarray, lang: np.ndarray, h: np.ndarray, known: Languages, order: int) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """(row, language, [word, word before it, ...]) of each n-gram; rows have borders before and one after their words."""
+    if not len(row):
+        return row, lang, [h] * order
+    begins = np.flatnonzero(np.diff(row, prepend=-1))
+    n = np.diff(np.append(begins, len(row)))
+    first = np.cumsum(n + order) - (n + order)
+    run = np.repeat(known.start[lang[begins]], n + order)
+    run[np.repeat(first + order - 1, n) + ragged(n)] = h
+    run[first + n + order - 1] = known.end[lang[begins]]
+    at = np.repeat(first + order - 1, n + 1) + ragged(n + 1)
+    return np.repeat(row[begins], n + 1), np.repeat(lang[begins], n + 1), [run[at - k] for k in range(order)]
 
 
-def _pack_counts(lang: np.ndarray, v: np.ndarray, w: np.ndarray, n: np.ndarray) -> bytes:
-    return _pack(lang.astype(np.uint32), v, w, n.astype(np.uint32))
+def _fold(columns: list[np.ndarray], size: int) -> np.ndarray:
+    """One number for each row of small numbers, the same for equal rows and in their order."""
+    code = columns[0]
+    for column in columns[1:]:
+        code = np.unique(code.astype(np.int64) * size + column, return_inverse=True)[1]
+    return code
 
 
-def count_shards(training: DataFrame, known: Languages) -> DataFrame:
-    """shard, data: the distinct bigrams of (lang, text) and their counts, in shards by context; shard -1 has the counts of byte pairs."""
+@dataclass
+class Counts:
+    """Distinct n-grams in order, as places in a list of words: the words before, nearest first, and the word; how often each occurs."""
+
+    words: np.ndarray
+    langs: np.ndarray
+    columns: list[np.ndarray]
+    n: np.ndarray
+
+    @classmethod
+    def of(cls, words_: np.ndarray, langs: np.ndarray, columns: list[np.ndarray], n: np.ndarray | None) -> Counts:
+        size = max(len(words_), 1)
+        code = _fold(columns[:-1], size).astype(np.int64) * size + columns[-1]
+        _, first, back = np.unique(code, return_index=True, return_inverse=True)
+        total = np.bincount(back) if n is None else np.rint(np.bincount(back, weights=n)).astype(np.int64)
+        return cls(words_, langs, [c[first] for c in columns], total)
+
+    def pack(self, rows: slice = slice(None)) -> bytes:
+        own = [c[rows] for c in self.columns]
+        here = np.unique(np.concatenate(own))
+        return _pack(self.langs[here].astype(np.uint32), np.diff(self.words[here], prepend=np.uint64(0)), self.n[rows].astype(np.uint64), *[np.searchsorted(here, c).astype(np.uint32) for c in own])
+
+    @classmethod
+    def unpack(cls, data: bytes, order: int) -> Counts:
+        langs, steps, n, *columns = _unpack(data, "<u4", "<u8", "<u8", *["<u4"] * order)
+        return cls(np.cumsum(steps, dtype=np.uint64), langs.astype(np.int64), [c.astype(np.int64) for c in columns], n.astype(np.int64))
+
+    def levels(self) -> list[tuple[list[np.ndarray], np.ndarray, np.ndarray]]:
+        """(columns, counts, place of each n-gram) for each order from the highest to two; below it, a gram counts the words before it."""
+        out, place = [(self.columns, self.n, np.arange(len(self.n)))], np.arange(len(self.n))
+        while len(out[-1][0]) > 2:
+            columns = [*out[-1][0][:-2], out[-1][0][-1]]
+            _, first, back = np.unique(_fold(columns, max(len(self.words), 1)), return_index=True, return_inverse=True)
+            place = back[place]
+            out.append(([c[first] for c in columns], np.bincount(back), place))
+        return out
+
+    def contexts(self, columns: list[np.ndarray], n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(first row, place of each row, [sum, ones, twos, more]) of the contexts of grams."""
+        _, first, back = np.unique(_fold(columns[:-1], max(len(self.words), 1)), return_index=True, return_inverse=True)
+        return first, back, np.stack([np.bincount(back, weights=x, minlength=len(first)) for x in (n, n == 1, n == 2, n > 2)])
+
+
+def count_shards(training: DataFrame, known: Languages, order: int, shards: int) -> DataFrame:
+    """shard, data: the distinct n-grams of (lang, text) and their counts, in shards by the word before the last; shard -1 has the counts of byte pairs."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, size = [], 0
@@ -184,10 +308,11 @@ def count_shards(training: DataFrame, known: Languages) -> DataFrame:
             return pa.record_batch([pa.array([x[0] for x in rows], pa.int32()), pa.array([x[1] for x in rows], pa.binary())], names=["shard", "data"])
 
         def flush() -> pa.RecordBatch:
-            lang, v, w = (np.concatenate([x[c] for x in parts]) for c in range(3))
-            bigrams = _counted(lang, v, w, np.ones(len(v), np.int64))
-            shard = _shard_of(bigrams[1])
-            return out([(s, _pack_counts(*[x[own] for x in bigrams])) for s in range(SHARDS) if len(own := np.flatnonzero(shard == s))])
+            lang, *columns = (np.concatenate([x[c] for x in parts]) for c in range(order + 1))
+            word, some, back = np.unique(np.concatenate(columns), return_index=True, return_inverse=True)
+            counts = Counts.of(word, np.tile(lang, order)[some], np.split(back.reshape(-1), order), None)
+            at = np.searchsorted(_shard_of(word[counts.columns[0]], shards), np.arange(shards + 1))
+            return out([(s, counts.pack(slice(a, b))) for s, (a, b) in enumerate(zip(at, at[1:], strict=False)) if a < b])
 
         for batch in batches:
             langs = _lang_index(batch.column(0), known.names)
@@ -200,11 +325,10 @@ def count_shards(training: DataFrame, known: Languages) -> DataFrame:
                 inside = np.cumsum(depth)[: len(data)] > 0
                 begun = np.maximum.accumulate(np.where(depth > 0, np.arange(len(data) + 1), 0))[: len(data)]
                 for codes, own in ((inner[inside], of_byte[begun[inside]]), (opens, lang), (closes, lang)):
-                    at, n = np.unique(own * _PAIRS + codes, return_counts=True)
-                    letters[at] += n
-                _, own, v, w = _bigrams(row, lang, h, known)
-                parts.append((own, v, w))
-                size += len(v)
+                    letters += np.bincount(own * _PAIRS + codes, minlength=len(letters))
+                _, own, (w, *before) = _grams(row, lang, h, known, order)
+                parts.append((own, *before, w))
+                size += len(w)
             if size >= _HELD_WORDS:
                 yield flush()
                 parts, size = [], 0
@@ -221,9 +345,12 @@ def count_shards(training: DataFrame, known: Languages) -> DataFrame:
             n = np.zeros(len(at), np.int64)
             np.add.at(n, back, np.concatenate([_unpack(x, "<i8", "<i8")[1] for x in rows["data"]]))
             return pd.DataFrame({"shard": [shard], "data": [_pack(at, n)]})
-        parts = [_unpack(x, *_COUNTS) for x in rows["data"]]
-        lang, v, w, n = (np.concatenate([x[c] for x in parts]) for c in range(4))
-        return pd.DataFrame({"shard": [shard], "data": [_pack_counts(*_counted(lang, v, w, n.astype(np.int64)))]})
+        parts = [Counts.unpack(x, order) for x in rows["data"]]
+        word, some, back = np.unique(np.concatenate([p.words for p in parts]), return_index=True, return_inverse=True)
+        langs = np.concatenate([p.langs for p in parts])[some]
+        ends = np.cumsum([0, *[len(p.words) for p in parts]])
+        columns = [np.concatenate([back[a:][p.columns[c]] for p, a in zip(parts, ends, strict=False)]) for c in range(order)]
+        return pd.DataFrame({"shard": [shard], "data": [Counts.of(word, langs, columns, np.concatenate([p.n for p in parts])).pack()]})
 
     rows = training.select("lang", "text").mapInArrow(emit, "shard int, data binary")
     return saved(rows.groupBy("shard").applyInPandas(merge, "shard int, data binary"), "ngram-counts", "none")
@@ -239,90 +366,156 @@ def discounts(n: np.ndarray) -> np.ndarray:
     return np.clip(d, 0.05, [0.95, 1.95, 2.95])
 
 
-_WORDS = ("<u4", "<u8", "<f4", "<u4", "u1", "<u8", "<f4", "<f4")
-
+@dataclass
+class Model:
+    """Discounts by language and order, and the back-off weights of a text's borders; tables of a few numbers each."""
 
-def word_shards(counts: DataFrame, known: Languages) -> DataFrame:
-    """shard, data: words with their back-off weight as a context, and their bigrams' discounted shares, in shards by word."""
-    rows = counts.filter("shard >= 0").select("data")
+    order: int
+    shards: int
+    cuts: np.ndarray
+    log_start: np.ndarray
 
-    def levels(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for data in frame["data"]:
-                lang, _, _, n = _unpack(data, *_COUNTS)
-                yield pd.DataFrame({"lang": lang.astype(np.int64), "n": np.minimum(n, 5).astype(np.int64), "types": 1}).groupby(["lang", "n"], as_index=False).sum()
-
-    table = np.zeros((len(known.names), 6))
-    for lang, n, types in rows.mapInPandas(levels, "lang long, n long, types long").groupBy("lang", "n").agg(F.sum("types")).collect():
-        table[lang, n] = types
-    cuts = np.array([discounts(x[1:5]) for x in table]).reshape(-1, 3)
+    @classmethod
+    def of(cls, counts: DataFrame, known: Languages, order: int, shards: int) -> Model:
+        def facts(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for frame in frames:
+                for data in frame["data"]:
+                    counts_, out = Counts.unpack(data, order), []
+                    for columns, n, _ in counts_.levels():
+                        level, lang = len(columns), counts_.langs[columns[0]]
+                        out.append(pd.DataFrame({"lang": lang, "level": level, "kind": np.minimum(n, 5), "value": 1.0}).groupby(["lang", "level", "kind"], as_index=False).sum())
+                        first, _, stats = counts_.contexts(columns, n)
+                        start = np.all([counts_.words[c[first]] == known.start[lang[first]] for c in columns[:-1]], axis=0)
+                        for kind in range(4):
+                            out.append(pd.DataFrame({"lang": lang[first][start], "level": level, "kind": 10 + kind, "value": stats[kind][start]}))
+                    yield pd.concat(out).astype({"lang": "int64", "level": "int64", "kind": "int64"})
+
+        table = np.zeros((len(known.names), order + 1, 14))
+        rows = counts.filter("shard >= 0").select("data").mapInPandas(facts, "lang long, level long, kind long, value double")
+        for lang, level, kind, value in rows.groupBy("lang", "level", "kind").agg(F.sum("value")).collect():
+            table[lang, level, kind] = value
+        cuts = np.array([[discounts(x[1:5]) for x in own] for own in table]).reshape(-1, order + 1, 3)
+        taken = (cuts * table[:, :, 11:14]).sum(axis=2)
+        log_start = np.log(np.where(taken > 0, taken / np.maximum(table[:, :, 10], 1), 1)).sum(axis=1)
+        return cls(order, shards, cuts, log_start)
+
+    def kinds(self) -> list[str]:
+        """Of what ``word_shards`` keeps of a shard: nested grams; then for words and for each further order, see there."""
+        return [*Nested.kinds(self.order), "<u4", "<u4", "u1", *["<i2"] * (1 + 3 * (self.order - 1))]
+
+
+def _in_steps(x: np.ndarray) -> np.ndarray:
+    return np.clip(np.rint(x * _STEP), _NONE + 1, 0).astype(np.int16)
+
+
+def word_shards(counts: DataFrame, model: Model) -> DataFrame:
+    """shard, data: nested grams by last word; of words language, distinct words before, whether seen once; of each order the
+    back-off weight as a context, and from order two on the discounted share and the weight of the own context."""
+    order, shards = model.order, model.shards
 
     def spread(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            for data in frame["data"]:
-                lang, v, w, n = _unpack(data, *_COUNTS)
-                at = _runs(v)
-                each = np.diff(np.append(at, len(v)))
-                cut = cuts[lang, np.minimum(n, 3) - 1]
-                total = np.add.reduceat(n.astype(float), at)
-                log_g = np.log(np.add.reduceat(cut, at) / total).astype(np.float32)
-                left = np.log(np.maximum(n - cut, 1e-9) / np.repeat(total, each)).astype(np.float32)
-                of_each = np.repeat(log_g, each)
-                of_v, of_w, out = _shard_of(v[at]), _shard_of(w), []
-                for s in range(SHARDS):
-                    c, own = at[of_v == s], of_w == s
-                    contexts = _pack(lang[c], v[c], log_g[of_v == s])
-                    bigrams = _pack(lang[own], w[own], v[own] >> _CONTEXT_BITS, np.minimum(n[own], 2).astype(np.uint8), of_each[own], left[own])
-                    out.append((s, contexts + bigrams, len(contexts)))
-                yield pd.DataFrame(out, columns=["shard", "data", "split"])
+            for shard, data in zip(frame["shard"], frame["data"], strict=True):
+                counts_ = Counts.unpack(data, order)
+                nested, places = Nested.of([counts_.words[c] for c in (counts_.columns[-1], *counts_.columns[:-1])])
+                lang, once = (np.zeros(len(nested.keys[0]), np.int64) for _ in range(2))
+                lang[places[0]] = counts_.langs[counts_.columns[-1]]
+                np.add.at(once, places[0], counts_.n)
+                values, weights = {}, {}
+                for columns, n, of_row in counts_.levels():
+                    level = len(columns)
+                    cut = model.cuts[counts_.langs[columns[0]], level]
+                    first, back, stats = counts_.contexts(columns, n)
+                    log_g = np.log((cut[first].T * stats[1:]).sum(axis=0) / stats[0])
+                    left = np.log((n - cut[np.arange(len(n)), np.minimum(n, 3) - 1]) / stats[0][back])
+                    for name, value in (("left", left), ("g", log_g[back])):
+                        out = values[level, name] = np.zeros(len(nested.keys[level - 1]), np.int16)
+                        out[places[level - 1]] = _in_steps(value)[of_row]
+                    weights[level - 1] = [c[first] for c in columns[:-1]], log_g
+                rows = []
+                for s, part in enumerate(nested.parts(shards)):
+                    if part[0].start < part[0].stop:
+                        of_levels = [values[level, name][part[level - 1]] for level in range(2, order + 1) for name in ("left", "g")]
+                        rows.append((s, True, _pack(*nested.packable(part), lang[part[0]].astype(np.uint32), np.minimum(once[part[0]], 2).astype(np.uint8), *of_levels)))
+                # contexts lie in this shard already: their last word is the word before their grams'
+                columns, _ = weights[order - 1]
+                nested, places = Nested.of([counts_.words[c] for c in columns])
+                lang = np.zeros(len(nested.keys[0]), np.int64)
+                lang[places[0]] = counts_.langs[columns[0]]
+                own = []
+                for level in range(1, order):
+                    _, where = Nested.of([counts_.words[c] for c in weights[level][0]])
+                    own.append(np.zeros(len(nested.keys[level - 1]), np.int16))
+                    own[-1][where[-1]] = _in_steps(weights[level][1])
+                rows.append((shard, False, _pack(*nested.packable(), lang.astype(np.uint32), *own)))
+                yield pd.DataFrame(rows, columns=["shard", "grams", "data"])
 
     def merge(rows: pd.DataFrame) -> pd.DataFrame:
-        contexts = [_unpack(x[:k], "<u4", "<u8", "<f4") for x, k in zip(rows["data"], rows["split"], strict=True)]
-        bigrams = [_unpack(x[k:], "<u4", "<u8", "<u8", "u1", "<f4", "<f4") for x, k in zip(rows["data"], rows["split"], strict=True)]
-        c_lang, c, log_g = (np.concatenate([x[k] for x in contexts]) for k in range(3))
-        lang, w, v, n, g, left = (np.concatenate([x[k] for x in bigrams]) for k in range(6))
-        order = np.lexsort((v, w))
-        lang, w, v, n, g, left = (x[order] for x in (lang, w, v, n, g, left))
-        at = _runs(w)
-        word = np.union1d(c, w)
-        langs, own_g, before, once = np.zeros(len(word), np.uint32), np.zeros(len(word), np.float32), np.zeros(len(word), np.uint32), np.zeros(len(word), np.uint8)
-        k = np.searchsorted(word, c)
-        langs[k], own_g[k] = c_lang, log_g
-        k = np.searchsorted(word, w[at])
-        langs[k], before[k] = lang[at], np.diff(np.append(at, len(w)))
-        once[k] = (before[k] == 1) & (n[at] == 1)
-        return pd.DataFrame({"shard": [int(rows["shard"].iloc[0])], "data": [_pack(langs, _delta(word), own_g, before, once, v, g, left)]})
-
-    merged = rows.mapInPandas(spread, "shard int, data binary, split long").groupBy("shard").applyInPandas(merge, "shard int, data binary")
-    return saved(merged, "ngram-words", "none")
+        pieces_ = []  # (grams, language, occurrences or None, what each level has)
+        for grams, data in zip(rows["grams"], rows["data"], strict=True):
+            kinds = Nested.kinds(order if grams else order - 1)
+            arrays = _unpack(data, *kinds, "<u4", *(["u1", *["<i2"] * 2 * (order - 1)] if grams else ["<i2"] * (order - 1)))
+            at = len(kinds)
+            pieces_.append((Nested.unpacked(arrays[:at]), arrays[at], arrays[at + 1] if grams else None, arrays[at + 2 :] if grams else arrays[at + 1 :]))
+        word = np.unique(np.concatenate([p[0].keys[0] for p in pieces_]))
+        whole, langs, once = Nested([word], []), np.zeros(len(word), np.uint32), np.zeros(len(word), np.int64)
+        above, own = [], np.zeros(len(word), np.int16)
+        for nested, lang, seen, values in pieces_:
+            at = np.searchsorted(word, nested.keys[0])
+            langs[at] = lang
+            if seen is None:
+                own[at] = values[0]
+            else:
+                once[at] += seen
+            above.append(at)
+        out, before = [own], np.zeros(len(word), np.uint32)
+        for level in range(1, order):
+            pairs = [nested.pairs(level, at) if level < len(nested.keys) else None for (nested, *_), at in zip(pieces_, above, strict=True)]
+            both = np.unique(np.concatenate([np.zeros(0, np.uint64), *[x for x in pairs if x is not None]]))
+            left, g, own = np.full(len(both), _NONE, np.int16), np.zeros(len(both), np.int16), np.zeros(len(both), np.int16)
+            for k, ((_, _, seen, values), x) in enumerate(zip(pieces_, pairs, strict=True)):
+                if x is None:
+                    continue
+                above[k] = at = np.searchsorted(both, x)
+                if seen is None:
+                    own[at] = values[level]
+                else:
+                    left[at], g[at] = values[2 * level - 2], values[2 * level - 1]
+            if level == 1:
+                before += np.bincount((both >> np.uint64(_mark_bits(1))).astype(np.int64)[left != _NONE], minlength=len(word)).astype(np.uint32)
+            whole.push(level, both)
+            out += [left, g, own]
+        data = _pack(*whole.packable(), langs, before, (once == 1).astype(np.uint8), *out)
+        return pd.DataFrame({"shard": [int(rows["shard"].iloc[0])], "data": [data]})
+
+    rows = counts.filter("shard >= 0").mapInPandas(spread, "shard int, grams boolean, data binary")
+    return saved(rows.groupBy("shard").applyInPandas(merge, "shard int, data binary"), "ngram-words", "none")
 
 
 class Weights:
     """What does not follow the number of words: of each language discounts, masses, spelling; see the module's text."""
 
-    def __init__(self, known: Languages, counts: DataFrame, words_: DataFrame):
-        n_lang = len(known.names)
+    def __init__(self, known: Languages, model: Model, counts: DataFrame, words_: DataFrame):
+        n_lang, kinds = len(known.names), model.kinds()
+        at = 2 * model.order - 1
 
         def sums(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for frame in frames:
                 for data in frame["data"]:
-                    lang, word, log_g, before, once = _unpack(data, *_WORDS)[:5]
-                    word = np.cumsum(word, dtype=np.uint64)
+                    arrays = _unpack(data, *kinds)
+                    word, lang, before, once = np.cumsum(arrays[0], dtype=np.uint64), *arrays[at : at + 3]
                     lang, before = lang.astype(np.int64), before.astype(np.int64)
                     inner = (word != known.end[lang]) & (word != known.start[lang])
-                    rare = inner & (once > 0)
-                    first = np.flatnonzero(word == known.start[lang])
-                    # kinds: 0 to 31 words seen once by class, 100 distinct bigrams, 101 words, 200 and on words by the contexts before them
-                    for kind, own, value in (((word & np.uint64(_CLASSES - 1)).astype(np.int64), rare, np.ones(len(word))), (100, before > 0, before), (101, inner, np.ones(len(word))), (200 + np.minimum(before, 5), before > 0, np.ones(len(word)))):
+                    # kinds: 0 to 31 words seen once by class, 100 distinct bigrams, 101 words, 200 and on words by the words before them
+                    for kind, own, value in (((word & np.uint64(_CLASSES - 1)).astype(np.int64), inner & (once > 0), np.ones(len(word))), (100, before > 0, before), (101, inner, np.ones(len(word))), (200 + np.minimum(before, 5), before > 0, np.ones(len(word)))):
                         kind = np.broadcast_to(kind, len(word))
                         yield pd.DataFrame({"lang": lang[own], "kind": kind[own], "value": value[own].astype(float)}).groupby(["lang", "kind"], as_index=False).sum()
-                    yield pd.DataFrame({"lang": lang[first], "kind": np.full(len(first), 300), "value": log_g[first].astype(float)})
 
-        table = np.zeros((n_lang, 301))
+        table = np.zeros((n_lang, 206))
         for lang, kind, value in words_.select("data").mapInPandas(sums, "lang long, kind long, value double").groupBy("lang", "kind").agg(F.sum("value")).collect():
             table[lang, kind] = value
+        self.model_kinds, self.order, self.log_start = kinds, model.order, model.log_start
         self.all_, size, level = np.maximum(table[:, 100], 1), _RESERVED + table[:, 101], table[:, 200:206]
-        self.log_start = table[:, 300]
         self.discounts = np.array([discounts(x[1:5]) for x in level]).reshape(-1, 3)
         taken = level[:, 1] * self.discounts[:, 0] + level[:, 2] * self.discounts[:, 1] + level[:, 3:].sum(axis=1) * self.discounts[:, 2]
         unseen = table[:, :_CLASSES] / self.all_[:, None]
@@ -331,8 +524,8 @@ class Weights:
         self.log_class = np.log(self.rest[:, None] * self.floor[:, None] + unseen)
         letters = np.zeros(n_lang * _PAIRS)
         for row in counts.filter("shard < 0").select("data").collect():
-            at, n = _unpack(bytes(row["data"]), "<i8", "<i8")
-            letters[at] = n
+            at_, n = _unpack(bytes(row["data"]), "<i8", "<i8")
+            letters[at_] = n
         letters = letters.reshape(n_lang, 257, 257)
         single = (letters.sum(axis=1) + 1) / (letters.sum(axis=(1, 2)) + 257)[:, None]
         self.spelling = np.rint(np.log((letters + 16 * single[:, None]) / (letters.sum(axis=2) + 16)[:, :, None]) * _UNIT).astype(np.int64).reshape(n_lang, _PAIRS)
@@ -342,26 +535,39 @@ class Weights:
         cut = np.where(before > 0, self.discounts[lang, np.clip(before, 1, 3) - 1], 0)
         return np.log(self.rest[lang] * (np.maximum(before - cut, 0) / self.all_[lang] + self.floor[lang]))
 
-    def model(self, data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Words with their log g + log u, and keys of bigrams with their corrections, of one shard; both sorted."""
-        lang, word, log_g, before, _, v, g, left = _unpack(data, *_WORDS)
-        word, before = np.cumsum(word, dtype=np.uint64), before.astype(np.int64)
-        log_u = self.unigrams(lang, before)
-        low = np.repeat(log_u, before) + g
-        key = _bigram_key(np.repeat(word, before), v)
-        order = np.argsort(key)
-        return word, log_u + log_g, key[order], (np.logaddexp(left, low) - low)[order]
+    def grams(self, data: bytes) -> tuple[Nested, list[np.ndarray]]:
+        """The nested grams of one shard, and what each adds to a score."""
+        arrays = _unpack(data, *self.model_kinds)
+        at = 2 * self.order - 1
+        nested = Nested.unpacked(arrays[:at])
+        lang, before, _, own, *further = arrays[at:]
+        log_p = self.unigrams(lang.astype(np.int64), before.astype(np.int64))
+        weights = [log_p + own.astype(float) / _STEP]
+        for level, (left, g, own) in enumerate(zip(further[::3], further[1::3], further[2::3], strict=True), 1):
+            low = np.repeat(log_p, nested.per[level - 1]) + g.astype(float) / _STEP
+            log_p = np.where(left == _NONE, low, np.logaddexp(left.astype(float) / _STEP, low))
+            weights.append(log_p - low + (own.astype(float) / _STEP if level < self.order - 1 else 0))
+        return nested, weights
 
     def unseen(self, lang: np.ndarray, h: np.ndarray, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         """log u of each word as if it had never been seen."""
         return (self.log_class[lang, (h & np.uint64(_CLASSES - 1)).astype(np.int64)] + _spelling(self.spelling, lang, data, start, end)).astype(np.float32)
 
 
-def log_scores(docs: DataFrame, words_: DataFrame, known: Languages, sent_weights) -> DataFrame:
+def _found(table: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Places of wanted numbers in a sorted table, -1 for those it lacks."""
+    if not len(table):
+        return np.full(len(wanted), -1)
+    at = np.minimum(np.searchsorted(table, wanted), len(table) - 1)
+    return np.where(table[at] == wanted, at, -1)
+
+
+def log_scores(docs: DataFrame, words_: DataFrame, known: Languages, model: Model, sent_weights) -> DataFrame:
     """The input's columns but the text, n_words and score: the natural log probability of each document (null without a model)."""
     names = [c for c in docs.columns if c != "text"]
     info = docs.select(*names).schema
-    groups = max(1, -(-partitions(docs.sparkSession) // SHARDS))
+    order, shards = model.order, model.shards
+    groups = max(1, -(-partitions(docs.sparkSession) // shards))
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights = sent_weights.value
@@ -372,26 +578,24 @@ def log_scores(docs: DataFrame, words_: DataFrame, known: Languages, sent_weight
 
         def flush() -> pa.RecordBatch:
             nonlocal block, held, table, n_rows, n_words
-            doc, v, w, none, base, sizes = (np.concatenate([x[c] for x in held]) for c in range(6))
-            (word, some, at_w), (context, at_v) = np.unique(w, return_index=True, return_inverse=True), np.unique(v, return_inverse=True)
-            unique, back = np.unique(at_w * np.int64(len(context)) + at_v, return_inverse=True)
-            pair, tf = np.unique(back.astype(np.int64) * n_rows + doc, return_counts=True)
-            at, doc, tf = pair // n_rows, (pair % n_rows).astype(np.uint16), tf.astype(np.uint32)
-            per_key, of_key = np.bincount(at, minlength=len(unique)), unique // max(len(context), 1)
-            per_word, seen_as = np.bincount(of_key, minlength=len(word)), context[unique % max(len(context), 1)] >> _CONTEXT_BITS
-            shard, out = _shard_of(word), []
-            for s in range(SHARDS):
-                own = shard == s
-                if own.any():
-                    keys = own[of_key]
-                    entries = keys[at]
-                    out.append((s, block, False, _pack(_delta(word[own]), none[some][own], per_word[own].astype(np.uint32), seen_as[keys], per_key[keys].astype(np.uint32), doc[entries], tf[entries])))
+            doc, none, base, sizes, *columns = (np.concatenate([x[c] for x in held]) for c in range(4 + order))
+            nested, places = Nested.of(columns)
+            new = np.zeros(len(nested.keys[0]), np.float32)
+            new[places[0]] = none
+            pair, tf = np.unique(places[-1].astype(np.int64) * n_rows + doc, return_counts=True)
+            docs_per = np.bincount(pair // n_rows, minlength=len(nested.keys[-1]))
+            doc, ends, out = (pair % n_rows).astype(np.uint16), np.concatenate([[0], np.cumsum(docs_per)]), []
+            for s, part in enumerate(nested.parts(shards)):
+                if part[0].start < part[0].stop:
+                    entries = slice(int(ends[part[-1].start]), int(ends[part[-1].stop]))
+                    seen_as = np.rint(-new[part[0]] * _NEW_STEP).astype(np.uint32)
+                    out.append((s, block, False, _pack(*nested.packable(part), seen_as, docs_per[part[-1]].astype(np.uint32), doc[entries], (tf[entries] - 1).astype(np.uint32))))
             sink = pa.BufferOutputStream()
             with pa.ipc.new_stream(sink, table[0].schema) as writer:
                 for t in table:
                     writer.write_batch(t)
             info_ = _pack(base.astype(np.float64), sizes.astype(np.uint32))
-            out.append((block % SHARDS, block, True, len(info_).to_bytes(8, "little") + info_ + sink.getvalue().to_pybytes()))
+            out.append((block % shards, block, True, len(info_).to_bytes(8, "little") + info_ + sink.getvalue().to_pybytes()))
             group = int(mix(np.array([block], np.uint64))[0] % np.uint64(groups))
             block, held, table, n_rows, n_words = block + 1, [], [], 0, 0
             cols = list(zip(*out, strict=True))
@@ -407,8 +611,8 @@ def log_scores(docs: DataFrame, words_: DataFrame, known: Languages, sent_weight
                 for a in range(first, last, _BLOCK_ROWS):
                     b = min(last, a + _BLOCK_ROWS)
                     inside = (row >= a - first) & (row < b - first)
-                    rows, _, v, w = _bigrams(row[inside] - (a - first), lang[inside], h[inside], known)
-                    # a row's bigrams are its words and then its end, which is never unseen
+                    rows, _, columns = _grams(row[inside] - (a - first), lang[inside], h[inside], known, order)
+                    # a row's grams are its words and then its end, which is never unseen
                     spare = np.zeros(len(rows), np.float32)
                     spare[np.append(rows[1:] == rows[:-1], False) if len(rows) else []] = none[inside]
                     has = sizes[a - first : b - first] > 0
@@ -417,7 +621,7 @@ def log_scores(docs: DataFrame, words_: DataFrame, known: Languages, sent_weight
                     base[known_] = np.where(has[known_], weights.log_start[langs[a:b][known_]], 0.0)
                     if n_rows + b - a > _BLOCK_ROWS:
                         yield flush()
-                    held.append((rows + n_rows, v, w, spare, base, sizes[a - first : b - first]))
+                    held.append((rows + n_rows, spare, base, sizes[a - first : b - first], *columns))
                     table.append(batch.slice(a, b - a).select(names))
                     n_rows += b - a
                     n_words += len(rows)
@@ -426,29 +630,24 @@ def log_scores(docs: DataFrame, words_: DataFrame, known: Languages, sent_weight
         if held:
             yield flush()
 
-    def join(model: pd.DataFrame, blocks: pd.DataFrame) -> pd.DataFrame:
-        if len(model):
-            words_, weight, keys, value = sent_weights.value.model(model["data"].iloc[0])
-        else:
-            words_, keys = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
-            weight, value = np.zeros(0), np.zeros(0)
-
-        def found(table: np.ndarray, values: np.ndarray, wanted: np.ndarray, other: np.ndarray) -> np.ndarray:
-            if not len(table):
-                return other
-            at = np.minimum(np.searchsorted(table, wanted), len(table) - 1)
-            return np.where(table[at] == wanted, values[at], other)
-
+    def join(shard: pd.DataFrame, blocks: pd.DataFrame) -> pd.DataFrame:
+        weights = sent_weights.value
+        grams, values = weights.grams(shard["data"].iloc[0]) if len(shard) else (Nested([np.zeros(0, np.uint64)] * order, [np.zeros(0, np.int64)] * (order - 1)), [np.zeros(0)] * order)
+        tables = [grams.keys[0], *[grams.pairs(level) for level in range(1, order)]]
         out = []
         for block, info_, data in zip(blocks["block"], blocks["info"], blocks["data"], strict=True):
             if info_:
                 out.append((block, True, data))
                 continue
-            word, none, per_word, context, per_key, doc, tf = _unpack(data, "<u8", "<f4", "<u4", "<u8", "<u4", "<u2", "<u4")
-            word = np.cumsum(word, dtype=np.uint64)
-            each = np.repeat(found(words_, weight, word, none.astype(float)), per_word)
-            each = each + found(keys, value, _bigram_key(np.repeat(word, per_word), context), np.zeros(len(context)))
-            total = np.bincount(doc, weights=np.repeat(each, per_key) * tf)
+            *arrays, new, docs_per, doc, tf = _unpack(data, *Nested.kinds(order), "<u4", "<u4", "<u2", "<u4")
+            nested = Nested.unpacked(arrays)
+            at = _found(tables[0], nested.keys[0])
+            each = np.where(at >= 0, values[0][at] if len(values[0]) else 0, new / -_NEW_STEP)
+            for level in range(1, order):
+                above, each = np.repeat(at, nested.per[level - 1]), np.repeat(each, nested.per[level - 1])
+                at = np.where(above >= 0, _found(tables[level], nested.pairs(level, np.maximum(at, 0))), -1)
+                each = each + (np.where(at >= 0, values[level][at], 0) if len(values[level]) else 0)
+            total = np.bincount(doc, weights=np.repeat(each, docs_per) * (tf + 1.0))
             seen = np.unique(doc)
             out.append((block, False, _pack(seen.astype(np.uint16), total[seen].astype(np.float32))))
         return pd.DataFrame(out, columns=["block", "info", "data"])
@@ -466,40 +665,67 @@ def log_scores(docs: DataFrame, words_: DataFrame, known: Languages, sent_weight
         return frame.assign(n_words=n.astype(np.int64), score=np.where(np.isnan(score) | (n == 0), None, score))
 
     rows = docs.mapInArrow(emit, "shard int, part int, block long, info boolean, data binary")
-    model = words_.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(groups - 1)))).select("shard", "part", "data")
-    joined = model.groupBy("shard", "part").cogroup(rows.groupBy("shard", "part")).applyInPandas(join, "block long, info boolean, data binary")
+    parts = words_.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(groups - 1)))).select("shard", "part", "data")
+    joined = parts.groupBy("shard", "part").cogroup(rows.groupBy("shard", "part")).applyInPandas(join, "block long, info boolean, data binary")
     schema = info.add("n_words", "long").add("score", "double")
     return joined.groupBy("block").applyInPandas(collect, schema)
 
 
-def quality(docs: DataFrame, labels: DataFrame, *, quantile: float = 0.99, least_documents: int = 50, broadcast_labels: int = 5_000_000) -> DataFrame:
+def _is_in(ids: DataFrame, column: Column) -> Column:
+    """Whether a number is among ``ids``, a table that the caller has found to be small: it is broadcast packed, about a byte each."""
+    values = np.sort(ids.toArrow().column(0).to_numpy()).astype(np.int64)
+    sent = ids.sparkSession.sparkContext.broadcast(_pack(np.diff(values, prepend=0)))
+    held: list[np.ndarray] = []
+
+    def test(x: pa.Array) -> pa.Array:
+        if not held:
+            held.append(np.cumsum(_unpack(sent.value, "<i8")[0]))
+        return pa.array((_found(held[0], x.fill_null(0).to_numpy(zero_copy_only=False)) >= 0) & ~np.asarray(x.is_null()))
+
+    return F.arrow_udf(test, "boolean")(column)
+
+
+def quality(docs: DataFrame, labels: DataFrame, *, order: int = 3, quantile: float = 0.99, least_documents: int = 50, broadcast_labels: int = 4_000_000) -> DataFrame:
     """doc_id, lang, n_words, perplexity, threshold, kept for each row of ``docs`` (doc_id, text, lang).
 
-    The threshold is the ``quantile`` of the perplexities of the trusted documents held back, by
-    language and length (powers of four of the words); by language alone, and then over all, where
+    ``order`` is the model's, two or more. The threshold is the ``quantile`` of the perplexities of the trusted
+    documents held back, by language and length (powers of four of the words); by language alone, and then over all, where
     there are fewer than ``least_documents``. Ids of trusted documents are broadcast up to
     ``broadcast_labels`` of them, and joined beyond.
     """
+    if order < 2:
+        raise ValueError("the order is two or more")
     bounded_batches(docs.sparkSession)
     spark = docs.sparkSession
-    trusted = labels.groupBy("doc_id").agg(F.min(F.coalesce((F.col("quality") == 1) & (F.col("toxic") == 0), F.lit(False))).alias("trusted")).filter("trusted")
+    good = labels.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min(F.coalesce((F.col("quality") == 1) & (F.col("toxic") == 0), F.lit(False))).alias("trusted"))
+    trusted = saved(good.filter("trusted and doc_id is not null").select("doc_id"), "trusted", narrow=True)
+    rows = docs.select("doc_id", F.coalesce("lang", F.lit("")).alias("lang"), "text")
     if trusted.count() <= broadcast_labels:
-        trusted = F.broadcast(trusted)
-    marked = docs.select("doc_id", F.coalesce("lang", F.lit("")).alias("lang"), "text").join(trusted, "doc_id", "left")
+        rows = rows.withColumn("trusted", _is_in(trusted, F.col("doc_id").cast("long")))
+    else:
+        known_ids = trusted.select(F.col("doc_id").alias("id"), F.lit(True).alias("trusted"))
+        rows = rows.join(known_ids, F.col("doc_id").cast("long") == F.col("id"), "left").drop("id")
     held = F.pmod(F.xxhash64("doc_id"), F.lit(_HELD_BACK)) == 0
-    marked = marked.select("doc_id", "lang", "text", F.when(F.col("trusted"), F.when(held, 2).otherwise(1)).otherwise(0).alias("role"))
+    marked = rows.select("doc_id", "lang", "text", F.when(F.col("trusted"), F.when(held, 2).otherwise(1)).otherwise(0).alias("role"))
     training = marked.filter("role = 1")
-    known = Languages(sorted(r["lang"] for r in training.select("lang").distinct().collect()))
-    counts = count_shards(training, known)
-    words_ = word_shards(counts, known)
-    weights = spark.sparkContext.broadcast(Weights(known, counts, words_))
-    scored = saved(log_scores(marked, words_, known, weights).withColumn("perplexity", F.exp(-F.col("score") / (F.col("n_words") + 1))).drop("score"), "ngram-scores")
+    sizes = training.groupBy("lang").agg(F.sum(F.octet_length("text"))).collect()
+    known = Languages(sorted(r[0] for r in sizes))
+    shards = max(_LEAST_SHARDS, sum(r[1] or 0 for r in sizes) // _SHARD_BYTES)
+    counts = count_shards(training, known, order, shards)
+    model = Model.of(counts, known, order, shards)
+    words_ = word_shards(counts, model)
+    weights = spark.sparkContext.broadcast(Weights(known, model, counts, words_))
+    discard(counts)
+    scored = saved(log_scores(marked, words_, known, model, weights).withColumn("perplexity", F.exp(-F.col("score") / (F.col("n_words") + 1))).drop("score"), "ngram-scores")
+    weights.unpersist()
+    discard(words_, trusted)
     scored = scored.withColumn("length", F.floor(F.log2(F.greatest("n_words", F.lit(1))) / 2).cast("int"))
     set_by = scored.filter("role = 2 and perplexity is not null")
-    levels = {}
-    for name, by in (("t1", ["lang", "length"]), ("t2", ["lang"]), ("t3", [])):
-        levels[name] = set_by.groupBy(*by).agg(F.percentile_approx("perplexity", quantile, 10_000).alias(name), F.count(F.lit(1)).alias("n")).filter(F.col("n") >= least_documents).drop("n")
-    out = scored.join(levels["t1"], ["lang", "length"], "left").join(levels["t2"], "lang", "left").join(levels["t3"], how="left")
-    out = out.withColumn("threshold", F.coalesce("t1", "t2", "t3"))
+    out = scored
+    for name, by in (("t1", ["lang", "length"]), ("t2", ["lang"])):
+        level = set_by.groupBy(*by).agg(F.percentile_approx("perplexity", quantile, 10_000).alias(name), F.count(F.lit(1)).alias("n")).filter(F.col("n") >= least_documents).drop("n")
+        out = out.join(F.broadcast(level) if len(known.names) <= 10_000 else level, by, "left")  # at most some thirty lengths a language
+    rest = set_by.agg(F.percentile_approx("perplexity", quantile, 10_000).alias("t3"), F.count(F.lit(1)).alias("n")).filter(F.col("n") >= least_documents).drop("n")
+    out = out.join(F.broadcast(rest), how="left").withColumn("threshold", F.coalesce("t1", "t2", "t3"))
     kept = (F.col("n_words") > 0) & F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(True))
     return out.select("doc_id", "lang", "n_words", "perplexity", "threshold", kept.alias("kept"))

@@ -1,21 +1,30 @@
 """Tables written to the folder that driver and executors share.
 
-The folder is the cluster's ``spark.checkpoint.dir``. Only where that is unset, as in
-tests, a folder under the session's warehouse directory is used instead. Written
-tables cut the lineage: a lost executor costs a re-read, never a re-computation of
-everything before.
+The folder is the cluster's ``spark.checkpoint.dir``. Only where that is unset and Spark runs
+in one process, as in tests, a folder under the session's warehouse directory is used instead;
+a cluster without the setting is refused. Written tables cut the lineage: a lost executor costs a
+re-read, never a re-computation of everything before. Shuffle files of what has been written are
+removed at once, and a table that no later step reads is discarded.
 """
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def folder(spark: SparkSession, name: str) -> str:
     """A new path for ``name`` in the shared folder; nothing is created yet."""
-    top = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
+    top = spark.conf.get("spark.checkpoint.dir", None)
+    if not top:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[.*\])?", master):
+            raise ValueError(f"spark.checkpoint.dir must name a shared folder on {master}")
+        top = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
     return f"{top.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
@@ -25,15 +34,35 @@ def saved(df: DataFrame, name: str, compression: str = "zstd", narrow: bool = Fa
     ``narrow`` tables, ids and links of what comes from a shuffle, go to an eighth as many files as the
     shuffle has partitions: each file costs a store several calls.
     """
-    path = folder(df.sparkSession, name)
+    spark = df.sparkSession
+    path = folder(spark, name)
     if narrow:
-        df = df.coalesce(max(1, partitions(df.sparkSession) // 8))
-    df.write.option("compression", compression).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+        df = df.coalesce(max(1, partitions(spark) // 8))
+    before = spark.conf.get(_CLEAN_UP, "false")
+    spark.conf.set(_CLEAN_UP, "true")
+    try:
+        df.write.option("compression", compression).parquet(path)
+    finally:
+        spark.conf.set(_CLEAN_UP, before)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes tables that ``saved`` gave; they can't be read any more."""
+    for table in tables:
+        for top in {f.rpartition("/")[0] for f in table.inputFiles()}:
+            if not re.search(r"-[0-9a-f]{32}$", top):
+                raise ValueError(f"{top} is not a scratch table")
+            jvm, session = table.sparkSession._jvm, table.sparkSession._jsparkSession
+            path = jvm.org.apache.hadoop.fs.Path(top)
+            path.getFileSystem(session.sessionState().newHadoopConf()).delete(path, True)
 
 
 def bounded_batches(spark: SparkSession) -> None:
-    """Has Spark hand Python workers at most about 8 MB at a time, however long the texts are."""
+    """Has Spark hand Python workers at most about 8 MB at a time, however long the texts are.
+
+    A setting of the session: it must still hold when the caller runs what an operator returned.
+    """
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
 
 

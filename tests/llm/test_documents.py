@@ -211,38 +211,56 @@ def test_language_by_words_then_grams(spark):
     assert {r.lang_pred for r in langid.predict(odd, langid.fit(docs.limit(0))).collect()} == {"und"}
 
 
-def _brute_kneser_ney(train, text):
+def _brute_kneser_ney(train, text, order):
     """Log probability of a text under the same closed vocabulary, written out."""
     from collections import Counter
 
-    counts = Counter(b for t in train for b in zip(["<s>", *t], [*t, "</s>"], strict=True))
-    d = ngram.discounts(np.array([sum(c == k for c in counts.values()) for k in (1, 2, 3, 4)]))
-    before = Counter(w for _, w in counts)
-    e = ngram.discounts(np.array([sum(c == k for c in before.values()) for k in (1, 2, 3, 4)]))
+    def grams(words):
+        run = ["<s>"] * (order - 1) + [*words, "</s>"]
+        return [tuple(run[k : k + order]) for k in range(len(run) - order + 1)]
+
+    tables = [Counter(g for t in train for g in grams(t))]
+    while len(tables) < order:
+        tables.append(Counter(g[1:] for g in tables[-1]))
+    tables = tables[::-1]  # by order; below the highest, distinct words before
+    cuts = [ngram.discounts(np.array([sum(c == k for c in t.values()) for k in (1, 2, 3, 4)])) for t in tables]
     size = 34 + len({w for t in train for w in t if sum(w == x for y in train for x in y) > 1})
-    left = sum(e[min(c, 3) - 1] for c in before.values())
-    u = lambda w: (max(before[w] - e[min(before[w], 3) - 1], 0) if before[w] else 0) / sum(before.values()) + left / sum(before.values()) / size
-    total = 0.0
-    for v, w in zip(["<s>", *text], [*text, "</s>"], strict=True):
-        own = {b: c for b, c in counts.items() if b[0] == v}
-        n = sum(own.values())
-        g = sum(d[min(c, 3) - 1] for c in own.values()) / n if n else 1.0
-        c = counts[v, w]
-        total += np.log((c - d[min(c, 3) - 1]) / n + g * u(w) if c else g * u(w))
-    return total
-
-
-def test_quality_scores_are_kneser_ney(spark):
+
+    def p(gram):
+        table, cut = tables[len(gram) - 1], cuts[len(gram) - 1]
+        c = table[gram]
+        seen = c - cut[min(c, 3) - 1] if c else 0
+        if len(gram) == 1:
+            return seen / sum(table.values()) + sum(cut[min(x, 3) - 1] for x in table.values()) / sum(table.values()) / size
+        own = [x for g, x in table.items() if g[:-1] == gram[:-1]]
+        return seen / sum(own) + sum(cut[min(x, 3) - 1] for x in own) / sum(own) * p(gram[1:]) if own else p(gram[1:])
+
+    return sum(np.log(p(g)) for g in grams(text))
+
+
+@pytest.mark.parametrize("order", [2, 3, 4])
+def test_quality_scores_are_kneser_ney(spark, order):
     rng = np.random.default_rng(0)
     texts = [" ".join(rng.choice(["red", "green", "blue", "pink"], 8)) for _ in range(60)]
     docs = documents(spark, texts)
     labels = spark.createDataFrame([(k, 1, 0) for k in range(60)], "doc_id long, quality int, toxic int")
-    out = {r.doc_id: r for r in ngram.quality(docs, labels, least_documents=1).collect()}
+    out = {r.doc_id: r for r in ngram.quality(docs, labels, order=order, least_documents=1).collect()}
     held = {r.doc_id for r in docs.filter(F.pmod(F.xxhash64("doc_id"), F.lit(5)) == 0).select("doc_id").collect()}
     train = [t.split() for k, t in enumerate(texts) if k not in held]
     for k in list(held)[:5]:
-        want = np.exp(-_brute_kneser_ney(train, texts[k].split()) / 9)
-        assert out[k].perplexity == pytest.approx(want, rel=1e-4)
+        want = np.exp(-_brute_kneser_ney(train, texts[k].split(), order) / 9)
+        assert out[k].perplexity == pytest.approx(want, rel=1e-3)
+
+
+def test_quality_does_not_depend_on_how_it_is_dealt(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    texts = [" ".join(rng.choice([f"w{k}" for k in range(80)], 30)) for _ in range(200)]
+    labels = spark.createDataFrame([(k, 1, 0) for k in range(0, 200, 2)], "doc_id long, quality int, toxic int")
+    want = {r.doc_id: r.perplexity for r in ngram.quality(documents(spark, texts), labels).collect()}
+    for name, value in (("_LEAST_SHARDS", 3), ("_BLOCK_WORDS", 500), ("_BLOCK_ROWS", 7), ("_HELD_WORDS", 300)):
+        monkeypatch.setattr(ngram, name, value)
+    got = {r.doc_id: r.perplexity for r in ngram.quality(documents(spark, texts).repartition(5), labels, broadcast_labels=0).collect()}
+    assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k], rel=1e-4) for k in want)
 
 
 def test_quality_of_odd_rows(spark):
