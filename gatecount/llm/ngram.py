@@ -33,11 +33,13 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.parquet as pq
+from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .scratch import bounded_batches, discard, partitions, saved
+from .scratch import arrow_place, bounded_batches, discard, folder, partitions, saved, saved_in_turn
 from .text import mix, pieces, ragged, span_hashes, words
 
 _LEAST_SHARDS, _SHARD_BYTES = 32, 16 << 20  # bytes of training text that make a shard
@@ -408,12 +410,15 @@ def _in_steps(x: np.ndarray) -> np.ndarray:
     return np.clip(np.rint(x * _STEP), _NONE + 1, 0).astype(np.int16)
 
 
-def word_shards(counts: DataFrame, model: Model) -> DataFrame:
+def word_shards(counts: DataFrame, model: Model, rounds: int, path: str) -> DataFrame:
     """shard, data: nested grams by last word; of words language, distinct words before, whether seen once; of each order the
-    back-off weight as a context, and from order two on the discounted share and the weight of the own context."""
+    back-off weight as a context, and from order two on the discounted share and the weight of the own context.
+
+    Shards are made in ``rounds`` and lie at ``path`` in folders of their own.
+    """
     order, shards = model.order, model.shards
 
-    def spread(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def spread(frames: Iterator[pd.DataFrame], turn: int) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for shard, data in zip(frame["shard"], frame["data"], strict=True):
                 counts_ = Counts.unpack(data, order)
@@ -434,20 +439,21 @@ def word_shards(counts: DataFrame, model: Model) -> DataFrame:
                     weights[level - 1] = [c[first] for c in columns[:-1]], log_g
                 rows = []
                 for s, part in enumerate(nested.parts(shards)):
-                    if part[0].start < part[0].stop:
+                    if s % rounds == turn and part[0].start < part[0].stop:
                         of_levels = [values[level, name][part[level - 1]] for level in range(2, order + 1) for name in ("left", "g")]
                         rows.append((s, True, _pack(*nested.packable(part), lang[part[0]].astype(np.uint32), np.minimum(once[part[0]], 2).astype(np.uint8), *of_levels)))
-                # contexts lie in this shard already: their last word is the word before their grams'
-                columns, _ = weights[order - 1]
-                nested, places = Nested.of([counts_.words[c] for c in columns])
-                lang = np.zeros(len(nested.keys[0]), np.int64)
-                lang[places[0]] = counts_.langs[columns[0]]
-                own = []
-                for level in range(1, order):
-                    _, where = Nested.of([counts_.words[c] for c in weights[level][0]])
-                    own.append(np.zeros(len(nested.keys[level - 1]), np.int16))
-                    own[-1][where[-1]] = _in_steps(weights[level][1])
-                rows.append((shard, False, _pack(*nested.packable(), lang.astype(np.uint32), *own)))
+                if shard % rounds == turn:
+                    # contexts lie in this shard already: their last word is the word before their grams'
+                    columns, _ = weights[order - 1]
+                    nested, places = Nested.of([counts_.words[c] for c in columns])
+                    lang = np.zeros(len(nested.keys[0]), np.int64)
+                    lang[places[0]] = counts_.langs[columns[0]]
+                    own = []
+                    for level in range(1, order):
+                        _, where = Nested.of([counts_.words[c] for c in weights[level][0]])
+                        own.append(np.zeros(len(nested.keys[level - 1]), np.int16))
+                        own[-1][where[-1]] = _in_steps(weights[level][1])
+                    rows.append((shard, False, _pack(*nested.packable(), lang.astype(np.uint32), *own)))
                 yield pd.DataFrame(rows, columns=["shard", "grams", "data"])
 
     def merge(rows: pd.DataFrame) -> pd.DataFrame:
@@ -488,8 +494,11 @@ def word_shards(counts: DataFrame, model: Model) -> DataFrame:
         data = _pack(*whole.packable(), langs, before, (once == 1).astype(np.uint8), *out)
         return pd.DataFrame({"shard": [int(rows["shard"].iloc[0])], "data": [data]})
 
-    rows = counts.filter("shard >= 0").mapInPandas(spread, "shard int, grams boolean, data binary")
-    return saved(rows.groupBy("shard").applyInPandas(merge, "shard int, data binary"), "ngram-words", "none")
+    def made(turn: int) -> DataFrame:
+        rows = counts.filter("shard >= 0").mapInPandas(lambda frames: spread(frames, turn), "shard int, grams boolean, data binary")
+        return rows.groupBy("shard").applyInPandas(merge, "shard int, data binary")
+
+    return saved_in_turn(map(made, range(rounds)), path, "none", by="shard")
 
 
 class Weights:
@@ -562,7 +571,7 @@ def _found(table: np.ndarray, wanted: np.ndarray) -> np.ndarray:
     return np.where(table[at] == wanted, at, -1)
 
 
-def log_scores(docs: DataFrame, words_: DataFrame, known: Languages, model: Model, sent_weights) -> DataFrame:
+def log_scores(docs: DataFrame, path: str, known: Languages, model: Model, sent_weights) -> DataFrame:
     """The input's columns but the text, n_words and score: the natural log probability of each document (null without a model)."""
     names = [c for c in docs.columns if c != "text"]
     info = docs.select(*names).schema
@@ -630,9 +639,10 @@ def log_scores(docs: DataFrame, words_: DataFrame, known: Languages, model: Mode
         if held:
             yield flush()
 
-    def join(shard: pd.DataFrame, blocks: pd.DataFrame) -> pd.DataFrame:
-        weights = sent_weights.value
-        grams, values = weights.grams(shard["data"].iloc[0]) if len(shard) else (Nested([np.zeros(0, np.uint64)] * order, [np.zeros(0, np.int64)] * (order - 1)), [np.zeros(0)] * order)
+    def join(blocks: pd.DataFrame) -> pd.DataFrame:
+        place, top = arrow_place(f"{path}/shard={blocks['shard'].iloc[0]}")
+        files = [x.path for x in place.get_file_info(fs.FileSelector(top, allow_not_found=True)) if x.path.endswith(".parquet")]
+        grams, values = sent_weights.value.grams(pq.read_table(files[0], filesystem=place, columns=["data"])["data"][0].as_py()) if files else (Nested([np.zeros(0, np.uint64)] * order, [np.zeros(0, np.int64)] * (order - 1)), [np.zeros(0)] * order)
         tables = [grams.keys[0], *[grams.pairs(level) for level in range(1, order)]]
         out = []
         for block, info_, data in zip(blocks["block"], blocks["info"], blocks["data"], strict=True):
@@ -665,8 +675,7 @@ def log_scores(docs: DataFrame, words_: DataFrame, known: Languages, model: Mode
         return frame.assign(n_words=n.astype(np.int64), score=np.where(np.isnan(score) | (n == 0), None, score))
 
     rows = docs.mapInArrow(emit, "shard int, part int, block long, info boolean, data binary")
-    parts = words_.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(groups - 1)))).select("shard", "part", "data")
-    joined = parts.groupBy("shard", "part").cogroup(rows.groupBy("shard", "part")).applyInPandas(join, "block long, info boolean, data binary")
+    joined = rows.groupBy("shard", "part").applyInPandas(join, "block long, info boolean, data binary")
     schema = info.add("n_words", "long").add("score", "double")
     return joined.groupBy("block").applyInPandas(collect, schema)
 
@@ -685,13 +694,14 @@ def _is_in(ids: DataFrame, column: Column) -> Column:
     return F.arrow_udf(test, "boolean")(column)
 
 
-def quality(docs: DataFrame, labels: DataFrame, *, order: int = 3, quantile: float = 0.99, least_documents: int = 50, broadcast_labels: int = 4_000_000) -> DataFrame:
+def quality(docs: DataFrame, labels: DataFrame, *, order: int = 3, quantile: float = 0.99, least_documents: int = 50, broadcast_labels: int = 4_000_000, rounds: int = 4) -> DataFrame:
     """doc_id, lang, n_words, perplexity, threshold, kept for each row of ``docs`` (doc_id, text, lang).
 
     ``order`` is the model's, two or more. The threshold is the ``quantile`` of the perplexities of the trusted
     documents held back, by language and length (powers of four of the words); by language alone, and then over all, where
     there are fewer than ``least_documents``. Ids of trusted documents are broadcast up to
-    ``broadcast_labels`` of them, and joined beyond.
+    ``broadcast_labels`` of them, and joined beyond. The model's shards are made, and then all documents scored, in
+    ``rounds`` by hash, so that shuffle files of one round alone take up room on disk.
     """
     if order < 2:
         raise ValueError("the order is two or more")
@@ -713,10 +723,13 @@ def quality(docs: DataFrame, labels: DataFrame, *, order: int = 3, quantile: flo
     shards = max(_LEAST_SHARDS, sum(r[1] or 0 for r in sizes) // _SHARD_BYTES)
     counts = count_shards(training, known, order, shards)
     model = Model.of(counts, known, order, shards)
-    words_ = word_shards(counts, model)
+    path = folder(spark, "ngram-words")
+    words_ = word_shards(counts, model, rounds, path)
     weights = spark.sparkContext.broadcast(Weights(known, model, counts, words_))
     discard(counts)
-    scored = saved(log_scores(marked, words_, known, model, weights).withColumn("perplexity", F.exp(-F.col("score") / (F.col("n_words") + 1))).drop("score"), "ngram-scores")
+    turn = F.pmod(F.xxhash64("doc_id", F.lit("turn")), F.lit(rounds))
+    scored = saved_in_turn((log_scores(marked.filter(turn == k), path, known, model, weights) for k in range(rounds)), folder(spark, "ngram-scores"))
+    scored = scored.withColumn("perplexity", F.exp(-F.col("score") / (F.col("n_words") + 1))).drop("score")
     weights.unpersist()
     discard(words_, trusted)
     scored = scored.withColumn("length", F.floor(F.log2(F.greatest("n_words", F.lit(1))) / 2).cast("int"))

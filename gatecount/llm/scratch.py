@@ -11,7 +11,9 @@ from __future__ import annotations
 
 import re
 import uuid
+from collections.abc import Iterable
 
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 
 _CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
@@ -34,23 +36,37 @@ def saved(df: DataFrame, name: str, compression: str = "zstd", narrow: bool = Fa
     ``narrow`` tables, ids and links of what comes from a shuffle, go to an eighth as many files as the
     shuffle has partitions: each file costs a store several calls.
     """
-    spark = df.sparkSession
-    path = folder(spark, name)
     if narrow:
-        df = df.coalesce(max(1, partitions(spark) // 8))
-    before = spark.conf.get(_CLEAN_UP, "false")
-    spark.conf.set(_CLEAN_UP, "true")
-    try:
-        df.write.option("compression", compression).parquet(path)
-    finally:
-        spark.conf.set(_CLEAN_UP, before)
-    return spark.read.schema(df.schema).parquet(path)
+        df = df.coalesce(max(1, partitions(df.sparkSession) // 8))
+    return saved_in_turn([df], folder(df.sparkSession, name), compression)
+
+
+def saved_in_turn(rounds: Iterable[DataFrame], path: str, compression: str = "zstd", by: str | None = None) -> DataFrame:
+    """The rows of all ``rounds`` in one table at ``path``; shuffle files of a round are gone before the next one runs.
+
+    ``by`` names a column to whose values folders of their own are given, as ``column=value``.
+    """
+    for df in rounds:
+        spark, schema = df.sparkSession, df.schema
+        before = spark.conf.get(_CLEAN_UP, "false")
+        spark.conf.set(_CLEAN_UP, "true")
+        try:
+            writer = df.write.mode("append").option("compression", compression)
+            (writer.partitionBy(by) if by else writer).parquet(path)
+        finally:
+            spark.conf.set(_CLEAN_UP, before)
+    return spark.read.schema(schema).parquet(path)
+
+
+def arrow_place(uri: str) -> tuple[fs.FileSystem, str]:
+    """The file system and the path in it of a folder, for tasks that read or write files of their own there."""
+    return fs.FileSystem.from_uri(re.sub(r"^s3[an]://", "s3://", uri))
 
 
 def discard(*tables: DataFrame) -> None:
     """Deletes tables that ``saved`` gave; they can't be read any more."""
     for table in tables:
-        for top in {f.rpartition("/")[0] for f in table.inputFiles()}:
+        for top in {re.sub(r"(/\w+=[^/]*)?/[^/]*$", "", f) for f in table.inputFiles()}:
             if not re.search(r"-[0-9a-f]{32}$", top):
                 raise ValueError(f"{top} is not a scratch table")
             jvm, session = table.sparkSession._jvm, table.sparkSession._jsparkSession
