@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .scratch import saved
+from .scratch import discard, saved
 
 _ROUNDS = 60
 
@@ -20,10 +20,12 @@ def components(edges: DataFrame) -> DataFrame:
     """node, root: for each node of ``edges`` (u, v), but the roots themselves, the smallest node it can reach."""
     now = saved(_down(edges.select(F.col("u").alias("a"), F.col("v").alias("b"))), "components", narrow=True)
     was = None
-    for _ in range(_ROUNDS):
+    for k in range(_ROUNDS + 1):
         stat = tuple(now.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b"))).first())
         if stat == was or not stat[0]:
             break
+        if k == _ROUNDS:
+            raise RuntimeError(f"components are not settled after {_ROUNDS} rounds")
         was = stat
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
@@ -31,7 +33,8 @@ def components(edges: DataFrame) -> DataFrame:
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").select("a", "b", "m")
         small = small.select("a", F.col("m").alias("b")).unionByName(small.select(F.col("b").alias("a"), F.col("m").alias("b")))
-        now = saved(_down(small), "components", narrow=True)
+        before, now = now, saved(_down(small), "components", narrow=True)
+        discard(before)
     return now.select(F.col("a").alias("node"), F.col("b").alias("root"))
 
 

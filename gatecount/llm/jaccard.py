@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .scratch import bounded_batches, partitions, saved
+from .scratch import bounded_batches, discard, partitions, saved
 from .text import ASCII_LOWER, mix, pieces, ragged, shingles, span_hashes, words
 
 _CELL_BITS = 20
@@ -52,6 +52,7 @@ _BLOCK = 2048
 _LEAF = 32
 _BROADCAST_IDS = 1_000_000
 _MOST_SEEN = 1 << 18
+_KEPT_BYTES, _STACK_CELLS, _STACK_ROWS = 64 << 20, 1 << 22, 1 << 15
 
 
 _CODEC = pa.Codec("zstd", 1)
@@ -162,8 +163,8 @@ def set_table(docs: DataFrame, width: int) -> DataFrame:
 
 
 def shared_lists(sets: DataFrame) -> DataFrame:
-    """list, block, keys: the set keys that share a prefix shingle, where there are two or more; equal lists once."""
-    posts = sets.select(F.explode("prefix").alias("h"), "key").repartition(F.col("h")).sortWithinPartitions("h", "key")
+    """list, block, keys: the set keys that share a prefix shingle, where there are two or more, smaller sets first; equal lists once."""
+    posts = sets.select(F.explode("prefix").alias("h"), "key", "n").repartition(F.col("h")).sortWithinPartitions("h", "n", "key").select("h", "key")
 
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -331,6 +332,55 @@ def forest(i: np.ndarray, j: np.ndarray, slack: np.ndarray, root: np.ndarray) ->
     return np.array(kept, np.int64)
 
 
+class _Points:
+    """Packed points of some sets by place; what was unpacked last is kept, up to ``_KEPT_BYTES``."""
+
+    def __init__(self, packed: list[bytes], n: np.ndarray):
+        self.packed, self.level, self.held, self.size = packed, _levels(n), {}, 0
+
+    def at(self, k: int, groups: int) -> np.ndarray:
+        if (point := self.held.get((k, groups))) is None:
+            point = unpack_point(self.packed[k], 1 << int(self.level[k] + _FINER), groups)
+            if self.size > _KEPT_BYTES:
+                self.held, self.size = {}, 0
+            self.held[k, groups] = point
+            self.size += point.nbytes
+        return point
+
+    def bounds(self, u: np.ndarray, v: np.ndarray, finer: int) -> np.ndarray:
+        """For each pair the sum of the smaller counts, over 2^finer times the groups that the coarser point has in a tree."""
+        level, out = np.minimum(self.level[u], self.level[v]) + finer, np.zeros(len(u), np.int64)
+        for k in np.unique(level):
+            own, groups = np.flatnonzero(level == k), 1 << int(k)
+            step = max(1, _STACK_CELLS // groups)
+            for at in range(0, len(own), step):
+                part = own[at : at + step]
+                every, place = np.unique(np.concatenate([u[part], v[part]]), return_inverse=True)
+                stack = np.stack([self.at(int(i), groups) for i in every])
+                out[part] = np.minimum(stack[place[: len(part)]], stack[place[len(part) :]]).sum(axis=1, dtype=np.int64)
+        return out
+
+
+def small_pairs(unit: np.ndarray, at: np.ndarray, root: np.ndarray, n: np.ndarray, points: _Points) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(i, j, slack) of distinct pairs within the bound, of different roots, in lists of a leaf's size at most.
+
+    Rows are sorted by list (``unit``); ``at`` are their sets' places, by which ``root`` and ``n`` go.
+    """
+    begin = np.flatnonzero(np.append(True, unit[1:] != unit[:-1]))
+    size = np.diff(np.append(begin, len(unit)))
+    later = np.repeat(size, size) - 1 - ragged(size)
+    first = np.repeat(np.arange(len(unit)), later)
+    second = first + 1 + ragged(later)
+    i, j = np.minimum(at[first], at[second]), np.maximum(at[first], at[second])
+    fits = (root[i] != root[j]) & (4 * n[i] >= 3 * n[j]) & (4 * n[j] >= 3 * n[i])
+    i, j = np.divmod(np.unique(i[fits].astype(np.int64) * len(n) + j[fits]), len(n))
+    for finer in (0, _FINER):
+        bound, least = points.bounds(i, j, finer), _needed(n[i], n[j])
+        left = bound >= least
+        i, j, slack = i[left], j[left], (bound[left] / least[left]).astype(np.float32)
+    return i, j, slack
+
+
 def _first_pairs(lists: DataFrame, classes: DataFrame) -> DataFrame:
     """a, b: in each list every set with the smallest set of the list, where the bound allows a link."""
     least = lists.groupBy("list").agg(F.min(F.array_min("keys")).alias("key_a"))
@@ -354,35 +404,69 @@ def _first_pairs(lists: DataFrame, classes: DataFrame) -> DataFrame:
 def _tree_pairs_of_lists(lists: DataFrame, classes: DataFrame, roots: DataFrame, spanning: bool) -> DataFrame:
     """a, b: pairs within the bound, of different components, in the lists that hold several components.
 
-    ``spanning`` gives only as many pairs as would join all components of a list.
+    ``spanning`` gives only as many pairs as would join all components that meet in a task. Lists with the same smallest
+    set meet in one task, which gets the point of a set once, however many of the lists hold it.
     """
     spark = lists.sparkSession
-    blocks = lists.groupBy("list").agg((F.max("block") + 1).alias("blocks"))
-    members = lists.select("list", "block", F.explode("keys").alias("key")).join(classes.select("key", "rep"), "key")
-    members = members.join(roots, F.col("rep") == F.col("node"), "left").select("list", "block", "key", F.coalesce("root", "rep").alias("root"))
+    members = lists.select("list", "block", F.explode("keys").alias("key")).join(classes.select("key", "rep", "n"), "key")
+    members = members.join(roots, F.col("rep") == F.col("node"), "left").select("list", "block", "rep", "n", F.coalesce("root", "rep").alias("root"))
     members = saved(members, "jaccard-members", narrow=True)
-    mixed = members.groupBy("list").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high").select("list").join(blocks, "list")
-    members = members.join(mixed, "list").join(classes.select("key", "rep", "n", "point"), "key")
-    members = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    members = members.select("list", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "rep", "root", "n", "point")
+    blocks = members.groupBy("list", "block").agg(*[f("root").alias(x) for f, x in ((F.min, "least"), (F.max, "most"))], F.min("rep").alias("head"), F.min("n").alias("low"), F.max("n").alias("high"))
+    blocks = saved(blocks, "jaccard-blocks", narrow=True)
+    mixed = blocks.groupBy("list").agg(F.min("least").alias("least"), F.max("most").alias("most"), F.max("block").alias("last"), F.min("head").alias("head")).filter("least < most")
+    mixed = saved(mixed.select("list", "last", "head"), "jaccard-mixed", narrow=True)
     bins = 4 * partitions(spark)
-
-    def join(rows: pd.DataFrame) -> pd.DataFrame:
-        found = []
-        for (_, i, j), own in rows.groupby(["list", "i", "j"], sort=False):
-            root = own["root"].to_numpy()
-            if (root == root[0]).all():
+    short = members.join(mixed.filter("last = 0"), "list").select(F.pmod(F.xxhash64("head"), F.lit(bins)).alias("bin"), "list", F.lit(0).alias("i"), F.lit(0).alias("j"), "block", "rep", "root", "n")
+    # blocks of a long list hold sets of rising sizes: only those whose sizes fit are joined
+    long_ = blocks.join(mixed.filter("last > 0").select("list"), "list")
+    x, y = (long_.select("list", F.col("block").alias(b), F.col("low").alias(f"low_{b}"), F.col("high").alias(f"high_{b}")) for b in "ij")
+    pairs = x.join(y, "list").filter("i <= j and 3 * low_j <= 4 * high_i").select("list", "i", "j").withColumn("block", F.explode(F.array_distinct(F.array("i", "j"))))
+    cut = members.join(pairs, ["list", "block"]).select(F.pmod(F.xxhash64("list", "i", "j"), F.lit(bins)).alias("bin"), "list", "i", "j", "block", "rep", "root", "n")
+    rows = saved(short.unionByName(cut), "jaccard-units")
+    wanted = rows.select(F.col("bin").alias("w_bin"), F.col("rep").alias("w_rep")).distinct().join(classes.select(F.col("rep").alias("w_rep"), "point"), "w_rep")
+
+    def join(rows: pd.DataFrame, wanted: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values(["list", "i", "j"], kind="stable")
+        reps = np.sort(wanted["w_rep"].to_numpy())
+        packed = wanted.sort_values("w_rep")["point"].tolist()
+        at = np.searchsorted(reps, rows["rep"].to_numpy())
+        root, n = np.zeros(len(reps), np.int64), np.zeros(len(reps), np.int64)
+        root[at], n[at] = rows["root"].to_numpy(), rows["n"].to_numpy()
+        points = _Points(packed, n)
+        keys = [rows[c].to_numpy() for c in ("list", "i", "j")]
+        unit = np.cumsum(np.append(True, np.any([k[1:] != k[:-1] for k in keys], axis=0))) - 1 if len(rows) else np.zeros(0, np.int64)
+        size = np.bincount(unit)
+        small, found = size[unit] <= _LEAF, []
+        for part in _stretches(unit[small]):
+            found.append(small_pairs(unit[small][part], at[small][part], root, n, points))
+        begin = np.cumsum(size) - size
+        block = rows["block"].to_numpy()
+        for k in np.flatnonzero(size > _LEAF):
+            own = at[begin[k] : begin[k] + size[k]]
+            if (root[own] == root[own[0]]).all():
                 continue
-            rep = own["rep"].to_numpy()
-            u, v, slack = tree_pairs(own["n"].to_numpy(), own["point"].tolist(), own["block"].to_numpy() if i != j else None, root)
-            if spanning and len(u):
-                keep = forest(u, v, slack, root)
-                u, v = u[keep], v[keep]
-            found.append(np.stack([np.minimum(rep[u], rep[v]), np.maximum(rep[u], rep[v])], axis=1))
-        pairs = np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), np.int64)
-        return pd.DataFrame(pairs, columns=["a", "b"]).astype("int64")
+            side = block[begin[k] : begin[k] + size[k]] if keys[1][begin[k]] != keys[2][begin[k]] else None
+            u, v, slack = tree_pairs(n[own], [packed[x] for x in own], side, root[own])
+            found.append((np.minimum(own[u], own[v]), np.maximum(own[u], own[v]), slack))
+        u, v, slack = (np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.zeros(0, np.int64),) * 3
+        if spanning and len(u):
+            keep = forest(u, v, slack, root)
+            u, v = u[keep], v[keep]
+        return pd.DataFrame(np.unique(np.stack([reps[u], reps[v]], axis=1), axis=0), columns=["a", "b"]).astype("int64")
+
+    out = saved(rows.groupBy("bin").cogroup(wanted.groupBy("w_bin")).applyInPandas(join, "a long, b long").distinct(), "jaccard-bounded", narrow=True)
+    discard(members, blocks, mixed, rows)
+    return out
+
 
-    return members.withColumn("bin", F.pmod(F.xxhash64("list", "i", "j"), F.lit(bins))).groupBy("bin").applyInPandas(join, "a long, b long").distinct()
+def _stretches(unit: np.ndarray) -> Iterator[slice]:
+    """Runs of whole lists of about ``_STACK_ROWS`` rows."""
+    at = 0
+    while at < len(unit):
+        end = min(at + _STACK_ROWS, len(unit))
+        end = int(np.searchsorted(unit, unit[end - 1], "right"))
+        yield slice(at, end)
+        at = end
 
 
 def verified(pairs: DataFrame, docs: DataFrame, width: int) -> DataFrame:
@@ -411,7 +495,9 @@ def verified(pairs: DataFrame, docs: DataFrame, width: int) -> DataFrame:
 
     left = pairs.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("x")), "a")
     right = sets.select(F.col("id").alias("b"), F.col("shingles").alias("y"))
-    return saved(left.join(right, "b").select("a", "b", F.arrow_udf(linked, "boolean")("x", "y").alias("linked")).distinct(), "jaccard-links", narrow=True)
+    out = saved(left.join(right, "b").select("a", "b", F.arrow_udf(linked, "boolean")("x", "y").alias("linked")).distinct(), "jaccard-links", narrow=True)
+    discard(ids)
+    return out
 
 
 def similar_documents(docs: DataFrame, *, width: int = 5) -> DataFrame:
@@ -419,17 +505,24 @@ def similar_documents(docs: DataFrame, *, width: int = 5) -> DataFrame:
     bounded_batches(docs.sparkSession)
     sets = set_table(docs, width)
     real = sets.filter("n > 0 and doc_id is not null")
-    classes = saved(real.groupBy("key").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("point").alias("point")), "jaccard-classes")
     lists = shared_lists(real)
-    tried = verified(saved(_first_pairs(lists, classes), "jaccard-pairs", narrow=True), docs, width)
+    classes = saved(real.groupBy("key").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("point").alias("point")), "jaccard-classes")
+    slim = saved(sets.select("doc_id", "n", "key"), "jaccard-keys")
+    discard(sets)
+    pairs = saved(_first_pairs(lists, classes), "jaccard-pairs", narrow=True)
+    tried = verified(pairs, docs, width)
+    discard(pairs)
     roots = components(tried.filter("linked").select(F.col("a").alias("u"), F.col("b").alias("v")))
     for spanning in (True, False):
         more = _tree_pairs_of_lists(lists, classes, roots, spanning)
         known = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        checked = verified(saved(more.join(known, ["a", "b"], "left_anti"), "jaccard-pairs", narrow=True), docs, width)
+        pairs = saved(more.join(known, ["a", "b"], "left_anti"), "jaccard-pairs", narrow=True)
+        checked = verified(pairs, docs, width)
+        discard(more, pairs)
         links = checked.filter("linked").select(F.col("a").alias("u"), F.col("b").alias("v"))
         roots = components(links.unionByName(roots.select(F.col("node").alias("u"), F.col("root").alias("v"))))
         tried = tried.unionByName(checked)
+    discard(lists)
     reps = classes.select("key", "rep").join(roots, F.col("rep") == F.col("node"), "left").select("key", F.coalesce("root", "rep").alias("component"))
-    out = sets.join(reps, "key", "left")
+    out = slim.join(reps, "key", "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))

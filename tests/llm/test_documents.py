@@ -79,7 +79,7 @@ def test_jaccard_in_small_blocks(spark, monkeypatch):
 
 def test_long_lists_that_end_with_a_batch(spark, monkeypatch):
     monkeypatch.setattr(jaccard, "_BLOCK", 4)
-    sets = spark.createDataFrame([(k, [7]) for k in range(30)] + [(k, [9]) for k in range(100, 103)], "key long, prefix array<long>")
+    sets = spark.createDataFrame([(k, [7], k % 4) for k in range(30)] + [(k, [9], 1) for k in range(100, 103)], "key long, prefix array<long>, n long")
     size = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "8")
     try:
@@ -92,6 +92,18 @@ def test_long_lists_that_end_with_a_batch(spark, monkeypatch):
     assert [list(r.keys) for r in rows if r.list != 7] == [[100, 101, 102]]
 
 
+def test_jaccard_with_one_hot_shingle_over_many_blocks(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "_BLOCK", 40)
+    rng = np.random.default_rng(5)
+    texts = []
+    for k in range(150):  # short texts round one passage, of rising sizes, so that its list has many blocks and leaves
+        base = ["hot", "words", "in", "every", "text", *[f"w{x}" for x in rng.integers(0, 9999, 1 + k % 30)]]
+        texts += [" ".join(base), " ".join([*base[:-1], "other"])]
+    ids = list(range(len(texts)))
+    got = jaccard.similar_documents(documents(spark, texts)).collect()
+    assert sorted(map(tuple, got)) == sorted(components(texts, ids))
+
+
 def test_tree_pairs_lose_nothing():
     rng = np.random.default_rng(0)
     sets = [set(rng.choice(3000, rng.integers(20, 200), replace=False).tolist()) for _ in range(40)]
