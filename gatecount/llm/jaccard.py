@@ -52,7 +52,7 @@ _BLOCK = 2048
 _LEAF = 32
 _BROADCAST_IDS = 1_000_000
 _MOST_SEEN = 1 << 18
-_KEPT_BYTES, _STACK_CELLS, _STACK_ROWS = 64 << 20, 1 << 22, 1 << 15
+_KEPT_BYTES, _STACK_CELLS, _STACK_ROWS, _HEAD_ROWS = 64 << 20, 1 << 22, 1 << 15, 512
 
 
 _CODEC = pa.Codec("zstd", 1)
@@ -405,18 +405,20 @@ def _tree_pairs_of_lists(lists: DataFrame, classes: DataFrame, roots: DataFrame,
     """a, b: pairs within the bound, of different components, in the lists that hold several components.
 
     ``spanning`` gives only as many pairs as would join all components that meet in a task. Lists with the same smallest
-    set meet in one task, which gets the point of a set once, however many of the lists hold it.
+    set meet in one task, or in as many as their rows ask for; a task gets the point of a set once, however many of its lists hold it.
     """
     spark = lists.sparkSession
     members = lists.select("list", "block", F.explode("keys").alias("key")).join(classes.select("key", "rep", "n"), "key")
     members = members.join(roots, F.col("rep") == F.col("node"), "left").select("list", "block", "rep", "n", F.coalesce("root", "rep").alias("root"))
     members = saved(members, "jaccard-members", narrow=True)
-    blocks = members.groupBy("list", "block").agg(*[f("root").alias(x) for f, x in ((F.min, "least"), (F.max, "most"))], F.min("rep").alias("head"), F.min("n").alias("low"), F.max("n").alias("high"))
+    blocks = members.groupBy("list", "block").agg(*[f("root").alias(x) for f, x in ((F.min, "least"), (F.max, "most"))], F.min("rep").alias("head"), F.min("n").alias("low"), F.max("n").alias("high"), F.count(F.lit(1)).alias("rows"))
     blocks = saved(blocks, "jaccard-blocks", narrow=True)
-    mixed = blocks.groupBy("list").agg(F.min("least").alias("least"), F.max("most").alias("most"), F.max("block").alias("last"), F.min("head").alias("head")).filter("least < most")
-    mixed = saved(mixed.select("list", "last", "head"), "jaccard-mixed", narrow=True)
+    mixed = blocks.groupBy("list").agg(F.min("least").alias("least"), F.max("most").alias("most"), F.max("block").alias("last"), F.min("head").alias("head"), F.sum("rows").alias("rows")).filter("least < most")
+    mixed = saved(mixed.select("list", "last", "head", "rows"), "jaccard-mixed", narrow=True)
+    heads = mixed.filter("last = 0").groupBy("head").agg(F.ceil(F.sum("rows") / _HEAD_ROWS).alias("salts"))
+    light = mixed.filter("last = 0").join(heads, "head").select("list", F.pmod(F.xxhash64("head", F.pmod(F.xxhash64("list"), F.col("salts"))), F.lit(4 * partitions(spark))).alias("bin"))
     bins = 4 * partitions(spark)
-    short = members.join(mixed.filter("last = 0"), "list").select(F.pmod(F.xxhash64("head"), F.lit(bins)).alias("bin"), "list", F.lit(0).alias("i"), F.lit(0).alias("j"), "block", "rep", "root", "n")
+    short = members.join(light, "list").select("bin", "list", F.lit(0).alias("i"), F.lit(0).alias("j"), "block", "rep", "root", "n")
     # blocks of a long list hold sets of rising sizes: only those whose sizes fit are joined
     long_ = blocks.join(mixed.filter("last > 0").select("list"), "list")
     x, y = (long_.select("list", F.col("block").alias(b), F.col("low").alias(f"low_{b}"), F.col("high").alias(f"high_{b}")) for b in "ij")

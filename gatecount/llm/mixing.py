@@ -122,8 +122,8 @@ def mix(docs: DataFrame, *, weights: tuple[int, ...] = (5, 2, 1), share: float =
     """(documents, targets, pieces) of the mix of ``docs`` (doc_id, source, text).
 
     documents: doc_id, source, size. targets: see ``source_targets``. pieces: slot, source,
-    doc_id, size, start, n_words: the words that a slot takes of a document, in one row for each
-    document that its block touches. Sorting by slot gives the mix.
+    doc_id, size, turn, start, n_words: the words that a slot takes of a document, in one row for each
+    document that its block touches; ``turn`` counts the passes over the source. Sorting by slot gives the mix.
     """
     bounded_batches(docs.sparkSession)
     sized = saved(docs.select("doc_id", "source", word_count(F.col("text")).alias("size")), "mix-sizes")
@@ -132,24 +132,32 @@ def mix(docs: DataFrame, *, weights: tuple[int, ...] = (5, 2, 1), share: float =
     stream = stream_positions(sized.filter("size > 0"), seed)
     t = targets.select(F.col("source").alias("t_source"), "source_size", F.round("target").cast("long").alias("words"))
     stream = stream.join(t, F.col("source").eqNullSafe(F.col("t_source")))
-    stream = stream.withColumn("at", F.explode(F.sequence(F.col("pos"), F.col("pos") + F.col("source_size") * (max_repeats - 1), F.col("source_size"))))
+    stream = stream.withColumn("turn", F.explode(F.sequence(F.lit(0), F.lit(max_repeats - 1)))).withColumn("at", F.col("pos") + F.col("turn") * F.col("source_size"))
     stream = stream.withColumn("stop", F.least(F.col("at") + F.col("size"), F.col("words"))).filter("at < stop")
     first, last = F.floor(F.col("at") / block_words).cast("long"), F.floor((F.col("stop") - 1) / block_words).cast("long")
     stream = stream.withColumn("block", F.explode(F.sequence(first, last)))
     start, end = F.greatest(F.col("at"), F.col("block") * block_words), F.least(F.col("stop"), (F.col("block") + 1) * block_words)
-    cut = stream.select(F.col("source").alias("d_source"), F.col("block").alias("d_block"), "doc_id", "size", (start - F.col("at")).alias("start"), (end - start).alias("n_words"))
+    cut = stream.select(F.col("source").alias("d_source"), F.col("block").alias("d_block"), "doc_id", "size", "turn", (start - F.col("at")).alias("start"), (end - start).alias("n_words"))
     # the stream's own salt: a source's blocks are spread over tasks because the block is part of the key
     pieces_ = plan.join(cut, plan["source"].eqNullSafe(F.col("d_source")) & (F.col("block") == F.col("d_block")))
-    return sized, targets, pieces_.select("slot", "source", "doc_id", "size", "start", "n_words")
+    return sized, targets, pieces_.select("slot", "source", "doc_id", "size", "turn", "start", "n_words")
+
+
+def placements(docs: DataFrame, **options) -> tuple[DataFrame, int]:
+    """(doc_id, size, turn, slot of the document for each pass of the mix that takes half of its words or more; slots in all)."""
+    _, targets, taken = mix(docs, **options)
+    placed = taken.groupBy("doc_id", "size", "turn").agg(F.min("slot").alias("slot"), F.sum("n_words").alias("n_words")).filter(F.col("n_words") * 2 >= F.col("size"))
+    placed = saved(placed.drop("n_words"), "mix-slots", narrow=True)
+    return placed, int(placed.agg(F.coalesce(F.max("slot"), F.lit(0))).first()[0]) + 1
 
 
 def taken_words(docs: DataFrame, **options) -> DataFrame:
-    """doc_id, size, source, source_size, target, taken of every row of ``docs``.
+    """doc_id, size, source, source_size, target, taken, slot of every row of ``docs``; slot is the first that takes a word of it.
 
     Repeated rows with one doc_id share their words evenly by size, the first of them by order.
     """
     sized, targets, taken = mix(docs, **options)
-    taken = taken.groupBy(F.col("doc_id").alias("p_id"), F.col("source").alias("p_source"), F.col("size").alias("p_size")).agg(F.sum("n_words").alias("taken"))
+    taken = taken.groupBy(F.col("doc_id").alias("p_id"), F.col("source").alias("p_source"), F.col("size").alias("p_size")).agg(F.sum("n_words").alias("taken"), F.min("slot").alias("slot"))
     copies = Window.partitionBy("doc_id", "source", "size")
     numbered = sized.withColumn("copy", F.row_number().over(copies.orderBy("doc_id"))).withColumn("copies", F.count(F.lit(1)).over(copies))
     t = targets.withColumnRenamed("source", "t_source")
@@ -157,4 +165,4 @@ def taken_words(docs: DataFrame, **options) -> DataFrame:
     out = out.join(taken, F.col("doc_id").eqNullSafe(F.col("p_id")) & F.col("source").eqNullSafe(F.col("p_source")) & (F.col("size") == F.col("p_size")), "left")
     words_ = F.coalesce(F.col("taken"), F.lit(0))
     each = F.floor(words_ / F.col("copies")).cast("long")
-    return out.select("doc_id", "size", "source", "source_size", "target", (each + F.when(F.col("copy") <= words_ - each * F.col("copies"), 1).otherwise(0)).cast("long").alias("taken"))
+    return out.select("doc_id", "size", "source", "source_size", "target", (each + F.when(F.col("copy") <= words_ - each * F.col("copies"), 1).otherwise(0)).cast("long").alias("taken"), "slot")

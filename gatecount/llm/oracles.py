@@ -24,8 +24,12 @@ ORACLE_SQL: dict[str, str] = {
         targets as (select source, s, case when full_ then cap else w * ((total - coalesce(sum(case when full_ then cap end) over (), 0e0)) / sum(case when not full_ then w end) over ()) end as target from capped),
         keyed as (select *, md5(concat('0:', coalesce(cast(doc_id as varchar), ''))) as k from d),
         placed as (select *, sum(size) over (partition by source order by cast(concat('0x', substr(k, 1, 5)) as bigint) % 1024, k, doc_id, size rows between unbounded preceding and current row) - size as pos from keyed)
-        select p.doc_id, cast(size as bigint) as size, cast(s as bigint) as source_size, target, cast(least(greatest(round(target) - pos, 0), size) + least(greatest(round(target) - s - pos, 0), size) as bigint) as taken
-        from placed p join targets t on p.source is not distinct from t.source""",
+        quotas as (select source, cast(ceil(round(target) / 1024) as bigint) as quota from targets where round(target) > 0),
+        arcs as (select source, quota, cast(floor((sum(quota) over up - quota) * 2147483648e0 / sum(quota) over ()) as bigint) as low, cast(floor(sum(quota) over up * 2147483648e0 / sum(quota) over ()) as bigint) as high from quotas window up as (order by source nulls last rows between unbounded preceding and current row)),
+        points as (select k as slot, ((k + 1) % 2147483648) * 1327217885 % 2147483648 as point from range(cast(3 * (select sum(quota) from quotas) as bigint)) r(k)),
+        slots as (select slot, source, row_number() over (partition by source order by slot) - 1 as block from points join arcs on point >= low and point < high)
+        select p.doc_id, cast(size as bigint) as size, cast(s as bigint) as source_size, target, cast(least(greatest(round(target) - pos, 0), size) + least(greatest(round(target) - s - pos, 0), size) as bigint) as taken, case when size > 0 and pos < round(target) then slots.slot end as slot
+        from placed p join targets t on p.source is not distinct from t.source left join slots on slots.source is not distinct from p.source and slots.block = cast(pos as bigint) // 1024""",
     "op9_warc": """with p as (select page_id, cast(strlen(coalesce(html, '')) as bigint) as payload_bytes, sha1(coalesce(html, '')) as payload_digest from pages),
         k as (select payload_digest, max(page_id) as kept from p where payload_bytes >= 1000 group by payload_digest)
         select p.page_id, payload_bytes, p.payload_digest, case when kept > page_id then 'revisit' else 'response' end as record_type, case when kept > page_id then kept end as refers_to from p left join k on p.payload_digest = k.payload_digest""",

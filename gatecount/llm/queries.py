@@ -39,7 +39,7 @@ def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .mixing import taken_words
 
-    return taken_words(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+    return taken_words(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "slot")
 
 
 def op6_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
