@@ -5,7 +5,7 @@ stages the documents are written as Parquet to the shared folder and read again.
 are tables of ids; they are broadcast up to ``BROADCAST_IDS`` rows, and joined by shuffle beyond.
 
 Documents without an id carry no decision of the filtering stages and stay; rows that repeat an
-id share its decisions.
+id share its decisions of quality, and are not compared with others.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gatecount.llm import jaccard, langid, mixing, ngram, packing
-from gatecount.llm.scratch import saved
+from gatecount.llm.scratch import partitions, saved
 
 BROADCAST_IDS = 1_000_000
 LEAST_LANGUAGE_SCORE = 0.5
@@ -44,24 +44,33 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of copies and near copies: that with the smallest id."""
-    found = saved(jaccard.similar_documents(docs).select("doc_id", "component_id"), "components", narrow=True)
-    dropped = saved(found.filter("doc_id != component_id").select("doc_id").distinct(), "dropped", narrow=True)
-    kept = docs.join(_sized(dropped), "doc_id", "left_anti")
-    repeated = saved(found.filter("doc_id = component_id").groupBy("doc_id").count().filter("count > 1").select("doc_id"), "repeated", narrow=True)
-    if repeated.isEmpty():
-        return kept.select(*COLUMNS)
-    again = _sized(repeated)
-    once = kept.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.join(again, "doc_id", "left_anti").select(*COLUMNS).unionByName(once.select(*COLUMNS))
+    """One document of each group of copies and near copies: that with the smallest id.
+
+    Rows that share an id can't be told apart by a decision: they stay, equal ones once.
+    """
+    repeated = saved(docs.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").select("doc_id"), "repeated", narrow=True)
+    again = None if repeated.isEmpty() else _sized(repeated)
+    alone = docs if again is None else docs.join(again, "doc_id", "left_anti")
+    found = jaccard.similar_documents(alone)
+    dropped = saved(found.filter("doc_id != component_id").select("doc_id"), "dropped", narrow=True)
+    kept = alone.join(_sized(dropped), "doc_id", "left_anti").select(*COLUMNS)
+    if again is None:
+        return kept
+    return kept.unionByName(docs.join(again, "doc_id", "left_semi").select(*COLUMNS).dropDuplicates(["doc_id", "text"]))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often, nought to two times, as the mix of sources takes their words, rounded."""
-    taken = mixing.taken_words(docs).filter("size > 0").groupBy("doc_id").agg(F.max(F.round(F.col("taken") / F.col("size"))).cast("int").alias("times"))
-    other = saved(taken.filter("times != 1"), "times", narrow=True)
-    times = docs.join(_sized(other), "doc_id", "left").withColumn("times", F.coalesce("times", F.lit(1)))
-    return times.filter("times > 0").withColumn("pass", F.explode(F.sequence(F.lit(1), F.col("times")))).select(*COLUMNS)
+    """Documents in the order of the mix, as often, nought to two times, as it takes half of their words or more.
+
+    Documents without words take no part in the mix; they stay once, at its start.
+    """
+    placed, slots = mixing.placements(docs)
+    sized = docs.withColumn("size", mixing.word_count(F.col("text")))
+    t = placed.select(F.col("doc_id").alias("t_id"), F.col("size").alias("t_size"), "slot")
+    mixed = sized.join(t, F.col("doc_id").eqNullSafe(F.col("t_id")) & (F.col("size") == F.col("t_size")), "left").filter("slot is not null or size = 0")
+    n = partitions(spark)
+    bucket = F.floor(F.coalesce("slot", F.lit(0)) * n / slots).cast("int")
+    return mixed.repartitionById(n, bucket).sortWithinPartitions("slot", "doc_id").select(*COLUMNS)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
