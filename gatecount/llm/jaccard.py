@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 
 from .components import components
 from .scratch import bounded_batches, discard, partitions, saved
-from .text import ASCII_LOWER, mix, pieces, ragged, shingles, span_hashes, words
+from .text import ASCII_LOWER, give_back, mix, pieces, ragged, shingles, span_hashes, words
 
 _CELL_BITS = 20
 _CHUNK_CELLS = 1 << 16
@@ -157,6 +157,7 @@ def set_table(docs: DataFrame, width: int) -> DataFrame:
                 ends = np.concatenate([[0], np.cumsum(take)]).astype(np.int32)
                 cols = [pa.array(n, kinds[0]), pa.array(key.view(np.int64), kinds[1], mask=n == 0), pa.array(points, kinds[2]), pa.ListArray.from_arrays(pa.array(ends), pa.array(chosen))]
                 yield pa.record_batch([batch.column(0).slice(first, rows), *cols], names=["doc_id", "n", "key", "point", "prefix"])
+        give_back()
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(describe, "doc_id long, n long, key long, point binary, prefix array<long>")
     return saved(rows, "jaccard-sets")
@@ -215,6 +216,7 @@ def shared_lists(sets: DataFrame) -> DataFrame:
             h, k = h[rest:], k[rest:]
             if rows:
                 yield as_lists(rows)
+        give_back()
 
     def as_lists(rows: list) -> pa.RecordBatch:
         return pa.record_batch([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int32()), pa.array([r[2] for r in rows], pa.list_(pa.int64()))], names=["list", "block", "keys"])
@@ -454,6 +456,7 @@ def _tree_pairs_of_lists(lists: DataFrame, classes: DataFrame, roots: DataFrame,
         if spanning and len(u):
             keep = forest(u, v, slack, root)
             u, v = u[keep], v[keep]
+        give_back()
         return pd.DataFrame(np.unique(np.stack([reps[u], reps[v]], axis=1), axis=0), columns=["a", "b"]).astype("int64")
 
     out = saved(rows.groupBy("bin").cogroup(wanted.groupBy("w_bin")).applyInPandas(join, "a long, b long").distinct(), "jaccard-bounded", narrow=True)

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .scratch import bounded_batches, saved
-from .text import pieces, span_hashes, words
+from .text import give_back, pieces, span_hashes, words
 
 if TYPE_CHECKING:
     import pandas as pd
@@ -207,6 +207,7 @@ def predict(docs: DataFrame, model: Model, *, text: str = "text", steady: int =
                 score = np.where(seen > 0, 1 / np.exp(mean - mean.max(axis=1, keepdims=True)).sum(axis=1), 0.0)
                 pred = pa.array(np.array(languages, object)[best], pa.string())
                 yield pa.record_batch([*batch.slice(first, n).columns, pred, pa.array(score, pa.float64())], names=[*names, "lang_pred", "score"])
+        give_back()
 
     bounded_batches(docs.sparkSession)
     return docs.select(*[F.col(f"`{n}`") for n in names]).mapInArrow(run, schema)

@@ -40,10 +40,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .scratch import arrow_place, bounded_batches, discard, folder, partitions, saved, saved_in_turn
-from .text import mix, pieces, ragged, span_hashes, words
+from .text import give_back, mix, pieces, ragged, span_hashes, words
 
 _LEAST_SHARDS, _SHARD_BYTES = 32, 16 << 20  # bytes of training text that make a shard
-_BLOCK_WORDS, _BLOCK_ROWS, _HELD_WORDS = 3_000_000, 1 << 15, 4_000_000
+_BLOCK_WORDS, _BLOCK_ROWS, _HELD_WORDS = 1_500_000, 1 << 15, 1_000_000
 _CLASSES, _CLASS_BITS, _RESERVED = 32, 5, 34  # shape classes; classes and text borders
 _WORD_BITS = 45  # of a word's hash, with its class
 _MARK_BITS = (32, 24)  # that tell the nearest word before a gram, and any further one
@@ -234,10 +234,10 @@ class Nested:
         return ["<u8", *["<u4", "<u4"] * (levels - 1)]
 
 
-def _grams(row: np.ndarray, lang: np.ndarray, h: np.ndarray, known: Languages, order: int) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
-    """(row, language, [word, word before it, ...]) of each n-gram; rows have borders before and one after their words."""
+def _grams(row: np.ndarray, lang: np.ndarray, h: np.ndarray, known: Languages, order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(row of each n-gram, place of its last word in the run, language of the run, run); the run is all rows' words, with borders before and one after each row."""
     if not len(row):
-        return row, lang, [h] * order
+        return row, row, lang, h
     begins = np.flatnonzero(np.diff(row, prepend=-1))
     n = np.diff(np.append(begins, len(row)))
     first = np.cumsum(n + order) - (n + order)
@@ -245,7 +245,7 @@ def _grams(row: np.ndarray, lang: np.ndarray, h: np.ndarray, known: Languages, o
     run[np.repeat(first + order - 1, n) + ragged(n)] = h
     run[first + n + order - 1] = known.end[lang[begins]]
     at = np.repeat(first + order - 1, n + 1) + ragged(n + 1)
-    return np.repeat(row[begins], n + 1), np.repeat(lang[begins], n + 1), [run[at - k] for k in range(order)]
+    return np.repeat(row[begins], n + 1), at, np.repeat(lang[begins], n + order), run
 
 
 def _fold(columns: list[np.ndarray], size: int) -> np.ndarray:
@@ -310,9 +310,12 @@ def count_shards(training: DataFrame, known: Languages, order: int, shards: int)
             return pa.record_batch([pa.array([x[0] for x in rows], pa.int32()), pa.array([x[1] for x in rows], pa.binary())], names=["shard", "data"])
 
         def flush() -> pa.RecordBatch:
-            lang, *columns = (np.concatenate([x[c] for x in parts]) for c in range(order + 1))
-            word, some, back = np.unique(np.concatenate(columns), return_index=True, return_inverse=True)
-            counts = Counts.of(word, np.tile(lang, order)[some], np.split(back.reshape(-1), order), None)
+            begins = np.cumsum([0, *[len(x[2]) for x in parts]])
+            at, lang, run = np.concatenate([x[0] + k for x, k in zip(parts, begins, strict=False)]), *(np.concatenate([x[c] for x in parts]) for c in (1, 2))
+            parts.clear()
+            word, some, back = np.unique(run, return_index=True, return_inverse=True)
+            back = back.astype(np.int32)
+            counts = Counts.of(word, lang[some], [back[at - k] for k in (*range(1, order), 0)], None)
             at = np.searchsorted(_shard_of(word[counts.columns[0]], shards), np.arange(shards + 1))
             return out([(s, counts.pack(slice(a, b))) for s, (a, b) in enumerate(zip(at, at[1:], strict=False)) if a < b])
 
@@ -328,17 +331,18 @@ def count_shards(training: DataFrame, known: Languages, order: int, shards: int)
                 begun = np.maximum.accumulate(np.where(depth > 0, np.arange(len(data) + 1), 0))[: len(data)]
                 for codes, own in ((inner[inside], of_byte[begun[inside]]), (opens, lang), (closes, lang)):
                     letters += np.bincount(own * _PAIRS + codes, minlength=len(letters))
-                _, own, (w, *before) = _grams(row, lang, h, known, order)
-                parts.append((own, *before, w))
-                size += len(w)
-            if size >= _HELD_WORDS:
-                yield flush()
-                parts, size = [], 0
+                _, *run = _grams(row, lang, h, known, order)
+                parts.append(run)
+                size += len(run[0])
+                if size >= _HELD_WORDS:
+                    yield flush()
+                    size = 0
         if size:
             yield flush()
         at = np.flatnonzero(letters)
         if len(at):
             yield out([(-1, _pack(at, letters[at]))])
+        give_back()
 
     def merge(rows: pd.DataFrame) -> pd.DataFrame:
         shard = int(rows["shard"].iloc[0])
@@ -586,8 +590,9 @@ def log_scores(docs: DataFrame, path: str, known: Languages, model: Model, sent_
         n_rows = n_words = 0
 
         def flush() -> pa.RecordBatch:
-            nonlocal block, held, table, n_rows, n_words
+            nonlocal block, table, n_rows, n_words
             doc, none, base, sizes, *columns = (np.concatenate([x[c] for x in held]) for c in range(4 + order))
+            held.clear()
             nested, places = Nested.of(columns)
             new = np.zeros(len(nested.keys[0]), np.float32)
             new[places[0]] = none
@@ -606,7 +611,7 @@ def log_scores(docs: DataFrame, path: str, known: Languages, model: Model, sent_
             info_ = _pack(base.astype(np.float64), sizes.astype(np.uint32))
             out.append((block % shards, block, True, len(info_).to_bytes(8, "little") + info_ + sink.getvalue().to_pybytes()))
             group = int(mix(np.array([block], np.uint64))[0] % np.uint64(groups))
-            block, held, table, n_rows, n_words = block + 1, [], [], 0, 0
+            block, table, n_rows, n_words = block + 1, [], 0, 0
             cols = list(zip(*out, strict=True))
             return pa.record_batch([pa.array(cols[0], pa.int32()), pa.array([group] * len(out), pa.int32()), pa.array(cols[1], pa.int64()), pa.array(cols[2]), pa.array(cols[3], pa.binary())], names=["shard", "part", "block", "info", "data"])
 
@@ -620,7 +625,7 @@ def log_scores(docs: DataFrame, path: str, known: Languages, model: Model, sent_
                 for a in range(first, last, _BLOCK_ROWS):
                     b = min(last, a + _BLOCK_ROWS)
                     inside = (row >= a - first) & (row < b - first)
-                    rows, _, columns = _grams(row[inside] - (a - first), lang[inside], h[inside], known, order)
+                    rows, at, _, run = _grams(row[inside] - (a - first), lang[inside], h[inside], known, order)
                     # a row's grams are its words and then its end, which is never unseen
                     spare = np.zeros(len(rows), np.float32)
                     spare[np.append(rows[1:] == rows[:-1], False) if len(rows) else []] = none[inside]
@@ -630,7 +635,7 @@ def log_scores(docs: DataFrame, path: str, known: Languages, model: Model, sent_
                     base[known_] = np.where(has[known_], weights.log_start[langs[a:b][known_]], 0.0)
                     if n_rows + b - a > _BLOCK_ROWS:
                         yield flush()
-                    held.append((rows + n_rows, spare, base, sizes[a - first : b - first], *columns))
+                    held.append((rows + n_rows, spare, base, sizes[a - first : b - first], *[run[at - k] for k in range(order)]))
                     table.append(batch.slice(a, b - a).select(names))
                     n_rows += b - a
                     n_words += len(rows)
@@ -638,6 +643,7 @@ def log_scores(docs: DataFrame, path: str, known: Languages, model: Model, sent_
                         yield flush()
         if held:
             yield flush()
+        give_back()
 
     def join(blocks: pd.DataFrame) -> pd.DataFrame:
         place, top = arrow_place(f"{path}/shard={blocks['shard'].iloc[0]}")
@@ -672,6 +678,7 @@ def log_scores(docs: DataFrame, path: str, known: Languages, model: Model, sent_
             score[seen] += total
         with pa.ipc.open_stream(data[8 + size :]) as reader:
             frame = reader.read_all().to_pandas()
+        give_back()
         return frame.assign(n_words=n.astype(np.int64), score=np.where(np.isnan(score) | (n == 0), None, score))
 
     rows = docs.mapInArrow(emit, "shard int, part int, block long, info boolean, data binary")

@@ -7,6 +7,7 @@ follow the batch; a single longer text makes one longer piece.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,6 +23,11 @@ SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 ASCII_LOWER = np.arange(256, dtype=np.uint8)
 ASCII_LOWER[65:91] += 32
 
+try:
+    _trim = ctypes.CDLL("libc.so.6").malloc_trim
+except (OSError, AttributeError):  # another C library
+    _trim = None
+
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
@@ -49,6 +55,13 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def give_back() -> None:
+    """Returns freed memory to the system: Python workers stay for later stages, and would keep it beside what those need."""
+    pa.default_memory_pool().release_unused()
+    if _trim is not None:
+        _trim(0)
+
+
 def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets) of a string or binary column; a null is an empty text."""
     if isinstance(column, pa.ChunkedArray):
