@@ -36,7 +36,7 @@ import pyarrow as pa
 import pyarrow.parquet as pq
 from pyarrow import fs
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .scratch import arrow_place, bounded_batches, discard, folder, partitions, saved, saved_in_turn
@@ -299,8 +299,33 @@ class Counts:
         return first, back, np.stack([np.bincount(back, weights=x, minlength=len(first)) for x in (n, n == 1, n == 2, n > 2)])
 
 
-def count_shards(training: DataFrame, known: Languages, order: int, shards: int) -> DataFrame:
-    """shard, data: the distinct n-grams of (lang, text) and their counts, in shards by the word before the last; shard -1 has the counts of byte pairs."""
+ROLE_COLUMNS = ("doc_id", "lang", "text", "held", "trusted")
+
+
+class Trusted:
+    """Which rows are trusted: by a broadcast of packed ids, about a byte each, or else by the rows' own column."""
+
+    def __init__(self, ids: DataFrame | None):
+        self.sent = None
+        if ids is not None:
+            values = np.sort(ids.toArrow().column(0).to_numpy()).astype(np.int64)
+            self.sent = ids.sparkSession.sparkContext.broadcast(_pack(np.diff(values, prepend=0)))
+        self.ids: np.ndarray | None = None
+
+    def roles(self, batch: pa.RecordBatch) -> np.ndarray:
+        """0 for rows that are not trusted, 1 for those that count, 2 for those held back."""
+        ids, held = batch.column(0), batch.column(3).to_numpy(zero_copy_only=False)
+        if self.sent is None:
+            good = batch.column(4).fill_null(False).to_numpy(zero_copy_only=False)
+        else:
+            if self.ids is None:
+                self.ids = np.cumsum(_unpack(self.sent.value, "<i8")[0])
+            good = (_found(self.ids, ids.cast(pa.int64()).fill_null(0).to_numpy(zero_copy_only=False)) >= 0) & ~np.asarray(ids.is_null())
+        return np.where(good, np.where(held, 2, 1), 0)
+
+
+def count_shards(docs: DataFrame, trusted: Trusted, known: Languages, order: int, shards: int) -> DataFrame:
+    """shard, data: the distinct n-grams of trusted documents (ROLE_COLUMNS) but those held back, and their counts, in shards by the word before the last; shard -1 has the counts of byte pairs."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, size = [], 0
@@ -320,8 +345,9 @@ def count_shards(training: DataFrame, known: Languages, order: int, shards: int)
             return out([(s, counts.pack(slice(a, b))) for s, (a, b) in enumerate(zip(at, at[1:], strict=False)) if a < b])
 
         for batch in batches:
-            langs = _lang_index(batch.column(0), known.names)
-            for first, _, row, h, data, start, end in _read(batch.column(1), langs, known):
+            batch = batch.filter(pa.array(trusted.roles(batch) == 1))
+            langs = _lang_index(batch.column(1), known.names)
+            for first, _, row, h, data, start, end in _read(batch.column(2), langs, known):
                 lang = langs[first + row]
                 inner, opens, closes = _byte_pairs(data, start, end)
                 of_byte, depth = np.zeros(len(data) + 1, np.int64), np.zeros(len(data) + 1, np.int64)
@@ -358,7 +384,7 @@ def count_shards(training: DataFrame, known: Languages, order: int, shards: int)
         columns = [np.concatenate([back[a:][p.columns[c]] for p, a in zip(parts, ends, strict=False)]) for c in range(order)]
         return pd.DataFrame({"shard": [shard], "data": [Counts.of(word, langs, columns, np.concatenate([p.n for p in parts])).pack()]})
 
-    rows = training.select("lang", "text").mapInArrow(emit, "shard int, data binary")
+    rows = docs.select(*ROLE_COLUMNS).mapInArrow(emit, "shard int, data binary")
     return saved(rows.groupBy("shard").applyInPandas(merge, "shard int, data binary"), "ngram-counts", "none")
 
 
@@ -575,10 +601,9 @@ def _found(table: np.ndarray, wanted: np.ndarray) -> np.ndarray:
     return np.where(table[at] == wanted, at, -1)
 
 
-def log_scores(docs: DataFrame, path: str, known: Languages, model: Model, sent_weights) -> DataFrame:
-    """The input's columns but the text, n_words and score: the natural log probability of each document (null without a model)."""
-    names = [c for c in docs.columns if c != "text"]
-    info = docs.select(*names).schema
+def log_scores(docs: DataFrame, trusted: Trusted, path: str, known: Languages, model: Model, sent_weights) -> DataFrame:
+    """doc_id, lang, role, n_words and score, the natural log probability, of each document (ROLE_COLUMNS); null without a model."""
+    info = docs.select("doc_id", "lang", F.lit(0).alias("role")).schema
     order, shards = model.order, model.shards
     groups = max(1, -(-partitions(docs.sparkSession) // shards))
 
@@ -616,8 +641,9 @@ def log_scores(docs: DataFrame, path: str, known: Languages, model: Model, sent_
             return pa.record_batch([pa.array(cols[0], pa.int32()), pa.array([group] * len(out), pa.int32()), pa.array(cols[1], pa.int64()), pa.array(cols[2]), pa.array(cols[3], pa.binary())], names=["shard", "part", "block", "info", "data"])
 
         for batch in batches:
-            langs = _lang_index(batch.column(batch.schema.get_field_index("lang")), known.names)
-            for first, last, row, h, data, start, end in _read(batch.column(batch.schema.get_field_index("text")), langs, known):
+            langs, roles = _lang_index(batch.column(1), known.names), pa.array(trusted.roles(batch), pa.int32())
+            about = pa.record_batch([batch.column(0), batch.column(1), roles], names=["doc_id", "lang", "role"])
+            for first, last, row, h, data, start, end in _read(batch.column(2), langs, known):
                 sizes, lang = np.bincount(row, minlength=last - first), langs[first:last][row]
                 own = lang >= 0
                 row, lang, h, start, end = (x[own] for x in (row, lang, h, start, end))
@@ -636,7 +662,7 @@ def log_scores(docs: DataFrame, path: str, known: Languages, model: Model, sent_
                     if n_rows + b - a > _BLOCK_ROWS:
                         yield flush()
                     held.append((rows + n_rows, spare, base, sizes[a - first : b - first], *[run[at - k] for k in range(order)]))
-                    table.append(batch.slice(a, b - a).select(names))
+                    table.append(about.slice(a, b - a))
                     n_rows += b - a
                     n_words += len(rows)
                     if n_words >= _BLOCK_WORDS:
@@ -681,26 +707,12 @@ def log_scores(docs: DataFrame, path: str, known: Languages, model: Model, sent_
         give_back()
         return frame.assign(n_words=n.astype(np.int64), score=np.where(np.isnan(score) | (n == 0), None, score))
 
-    rows = docs.mapInArrow(emit, "shard int, part int, block long, info boolean, data binary")
+    rows = docs.select(*ROLE_COLUMNS).mapInArrow(emit, "shard int, part int, block long, info boolean, data binary")
     joined = rows.groupBy("shard", "part").applyInPandas(join, "block long, info boolean, data binary")
     schema = info.add("n_words", "long").add("score", "double")
     return joined.groupBy("block").applyInPandas(collect, schema)
 
 
-def _is_in(ids: DataFrame, column: Column) -> Column:
-    """Whether a number is among ``ids``, a table that the caller has found to be small: it is broadcast packed, about a byte each."""
-    values = np.sort(ids.toArrow().column(0).to_numpy()).astype(np.int64)
-    sent = ids.sparkSession.sparkContext.broadcast(_pack(np.diff(values, prepend=0)))
-    held: list[np.ndarray] = []
-
-    def test(x: pa.Array) -> pa.Array:
-        if not held:
-            held.append(np.cumsum(_unpack(sent.value, "<i8")[0]))
-        return pa.array((_found(held[0], x.fill_null(0).to_numpy(zero_copy_only=False)) >= 0) & ~np.asarray(x.is_null()))
-
-    return F.arrow_udf(test, "boolean")(column)
-
-
 def quality(docs: DataFrame, labels: DataFrame, *, order: int = 3, quantile: float = 0.99, least_documents: int = 50, broadcast_labels: int = 4_000_000, rounds: int = 4) -> DataFrame:
     """doc_id, lang, n_words, perplexity, threshold, kept for each row of ``docs`` (doc_id, text, lang).
 
@@ -716,26 +728,25 @@ def quality(docs: DataFrame, labels: DataFrame, *, order: int = 3, quantile: flo
     spark = docs.sparkSession
     good = labels.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min(F.coalesce((F.col("quality") == 1) & (F.col("toxic") == 0), F.lit(False))).alias("trusted"))
     trusted = saved(good.filter("trusted and doc_id is not null").select("doc_id"), "trusted", narrow=True)
-    rows = docs.select("doc_id", F.coalesce("lang", F.lit("")).alias("lang"), "text")
+    held = F.pmod(F.xxhash64("doc_id"), F.lit(_HELD_BACK)) == 0
+    rows = docs.select("doc_id", F.coalesce("lang", F.lit("")).alias("lang"), "text", held.alias("held"))
+    with_ids = trusted.select(F.col("doc_id").alias("id"), F.lit(True).alias("trusted"))
+    same = F.col("doc_id").cast("long") == F.col("id")
+    sizes = rows.filter("not held").select("doc_id", "lang", F.octet_length("text").alias("size")).join(with_ids, same).groupBy("lang").agg(F.sum("size")).collect()
     if trusted.count() <= broadcast_labels:
-        rows = rows.withColumn("trusted", _is_in(trusted, F.col("doc_id").cast("long")))
+        rows, chosen = rows.withColumn("trusted", F.lit(None).cast("boolean")), Trusted(trusted)
     else:
-        known_ids = trusted.select(F.col("doc_id").alias("id"), F.lit(True).alias("trusted"))
-        rows = rows.join(known_ids, F.col("doc_id").cast("long") == F.col("id"), "left").drop("id")
-    held = F.pmod(F.xxhash64("doc_id"), F.lit(_HELD_BACK)) == 0
-    marked = rows.select("doc_id", "lang", "text", F.when(F.col("trusted"), F.when(held, 2).otherwise(1)).otherwise(0).alias("role"))
-    training = marked.filter("role = 1")
-    sizes = training.groupBy("lang").agg(F.sum(F.octet_length("text"))).collect()
+        rows, chosen = rows.join(with_ids, same, "left").drop("id"), Trusted(None)
     known = Languages(sorted(r[0] for r in sizes))
     shards = max(_LEAST_SHARDS, sum(r[1] or 0 for r in sizes) // _SHARD_BYTES)
-    counts = count_shards(training, known, order, shards)
+    counts = count_shards(rows, chosen, known, order, shards)
     model = Model.of(counts, known, order, shards)
     path = folder(spark, "ngram-words")
     words_ = word_shards(counts, model, rounds, path)
     weights = spark.sparkContext.broadcast(Weights(known, model, counts, words_))
     discard(counts)
     turn = F.pmod(F.xxhash64("doc_id", F.lit("turn")), F.lit(rounds))
-    scored = saved_in_turn((log_scores(marked.filter(turn == k), path, known, model, weights) for k in range(rounds)), folder(spark, "ngram-scores"))
+    scored = saved_in_turn((log_scores(rows.filter(turn == k), chosen, path, known, model, weights) for k in range(rounds)), folder(spark, "ngram-scores"))
     scored = scored.withColumn("perplexity", F.exp(-F.col("score") / (F.col("n_words") + 1))).drop("score")
     weights.unpersist()
     discard(words_, trusted)

@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from .scratch import bounded_batches
-from .text import CHUNK_BYTES
+from .text import CHUNK_BYTES, give_back
 from .tokens import tokenizer
 
 _RUN_TOKENS = 4 << 20
@@ -158,6 +158,7 @@ def pack_documents(docs: DataFrame, tokenizer_file: str, *, end_id: int = 1, con
                     yield from flush()
         if names:
             yield from flush()
+        give_back()
 
     bounded_batches(docs.sparkSession)
     return docs.select("doc_id", "text").mapInArrow(run, SCHEMA)

@@ -18,7 +18,7 @@ _PUNCTUATION = np.zeros(256, bool)
 _PUNCTUATION[[ord(c) for c in ".,;:!?"]] = True
 _LETTER = np.zeros(256, bool)
 _LETTER[np.r_[65:91, 97:123]] = True
-_MOST_KNOWN = 1 << 20
+_MOST_KNOWN, _AT_ONCE = 1 << 20, 4096  # words kept; words encoded at a time, each of which takes about a kilobyte meanwhile
 
 
 class WordTokenizer:
@@ -37,11 +37,11 @@ class WordTokenizer:
     def _learn(self, hashes: np.ndarray, texts: list[str]) -> None:
         if len(self.hashes) + len(hashes) > _MOST_KNOWN:
             self._forget()
-        own = [e.ids for e in self.whole.encode_batch_fast(texts, add_special_tokens=False)]
+        own = [np.array(e.ids, np.uint32) for k in range(0, len(texts), _AT_ONCE) for e in self.whole.encode_batch_fast(texts[k : k + _AT_ONCE], add_special_tokens=False)]
         sizes = np.fromiter(map(len, own), np.int64, len(own))
         self.place = np.concatenate([self.place, len(self.at) - 1 + np.arange(len(own))])
         self.at = np.concatenate([self.at, self.at[-1] + np.cumsum(sizes)])
-        self.ids = np.concatenate([self.ids, np.fromiter((i for e in own for i in e), np.uint32, int(sizes.sum()))])
+        self.ids = np.concatenate([self.ids, *own])
         order = np.argsort(together := np.concatenate([self.hashes, hashes]))
         self.hashes, self.place = together[order], self.place[order]
 
