@@ -39,6 +39,17 @@ _GAP[128:] = False
 _MOST_KNOWN, _MOST_LANGUAGES, _PIECE_BYTES = 1 << 18, 10_000, 1 << 19
 
 
+def _gaps(data: np.ndarray) -> np.ndarray:
+    """Bytes between words, with the white space and punctuation of U+0080 to U+00BF, U+2000 to U+207F and U+3000 to U+303F."""
+    gap = _GAP[data]
+    ahead = np.append(data[1:], 0)
+    latin = np.flatnonzero((data == 0xC2) & ~np.isin(ahead, (0xAA, 0xB5, 0xBA)))
+    wide = np.flatnonzero(((data == 0xE2) & ((ahead == 0x80) | (ahead == 0x81))) | ((data == 0xE3) & (ahead == 0x80) & ~np.isin(np.append(data[2:], (0, 0))[: len(data)], (0x85, 0x86, 0x87))))
+    for at in (latin, latin + 1, wide, wide + 1, wide + 2):
+        gap[at[at < len(data)]] = True
+    return gap
+
+
 def held_out(doc_id: Column) -> Column:
     """crc32 of the id as text leaves 1 modulo 3."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 3 == 1
@@ -46,7 +57,7 @@ def held_out(doc_id: Column) -> Column:
 
 def _word_counts(column: pa.Array) -> Iterator[tuple[str, int]]:
     for _, _, data, offsets in pieces(pc.utf8_lower(column)):
-        start, end, _ = words(data, offsets, _GAP)
+        start, end, _ = words(data, offsets, _gaps(data))
         _, first, n = np.unique(span_hashes(data, start, end), return_index=True, return_counts=True)
         raw = data.tobytes()
         for k, c in zip(first, n, strict=True):
@@ -74,11 +85,11 @@ class Model:
 
     def score(self, word: str) -> np.ndarray | None:
         """The log frequency of a word in each language; None if it has no letter."""
+        if not any(map(str.isalpha, word)):
+            return None
         known = self.words.place.get(word)
         if known is not None:
             return self.words.logs[known]
-        if not any(map(str.isalpha, word)):
-            return None
         place = self.grams.place
         for n in range(self.longest, 0, -1):
             found = [place[g] for g in grams(word, n) if g in place]
@@ -196,7 +207,7 @@ def predict(docs: DataFrame, model: Model, *, text: str = "text", steady: int =
             column = pc.utf8_lower(batch.column(names.index(text)))
             for first, last, data, offsets in pieces(column, _PIECE_BYTES):
                 n = last - first
-                start, end, row = words(data, offsets, _GAP)
+                start, end, row = words(data, offsets, _gaps(data))
                 each = scorer(data, start, end)
                 sums = np.stack([np.bincount(row, weights=each[:, k], minlength=n) for k in range(len(languages))], axis=1)
                 seen, sums = sums[:, -1], sums[:, :-1]

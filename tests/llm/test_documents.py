@@ -223,6 +223,17 @@ def test_language_by_words_then_grams(spark):
     assert {r.lang_pred for r in langid.predict(odd, langid.fit(docs.limit(0))).collect()} == {"und"}
 
 
+def test_letters_decide_before_the_lexicon(spark):
+    texts = [f"the house \u2014 stands {k} \u00bb near\u00a0water \u2026 and 12 \u0665" for k in range(60)] + [f"das haus steht {k} am wasser" for k in range(60)]
+    model = langid.fit(documents(spark, texts, langs=["en"] * 60 + ["de"] * 60))
+    assert {"near", "water"} <= set(model.words.place) and not any("\u00a0" in w for w in model.words.place)
+    odd = ["\u2014 \u2014 \u2014", "\u00bb \u2026 12", "\u0665 \u0665", "\u00a0", "haus\u00a0steht", "\u2014house\u2014near"] + ["the house " * 30_000]
+    assert [r.lang_pred for r in langid.predict(documents(spark, odd), model).orderBy("doc_id").collect()] == ["und"] * 4 + ["de", "en", "en"]
+    assert {r.score for r in langid.predict(documents(spark, odd[:4]), model).collect()} == {0.0}
+    twice = langid.predict(documents(spark, odd[4:5] * 2, ids=[1, 1]), model).collect()
+    assert len(twice) == 2 and len({r.score for r in twice}) == 1
+
+
 def _brute_kneser_ney(train, text, order):
     """Log probability of a text under the same closed vocabulary, written out."""
     from collections import Counter
