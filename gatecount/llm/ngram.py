@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 from .scratch import arrow_place, bounded_batches, discard, folder, partitions, saved, saved_in_turn
 from .text import give_back, mix, pieces, ragged, span_hashes, words
 
-_LEAST_SHARDS, _SHARD_BYTES = 32, 16 << 20  # bytes of training text that make a shard
+_LEAST_SHARDS, _SHARD_BYTES = 32, 4 << 20  # bytes of training text that make a shard
 _BLOCK_WORDS, _BLOCK_ROWS, _HELD_WORDS = 1_500_000, 1 << 15, 1_000_000
 _CLASSES, _CLASS_BITS, _RESERVED = 32, 5, 34  # shape classes; classes and text borders
 _WORD_BITS = 45  # of a word's hash, with its class
@@ -281,7 +281,7 @@ class Counts:
     @classmethod
     def unpack(cls, data: bytes, order: int) -> Counts:
         langs, steps, n, *columns = _unpack(data, "<u4", "<u8", "<u8", *["<u4"] * order)
-        return cls(np.cumsum(steps, dtype=np.uint64), langs.astype(np.int64), [c.astype(np.int64) for c in columns], n.astype(np.int64))
+        return cls(np.cumsum(steps, dtype=np.uint64), langs.astype(np.int64), [c.astype(np.int32) for c in columns], n.astype(np.int64))
 
     def levels(self) -> list[tuple[list[np.ndarray], np.ndarray, np.ndarray]]:
         """(columns, counts, place of each n-gram) for each order from the highest to two; below it, a gram counts the words before it."""
@@ -381,8 +381,13 @@ def count_shards(docs: DataFrame, trusted: Trusted, known: Languages, order: int
         word, some, back = np.unique(np.concatenate([p.words for p in parts]), return_index=True, return_inverse=True)
         langs = np.concatenate([p.langs for p in parts])[some]
         ends = np.cumsum([0, *[len(p.words) for p in parts]])
+        back = back.astype(np.int32)
         columns = [np.concatenate([back[a:][p.columns[c]] for p, a in zip(parts, ends, strict=False)]) for c in range(order)]
-        return pd.DataFrame({"shard": [shard], "data": [Counts.of(word, langs, columns, np.concatenate([p.n for p in parts])).pack()]})
+        n = np.concatenate([p.n for p in parts])
+        parts.clear()
+        data = Counts.of(word, langs, columns, n).pack()
+        give_back()
+        return pd.DataFrame({"shard": [shard], "data": [data]})
 
     rows = docs.select(*ROLE_COLUMNS).mapInArrow(emit, "shard int, data binary")
     return saved(rows.groupBy("shard").applyInPandas(merge, "shard int, data binary"), "ngram-counts", "none")
@@ -485,6 +490,8 @@ def word_shards(counts: DataFrame, model: Model, rounds: int, path: str) -> Data
                         own[-1][where[-1]] = _in_steps(weights[level][1])
                     rows.append((shard, False, _pack(*nested.packable(), lang.astype(np.uint32), *own)))
                 yield pd.DataFrame(rows, columns=["shard", "grams", "data"])
+                del counts_, nested, places, values, weights, rows
+                give_back()
 
     def merge(rows: pd.DataFrame) -> pd.DataFrame:
         pieces_ = []  # (grams, language, occurrences or None, what each level has)
@@ -521,7 +528,9 @@ def word_shards(counts: DataFrame, model: Model, rounds: int, path: str) -> Data
                 before += np.bincount((both >> np.uint64(_mark_bits(1))).astype(np.int64)[left != _NONE], minlength=len(word)).astype(np.uint32)
             whole.push(level, both)
             out += [left, g, own]
+        pieces_.clear()
         data = _pack(*whole.packable(), langs, before, (once == 1).astype(np.uint8), *out)
+        give_back()
         return pd.DataFrame({"shard": [int(rows["shard"].iloc[0])], "data": [data]})
 
     def made(turn: int) -> DataFrame:
@@ -692,6 +701,7 @@ def log_scores(docs: DataFrame, trusted: Trusted, path: str, known: Languages, m
             total = np.bincount(doc, weights=np.repeat(each, docs_per) * (tf + 1.0))
             seen = np.unique(doc)
             out.append((block, False, _pack(seen.astype(np.uint16), total[seen].astype(np.float32))))
+        give_back()
         return pd.DataFrame(out, columns=["block", "info", "data"])
 
     def collect(rows: pd.DataFrame) -> pd.DataFrame:
