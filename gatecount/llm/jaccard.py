@@ -52,7 +52,7 @@ _BLOCK = 2048
 _LEAF = 32
 _BROADCAST_IDS = 1_000_000
 _MOST_SEEN = 1 << 18
-_KEPT_BYTES, _STACK_CELLS, _STACK_ROWS, _HEAD_ROWS = 64 << 20, 1 << 22, 1 << 15, 512
+_KEPT_BYTES, _STACK_CELLS, _STACK_ROWS, _HEAD_ROWS = 16 << 20, 1 << 21, 1 << 15, 512
 
 
 _CODEC = pa.Codec("zstd", 1)

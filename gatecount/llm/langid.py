@@ -82,6 +82,7 @@ class Model:
 
     def __init__(self, languages: list[str], words_: Table, grams_: Table, longest: int):
         self.languages, self.words, self.grams, self.longest = languages, words_, grams_, longest
+        self.scorer: _Scorer | None = None
 
     def score(self, word: str) -> np.ndarray | None:
         """The log frequency of a word in each language; None if it has no letter."""
@@ -183,9 +184,6 @@ class _Scorer:
         return self.scores[np.searchsorted(self.hashes, unique)][back]
 
 
-_scorers: dict[int, _Scorer] = {}
-
-
 def predict(docs: DataFrame, model: Model, *, text: str = "text", steady: int = 20) -> DataFrame:
     """``docs`` with lang_pred and score added, the posterior of the language from at most ``steady`` mean words.
 
@@ -193,16 +191,13 @@ def predict(docs: DataFrame, model: Model, *, text: str = "text", steady: int =
     """
     languages = [*model.languages, "und"]
     sent = docs.sparkSession.sparkContext.broadcast(model)
-    key = id(sent)
     kept = [f for f in docs.schema.fields if f.name not in ("lang_pred", "score")]
     names = [f.name for f in kept]
     schema = docs.select(*[F.col(f"`{n}`") for n in names]).withColumns({"lang_pred": F.lit("und"), "score": F.lit(0.0)}).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = _scorers.get(key)
-        if scorer is None:
-            _scorers.clear()
-            scorer = _scorers[key] = _Scorer(sent.value)
+        model = sent.value  # a Python worker keeps it, and so the scorer, as long as its tasks use it
+        scorer = model.scorer = model.scorer or _Scorer(model)
         for batch in batches:
             column = pc.utf8_lower(batch.column(names.index(text)))
             for first, last, data, offsets in pieces(column, _PIECE_BYTES):

@@ -43,7 +43,7 @@ from .scratch import arrow_place, bounded_batches, discard, folder, partitions,
 from .text import give_back, mix, pieces, ragged, span_hashes, words
 
 _LEAST_SHARDS, _SHARD_BYTES = 32, 4 << 20  # bytes of training text that make a shard
-_BLOCK_WORDS, _BLOCK_ROWS, _HELD_WORDS = 1_500_000, 1 << 15, 1_000_000
+_BLOCK_WORDS, _BLOCK_ROWS, _HELD_WORDS = 500_000, 1 << 15, 500_000
 _CLASSES, _CLASS_BITS, _RESERVED = 32, 5, 34  # shape classes; classes and text borders
 _WORD_BITS = 45  # of a word's hash, with its class
 _MARK_BITS = (32, 24)  # that tell the nearest word before a gram, and any further one
