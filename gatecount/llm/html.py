@@ -35,7 +35,7 @@ VOID = set("area base br col embed hr img input link meta param source track wbr
 RAW = set("script style textarea title xmp iframe noembed noframes plaintext".split())
 BLOCK = set("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
 LEAF = set("p h1 h2 h3 h4 h5 h6 li pre blockquote td th dd dt figcaption".split())
-NEVER = set("head script style noscript template textarea title xmp iframe noembed noframes svg math canvas object select button form nav footer aside menu dialog label input audio video map".split())
+NEVER = set("head script style noscript template textarea title xmp iframe noembed noframes svg math canvas object select button nav footer aside menu dialog label input audio video map".split())
 ARTICLE = set("article main".split())
 #: Words in class, id and role that mark parts other than the article.
 ASIDE_WORDS = set(
@@ -45,7 +45,9 @@ ASIDE_WORDS = set(
 )
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|$)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>", re.S)
-_ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
+_ATTRIBUTE = re.compile(r"([^\s=\"'>/]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+_ASKED = {"class", "id", "role", "hidden", "aria-hidden"}
+_HAS = re.compile(r"\b(?:has|with|without|no)[-_]?[\w-]+", re.I)  # says what stands beside an element, not what it is
 _HOST = re.compile(r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)")
 _WORD = re.compile(r"[a-z]+|[A-Z][a-z]*")
 _MASK = (1 << 31) - 1
@@ -65,23 +67,27 @@ def _hash(text: str) -> int:
 class _Open:
     """An open element: its name, path key, and whether it stands outside the article by tag or by name."""
 
-    __slots__ = ("name", "key", "never", "aside", "article")
+    __slots__ = ("name", "key", "never", "form", "aside", "article")
 
     def __init__(self, name: str, attributes: str, above: _Open | None):
         label, marked = name, False
         if attributes:
             for m in _ATTRIBUTE.finditer(attributes):
                 what, value = m[1].lower(), m[2] or m[3] or m[4] or ""
+                if what not in _ASKED:
+                    continue
                 if what in ("class", "id"):
                     label += f".{re.sub('[0-9]+', '#', value)}"
                 if what in ("class", "id", "role"):
-                    marked |= any(w.lower() in ASIDE_WORDS for w in _WORD.findall(value))
+                    inside = above is not None and above.article
+                    marked |= any(w.lower() in ASIDE_WORDS and not (inside and w.lower() == "header") for w in _WORD.findall(_HAS.sub(" ", value)))
                 elif what == "hidden" or value == "true":
                     marked = True
         self.name = name
         self.article = (above.article if above else False) or name in ARTICLE
         self.key = _hash(f"{above.key if above else 0}/{label}")
         self.never = (above.never if above else False) or name in NEVER or (name == "header" and not self.article)
+        self.form = (above.form if above else False) or name == "form"
         self.aside = (above.aside if above else False) or (marked and name not in ("body", "html", "article", "main"))
 
 
@@ -162,7 +168,7 @@ def token_statistics(pages: DataFrame) -> DataFrame:
                     elif kind == "text":
                         segment = own["text", _segment_key(stack, what), stack[-1].key if stack else 0, False, False]
                         segment[0] += 1
-                        if stack and not stack[-1].never and not stack[-1].aside:
+                        if stack and not stack[-1].never and not stack[-1].form and not stack[-1].aside:
                             segment[1] += len(what)
                             for k, x in enumerate(stack):
                                 own["tag", x.key, stack[k - 1].key if k else 0, x.name in LEAF, _outermost(stack, k)][1] += len(what)
@@ -239,9 +245,9 @@ def main_text(page: str, main: int | None, boiler: frozenset[int] = frozenset())
     """The text of a page's main slot: blocks joined by two line feeds.
 
     Blocks of template text alone are left out. If that leaves nothing, template text counts; then the page's
-    own main slot; then elements whose names mark them as asides.
+    own main slot; then all outside asides, as where one form wraps the page; then elements whose names mark them as asides.
     """
-    for own, skip, use_names in ((main, boiler, True), (main, (), True), (None, (), True), (0, (), False)):
+    for own, skip, use_names, forms in ((main, boiler, True, False), (main, (), True, False), (None, (), True, False), (0, boiler, True, True), (0, (), False, True)):
         own = _own_main(page) if own is None else own
         blocks, words, varies = [], [], False
         for kind, stack, what in chain(walk(page), [("cut", [], "")]):
@@ -253,7 +259,7 @@ def main_text(page: str, main: int | None, boiler: frozenset[int] = frozenset())
                 words.append(" ")
             elif kind == "text":
                 top = stack[-1] if stack else None
-                if top and (top.never or (use_names and top.aside)):
+                if top and (top.never or (top.form and not forms) or (use_names and top.aside)):
                     continue
                 if own and not any(x.key == own for x in stack):
                     continue
@@ -268,7 +274,7 @@ def _own_main(page: str) -> int:
     """The main slot of one page alone."""
     rows: dict[int, list] = {}
     for kind, stack, what in walk(page):
-        if kind == "text" and stack and not stack[-1].never and not stack[-1].aside:
+        if kind == "text" and stack and not stack[-1].never and not stack[-1].form and not stack[-1].aside:
             for k, x in enumerate(stack):
                 rows.setdefault(x.key, [stack[k - 1].key if k else 0, x.name in LEAF, _outermost(stack, k), 0])[3] += len(what)
     return main_slot(pd.DataFrame([(k, *v) for k, v in rows.items()], columns=["key", "parent", "leaf", "article", "chars"]))

@@ -9,8 +9,8 @@ cosine in double precision, cell by cell, as matrix products.
 A pair is met if either vector visits the other's cell. Equal vectors form one class and
 are compared once. Full cells are cut into blocks on both sides, so no task holds a whole cell.
 
-Defined results: vectors that are null, empty or zero, or hold null or non-finite numbers, or whose
-length is not the table's most frequent one, link with nothing and are components of their own;
+Defined results: vectors that are null, empty or zero, or hold null or non-finite numbers, link with nothing and
+are components of their own; vectors of different lengths are compared within their lengths, each with an index of its own;
 repeated rows are vectors of their own; rows without an id get a null component and aren't kept;
 an empty table gives no rows. Only the two named columns are read.
 """
@@ -31,7 +31,7 @@ from .scratch import saved
 
 _SAMPLE = 8192
 _MEMBERS, _QUERIES = 1024, 4096
-_MOST_CODES = 512
+_MOST_CODES = 2048
 
 
 def multi_sequence(first: np.ndarray, second: np.ndarray, limit: float) -> list[tuple[int, int]]:
@@ -70,7 +70,7 @@ class Index:
     def __init__(self, sample: np.ndarray, n: int, threshold: float, recall: float):
         dim = sample.shape[1]
         self.half = dim // 2
-        k = int(np.clip(round((n / 48) ** 0.5), 2, min(_MOST_CODES, max(2, len(sample) // 4))))
+        k = int(np.clip(round((n / 48) ** 0.5), 1, min(_MOST_CODES, max(1, len(sample) // 4))))
         k = min(k, len(sample))
         self.codes = [_codebook(sample[:, : self.half], k), _codebook(sample[:, self.half :], k)]
         self.k = k
@@ -138,16 +138,19 @@ def near_duplicates(vectors: DataFrame, *, threshold: float = 0.95, recall: floa
     """vec_id, n_links, component_id, kept of each row of ``vectors`` (vec_id, embedding)."""
     kind = "<f8" if "double" in vectors.schema["embedding"].dataType.simpleString() else "<f4"
     every = saved(_packed(vectors, kind).withColumn("key", F.sha1("raw")), "vectors")
-    width = every.filter("raw is not null and vec_id is not null").groupBy(F.length("raw").alias("w")).count().orderBy(F.desc("count"), "w").first()
-    lone = lambda df: df.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.coalesce(F.col("vec_id").isNotNull(), F.lit(False)).alias("kept"))
-    if width is None:
-        return lone(every)
-    fits = (F.length("raw") == width["w"]) & F.col("vec_id").isNotNull()
-    whole = every.filter(fits)
+    fits = F.col("raw").isNotNull() & F.col("vec_id").isNotNull()
+    out = every.filter(~fits).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.coalesce(F.col("vec_id").isNotNull(), F.lit(False)).alias("kept"))
+    for (width,) in every.filter(fits).select(F.length("raw").alias("w")).distinct().orderBy("w").collect():
+        out = out.unionByName(_of_one_length(every.filter(fits & (F.length("raw") == width)), kind, threshold, recall))
+    return out
+
+
+def _of_one_length(whole: DataFrame, kind: str, threshold: float, recall: float) -> DataFrame:
+    """See ``near_duplicates``: of vec_id, raw, key, all of one length."""
     classes = saved(whole.groupBy("key").agg(F.min("vec_id").alias("class"), F.count(F.lit(1)).alias("copies"), F.first("raw").alias("raw")), "vector-classes", narrow=True)
     n = classes.count()
     sample = _unit([r["raw"] for r in classes.orderBy("key").limit(_SAMPLE).select("raw").collect()], kind)
-    sent = vectors.sparkSession.sparkContext.broadcast(Index(sample, n, threshold, recall))
+    sent = whole.sparkSession.sparkContext.broadcast(Index(sample, n, threshold, recall))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -200,5 +203,4 @@ def near_duplicates(vectors: DataFrame, *, threshold: float = 0.95, recall: floa
     known = classes.select("key", "class", "copies").join(links, "class", "left").join(roots, F.col("class") == F.col("node"), "left")
     known = known.select("key", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("root", "class").alias("component_id"))
     out = whole.select("vec_id", "key").join(known, "key")
-    out = out.select("vec_id", "n_links", "component_id", (F.col("vec_id") == F.col("component_id")).alias("kept"))
-    return out.unionByName(lone(every.filter(~F.coalesce(fits, F.lit(False)))))
+    return out.select("vec_id", "n_links", "component_id", (F.col("vec_id") == F.col("component_id")).alias("kept"))

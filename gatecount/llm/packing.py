@@ -7,7 +7,7 @@ longest rests of shorter tiers that fit, then with a cut of one more. Tiers are
 and what is left at the very end goes into windows of falling powers of two, so nothing is
 padded. Sequences are dealt to step groups of equal token counts, longest tiers first.
 
-Packing is done per task over runs of a few million tokens: no shuffle is needed, a lost
+Packing is done per task over runs of about a million tokens: no shuffle is needed, a lost
 task gives the same rows again, and memory does not follow the partition.
 
 Defined results: a null or empty text is a document of the end id alone; repeated rows are packed
@@ -28,8 +28,8 @@ from .scratch import bounded_batches
 from .text import CHUNK_BYTES, give_back
 from .tokens import tokenizer
 
-_RUN_TOKENS = 4 << 20
-_OUT_BYTES = 8 << 20
+_RUN_TOKENS = 1 << 20
+_OUT_BYTES = 2 << 20
 SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long, tier int, step_group long"
 
 

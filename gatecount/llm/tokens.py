@@ -18,7 +18,7 @@ _PUNCTUATION = np.zeros(256, bool)
 _PUNCTUATION[[ord(c) for c in ".,;:!?"]] = True
 _LETTER = np.zeros(256, bool)
 _LETTER[np.r_[65:91, 97:123]] = True
-_MOST_KNOWN, _AT_ONCE = 1 << 20, 4096  # words kept; words encoded at a time, each of which takes about a kilobyte meanwhile
+_MOST_KNOWN, _AT_ONCE = 1 << 20, 1024  # words kept; words encoded at a time, each of which takes about a kilobyte meanwhile
 
 
 class WordTokenizer:

@@ -11,7 +11,7 @@ the response, the others are revisits of it. Decisions travel as extra rows of t
 that moves the pages.
 
 Defined results: a null page is an empty payload; a null url is written as ``urn:page:<id>``; rows
-without a page_id are archived last, under id -1; rows that repeat the largest page_id are all
+without a page_id are archived last, are all responses and come back without one; rows that repeat the largest page_id are all
 responses; an empty table gives an empty manifest. Columns other than the three named are not read.
 """
 
@@ -25,21 +25,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .scratch import folder, saved
+from .scratch import arrow_place, folder, saved
 
-_CELLS = 4096
+_CELLS, _PARTS = 4096, 64
 MANIFEST = "shard int, file string, bytes long, sha256 string, records long, first_id long, last_id long"
 RECORDS = "page_id long, url string, payload binary, payload_bytes long, payload_digest string, record_type string, refers_to long"
 _READ = 1 << 16
 
 
-def record_id(page_id: int) -> str:
-    return f"<urn:uuid:{uuid.UUID(bytes=hashlib.sha1(b'page %d' % page_id).digest()[:16], version=5)}>"
+def record_id(name: object) -> str:
+    return f"<urn:uuid:{uuid.UUID(bytes=hashlib.sha1(f'page {name}'.encode()).digest()[:16], version=5)}>"
 
 
 def _record(fields: list[tuple[str, str]], block: bytes) -> bytes:
@@ -50,18 +49,19 @@ def _record(fields: list[tuple[str, str]], block: bytes) -> bytes:
     return press.compress(head.encode() + block + b"\r\n\r\n") + press.flush()
 
 
-def page_record(page_id: int, url: str, payload: bytes, date: str, refers_to: int | None = None) -> bytes:
+def page_record(page_id: int | None, url: str, payload: bytes, date: str, refers_to: int | None = None) -> bytes:
     """One compressed response record, or a revisit record without the payload."""
     block = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
     clean = "".join(c for c in url if c > " ") or f"urn:page:{page_id}"
+    digest = base64.b32encode(hashlib.sha1(payload).digest()).decode()
     fields = [
         ("WARC-Type", "response" if refers_to is None else "revisit"),
-        ("WARC-Record-ID", record_id(page_id)),
+        ("WARC-Record-ID", record_id(f"none {clean} {digest}" if page_id is None else page_id)),
         ("WARC-Date", date),
         ("WARC-Target-URI", clean),
-        ("WARC-Payload-Digest", f"sha1:{base64.b32encode(hashlib.sha1(payload).digest()).decode()}"),
+        ("WARC-Payload-Digest", f"sha1:{digest}"),
         ("Content-Type", "application/http; msgtype=response"),
-        ("X-Page-ID", str(page_id)),
+        ("X-Page-ID", "-" if page_id is None else str(page_id)),
     ]
     if refers_to is not None:
         fields += [("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"), ("WARC-Refers-To", record_id(refers_to)), ("X-Refers-To-Page-ID", str(refers_to))]
@@ -73,7 +73,7 @@ class _Roll:
     """Files of one shard: the open one under a temporary name, the whole ones renamed."""
 
     def __init__(self, out: str, shard: int, roll_bytes: int, date: str):
-        self.fs, self.top = fs.FileSystem.from_uri(out)
+        self.fs, self.top = arrow_place(out)
         self.shard, self.roll_bytes, self.date, self.number, self.sink = shard, roll_bytes, date, 0, None
         self.attempt = TaskContext.get().taskAttemptId() if TaskContext.get() else 0
 
@@ -109,28 +109,53 @@ class _Roll:
             self.sink, self.number = None, self.number + 1
 
 
+def _edges(facts: DataFrame, shard_bytes: int) -> np.ndarray:
+    """The least ids of all shards but the first, so that each but for one of a single id holds about ``shard_bytes``.
+
+    Exact bytes are counted in cells of the id range; a cell that holds more than a shard is cut into ``_PARTS`` and
+    counted again, so ids far from the others cost a round and no more. A hundred thousand shards at most.
+    """
+    low, high, total = facts.agg(F.min("page_id"), F.max("page_id"), F.coalesce(F.sum(F.col("bytes") + 512), F.lit(0))).first()
+    if low is None:
+        return np.zeros(0, np.int64)
+    aim = max(shard_bytes, total // 100_000)
+    starts = sorted({low + (high - low + 1) * k // _CELLS for k in range(_CELLS)})
+    while True:
+        cells = np.array(starts, np.int64)
+
+        def cell_of(ids: pa.Array) -> pa.Array:  # runs before the next round binds other cells
+            return pa.array(np.searchsorted(cells, ids.to_numpy(zero_copy_only=False), "right") - 1, pa.int64())
+
+        counted = dict(facts.filter("page_id is not null").groupBy(F.arrow_udf(cell_of, "long")("page_id").alias("cell")).agg(F.sum(F.col("bytes") + 512)).collect())
+        more = set()
+        for k, size in counted.items():
+            a, b = starts[k], starts[k + 1] if k + 1 < len(starts) else high + 1
+            if size > aim and b - a > 1:
+                more |= {a + (b - a) * x // _PARTS for x in range(_PARTS)} - {a}
+        if not more:
+            break
+        starts = sorted({*(starts[k] for k in counted), *(starts[k + 1] for k in counted if k + 1 < len(starts)), *more, low})
+    edges, held = [], 0
+    for k in sorted(counted):
+        held += counted[k]
+        if held >= aim and k + 1 < len(starts):
+            edges.append(starts[k + 1])
+            held = 0
+    return np.array(edges, np.int64)
+
+
 def write_archive(pages: DataFrame, *, revisit_bytes: int = 1000, shard_bytes: int = 16 << 20, roll_bytes: int = 32 << 20, date: str = "2024-01-01T00:00:00Z") -> tuple[str, DataFrame]:
     """(folder, manifest) of the archive of ``pages`` (page_id, url, html) in the shared folder."""
     spark = pages.sparkSession
     out = folder(spark, "warc")
-    page_id = F.coalesce(F.col("page_id").cast("long"), F.lit(-1))
+    page_id = F.col("page_id").cast("long")
     payload = F.coalesce(F.col("html"), F.lit("")).cast("binary")
     facts = saved(pages.select(page_id.alias("page_id"), F.length(payload).cast("long").alias("bytes"), F.sha1(payload).alias("digest")), "warc-facts")
-    span = facts.agg(F.min("page_id"), F.max("page_id")).first()
-    low, high = (span[0] or 0), (span[1] or 0)
-    width = (high - low) // _CELLS + 1
-    cell = F.floor((F.col("page_id") - low) / width).cast("long")
-    cells = dict(facts.groupBy(cell.alias("cell")).agg(F.sum(F.col("bytes") + 512)).collect())
-    edges, held = [], 0
-    for c in sorted(cells):  # at most _CELLS of them
-        held += cells[c]
-        if held >= shard_bytes:
-            edges.append(low + (c + 1) * width)
-            held = 0
-    edge_array = np.array(edges, np.int64)
+    edge_array = _edges(facts, shard_bytes)
 
     def shard_of(ids: pa.Array) -> pa.Array:
-        return pa.array(np.searchsorted(edge_array, ids.to_numpy(zero_copy_only=False), "right"), pa.int32())
+        at = np.searchsorted(edge_array, ids.fill_null(0).to_numpy(zero_copy_only=False), "right")
+        return pa.array(np.where(np.asarray(ids.is_null()), len(edge_array), at), pa.int32())
 
     shard = F.arrow_udf(shard_of, "int")
     large = facts.filter(F.col("bytes") >= revisit_bytes)
@@ -138,17 +163,17 @@ def write_archive(pages: DataFrame, *, revisit_bytes: int = 1000, shard_bytes: i
     revisits = large.join(kept, "digest").filter("page_id < refers_to").select("page_id", F.lit(0).alias("kind"), F.col("digest").alias("url"), F.lit(None).cast("string").alias("html"), "refers_to").distinct()
     rows = pages.select(page_id.alias("page_id"), F.lit(1).alias("kind"), "url", "html", F.lit(None).cast("long").alias("refers_to"))
     rows = rows.unionByName(revisits).withColumn("shard", shard(F.col("page_id")))
-    rows = rows.repartitionById(len(edges) + 1, F.col("shard")).sortWithinPartitions("shard", "page_id", "kind", "url")
+    rows = rows.repartitionById(len(edge_array) + 1, F.col("shard")).sortWithinPartitions("shard", F.col("page_id").asc_nulls_last(), "kind", "url", "html")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        files, known, at = None, {}, None
+        files, known, at = None, {}, False
         done: list[tuple] = []
         for batch in batches:
             for row in batch.to_pylist():
                 if files is None or files.shard != row["shard"]:
                     done += files.close() if files else []
                     files = _Roll(out, row["shard"], roll_bytes, date)
-                if row["page_id"] != at:
+                if at is False or row["page_id"] != at:
                     known, at = {}, row["page_id"]
                 if row["kind"] == 0:
                     known[row["url"]] = row["refers_to"]
@@ -159,7 +184,7 @@ def write_archive(pages: DataFrame, *, revisit_bytes: int = 1000, shard_bytes: i
         if done:
             yield pa.RecordBatch.from_pylist([dict(zip((x.split()[0] for x in MANIFEST.split(", ")), d, strict=True)) for d in done], schema=pa.schema([("shard", pa.int32()), ("file", pa.string()), ("bytes", pa.int64()), ("sha256", pa.string()), ("records", pa.int64()), ("first_id", pa.int64()), ("last_id", pa.int64())]))
 
-    target, place = fs.FileSystem.from_uri(out)
+    target, place = arrow_place(out)
     target.create_dir(place, recursive=True)
     rows.mapInArrow(write, MANIFEST).write.parquet(f"{out}/_manifest")
     return out, spark.read.schema(MANIFEST).parquet(f"{out}/_manifest")
@@ -198,7 +223,7 @@ def parse_record(data: bytes) -> dict | None:
     if fields["WARC-Type"] == "response" and (len(payload) != size or hashlib.sha1(payload).digest() != digest):
         raise ValueError("a payload is damaged")
     refers = fields.get("X-Refers-To-Page-ID")
-    return {"page_id": int(fields["X-Page-ID"]), "url": fields["WARC-Target-URI"], "payload": payload if refers is None else None, "payload_bytes": size, "payload_digest": digest.hex(), "record_type": fields["WARC-Type"], "refers_to": None if refers is None else int(refers)}
+    return {"page_id": None if fields["X-Page-ID"] == "-" else int(fields["X-Page-ID"]), "url": fields["WARC-Target-URI"], "payload": payload if refers is None else None, "payload_bytes": size, "payload_digest": digest.hex(), "record_type": fields["WARC-Type"], "refers_to": None if refers is None else int(refers)}
 
 
 def read_archive(spark: SparkSession, out: str, manifest: DataFrame, *, payloads: bool = True) -> DataFrame:

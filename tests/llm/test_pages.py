@@ -117,3 +117,78 @@ def test_no_vectors(spark):
     assert multiindex.near_duplicates(vectors_of(spark, [])).count() == 0
     assert multiindex.near_duplicates(vectors_of(spark, [(1, None)])).first().kept
     assert vectors_of(spark, [(1, [1.0])]).filter(F.col("vec_id") > 0).count() == 1
+
+
+@pytest.mark.parametrize("page", [
+    '<body><div class="top">Menu</div><div style="overflow:hidden"><p>Some text here.</p></div></body>',
+    '<body><article><header class="entry-header"><h1>Title</h1></header><p>Some text here.</p></article></body>',
+    '<body><div class="content has-sidebar"><p>Some text here.</p></div></body>',
+    '<body><form id="aspnetForm"><div><p>Some text here.</p></div></form></body>',
+    '<body><div data-id="comments"><h2 title="the hidden cost">Cost</h2><p>Some text here.</p></div></body>',
+])
+def test_attributes_are_names_and_values(page):
+    text = html.main_text(page, None)
+    assert "Some text here." in text
+    assert ("Title" in text) == ("Title" in page) and ("Cost" in text) == ("Cost" in page)
+
+
+def test_classes_are_those_of_brute_force(spark):
+    """Valid template segments are the tokens whose counts agree with those of two others, a tag among them, in half of the pages."""
+    from collections import Counter, defaultdict
+
+    rng = np.random.default_rng(4)
+    rows = []
+    for k in range(30):
+        extra = "<aside><b>Offer</b><i>Buy</i></aside>" if k % 3 else ""
+        body = "".join(f"<p>Text {rng.integers(0, 9**9)}</p>" for _ in range(rng.integers(1, 4)))
+        rows.append((k, "http://h.example/x", f"<body><div><b>Home</b><b>News</b></div>{extra}<div>{body}</div><u>Foot</u></body>"))
+    vectors, kinds = defaultdict(dict), {}
+    for k, _, page in rows:
+        seen = Counter()
+        for kind, stack, what in html.walk(page):
+            if kind in ("tag", "text"):
+                key = stack[-1].key if kind == "tag" else html._segment_key(stack, what)
+                seen[key] += 1
+                kinds[key] = kind
+        for key, n in seen.items():
+            vectors[key][k] = n
+    classes = defaultdict(list)
+    for key, counts in vectors.items():
+        classes[tuple(sorted(counts.items()))].append(key)
+    want = {k for c, keys in classes.items() if len(c) >= 15 and len(keys) >= 3 and any(kinds[x] == "tag" for x in keys) for k in keys if kinds[k] == "text"}
+    got = html.templates(page_table(spark, rows)).collect()
+    assert len(got) == 1 and set(got[0].boiler) == want and want
+
+
+def test_pages_without_id_and_far_ids(spark):
+    rows = [(None, None, None), (None, "http://a", "x" * 2000), (-1, "http://b", "y"), (10**18, "http://c", "x" * 2000), *[(k, f"http://d/{k}", "z" * 300 + str(k)) for k in range(500)]]
+    pages = page_table(spark, rows)
+    out, manifest = warc.write_archive(pages, shard_bytes=20_000)
+    got = warc.read_archive(spark, out, manifest).collect()
+    assert len(got) == len(rows) and sorted(r.payload_bytes for r in got if r.page_id is None) == [0, 2000]
+    assert {r.record_type for r in got} == {"response"} and sum(r.page_id == -1 for r in got) == 1
+    assert max(r.records for r in manifest.collect()) < 60
+
+
+def test_vectors_of_other_lengths_and_kinds(spark):
+    rng = np.random.default_rng(1)
+    rows = [(k, rng.standard_normal(3).tolist()) for k in range(5)] + [(10, [1.0, 2.0]), (11, [1.0, 2.0]), (12, [2.0, 4.1]), (None, [1.0, 2.0]), (13, None)]
+    double = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in multiindex.near_duplicates(double).collect() if r.vec_id is not None}
+    assert [got[k] for k in (10, 11, 12)] == [(2, 10)] * 3 and got[13] == (0, 13)
+
+
+def test_recall_near_the_threshold(spark):
+    rng = np.random.default_rng(2)
+    base = rng.standard_normal((600, 32))
+    base /= np.linalg.norm(base, axis=1)[:, None]
+    noise = rng.standard_normal(base.shape)
+    noise -= (noise * base).sum(axis=1)[:, None] * base
+    noise /= np.linalg.norm(noise, axis=1)[:, None]
+    c = rng.uniform(0.951, 0.97, 600)[:, None]
+    rows = np.concatenate([base, c * base + np.sqrt(1 - c**2) * noise])
+    table = spark.createDataFrame([(k, x.tolist()) for k, x in enumerate(rows)], "vec_id long, embedding array<double>")
+    found = sum(r.n_links for r in multiindex.near_duplicates(table).collect())
+    unit = rows / np.linalg.norm(rows, axis=1)[:, None]
+    true = int(((unit @ unit.T) >= 0.95).sum()) - len(rows)
+    assert found >= 0.97 * true
