@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gatecount.llm import jaccard, langid, mixing, ngram, packing
-from gatecount.llm.scratch import partitions, saved
+from gatecount.llm.scratch import saved
 
 BROADCAST_IDS = 1_000_000
 LEAST_LANGUAGE_SCORE = 0.5
@@ -60,17 +60,17 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in the order of the mix, as often, nought to two times, as it takes half of their words or more.
+    """Documents as often, nought to two times, as the mix takes half of their words or more, each part in the order of the mix.
 
-    Documents without words take no part in the mix; they stay once, at its start.
+    Texts move once, by id, and each part is sorted by slot: a thinned copy of the mix. Documents without words
+    take no part in the mix; they stay once.
     """
-    placed, slots = mixing.placements(docs)
-    sized = docs.withColumn("size", mixing.word_count(F.col("text")))
-    t = placed.select(F.col("doc_id").alias("t_id"), F.col("size").alias("t_size"), "slot")
-    mixed = sized.join(t, F.col("doc_id").eqNullSafe(F.col("t_id")) & (F.col("size") == F.col("t_size")), "left").filter("slot is not null or size = 0")
-    n = partitions(spark)
-    bucket = F.floor(F.coalesce("slot", F.lit(0)) * n / slots).cast("int")
-    return mixed.repartitionById(n, bucket).sortWithinPartitions("slot", "doc_id").select(*COLUMNS)
+    own = F.struct("doc_id", F.xxhash64("text").alias("h"))  # rows that share an id are told apart by their texts
+    placed, _ = mixing.placements(docs.withColumn("doc_id", own))
+    once = placed.select(F.col("doc_id").alias("own"), "turn", "slot").dropDuplicates(["own", "turn"])
+    blank = ~F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    mixed = docs.withColumn("own", own).join(once, "own", "left").filter(F.col("slot").isNotNull() | blank)
+    return mixed.sortWithinPartitions("slot", "doc_id").select(*COLUMNS)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
