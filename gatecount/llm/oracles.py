@@ -23,7 +23,7 @@ ORACLE_SQL: dict[str, str] = {
         capped as (select *, cap * w_left <= (total - before) * w as full_ from rising),
         targets as (select source, s, case when full_ then cap else w * ((total - coalesce(sum(case when full_ then cap end) over (), 0e0)) / sum(case when not full_ then w end) over ()) end as target from capped),
         keyed as (select *, md5(concat('0:', coalesce(cast(doc_id as varchar), ''))) as k from d),
-        placed as (select *, sum(size) over (partition by source order by cast(concat('0x', substr(k, 1, 5)) as bigint) % 1024, k, doc_id, size rows between unbounded preceding and current row) - size as pos from keyed)
+        placed as (select *, sum(size) over (partition by source order by cast(concat('0x', substr(k, 1, 5)) as bigint) % 1024, k, doc_id, size rows between unbounded preceding and current row) - size as pos from keyed),
         quotas as (select source, cast(ceil(round(target) / 1024) as bigint) as quota from targets where round(target) > 0),
         arcs as (select source, quota, cast(floor((sum(quota) over up - quota) * 2147483648e0 / sum(quota) over ()) as bigint) as low, cast(floor(sum(quota) over up * 2147483648e0 / sum(quota) over ()) as bigint) as high from quotas window up as (order by source nulls last rows between unbounded preceding and current row)),
         points as (select k as slot, ((k + 1) % 2147483648) * 1327217885 % 2147483648 as point from range(cast(3 * (select sum(quota) from quotas) as bigint)) r(k)),
