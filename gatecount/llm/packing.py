@@ -140,6 +140,8 @@ def pack_documents(docs: DataFrame, tokenizer_file: str, *, end_id: int = 1, con
             if rows:
                 yield as_batch(ids, rows)
             names, parts, sizes, held = [], [], [], 0
+            del length, flat, ids, rows
+            give_back()
 
         for batch in batches:
             for first, last in _row_runs(batch.column(1)):

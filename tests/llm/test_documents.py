@@ -6,6 +6,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -194,6 +195,21 @@ def test_packing_against_tokenizer(spark):
     assert padding == 0
 
 
+def test_long_texts_are_cut_between_words(monkeypatch):
+    """Ids of texts far longer than a piece, with a word longer than one, are the tokenizer's own."""
+    from gatecount.llm import tokens
+
+    monkeypatch.setattr(tokens, "_PIECE_BYTES", 1 << 12)
+    rng = np.random.default_rng(3)
+    letters = np.array(list("abcdefgXYZ \u00e9\u00df.,;!?'-0123456789 \u3000\u4e2d\t  "))
+    texts = ["".join(rng.choice(letters, n)) for n in (0, 5, 9000, 70000)] + ["x" * 20000 + " tail", None, "a <|endoftext|> " * 2000, " " * 20000]
+    encoder = tokens.WordTokenizer(TOKENS)
+    flat, count = encoder.encode(pa.array(texts))
+    own = np.split(flat, np.cumsum(count)[:-1])
+    for ids, text in zip(own, texts, strict=True):
+        assert ids.tolist() == encoder.whole.encode(text or "", add_special_tokens=False).ids
+
+
 @pytest.mark.parametrize("seed", range(20))
 def test_pack_covers_every_token(seed):
     rng = np.random.default_rng(seed)
