@@ -2,7 +2,7 @@
 
 No pair is formed by name alone. Contacts are matched on equal keys and on exploded
 signatures: deletion signatures for one edit of an e-mail, digit swaps for a phone; both are
-equi-joins with a check after them, never a comparison of all pairs.
+equi-joins of distinct contacts with a check after them, never a comparison of all pairs.
 """
 
 from __future__ import annotations
@@ -26,12 +26,16 @@ def owners(member: DataFrame, key: str) -> DataFrame:
 
 def email_candidates(sale: DataFrame, member: DataFrame) -> DataFrame:
     """sale_id, member_id, email_score: 1.0 for the owner of the address, 0.9 within one edit."""
-    left = sale.filter(F.col("email").isNotNull())
+    left, right = (df.filter(F.col("email").isNotNull()) for df in (sale, member))
     exact = left.join(owners(member, "email"), "email").select("sale_id", "member_id", F.lit(1.0).alias("email_score"))
-    signed = lambda df, who, name: df.select(who, F.col("email").alias(name), F.explode(deletion_signatures(F.col("email"))).alias("signature"))
-    pairs = signed(left, "sale_id", "e1").join(signed(member.filter(F.col("email").isNotNull()), "member_id", "e2"), "signature")
-    pairs = pairs.select("sale_id", "member_id", "e1", "e2").distinct().filter(within_one_edit(F.col("e1"), F.col("e2")))
-    near = pairs.select("sale_id", "member_id", F.lit(0.9).alias("email_score"))
+
+    def signed(df: DataFrame, name: str) -> DataFrame:
+        signatures = df.select(F.col("email").alias(name)).distinct().select(name, F.explode(deletion_signatures(F.col(name))).alias("s"))
+        return signatures.select(name, F.xxhash64("s").alias("signature"))
+
+    pairs = signed(left, "e1").join(signed(right, "e2"), "signature").select("e1", "e2").distinct().filter(within_one_edit(F.col("e1"), F.col("e2")))
+    near = left.select("sale_id", F.col("email").alias("e1")).join(pairs, "e1").join(right.select("member_id", F.col("email").alias("e2")), "e2")
+    near = near.select("sale_id", "member_id", F.lit(0.9).alias("email_score"))
     return exact.unionByName(near).groupBy("sale_id", "member_id").agg(F.max("email_score").alias("email_score"))
 
 
@@ -39,7 +43,8 @@ def phone_candidates(sale: DataFrame, member: DataFrame) -> DataFrame:
     """sale_id, member_id, phone_score: 1.0 for the owner of the number, 0.9 with two digits exchanged."""
     left, own = sale.filter(F.col("phone").isNotNull()), owners(member, "phone")
     exact = left.join(own, "phone").select("sale_id", "member_id", F.lit(1.0).alias("phone_score"))
-    near = left.select("sale_id", F.explode(swap_variants(F.col("phone"))).alias("phone")).join(own, "phone").select("sale_id", "member_id", F.lit(0.9).alias("phone_score"))
+    swapped = left.select("phone").distinct().select(F.col("phone").alias("held"), F.explode(swap_variants(F.col("phone"))).alias("phone")).join(own, "phone")
+    near = left.select("sale_id", F.col("phone").alias("held")).join(swapped.drop("phone"), "held").select("sale_id", "member_id", F.lit(0.9).alias("phone_score"))
     return exact.unionByName(near).groupBy("sale_id", "member_id").agg(F.max("phone_score").alias("phone_score"))
 
 

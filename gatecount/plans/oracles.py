@@ -150,10 +150,10 @@ DECIDED = """select s.sale_id, case when accepted then cast(t.member_id as varch
 ER = {"emails": EMAILS, "phones": PHONES, "scored": SCORED}
 FULL = {**ER, "decided": DECIDED}
 put("er_candidates", "sale", "select * from scored", **ER)
-put("er_decision", "sale", "select * from decided", **FULL)
-put("match_report", "sale", f"""select count(*) as sales, {big("count(*) filter (where member_id <> 'SIN_MATCH')")} as matched, {big("count(*) filter (where member_id <> 'SIN_MATCH' and confidence >= 0.9)")} as high,
+put("er_decision_rules", "sale", "select * from decided", **FULL)
+put("match_report_rules", "sale", f"""select count(*) as sales, {big("count(*) filter (where member_id <> 'SIN_MATCH')")} as matched, {big("count(*) filter (where member_id <> 'SIN_MATCH' and confidence >= 0.9)")} as high,
     {big("count(*) filter (where member_id <> 'SIN_MATCH' and confidence < 0.9)")} as probable, {big("count(*) filter (where exact_conflict)")} as conflicts, {big("count(*) filter (where decision = 'AMBIGUO')")} as ambiguous, count(distinct member_id) filter (where member_id <> 'SIN_MATCH') as members from decided""", **FULL)
-put("unmatched_buyers", "sale", "select s.sale_id, s.buyer_name, s.email, s.phone, d.decision, case when d.decision = 'SIN_CANDIDATO_DE_CONTACTO' then 'NUEVO' else 'EN_DUDA' end as status from decided d join sale s on d.sale_id = s.sale_id where d.member_id = 'SIN_MATCH'", **FULL)
+put("unmatched_buyers_rules", "sale", "select s.sale_id, s.buyer_name, s.email, s.phone, d.decision, case when d.decision = 'SIN_CANDIDATO_DE_CONTACTO' then 'NUEVO' else 'EN_DUDA' end as status from decided d join sale s on d.sale_id = s.sale_id where d.member_id = 'SIN_MATCH'", **FULL)
 
 
 def aliases(contact: str) -> str:
@@ -161,8 +161,8 @@ def aliases(contact: str) -> str:
         join sale s on s.sale_id = d.sale_id where d.decision = 'MATCH' and d.confidence >= 0.95 and c.name_score >= 0.95 and s.{contact} is not null) group by name_key, {contact} having count(distinct member_id) = 1"""
 
 
-put("alias_unique", "sale", aliases("email"), **FULL)
-put("alias_vote", "sale", """select t.sale_id, case when members = 1 then t.member_id end as member_id, signals, sources, case when signals >= 2 then 0.9e0 else 0.82e0 end as evidence_confidence, case when signals >= 2 then 0.55e0 else 0.35e0 end as source_reliability,
+put("alias_unique_rules", "sale", aliases("email"), **FULL)
+put("alias_vote_rules", "sale", """select t.sale_id, case when members = 1 then t.member_id end as member_id, signals, sources, case when signals >= 2 then 0.9e0 else 0.82e0 end as evidence_confidence, case when signals >= 2 then 0.55e0 else 0.35e0 end as source_reliability,
     case when members > 1 then 'ALIAS_CONTRADICTORIOS' when decision <> 'SIN_CANDIDATO_DE_CONTACTO' and c.sale_id is null then 'ALIAS_NO_COMPATIBLE_CON_CANDIDATOS' else 'MATCH_ALIAS' end as status
     from (select sale_id, decision, count(distinct member_id) as members, min(member_id) as member_id, count(*) as signals, array_to_string(list_sort(list(distinct source)), '+') as sources from (select o.sale_id, o.decision, e.member_id, 'NOMBRE+EMAIL_ALIAS' as source from open o join ea e on o.name_key = e.name_key and o.email = e.email
     union all select o.sale_id, o.decision, e.member_id, 'NOMBRE+TELEFONO_ALIAS' from open o join pa e on o.name_key = e.name_key and o.phone = e.phone) group by sale_id, decision) t left join scored c on t.sale_id = c.sale_id and t.member_id = c.member_id""",
@@ -171,7 +171,7 @@ PROBABLE = f"""select sale_id, row_number() over (partition by sale_id order by
     case when member_id = 'SIN_MATCH' then 0e0 else {grid("p * cap")} end as model_history_weight, candidate_source from (select c.*, strength / sum(strength) over (partition by c.sale_id) as p,
     case when d.member_id <> 'SIN_MATCH' then match_weight when decision = 'AMBIGUO' then 0.2e0 when decision = 'EVIDENCIA_INSUFICIENTE' then 0.1e0 else 0e0 end as cap from
     (select sale_id, cast(member_id as varchar) as member_id, exp(12e0 * (evidence_confidence - 0.75e0)) as strength, evidence_confidence, 'DIRECT_IDENTITY' as candidate_source from scored union all select sale_id, 'SIN_MATCH', 1e0, 0e0, 'NO_MATCH_PRIOR' from sale) c join decided d on c.sale_id = d.sale_id)"""
-put("candidate_probability", "sale", "select sale_id, cast(candidate_rank as int) as candidate_rank, * exclude (sale_id, candidate_rank) from probable", **FULL, probable=PROBABLE)
+put("candidate_probability_rules", "sale", "select sale_id, cast(candidate_rank as int) as candidate_rank, * exclude (sale_id, candidate_rank) from probable", **FULL, probable=PROBABLE)
 put("set_symdiff", "sale ticket", "(select event_id, 'sale' as side from (select event_id from sale except select event_id from ticket)) union all (select event_id, 'ticket' from (select event_id from ticket except select event_id from sale))")
 put("distinct_sources", "sale ticket", "select t.event_id, array_to_string(list_sort(list(distinct channel)), '+') as sources from ticket t join sale s on t.sale_id = s.sale_id group by t.event_id")
 
@@ -182,12 +182,12 @@ put("star_features", "ticket sale event", f"""select ticket_id, t.event_id, t.sa
     {grid("(epoch_us(e.starts_at) - epoch_us(purchased_at)) / 3.6e9")} as lead_hours, cast(isodow(e.starts_at) - 1 as int) as weekday_number, isodow(e.starts_at) >= 6 as is_weekend
     from ticket t left join sale s on t.sale_id = s.sale_id left join event e on t.event_id = e.event_id left join mix m on t.event_id = m.event_id""", mix=MIX)
 put("star_guard", "ticket sale event", "select 'sale_id' as dimension, count(*) as rows from ticket where sale_id not in (select sale_id from sale where sale_id % 7 <> 0) union all select 'event_id', count(*) from ticket where event_id not in (select event_id from event)")
-put("weighted_profile", "sale history social", f"""select sale_id, {grid("w1")} as history_weight, {grid("x1 + (1 - w1) * prior_use_rate")} as use_rate, {grid("x2 + (1 - w1) * prior_tickets")} as tickets_total, members, {grid("top")} as top_weight from
+put("weighted_profile_rules", "sale history social", f"""select sale_id, {grid("w1")} as history_weight, {grid("x1 + (1 - w1) * prior_use_rate")} as use_rate, {grid("x2 + (1 - w1) * prior_tickets")} as tickets_total, members, {grid("top")} as top_weight from
     (select sale_id, least(greatest(sum(w), 0e0), 1e0) as w1, sum(w * coalesce(use_rate, 0e0)) as x1, sum(w * tickets_total) as x2, count(distinct c.member_id) as members, max(w) as top from
     (select sale_id, try_cast(member_id as bigint) as member_id, model_history_weight as w from probable where member_id <> 'SIN_MATCH' and model_history_weight > 0) c join profile f on c.member_id = f.member_id group by sale_id),
     (select coalesce(avg(use_rate), 0e0) as prior_use_rate, coalesce(avg(tickets_total), 0e0) as prior_tickets from profile)""", **FULL, probable=PROBABLE, profile=PROFILE)
 put("companion_shrink", "sale", f"select sale_id, {grid('200e0 + (subtotal / 1000e0 - 200e0) / greatest(qty, 1)')} as shrunk from sale")
-put("match_status", "sale", "select sale_id, case when decision = 'MATCH' and match_weight >= 0.95 then 'FIRME' when decision = 'MATCH' then 'PROBABLE' when match_weight > 0 then 'INCIERTO' else 'SIN_HISTORIAL' end as status from decided", **FULL)
+put("match_status_rules", "sale", "select sale_id, case when decision = 'MATCH' and match_weight >= 0.95 then 'FIRME' when decision = 'MATCH' then 'PROBABLE' when match_weight > 0 then 'INCIERTO' else 'SIN_HISTORIAL' end as status from decided", **FULL)
 
 LABELLED = "select ticket_id, event_id, ticket_type, price, cast(checked_in as int) as label from ticket where checked_in is not null"
 put("smoothed_rate", "ticket", f"select ticket_type, count(*) as n, {grid('(sum(label) + 30e0 * any_value(g)) / (count(*) + 30e0)')} as rate from labelled, (select avg(label) as g from labelled) group by ticket_type", labelled=LABELLED)
@@ -218,8 +218,8 @@ FORECAST = f"""select event_id, {ONE.format(HELD.format("expected"))} as expecte
     from (select event_id, count(*) as tickets, sum(p) as expected from ticket t join (select ticket_type, (sum(label) + 30e0 * any_value(g)) / (count(*) + 30e0) as p from labelled, (select avg(label) as g from labelled) group by ticket_type) r on t.ticket_type = r.ticket_type where checked_in is null group by event_id), (select * from spread where model = 'type_rate')"""
 put("forecast_interval", "ticket", FORECAST, **EVENTS, spread=INTERVAL)
 put("web_model", "ticket", f"select event_id, expected_attendance as baseline, {grid('greatest((p90 - p10) / (2 * 1.2816e0), 0.1e0)')} as sd from forecast", **EVENTS, spread=INTERVAL, forecast=FORECAST)
-DIFF = "select row_number() over (order by p.event_id) - 1 as i, max(abs(residual)) filter (where model = 'type_rate') - max(abs(residual)) filter (where model = 'global_rate') as d from events_p p join event e on p.event_id = e.event_id where is_residency and p.event_id % 5 = 0 group by p.event_id"
-put("bootstrap_lcg", "ticket event", f"""select count(*) as draws, {grid("avg(m)")} as mean, {grid("quantile_cont(m, 0.025)")} as low, {grid("quantile_cont(m, 0.975)")} as high from (select b, avg(d) as m from (select b, (1103515245 * (b * n + k) + 12345) % 2147483648 % n as i from range(1000) x(b), (select count(*) as n from diffs), range(1000000) y(k) where k < n) s join diffs t on s.i = t.i group by b)""", **EVENTS, diffs=DIFF)
+DIFF = "select row_number() over (order by p.event_id) - 1 as i, max(abs(residual)) filter (where model = 'type_rate') - max(abs(residual)) filter (where model = 'global_rate') as d from events_p p group by p.event_id"
+put("bootstrap_lcg", "ticket", f"""select count(*) as draws, {grid("avg(m)")} as mean, {grid("quantile_cont(m, 0.025)")} as low, {grid("quantile_cont(m, 0.975)")} as high from (select b, avg(d) as m from (select b, (1103515245 * (b * n + k) + 12345) % 2147483648 % n as i from range(10000) x(b), (select count(*) as n from diffs), range(1000000) y(k) where k < n) s join diffs t on s.i = t.i group by b)""", **EVENTS, diffs=DIFF)
 ORACLE_SQL["bootstrap_lcg"] = ORACLE_SQL["bootstrap_lcg"].replace("range(1000000) y(k) where k < n", "(select i as k from diffs)")
 put("paired_wins", "ticket", f"select {big('count(*) filter (where a < b)')} as wins, count(*) as events from (select event_id, max(abs(residual)) filter (where model = 'type_rate') as a, max(abs(residual)) filter (where model = 'global_rate') as b from events_p group by event_id)", **EVENTS)
 

@@ -345,47 +345,50 @@ def er_confidence(spark, d):
     return grid.select("e", "p", "n", matching.confidence(F.col("e"), F.col("p"), F.col("n")).alias("confidence"), matching.method(F.col("e"), F.col("p"), F.col("n")).alias("method"))
 
 
-def _decided(r: Roles) -> tuple[DataFrame, DataFrame]:
-    scored = matching.score_candidates(r.sale, r.member, ratio=False)
+def _decided(r: Roles, ratio: bool) -> tuple[DataFrame, DataFrame]:
+    scored = matching.score_candidates(r.sale, r.member, ratio)
     return scored, matching.decide(r.sale, scored)
 
 
-@query
-def er_decision(spark, d):
-    return _decided(Roles(spark, d))[1]
+def matched(f: Callable[[Roles, bool], DataFrame]) -> Callable[[Roles, bool], DataFrame]:
+    """Registers a query on decisions by the whole name score, and as ``_rules`` by its rules alone, which SQL can express."""
+    QUERIES[f.__name__] = lambda spark, d: f(Roles(spark, d), True)
+    QUERIES[f"{f.__name__}_rules"] = lambda spark, d: f(Roles(spark, d), False)
+    return f
 
 
-@query
-def match_report(spark, d):
-    return matching.match_report(_decided(Roles(spark, d))[1])
+@matched
+def er_decision(r, ratio):
+    return _decided(r, ratio)[1]
 
 
-@query
-def unmatched_buyers(spark, d):
-    r = Roles(spark, d)
-    return matching.unmatched(r.sale, _decided(r)[1])
+@matched
+def match_report(r, ratio):
+    return matching.match_report(_decided(r, ratio)[1])
 
 
-@query
-def alias_unique(spark, d):
-    r = Roles(spark, d)
-    scored, decided = _decided(r)
+@matched
+def unmatched_buyers(r, ratio):
+    return matching.unmatched(r.sale, _decided(r, ratio)[1])
+
+
+@matched
+def alias_unique(r, ratio):
+    scored, decided = _decided(r, ratio)
     return matching.learn_aliases(r.named_sales(), scored, decided, "email")
 
 
-@query
-def alias_vote(spark, d):
-    r = Roles(spark, d)
-    scored, decided = _decided(r)
+@matched
+def alias_vote(r, ratio):
+    scored, decided = _decided(r, ratio)
     sales = r.named_sales()
     learn = lambda contact: matching.learn_aliases(sales, scored, decided, contact)
     return matching.vote_aliases(sales, decided, learn("email"), learn("phone"), scored)
 
 
-@query
-def candidate_probability(spark, d):
-    r = Roles(spark, d)
-    scored, decided = _decided(r)
+@matched
+def candidate_probability(r, ratio):
+    scored, decided = _decided(r, ratio)
     rows = scored.select("sale_id", "member_id", "evidence_confidence", F.lit(1.0).alias("source_reliability"), F.lit("DIRECT_IDENTITY").alias("candidate_source"))
     return matching.probabilities(r.sale, rows, decided)
 
@@ -424,10 +427,9 @@ def star_guard(spark, d):
     return features.missing_dimensions(r.ticket, r.sale.filter("sale_id % 7 <> 0"), r.event)
 
 
-@query
-def weighted_profile(spark, d):
-    r = Roles(spark, d)
-    scored, decided = _decided(r)
+@matched
+def weighted_profile(r, ratio):
+    scored, decided = _decided(r, ratio)
     rows = scored.select("sale_id", "member_id", "evidence_confidence", F.lit(1.0).alias("source_reliability"), F.lit("DIRECT_IDENTITY").alias("candidate_source"))
     weights = matching.probabilities(r.sale, rows, decided).select("sale_id", F.col("member_id").try_cast("bigint").alias("member_id"), "model_history_weight").filter("member_id is not null")
     profile = r.profile().select("member_id", "use_rate", "tickets_total")
@@ -440,9 +442,9 @@ def companion_shrink(spark, d):
     return Roles(spark, d).sale.select("sale_id", (F.rint(x * 1e6) / 1e6).alias("shrunk"))
 
 
-@query
-def match_status(spark, d):
-    out = _decided(Roles(spark, d))[1]
+@matched
+def match_status(r, ratio):
+    out = _decided(r, ratio)[1]
     return out.select("sale_id", features.match_status(F.col("decision") == "MATCH", F.col("match_weight")).alias("status"))
 
 
@@ -521,12 +523,10 @@ def web_model(spark, d):
 def bootstrap_lcg(spark, d):
     p = modeling.event_predictions(_oof(Roles(spark, d)))
     own = p.groupBy("event_id").agg((F.max(F.when(F.col("model") == "type_rate", F.abs("residual"))) - F.max(F.when(F.col("model") == "global_rate", F.abs("residual")))).alias("d"))
-    top = own.join(Roles(spark, d).event.select("event_id", "is_residency"), "event_id").filter("is_residency and event_id % 5 = 0")
-    numbered = top.select(F.col("event_id"), "d")
     from pyspark.sql import Window
 
-    numbered = numbered.withColumn("i", (F.row_number().over(Window.orderBy("event_id")) - 1).cast("bigint")).select("i", "d")
-    return modeling.bootstrap(numbered, 1000)
+    numbered = own.withColumn("i", (F.row_number().over(Window.orderBy("event_id")) - 1).cast("bigint")).select("i", "d")
+    return modeling.bootstrap(numbered)
 
 
 @query
@@ -537,7 +537,7 @@ def paired_wins(spark, d):
 @query
 def ml_logistic_oof(spark, d):
     rows = Roles(spark, d).labelled().withColumn("price", F.col("price").cast("double"))
-    return modeling.oof_model(rows, modeling.group_folds(rows, "event_id", 2), "event_id", "logistic", ["ticket_type"], ["price"], 2)
+    return modeling.oof_model(rows, modeling.group_folds(rows, "event_id"), "event_id", "logistic", ["ticket_type"], ["price"])
 
 
 @query
