@@ -33,4 +33,20 @@ ORACLE_SQL: dict[str, str] = {
     "op9_warc": """with p as (select page_id, cast(strlen(coalesce(html, '')) as bigint) as payload_bytes, sha1(coalesce(html, '')) as payload_digest from pages),
         k as (select payload_digest, max(page_id) as kept from p where payload_bytes >= 1000 group by payload_digest)
         select p.page_id, payload_bytes, p.payload_digest, case when kept > page_id then 'revisit' else 'response' end as record_type, case when kept > page_id then kept end as refers_to from p left join k on p.payload_digest = k.payload_digest""",
+    "op12_negatives": """with v as (select vec_id, cast(case when vec_id % 7 = 0 then (label + 1) % 10 else label end as bigint) as label, list_transform(embedding, lambda x: floor(256e0 * cast(x as double))) as q from embeddings
+        where label is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+        s as (select a.vec_id as a, v.vec_id as c, v.label = a.label as same, cast(list_inner_product(a.q, v.q) as bigint) as score from v a join v on a.vec_id <> v.vec_id where a.vec_id % 100 = 0),
+        p as (select a, c as p, score as ps from s where same qualify row_number() over (partition by a order by score desc, c) <= 5),
+        n as (select p.a, p.p, p.ps, s.c, s.score, row_number() over (partition by p.a, p.p order by s.score desc, s.c) as k from p join s on p.a = s.a and not s.same and 80 * p.ps <= 100 * s.score and 100 * s.score <= 100 * p.ps)
+        select a as anchor_id, p as positive_id, cast(k as int) as rank, c as negative_id, ps as positive_score, score as negative_score from n where k <= 5""",
+    "op13_phrases": r"""with d as (select coalesce(lang, 'und') as lang, regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]') as pieces from documents),
+        w as (select lang, regexp_extract_all(piece, '[^\x20\x09]+') as w from (select lang, unnest(pieces) as piece from d)),
+        f as (select lang, array_to_string(g, ' ') as phrase, len(g) as k, count(*) as a from (select lang, unnest(list_transform(range(1, len(w) - size + 2), lambda i: w[i:i + size - 1])) as g from w, (select unnest(range(1, 6)) as size) where len(w) >= size) group by all having count(*) >= 100),
+        t as (select lang, sum(len(w)) as n from w group by lang),
+        whole as (select distinct lang, unnest([array_to_string(x[:k - 1], ' '), array_to_string(x[2:], ' ')]) as phrase, a from (select lang, string_split(phrase, ' ') as x, k, a from f where k > 2)),
+        c as (select f.* from f anti join whole on f.lang = whole.lang and f.phrase = whole.phrase and f.a = whole.a where k > 1),
+        cuts as (select c.lang, c.phrase, c.a, l.a as l, r.a as r, t.n, i, cast(1000::hugeint * c.a * t.n // (l.a::hugeint * r.a) as bigint) as score from (select *, unnest(range(1, k)) as i, string_split(phrase, ' ') as x from c) c join t on c.lang = t.lang
+            join f l on l.lang = c.lang and l.phrase = array_to_string(x[:i], ' ') join f r on r.lang = c.lang and r.phrase = array_to_string(x[i + 1:], ' ')),
+        low as (select * from cuts qualify row_number() over (partition by lang, phrase order by score, i) = 1)
+        select lang, row_number() over (partition by lang order by score desc, a desc, phrase) as rank, phrase, a, cast(l as bigint) as l, cast(r as bigint) as r, cast(n as bigint) as n, score from low qualify rank <= 2000""",
 }

@@ -84,4 +84,23 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "tier", "step_group")
 
 
-QUERIES = {f.__name__: f for f in (op1_quality, op2_html, op3_jaccard, op4_language, op5_mixing, op6_vectors, op7_media, op8_sharding, op9_warc, op10_packing)}
+def op11_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .licenses import scan_licenses
+
+    return scan_licenses(_table(spark, sf_dir, "documents"))
+
+
+def op12_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .dualtree import mine, shifted_label
+
+    return mine(_table(spark, sf_dir, "embeddings"), shifted_label(F.col("vec_id"), F.col("label")))
+
+
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .phrases import collocations
+
+    return collocations(_table(spark, sf_dir, "documents"))
+
+
+_ALL = (op1_quality, op2_html, op3_jaccard, op4_language, op5_mixing, op6_vectors, op7_media, op8_sharding, op9_warc, op10_packing, op11_licenses, op12_negatives, op13_phrases)
+QUERIES = {f.__name__: f for f in _ALL}
