@@ -9,7 +9,8 @@ not frequent, so that no phrase reaches over them.
 
 Whether a phrase is frequent is known only once its popcounts are summed over all shards, so each further word of
 length is a Spark job: shards walk down from words through the phrases that are known to be frequent, and one word
-beyond. A shard gets the list of just those of its own phrases that are frequent; nothing is broadcast.
+beyond. Their counts meet in as many buckets by hash as there are shards, so that a bucket is no larger than a shard, and
+each shard gets back the list of just those of its own phrases that are frequent; nothing is broadcast.
 
 Odd rows: a null or empty text has no words; a null language is ``und``; doc_id isn't read, so repeated rows count as
 often as they stand. A single text longer than a shard makes one longer shard. Empty tables give no rows.
@@ -26,14 +27,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .scratch import bounded_batches, discard, saved
-from .text import ASCII_LOWER, give_back, pieces, words
+from .text import ASCII_LOWER, give_back, mix, pieces, words
 
 SHARD_POSITIONS = 1 << 21
 WIDTH = 16
 #: Chunks of ``WIDTH`` positions that are ANDed at a time.
 SLAB = 1 << 13
-#: Bits that number the shards of a task, and the phrases of a shard (fewer than its positions).
-SHARD_BITS, KEY_BITS = 12, 30
+#: Bits that number the shards of a task, the words of a shard (no more than its positions), and the frequent phrases of a bucket.
+SHARD_BITS, KEY_BITS, RANK_BITS = 12, 30, 24
 
 #: Bytes that part words, and those that also end a piece: . , ; : ! ? and 0x0A to 0x0D.
 GAP, STOP = np.zeros(256, bool), np.zeros(256, bool)
@@ -223,32 +224,63 @@ def grow(ids: np.ndarray, lists: list[tuple[np.ndarray, np.ndarray]]) -> tuple[n
 # --- jobs --------------------------------------------------------------------------------------------
 
 
-def _grown(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """shard, key, prefix, suffix, n: phrases of each shard that are a word longer than its longest list."""
-    for batch in batches:
-        depth = sum(name.startswith("l") for name in batch.schema.names)
-        for r, shard in enumerate(batch.column("shard").to_pylist()):
-            lists = []
-            for k in range(depth):
-                held = batch.column(f"l{k}")[r].values
-                key, own = (np.asarray(held.field(c), np.int64) for c in ("key", "id"))
-                order = np.argsort(key)
-                lists.append((key[order], own[order]))
-            prefix, suffix, n = grow(np.frombuffer(batch.column("ids")[r].as_buffer(), np.int32), lists)
-            for k in range(0, len(n), 1 << 16):
-                own = slice(k, k + (1 << 16))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(n[own]), shard)), pa.array(np.arange(k, k + len(n[own])), pa.int32()), pa.array(prefix[own]), pa.array(suffix[own]), pa.array(n[own])],
-                    names=["shard", "key", "prefix", "suffix", "n"],
-                )
-        give_back()
+def _grown(buckets: int):
+    """bucket, shard and, as arrays, the phrases of a shard that are a word longer than its longest list, dealt out by hash."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            depth = sum(name.startswith("l") for name in batch.schema.names)
+            for r, shard in enumerate(batch.column("shard").to_pylist()):
+                lists = []
+                for k in range(depth):
+                    held = batch.column(f"l{k}")[r].values
+                    key, own = (np.asarray(held.field(c).flatten() if k else held.field(c), np.int64) for c in ("key", "id"))
+                    order = np.argsort(key)
+                    lists.append((key[order], own[order]))
+                prefix, suffix, n = grow(np.frombuffer(batch.column("ids")[r].as_buffer(), np.int32), lists)
+                bucket = (mix(prefix.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93) ^ suffix.astype(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+                order = np.argsort(bucket, kind="stable")
+                cut = np.flatnonzero(np.diff(bucket[order], prepend=-1))
+                parts = np.split(order, cut[1:]) if len(order) else []
+                blobs = [[x[own].astype(kind).tobytes() for own in parts] for x, kind in ((np.arange(len(n)), np.int32), (prefix, np.int64), (suffix, np.int64), (n, np.int32))]
+                yield pa.RecordBatch.from_arrays([pa.array(bucket[order][cut]), pa.array(np.full(len(parts), shard)), *[pa.array(x, pa.binary()) for x in blobs]], names=["bucket", "shard", *_ARRAYS])
+            give_back()
+
+    return run
 
 
-def _frequent(counted: DataFrame, by: list[str], least: int) -> DataFrame:
-    """Rows of phrases with ``least`` occurrences over all shards: the sum ``a`` and an ``id`` of their own, that of one of the rows."""
-    within = Window.partitionBy(*by)
-    own = F.shiftleft(F.col("shard"), KEY_BITS).bitwiseOR(F.col("key").cast("long"))
-    return counted.withColumns({"a": F.sum("n").over(within), "id": F.min(own).over(within)}).filter(F.col("a") >= least).withColumn("first", F.col("id") == own)
+_ARRAYS = ("key", "prefix", "suffix", "n")
+_DEALT = "bucket long, shard long, key binary, prefix binary, suffix binary, n binary"
+_SUMMED = "shard long, key array<int>, id array<long>, prefix array<long>, suffix array<long>, a array<long>"
+
+
+def _summed(least: int):
+    """Sums the counts of a bucket over all shards: a row for each shard with its frequent phrases, and one without shard for all of them."""
+    schema = pa.schema([("shard", pa.int64()), ("key", pa.list_(pa.int32()))] + [(c, pa.list_(pa.int64())) for c in ("id", "prefix", "suffix", "a")])
+
+    def run(table: pa.Table) -> pa.Table:
+        blobs = {c: [x.as_buffer() for x in table.column(c)] for c in _ARRAYS}
+        key, prefix, suffix, n = (np.concatenate([np.frombuffer(x, kind) for x in blobs[c]]) for c, kind in zip(_ARRAYS, (np.int32, np.int64, np.int64, np.int32), strict=True))
+        shard = np.repeat(np.asarray(table.column("shard")), [len(x) // 4 for x in blobs["key"]])
+        order = np.lexsort((suffix, prefix))
+        p, s = prefix[order], suffix[order]
+        begin = np.flatnonzero(np.concatenate([[True], (p[1:] != p[:-1]) | (s[1:] != s[:-1])]))
+        a = np.add.reduceat(n[order].astype(np.int64), begin)
+        held = np.flatnonzero(a >= least)
+        if len(held) >= 1 << RANK_BITS:
+            raise ValueError("a bucket has too many frequent phrases")
+        own = np.full(len(a), -1, np.int64)
+        own[held] = (int(table.column("bucket")[0].as_py()) << RANK_BITS) + np.arange(len(held))
+        number = np.empty(len(order), np.int64)
+        number[order] = np.repeat(own, np.diff(begin, append=len(order)))
+        some = np.flatnonzero(number >= 0)
+        some = some[np.argsort(shard[some], kind="stable")]
+        cut = np.flatnonzero(np.diff(shard[some], prepend=-1))
+        rows = [{"shard": int(shard[x[0]]), "key": key[x], "id": number[x]} for x in np.split(some, cut[1:]) if len(x)]
+        rows.append({"shard": None, "id": own[held], "prefix": p[begin[held]], "suffix": s[begin[held]], "a": a[held]})
+        return pa.Table.from_pylist(rows, schema=schema)
+
+    return run
 
 
 def frequent_phrases(docs: DataFrame, least: int = 100, longest: int = 5, shard_positions: int = SHARD_POSITIONS) -> tuple[DataFrame, list[DataFrame], list[DataFrame]]:
@@ -257,12 +289,17 @@ def frequent_phrases(docs: DataFrame, least: int = 100, longest: int = 5, shard_
     A table has id, prefix, suffix (ids of the phrases without the last and without the first word), lang, words,
     a, and before and after: the counts of its prefixes from one word on, and of its suffixes from the longest on.
     """
-    bounded_batches(docs.sparkSession)
+    spark = docs.sparkSession
+    bounded_batches(spark)
     shards = saved(docs.select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text")).mapInArrow(_shards(shard_positions), _SHARDS), "phrase-shards")
     total = shards.select(F.explode(F.arrays_zip("vocabulary.lang", "vocabulary.n")).alias("x")).groupBy(F.col("x.lang").alias("lang")).agg(F.sum("x.n").alias("n"))
     each = shards.select("shard", F.posexplode(F.arrays_zip("vocabulary.lang", "vocabulary.word", "vocabulary.n")).alias("at", "x"))
     each = each.select("shard", (F.col("at") + 1).alias("key"), "x.lang", "x.word", "x.n")
-    marked = [saved(_frequent(each, ["lang", "word"], least), "phrase-1")]
+    within = Window.partitionBy("lang", "word")
+    own = F.shiftleft(F.col("shard"), KEY_BITS).bitwiseOR(F.col("key").cast("long"))  # a word's id is its number in one of its shards
+    each = each.withColumns({"a": F.sum("n").over(within), "id": F.min(own).over(within)}).filter(F.col("a") >= least)
+    marked = [saved(each.withColumn("first", F.col("id") == own), "phrase-1")]
+    buckets = max(1, shards.count())  # a bucket has about as many counts as a shard
     none = F.array().cast("array<long>")
     tables = [marked[0].filter("first").select("id", "lang", F.array("word").alias("words"), "a", none.alias("before"), none.alias("after"))]
     scratch = [shards, marked[0]]
@@ -270,16 +307,16 @@ def frequent_phrases(docs: DataFrame, least: int = 100, longest: int = 5, shard_
         work = shards.select("shard", "ids")
         for k, own in enumerate(marked):
             work = work.join(own.groupBy("shard").agg(F.collect_list(F.struct("key", "id")).alias(f"l{k}")), "shard")  # a shard's phrases: at most its positions
-        grown = saved(work.mapInArrow(_grown, "shard long, key int, prefix long, suffix long, n long"), "phrase-grown")
-        marked.append(saved(_frequent(grown, ["prefix", "suffix"], least), f"phrase-{length}"))
-        discard(grown)
+        counted = work.mapInArrow(_grown(buckets), _DEALT).groupBy("bucket").applyInArrow(_summed(least), _SUMMED)
+        summed = saved(counted, f"phrase-{length}")
+        marked.append(summed.filter("shard is not null").select("shard", "key", "id"))
         shorter = tables[-1]
         head = shorter.select(F.col("id").alias("prefix"), "lang", F.col("words").alias("head"), F.array_append("before", F.col("a")).alias("before"))
         tail = shorter.select(F.col("id").alias("suffix"), F.element_at("words", -1).alias("last"), F.array_prepend("after", F.col("a")).alias("after"))
-        own = marked[-1].filter("first").select("id", "prefix", "suffix", "a").join(head, "prefix").join(tail, "suffix")
+        own = summed.filter("shard is null").select(F.inline(F.arrays_zip("id", "prefix", "suffix", "a"))).join(head, "prefix").join(tail, "suffix")
         table = saved(own.select("id", "prefix", "suffix", "lang", F.array_append("head", F.col("last")).alias("words"), "a", "before", "after"), f"phrase-table-{length}", narrow=True)
         tables.append(table)
-        scratch += [marked[-1], table]
+        scratch += [summed, table]
     return total, tables, scratch
 
 
