@@ -171,10 +171,14 @@ class Bitmaps:
     def meet(self, others: Bitmaps, within: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(chunk, code, other's code, mask) wherever an item's bitmap AND another's AND ``within`` is not empty."""
         parts = []
-        for k in range(0, len(self.codes), SLAB):
-            both = self.masks[k : k + SLAB, :, None] & (others.masks[k : k + SLAB] & within[k : k + SLAB, None])[:, None, :]
-            chunk, i, j = np.nonzero(both)
-            parts.append((chunk + k, self.codes[chunk + k, i], others.codes[chunk + k, j], both[chunk, i, j]))
+        alive = np.flatnonzero(self.union() & within)  # chunks where anything can meet at all
+        wide, high = others.masks.shape[1], self.masks.shape[1]
+        for k in range(0, len(alive), SLAB):
+            own = alive[k : k + SLAB]
+            both = (self.masks[own][:, :, None] & (others.masks[own] & within[own, None])[:, None, :]).ravel()
+            at = np.flatnonzero(both != 0)
+            chunk, place = own[at // (high * wide)], at % (high * wide)
+            parts.append((chunk, self.codes[chunk, place // wide], others.codes[chunk, place % wide], both[at]))
         return tuple(np.concatenate(x) for x in zip(*parts, strict=True)) if parts else (np.zeros(0, np.int64),) * 3 + (np.zeros(0, np.uint16),)
 
 
