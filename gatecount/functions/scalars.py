@@ -1,19 +1,20 @@
 """Scalar functions as pure Column builders: text keys, contacts, dates, numbers, links.
 
-Nulls give nulls unless a docstring says otherwise. Everything stays inside Spark's code
-generation; accents are folded by a translation over the Latin letters of the domain.
+Nulls give nulls unless a docstring says otherwise. Everything but ``composed`` stays inside Spark's code generation:
+accents are folded by a translation of each letter that Unicode takes apart into a base and marks, and marks are left out.
 """
 
 from __future__ import annotations
 
+import unicodedata
+from functools import cache
+
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..schema import NO_DATA
 
-#: Accented capital letters and what they fold to, in the same order.
-ACCENTED = "ÁÀÂÄÃÅÉÈÊËÍÌÎÏÓÒÔÖÕÚÙÛÜÇÑÝ"
-FOLDED = "AAAAAAEEEEIIIIOOOOOUUUUCNY"
 #: Mistyped mail domains and the domains that are meant.
 DOMAIN_TYPOS = {"gmial.com": "gmail.com", "hotmial.com": "hotmail.com", "outlok.com": "outlook.com"}
 EMAIL_PATTERN = r"^[a-z0-9._%+\-]+@[a-z0-9.\-]+\.[a-z]{2,}$"
@@ -24,9 +25,31 @@ def text(c: Column) -> Column:
     return F.trim(F.regexp_replace(F.translate(F.coalesce(c, F.lit("")), " ", " "), r"\s+", " "))
 
 
+def composed(c: Column) -> Column:
+    """The text in Unicode's composed form (NFC). Only texts beyond ASCII reach Python; the rest pass by."""
+
+    def compose(texts: pa.Array) -> pa.Array:  # Arrow's own function decomposes only
+        return pa.array([None if t is None else unicodedata.normalize("NFC", t) for t in texts.to_pylist()], pa.string())
+
+    beyond = c.rlike(r"[^\x00-\x7F]")
+    return F.coalesce(F.arrow_udf(compose, "string")(F.when(beyond, c)), c)
+
+
+@cache
+def _letters() -> tuple[str, str]:
+    """Letters that are a base with marks, and the bases: what decomposition (NFD) without marks makes of each."""
+    pairs = {}
+    for k in range(0xC0, 0x3000):
+        base = [x for x in unicodedata.normalize("NFD", chr(k)) if unicodedata.category(x) != "Mn"]
+        if len(base) == 1 and base[0] != chr(k):
+            pairs[chr(k)] = base[0]
+    return "".join(pairs), "".join(pairs.values())
+
+
 def fold(c: Column) -> Column:
-    """Capitals without accents; sharp s becomes SS."""
-    return F.translate(F.upper(F.replace(c, F.lit("ß"), F.lit("SS"))), ACCENTED, FOLDED)
+    """Capitals without accents or other marks, composed or not; sharp s becomes SS."""
+    capitals = F.translate(F.upper(F.replace(c, F.lit("ß"), F.lit("SS"))), *_letters())
+    return F.regexp_replace(capitals, r"\p{Mn}+", "")
 
 
 def match_key(c: Column) -> Column:
@@ -138,6 +161,7 @@ def clip_probability(p: Column, edge: float = 1e-6) -> Column:
 
 def normal_cdf(z: Column) -> Column:
     """Abramowitz and Stegun's polynomial for the normal distribution."""
+    #: The polynomial's coefficients.
     t = 1 / (1 + 0.2316419 * F.abs(z))
     tail = 0.3989423 * F.exp(-z * z / 2) * t * (0.3193815 + t * (-0.356538 + t * (1.781478 + t * (-1.821256 + t * 1.330274))))
     return F.when(z > 0, 1 - tail).otherwise(tail)

@@ -40,11 +40,11 @@ def within_one_edit(a: Column, b: Column) -> Column:
 
 
 def _ratio(left: pa.Array, right: pa.Array) -> pa.Array:
-    return pa.array([SequenceMatcher(None, a or "", b or "").ratio() for a, b in zip(left.to_pylist(), right.to_pylist(), strict=True)], pa.float64())
+    return pa.array([0.0 if a is None or b is None else SequenceMatcher(None, a, b).ratio() for a, b in zip(left.to_pylist(), right.to_pylist(), strict=True)], pa.float64())
 
 
 def sequence_ratio(a: Column, b: Column) -> Column:
-    """Ratcliff and Obershelp's ratio: the one function that Spark has no expression for."""
+    """Ratcliff and Obershelp's ratio: the one function that Spark has no expression for; 0 where a text is null."""
 
     def ratio(left: pa.Array, right: pa.Array) -> pa.Array:
         return _ratio(left, right)
@@ -62,10 +62,16 @@ def name_similarity(full: Column, first: Column, last: Column, ratio: bool = Tru
     f, g = match_key(F.coalesce(first, F.lit(""))), match_key(F.coalesce(last, F.lit("")))
     has_last = F.array_contains(given, g)
     joined = lambda x: F.array_join(F.array_sort(x), "")
-    base = sequence_ratio(joined(given), joined(held)) if ratio else F.lit(0.0)
     initial = F.exists(given, lambda t: (F.length(t) == 1) & f.startswith(t))
     near = within_one_edit(match_key(F.coalesce(full, F.lit(""))), F.concat(f, g))
     common = F.size(F.array_intersect(given, held)) / F.greatest(F.size(F.array_distinct(held)), F.lit(1))
-    score = F.greatest(base, F.when(has_last & initial, 0.84).otherwise(0.0), F.when(near, 0.95).otherwise(0.0), F.when(has_last, 0.55 + 0.40 * common).otherwise(0.0))
-    score = F.when(F.array_contains(given, f) & has_last, 1.0).otherwise(F.rint(F.least(score, F.lit(1.0)) * 1e4) / 1e4)
+    score = F.greatest(F.when(has_last & initial, 0.84).otherwise(0.0), F.when(near, 0.95).otherwise(0.0), F.when(has_last, 0.55 + 0.40 * common).otherwise(0.0))
+    both = F.array_contains(given, f) & has_last
+    if ratio:
+        # matching letters can't be more than the shorter text has, so other pairs never reach Python
+        a, b = joined(given), joined(held)
+        most = 2 * F.least(F.length(a), F.length(b)) / F.greatest(F.length(a) + F.length(b), F.lit(1))
+        open_ = ~both & (most > score)
+        score = F.greatest(score, sequence_ratio(F.when(open_, a), F.when(open_, b)))
+    score = F.when(both, 1.0).otherwise(F.rint(F.least(score, F.lit(1.0)) * 1e4) / 1e4)
     return F.when((F.size(given) == 0) | (F.size(held) == 0), 0.0).otherwise(score)

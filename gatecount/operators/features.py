@@ -6,7 +6,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import hours_between
-from ..schema import TICKET_TYPES
+from ..schema import NO_MATCH, TICKET_TYPES
+from .merges import ONE_TO_ONE, merge
+
+#: What a member's profile adds to a buyer, in order: rates and counts of the past, and what is known of the person.
+MEASURES = ("use_rate", "tickets_total", "tickets_used", "membership", "points", "friends_count")
 
 
 def _grid(c: Column) -> Column:
@@ -53,6 +57,66 @@ def profile_priors(profile: DataFrame) -> DataFrame:
     return profile.agg(F.coalesce(F.avg("use_rate"), F.lit(0.0)).alias("prior_use_rate"), F.coalesce(F.avg("tickets_total"), F.lit(0.0)).alias("prior_tickets"))
 
 
+def measures(profile: DataFrame) -> DataFrame:
+    """member_id, the measures as numbers, history_available as 0 or 1."""
+    number = lambda c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c)
+    return profile.select(
+        "member_id", *[number(c) for c in ("use_rate", "tickets_total", "tickets_used", "points", "friends_count")],
+        F.coalesce(F.col("has_membership").cast("double"), F.lit(0.0)).alias("membership"), (F.coalesce(F.col("tickets_total"), F.lit(0)) > 0).cast("double").alias("history_available"),
+    )
+
+
+def measure_priors(known: DataFrame) -> DataFrame:
+    """One row, prior_<measure>: means over all members, of the use rate over those with a past."""
+    means = [F.avg(F.when(F.col("history_available") == 1, F.col("use_rate"))) if m == "use_rate" else F.avg(m) for m in MEASURES]
+    return known.agg(*[F.coalesce(c, F.lit(0.0)).alias(f"prior_{m}") for m, c in zip(MEASURES, means, strict=True)])
+
+
+def identity_features(sale: DataFrame, ranked: DataFrame, diagnoses: DataFrame, profile: DataFrame) -> DataFrame:
+    """One row for each sale: whom it was matched to and how, how sure that is, and the measures expected of the buyer.
+
+    ``ranked``: candidates with probability and history weight, no-match state included; ``diagnoses``: the accepted member.
+    An expected measure is the sum of weight times measure over the candidates, and the prior for the weight that is left;
+    use rates weigh only candidates with a past. Every candidate must have a profile, and profiles and diagnoses are unique:
+    the joins assert it. Sales without candidates have priors.
+    """
+    known = measures(profile)
+    own = ranked.filter(F.col("member_id") != NO_MATCH).withColumn("member", F.col("member_id").try_cast("bigint"))
+    met = merge(own, known.withColumnRenamed("member_id", "member"), ["member"], complete=True, name="profile")
+    w = F.col("model_history_weight")
+    past = w * F.col("history_available")
+    sums = [F.sum((past if m == "use_rate" else w) * F.col(m)).alias(f"sum_{m}") for m in MEASURES]
+    blended = met.groupBy("sale_id").agg(F.count_distinct("member").alias("candidates"), F.max("candidate_probability").alias("top_probability"), F.sum(w).alias("identity_weight"), F.sum(past).alias("history_weight"), *sums)
+    nobody = ranked.filter(F.col("member_id") == NO_MATCH).select("sale_id", F.col("candidate_probability").alias("no_match_probability"))
+    of_match = ranked.select("sale_id", "member_id", F.col("candidate_source").alias("match_source"))
+    out = merge(sale.select("sale_id"), blended, ["sale_id"], validate=ONE_TO_ONE)
+    out = merge(out, nobody, ["sale_id"], validate=ONE_TO_ONE)
+    out = merge(out, diagnoses.select("sale_id", "member_id", "confidence"), ["sale_id"], validate=ONE_TO_ONE, complete=True, name="diagnoses")
+    out = merge(out, of_match, ["sale_id", "member_id"]).join(F.broadcast(measure_priors(known)))
+    held = lambda c: F.least(F.greatest(F.coalesce(c, F.lit(0.0)), F.lit(0.0)), F.lit(1.0))
+    zero = lambda c: F.coalesce(c, F.lit(0.0))
+    identity, history = held(F.col("identity_weight")), held(F.col("history_weight"))
+    n = F.coalesce("candidates", F.lit(0))
+    status = F.when(F.col("member_id") == NO_MATCH, F.when(n == 0, "NEW_OR_UNKNOWN").otherwise("UNRESOLVED_IDENTITY")).when(F.col("match_source").contains("LEARNED_ALIAS"), "ALIAS_PROBABLE").when(F.col("confidence") >= 0.90, "DIRECT_HIGH").otherwise("DIRECT_PROBABLE")
+    expected = [_grid(zero(F.col(f"sum_{m}")) + (1 - (history if m == "use_rate" else identity)) * F.col(f"prior_{m}")).alias(f"expected_{m}") for m in MEASURES]
+    return out.select(
+        "sale_id", "member_id", "confidence", status.alias("match_status"), F.when(F.col("member_id") != NO_MATCH, F.col("match_source")).alias("match_source"), n.alias("candidates"), zero(F.col("top_probability")).alias("top_probability"),
+        F.coalesce("no_match_probability", F.lit(1.0)).alias("no_match_probability"), _grid(identity).alias("identity_weight"), _grid(history).alias("history_weight"), *expected,
+    )
+
+
+def training_rows(tickets: DataFrame, sale: DataFrame, event: DataFrame, mix: DataFrame, identity: DataFrame, priors: DataFrame) -> DataFrame:
+    """The star of each ticket with what is expected of its buyer, held back by the size of the party.
+
+    Companions are unknown, so an expected measure is prior + (measure - prior) / quantity, and weights are divided by it.
+    """
+    party = F.greatest(F.coalesce("qty", F.lit(1)), F.lit(1))
+    rows = merge(star(tickets, sale, event, mix), identity.drop("member_id", "match_source"), ["sale_id"], name="identity").join(F.broadcast(priors))
+    shrunk = {f"expected_{m}": _grid(companion_shrink(F.coalesce(F.col(f"expected_{m}"), F.col(f"prior_{m}")), F.col(f"prior_{m}"), party)) for m in MEASURES}
+    weights = {f"ticket_{c}": _grid(F.coalesce(c, F.lit(0.0)) / party) for c in ("identity_weight", "history_weight")}
+    return rows.withColumns({**shrunk, **weights}).drop(*[f"prior_{m}" for m in MEASURES])
+
+
 def companion_shrink(x: Column, prior: Column, quantity: Column) -> Column:
     """A buyer's value held against a party of ``quantity``: prior + (x - prior) / quantity."""
     return prior + (x - prior) / F.greatest(quantity, F.lit(1))

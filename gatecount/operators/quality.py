@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import rounded
+from ..stored import once
+from .ranks import quantiles
 
 
 def blanks(df: DataFrame) -> DataFrame:
@@ -17,10 +19,10 @@ def blanks(df: DataFrame) -> DataFrame:
 def numeric_profile(df: DataFrame, columns: list[str]) -> DataFrame:
     """column_name, n, n_distinct, low, q1, median, q3, high, outliers of numbers; outliers lie beyond 1.5 quartile ranges."""
     long = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot([], columns, "column_name", "value").filter("value is not null")
-    stats = long.groupBy("column_name").agg(
-        F.count(F.lit(1)).alias("n"), F.count_distinct("value").alias("n_distinct"), F.min("value").alias("low"), F.max("value").alias("high"), F.percentile("value", F.array(*map(F.lit, (0.25, 0.5, 0.75)))).alias("q")
-    )
+    stats = long.groupBy("column_name").agg(F.count_distinct("value").alias("n_distinct"), F.min("value").alias("low"), F.max("value").alias("high"))
+    stats = stats.join(quantiles(long, "column_name", "value", [0.25, 0.5, 0.75]), "column_name")
     stats = stats.select("column_name", "n", "n_distinct", "low", F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3"), "high")
+    stats = once(stats)
     reach = 1.5 * (F.col("q3") - F.col("q1"))
     beyond = long.join(F.broadcast(stats), "column_name").filter((F.col("value") < F.col("q1") - reach) | (F.col("value") > F.col("q3") + reach))
     return stats.join(beyond.groupBy("column_name").agg(F.count(F.lit(1)).alias("o")), "column_name", "left").select(*stats.columns, F.coalesce("o", F.lit(0)).alias("outliers"))

@@ -5,7 +5,9 @@ Queries that fit MLlib models or use the Ratcliff-Obershelp ratio have none.
 
 from __future__ import annotations
 
-from ..functions.scalars import ACCENTED, EMAIL_PATTERN, FOLDED
+from math import e, factorial
+
+from ..functions.scalars import EMAIL_PATTERN
 from ..schema import TICKET_TYPES
 from .roles import ctes
 
@@ -25,7 +27,7 @@ def big(x: str) -> str:
 
 
 def fold(x: str) -> str:
-    return f"translate(upper(replace({x}, 'ß', 'SS')), '{ACCENTED}', '{FOLDED}')"
+    return f"strip_accents(upper(replace({x}, 'ß', 'SS')))"
 
 
 def token_key(x: str) -> str:
@@ -63,7 +65,7 @@ put("view_artist_summary", "event artist ticket", f"""select a.artist_id, a.name
     sum(checked_in_count) filter (where not is_upcoming) as entered, sum(tickets_sold) filter (where not is_upcoming and checked_in_count is not null) as sold from summary group by artist_id) s on a.artist_id = s.artist_id""", summary=SUMMARY)
 put("union_counts", "member sale ticket", "select 'member' as relation, count(*) as n from member union all select 'sale', count(*) from sale union all select 'ticket', count(*) from ticket")
 WHITE = r"regexp_replace(replace(coalesce(text, ''), chr(160), ' '), '[ \t\n\x0B\f\r]+', ' ', 'g')"
-put("clean_text", "", f"select doc_id, md5(trim({WHITE})) as text_md5 from documents")
+put("clean_text", "", f"select doc_id, md5(nfc_normalize(trim({WHITE}))) as text_md5 from documents")
 put("match_key", "", f"select doc_id, md5(regexp_replace({fold('text')}, '[^A-Z0-9]', '', 'g')) as key_md5 from documents")
 put("token_key", "", f"select conv_id, turn, md5({token_key('text')}) as key_md5 from conversations")
 DIRTY = """select member_id, case member_id % 6 when 0 then upper(email) when 1 then ' mailto:' || email when 2 then replace(email, '@', '+club@') when 3 then replace(email, 'mail.com', 'gmial.com') when 4 then replace(email, '@', '@@') else email end as email,
@@ -172,15 +174,75 @@ PROBABLE = f"""select sale_id, row_number() over (partition by sale_id order by
     case when d.member_id <> 'SIN_MATCH' then match_weight when decision = 'AMBIGUO' then 0.2e0 when decision = 'EVIDENCIA_INSUFICIENTE' then 0.1e0 else 0e0 end as cap from
     (select sale_id, cast(member_id as varchar) as member_id, exp(12e0 * (evidence_confidence - 0.75e0)) as strength, evidence_confidence, 'DIRECT_IDENTITY' as candidate_source from scored union all select sale_id, 'SIN_MATCH', 1e0, 0e0, 'NO_MATCH_PRIOR' from sale) c join decided d on c.sale_id = d.sale_id)"""
 put("candidate_probability_rules", "sale", "select sale_id, cast(candidate_rank as int) as candidate_rank, * exclude (sale_id, candidate_rank) from probable", **FULL, probable=PROBABLE)
+RUNNER = {"confidence": "evidence_confidence", "email_score": "email_score", "phone_score": "phone_score", "name_score": "name_score"}
+DIAGNOSED = f"""select s.sale_id, d.member_id, d.confidence, case when d.decision = 'MATCH' then t.match_method else d.decision end as match_method, d.match_weight, d.decision, coalesce(x.n, 0) as candidate_count,
+    coalesce(cast(x.by_email as varchar), 'SIN_MATCH') as exact_email_candidate, coalesce(cast(x.by_phone as varchar), 'SIN_MATCH') as exact_phone_candidate, coalesce(x.by_email <> x.by_phone, false) as exact_contact_conflict,
+    coalesce(cast(t.member_id as varchar), 'SIN_MATCH') as top_candidate, coalesce(t.evidence_confidence, 0e0) as top_raw_confidence, coalesce(cast(u.member_id as varchar), 'SIN_MATCH') as runner_up_candidate,
+    {", ".join(f"coalesce(u.{c}, 0e0) as runner_up_{name}" for name, c in RUNNER.items())}, d.margin as confidence_margin, {", ".join(f"coalesce(t.{c}, 0e0) as {c}" for c in ("email_score", "phone_score", "name_score"))}
+    from sale s join decided d on s.sale_id = d.sale_id left join ordered t on t.sale_id = s.sale_id and t.k = 1 left join ordered u on u.sale_id = s.sale_id and u.k = 2
+    left join (select sale_id, count(*) as n, min(member_id) filter (where email_score >= 1) as by_email, min(member_id) filter (where phone_score >= 1) as by_phone from scored group by sale_id) x on x.sale_id = s.sale_id"""
+SECOND = {
+    **FULL,
+    "ordered": "select *, row_number() over (partition by sale_id order by evidence_confidence desc, name_score desc, email_score + phone_score desc, member_id) as k from scored",
+    "diagnosed": DIAGNOSED,
+    "keyed": f"select *, {token_key('buyer_name')} as name_key from sale",
+    "seeds": "select k.*, cast(d.member_id as bigint) as member_id from diagnosed d join keyed k on d.sale_id = k.sale_id where d.decision = 'MATCH' and d.confidence >= 0.95 and d.name_score >= 0.95 and k.name_key <> ''",
+    "by_email": "select name_key, email, min(member_id) as member_id from seeds where email is not null group by name_key, email having count(distinct member_id) = 1",
+    "by_phone": "select name_key, phone, min(member_id) as member_id from seeds where phone is not null group by name_key, phone having count(distinct member_id) = 1",
+    "votes": """select k.sale_id, d.decision, a.member_id as m1, b.member_id as m2 from diagnosed d join keyed k on d.sale_id = k.sale_id left join by_email a on a.name_key = k.name_key and a.email = k.email left join by_phone b on b.name_key = k.name_key and b.phone = k.phone
+        where d.member_id = 'SIN_MATCH' and (a.member_id is not null or b.member_id is not null)""",
+    "judged": """select v.sale_id, coalesce(m1, m2) as alias_member, coalesce(m1 <> m2, false) as contradictory, case when m1 is null or m2 is null then 1 else 2 end as signals, concat_ws('+', case when m1 is not null then 'NOMBRE+EMAIL_ALIAS' end, case when m2 is not null then 'NOMBRE+TELEFONO_ALIAS' end) as sources,
+        not coalesce(m1 <> m2, false) and (decision = 'SIN_CANDIDATO_DE_CONTACTO' or c.sale_id is not null) as fits from votes v left join scored c on c.sale_id = v.sale_id and c.member_id = coalesce(m1, m2)""",
+    "after_alias": """select d.sale_id, case when fits then cast(alias_member as varchar) else d.member_id end as member_id, case when fits then case when signals >= 2 then 0.9e0 else 0.82e0 end else d.confidence end as confidence, case when fits then sources else d.match_method end as match_method,
+        case when fits then case when signals >= 2 then 0.55e0 else 0.35e0 end else d.match_weight end as match_weight, case when fits then 'MATCH_ALIAS' else d.decision end as decision, case when fits then cast(alias_member as varchar) else d.top_candidate end as top_candidate,
+        case when fits then case when signals >= 2 then 0.9e0 else 0.82e0 end else d.top_raw_confidence end as top_raw_confidence, d.* exclude (sale_id, member_id, confidence, match_method, match_weight, decision, top_candidate, top_raw_confidence), cast(coalesce(signals, 0) as int) as alias_signals,
+        case when signals is null then 'NO_APLICA' when contradictory then 'ALIAS_CONTRADICTORIOS' when not fits then 'ALIAS_NO_COMPATIBLE_CON_CANDIDATOS' else sources end as alias_source from diagnosed d left join judged j on d.sale_id = j.sale_id""",
+    "every_candidate": """select sale_id, cast(member_id as varchar) as member_id, evidence_confidence, 1e0 as source_reliability, 'DIRECT_IDENTITY' as candidate_source, match_method, email_score, phone_score, name_score from scored
+        union all select sale_id, cast(alias_member as varchar), case when signals >= 2 then 0.9e0 else 0.82e0 end, case when signals >= 2 then 0.55e0 else 0.35e0 end, 'LEARNED_ALIAS', sources, 0e0, 0e0, 1e0 from judged where not contradictory""",
+    "collapsed": """select sale_id, member_id, sum(exp(12e0 * (evidence_confidence - 0.75e0)) * source_reliability) as strength, array_to_string(list_sort(list(distinct candidate_source)), '+') as candidate_source,
+        max({'evidence_confidence': evidence_confidence, 'source_reliability': source_reliability, 'match_method': match_method, 'email_score': email_score, 'phone_score': phone_score, 'name_score': name_score}) as best from every_candidate group by sale_id, member_id""",
+    "ranked_all": f"""select c.sale_id, cast(row_number() over (partition by c.sale_id order by strength desc, c.member_id = 'SIN_MATCH', c.member_id) as int) as candidate_rank, c.member_id, {grid("strength / sum(strength) over (partition by c.sale_id)")} as candidate_probability, evidence_confidence,
+        case when c.member_id = 'SIN_MATCH' then 0e0 else {grid("strength / sum(strength) over (partition by c.sale_id) * case when d.member_id <> 'SIN_MATCH' then d.match_weight when decision = 'AMBIGUO' then 0.2e0 when decision = 'EVIDENCIA_INSUFICIENTE' then 0.1e0 else 0e0 end")} end as model_history_weight,
+        candidate_source, c.match_method, c.email_score, c.phone_score, c.name_score from (select sale_id, member_id, strength, best.evidence_confidence, candidate_source, best.match_method, best.email_score, best.phone_score, best.name_score from collapsed
+        union all select sale_id, 'SIN_MATCH', 1e0, 0e0, 'NO_MATCH_PRIOR', 'NUEVO_O_NO_IDENTIFICADO', 0e0, 0e0, 0e0 from sale) c join after_alias d on c.sale_id = d.sale_id""",
+}
+put("match_diagnostics_rules", "sale", "select * from diagnosed", **SECOND)
+put("alias_applied_rules", "sale", "select * from after_alias", **SECOND)
+put("alias_report_rules", "sale", f"""select (select count(*) from seeds) as seeds, (select count(*) from by_email) as learned_email_aliases, (select count(*) from by_phone) as learned_phone_aliases, {big("count(*) filter (where decision = 'MATCH_ALIAS')")} as recovered,
+    {big("count(*) filter (where alias_source = 'ALIAS_CONTRADICTORIOS')")} as contradictory, {big("count(*) filter (where alias_source = 'ALIAS_NO_COMPATIBLE_CON_CANDIDATOS')")} as rejected from after_alias""", **SECOND)
+put("candidate_probability_all_rules", "sale", "select * from ranked_all", **SECOND)
+put("unmatched_detail_rules", "sale", """select a.sale_id, s.buyer_name, s.email, s.phone, case when a.decision = 'SIN_CANDIDATO_DE_CONTACTO' then 'NEW_OR_UNKNOWN' else 'UNRESOLVED_IDENTITY' end as buyer_status, a.member_id, a.confidence, r.candidate_probability as no_match_probability, a.top_candidate, a.top_raw_confidence, a.decision
+    from after_alias a join sale s on a.sale_id = s.sale_id join ranked_all r on r.sale_id = a.sale_id and r.member_id = 'SIN_MATCH' where a.member_id = 'SIN_MATCH'""", **SECOND)
+put("method_report_rules", "sale", f"""select decision, match_method, count(*) as sales, {big("count(*) filter (where exact_contact_conflict)")} as conflicts, {big("count(*) filter (where exact_contact_conflict and member_id <> 'SIN_MATCH')")} as resolved from after_alias group by decision, match_method""", **SECOND)
+KNOWN = "select member_id, use_rate, tickets_total * 1e0 as tickets_total, tickets_used * 1e0 as tickets_used, cast(has_membership as double) as membership, (member_id % 500) * 1e0 as points, friends_count * 1e0 as friends_count, cast(coalesce(tickets_total, 0) > 0 as double) as past from profile"
+KNOWN = KNOWN.replace("use_rate,", "coalesce(use_rate, 0e0) as use_rate,", 1)
+MEASURES = ("use_rate", "tickets_total", "tickets_used", "membership", "points", "friends_count")
+MEASURED = {
+    **SECOND,
+    "profile": PROFILE,
+    "known": KNOWN,
+    "priors": "select coalesce(avg(use_rate) filter (where past = 1), 0e0) as prior_use_rate, " + ", ".join(f"coalesce(avg({m}), 0e0) as prior_{m}" for m in MEASURES[1:]) + " from known",
+    "blended": f"""select sale_id, count(distinct c.member_id) as candidates, max(candidate_probability) as top_probability, sum(model_history_weight) as iw, sum(model_history_weight * past) as hw, sum(model_history_weight * past * use_rate) as s_use_rate,
+        {", ".join(f"sum(model_history_weight * {m}) as s_{m}" for m in MEASURES[1:])} from ranked_all c join known k on cast(k.member_id as varchar) = c.member_id group by sale_id""",
+    "identity": f"""select s.sale_id, a.member_id, a.confidence, case when a.member_id = 'SIN_MATCH' then case when coalesce(candidates, 0) = 0 then 'NEW_OR_UNKNOWN' else 'UNRESOLVED_IDENTITY' end when contains(m.candidate_source, 'LEARNED_ALIAS') then 'ALIAS_PROBABLE'
+        when a.confidence >= 0.9 then 'DIRECT_HIGH' else 'DIRECT_PROBABLE' end as match_status, case when a.member_id <> 'SIN_MATCH' then m.candidate_source end as match_source, coalesce(candidates, 0) as candidates, coalesce(top_probability, 0e0) as top_probability, n.candidate_probability as no_match_probability,
+        {grid("least(greatest(coalesce(iw, 0e0), 0e0), 1e0)")} as identity_weight, {grid("least(greatest(coalesce(hw, 0e0), 0e0), 1e0)")} as history_weight, {", ".join(grid(f"coalesce(s_{m}, 0e0) + (1 - least(greatest(coalesce({'hw' if m == 'use_rate' else 'iw'}, 0e0), 0e0), 1e0)) * prior_{m}") + f" as expected_{m}" for m in MEASURES)}
+        from sale s join after_alias a on a.sale_id = s.sale_id left join blended b on b.sale_id = s.sale_id join ranked_all n on n.sale_id = s.sale_id and n.member_id = 'SIN_MATCH' left join ranked_all m on m.sale_id = s.sale_id and m.member_id = a.member_id, priors""",
+}
+put("identity_features_rules", "sale history social", "select * from identity", **MEASURED)
 put("set_symdiff", "sale ticket", "(select event_id, 'sale' as side from (select event_id from sale except select event_id from ticket)) union all (select event_id, 'ticket' from (select event_id from ticket except select event_id from sale))")
 put("distinct_sources", "sale ticket", "select t.event_id, array_to_string(list_sort(list(distinct channel)), '+') as sources from ticket t join sale s on t.sale_id = s.sale_id group by t.event_id")
 
 N = ", ".join(f"{big(f"count(*) filter (where ticket_type = '{t}')")} as n_{k}" for k, t in enumerate(TICKET_TYPES))
 MIX = f"select event_id, issued, n_0, n_1, n_2, n_3, {', '.join(f'{grid(f"n_{k} * 1e0 / issued")} as share_{k}' for k in range(4))}, {grid('m')} as mean_price from (select event_id, count(*) as issued, {N}, avg(price) as m from ticket group by event_id)"
 put("event_mix_pivot", "ticket", MIX)
-put("star_features", "ticket sale event", f"""select ticket_id, t.event_id, t.sale_id, ticket_type, channel, price, qty, is_residency, issued, share_3, {grid("case when mean_price > 0 then price / mean_price else 0e0 end")} as price_ratio, capacity - issued as remaining_capacity,
+STAR = f"""select ticket_id, t.event_id, t.sale_id, ticket_type, channel, price, qty, is_residency, issued, share_3, {grid("case when mean_price > 0 then price / mean_price else 0e0 end")} as price_ratio, capacity - issued as remaining_capacity,
     {grid("(epoch_us(e.starts_at) - epoch_us(purchased_at)) / 3.6e9")} as lead_hours, cast(isodow(e.starts_at) - 1 as int) as weekday_number, isodow(e.starts_at) >= 6 as is_weekend
-    from ticket t left join sale s on t.sale_id = s.sale_id left join event e on t.event_id = e.event_id left join mix m on t.event_id = m.event_id""", mix=MIX)
+    from ticket t left join sale s on t.sale_id = s.sale_id left join event e on t.event_id = e.event_id left join mix m on t.event_id = m.event_id"""
+put("star_features", "ticket sale event", STAR, mix=MIX)
+put("training_rows_rules", "ticket sale event history social", f"""select s.*, confidence, match_status, candidates, top_probability, no_match_probability, identity_weight, history_weight,
+    {", ".join(grid(f"prior_{m} + (expected_{m} - prior_{m}) / greatest(coalesce(qty, 1), 1)") + f" as expected_{m}" for m in MEASURES)}, {", ".join(grid(f"{w} / greatest(coalesce(qty, 1), 1)") + f" as ticket_{w}" for w in ("identity_weight", "history_weight"))}
+    from star s left join identity i on s.sale_id = i.sale_id, priors""", **MEASURED, mix=MIX, star=STAR)
 put("star_guard", "ticket sale event", "select 'sale_id' as dimension, count(*) as rows from ticket where sale_id not in (select sale_id from sale where sale_id % 7 <> 0) union all select 'event_id', count(*) from ticket where event_id not in (select event_id from event)")
 put("weighted_profile_rules", "sale history social", f"""select sale_id, {grid("w1")} as history_weight, {grid("x1 + (1 - w1) * prior_use_rate")} as use_rate, {grid("x2 + (1 - w1) * prior_tickets")} as tickets_total, members, {grid("top")} as top_weight from
     (select sale_id, least(greatest(sum(w), 0e0), 1e0) as w1, sum(w * coalesce(use_rate, 0e0)) as x1, sum(w * tickets_total) as x2, count(distinct c.member_id) as members, max(w) as top from
@@ -218,9 +280,10 @@ FORECAST = f"""select event_id, {ONE.format(HELD.format("expected"))} as expecte
     from (select event_id, count(*) as tickets, sum(p) as expected from ticket t join (select ticket_type, (sum(label) + 30e0 * any_value(g)) / (count(*) + 30e0) as p from labelled, (select avg(label) as g from labelled) group by ticket_type) r on t.ticket_type = r.ticket_type where checked_in is null group by event_id), (select * from spread where model = 'type_rate')"""
 put("forecast_interval", "ticket", FORECAST, **EVENTS, spread=INTERVAL)
 put("web_model", "ticket", f"select event_id, expected_attendance as baseline, {grid('greatest((p90 - p10) / (2 * 1.2816e0), 0.1e0)')} as sd from forecast", **EVENTS, spread=INTERVAL, forecast=FORECAST)
-DIFF = "select row_number() over (order by p.event_id) - 1 as i, max(abs(residual)) filter (where model = 'type_rate') - max(abs(residual)) filter (where model = 'global_rate') as d from events_p p group by p.event_id"
-put("bootstrap_lcg", "ticket", f"""select count(*) as draws, {grid("avg(m)")} as mean, {grid("quantile_cont(m, 0.025)")} as low, {grid("quantile_cont(m, 0.975)")} as high from (select b, avg(d) as m from (select b, (1103515245 * (b * n + k) + 12345) % 2147483648 % n as i from range(10000) x(b), (select count(*) as n from diffs), range(1000000) y(k) where k < n) s join diffs t on s.i = t.i group by b)""", **EVENTS, diffs=DIFF)
-ORACLE_SQL["bootstrap_lcg"] = ORACLE_SQL["bootstrap_lcg"].replace("range(1000000) y(k) where k < n", "(select i as k from diffs)")
+DIFF = "select event_id, max(abs(residual)) filter (where model = 'type_rate') - max(abs(residual)) filter (where model = 'global_rate') as d from events_p p group by event_id"
+POISSON = "case " + " ".join(f"when u < {round(65536 * sum(1 / factorial(j) for j in range(k + 1)) / e)} then {k}" for k in range(9)) + " else 9 end"
+put("bootstrap_interval", "ticket", f"""select count(*) as draws, {grid("avg(m)")} as mean, {grid("quantile_cont(m, 0.025)")} as low, {grid("quantile_cont(m, 0.975)")} as high from (select b, sum(w * d) / sum(w) as m from (select 8 * j + k as b, d, {POISSON} as w from
+    (select j, k, d, cast(concat('0x', substr(h, 4 * k + 1, 4)) as int) as u from (select j, d, md5(concat(event_id, ':', j)) as h from diffs, range(1250) x(j)), range(8) y(k))) group by b having sum(w) > 0)""", **EVENTS, diffs=DIFF)
 put("paired_wins", "ticket", f"select {big('count(*) filter (where a < b)')} as wins, count(*) as events from (select event_id, max(abs(residual)) filter (where model = 'type_rate') as a, max(abs(residual)) filter (where model = 'global_rate') as b from events_p group by event_id)", **EVENTS)
 
 RATES = f"select t.ticket_type, coalesce(issued, 0) as issued, coalesce(attended, 0) as attended, {r4('coalesce(attended, 0) * 1e0 / greatest(coalesce(issued, 0), 1)')} as rate from (select unnest({list(TICKET_TYPES)}) as ticket_type) t left join (select ticket_type, count(*) as issued, {big('count(*) filter (where checked_in)')} as attended from past group by ticket_type) p on t.ticket_type = p.ticket_type"

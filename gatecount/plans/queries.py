@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars as S
 from ..functions import similarity as M
-from ..operators import analytics, features, matching, modeling, quality, simulate, summaries
+from ..operators import analytics, cleaning, features, matching, modeling, quality, simulate, summaries, verify
 from ..operators.resource import resource, search
-from ..schema import CHANNELS, TICKET_TYPES
+from ..schema import CHANNELS, TABLES, TICKET_TYPES
+from ..stored import once
 from .roles import role, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -129,7 +130,7 @@ def union_counts(spark, d):
 
 @query
 def clean_text(spark, d):
-    return Roles(spark, d).table("documents").select("doc_id", F.md5(S.text(F.col("text"))).alias("text_md5"))
+    return Roles(spark, d).table("documents").select("doc_id", F.md5(S.text(S.composed(F.col("text")))).alias("text_md5"))
 
 
 @query
@@ -307,6 +308,105 @@ def verify_checks(spark, d):
     )
 
 
+# --- cleaning --------------------------------------------------------------------------------------
+
+AS_OF_ISO, MATURE_ISO = "2024-01-28T12:00:00Z", "2024-01-20T23:59:59Z"
+
+
+def _cleaners() -> dict[str, cleaning.Cleaner]:
+    own = (cleaning.member(), cleaning.history(AS_OF_ISO, MATURE_ISO), cleaning.social(), cleaning.artist(), cleaning.event(), cleaning.sale(), cleaning.ticket())
+    return {c.table: c for c in own}
+
+
+def _marked(r: Roles, table: str) -> DataFrame:
+    return cleaning.mark(getattr(r, f"raw_{table}"), _cleaners()[table])
+
+
+def _clean(r: Roles) -> dict[str, DataFrame]:
+    """Every table cleaned, each computed once."""
+    return {t: once(cleaning.clean_rows(_marked(r, t), t)) for t in TABLES}
+
+
+def _register_cleaners() -> None:
+    for name in TABLES:
+        QUERIES[f"clean_{name}"] = lambda spark, d, name=name: _marked(Roles(spark, d), name).drop("flags")
+
+
+_register_cleaners()
+
+
+@query
+def clean_counters(spark, d):
+    r, out = Roles(spark, d), None
+    for name, cleaner in _cleaners().items():
+        one = cleaning.counters(_marked(r, name), cleaner)
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@query
+def clean_quarantine(spark, d):
+    r, out = Roles(spark, d), None
+    for name in TABLES:
+        one = cleaning.quarantined(_marked(r, name), name)
+        out = one if out is None else out.unionByName(one)
+    return out.groupBy("table", "quality_issue").agg(F.count(F.lit(1)).alias("rows"), F.sum("copies").alias("copies"), F.min("key").alias("first_key"), F.max("key").alias("last_key"))
+
+
+@query
+def sentinel_fill(spark, d):
+    """Events whose blanks a schema fills: coming counts are not observed, venues without residency don't apply."""
+    e = Roles(spark, d).raw_event
+    counted = cleaning.sentinel(F.col("checked_in_count"), (F.upper("month") == "AGOSTO", "NO_OBSERVADO"))
+    venue = cleaning.sentinel(F.col("residency_venue"), (F.col("is_residency") == "false", "NO_APLICA"))
+    filled = cleaning.fill_blanks(e.withColumns({"checked_in_count": counted, "residency_venue": venue, "capacity": F.col("capacity").try_cast("long")}), TABLES["event"])
+    return filled.select("event_id", "city", "weekday", "starts_at", "capacity", "checked_in_count", "residency_venue")
+
+
+@query
+def integrity_cascade(spark, d):
+    return cleaning.quarantine_of(cleaning.integrity_cascade(_clean(Roles(spark, d))))
+
+
+def _intact(r: Roles) -> dict[str, DataFrame]:
+    """Tables after cleaning and the cascade, each computed once."""
+    marked = cleaning.integrity_cascade(_clean(r))
+    return {t: once(df.filter("quality_issue is null").drop("quality_issue")) for t, df in marked.items()}
+
+
+def _domain_checks() -> list[verify.Check]:
+    """Rules over rows and groups that no single field's metadata can say."""
+    c = F.col
+    consistent = lambda name, table, keys, of: verify.GroupCheck(table, name, keys, F.count_distinct(of) <= 1)
+    return [
+        verify.GroupCheck("history", "two tickets at most for a member and day", ("member_id", "created_at"), F.count(F.lit(1)) <= 2),
+        consistent("a contact has one name", "sale", ("email", "phone"), "name_tokens_key"),
+        consistent("a name of a contact has one channel", "sale", ("email", "phone", "name_tokens_key"), "channel"),
+        consistent("a sale's tickets are of one event", "ticket", ("sale_id",), "event_id"),
+        verify.GroupCheck("ticket", "four tickets at most for a sale", ("sale_id",), F.count(F.lit(1)) <= 4),
+        verify.RowCheck("ticket", "an entry has a time", (c("checked_in") != "TRUE") | ~c("checked_in_at").isin("SIN_DATO", "NO_APLICA", "NO_OBSERVADO")),
+        verify.RowCheck("event", "a coming event is not observed", (c("month") != "AGOSTO") | (c("checked_in_count") == "NO_OBSERVADO")),
+        verify.RowCheck("history", "no use in the future is learned from", (c("eligible") != "TRUE") | (c("future_use") == "FALSE")),
+        verify.RowCheck("history", "only mature tickets are learned from", (c("eligible") != "TRUE") | (c("created_at") <= MATURE_ISO)),
+        verify.RowCheck("member", "a valid address is one", (c("email_valid") == "TRUE") == (c("email") != "SIN_DATO")),
+        verify.RowCheck("sale", "a valid number is one", (c("phone_valid") == "TRUE") == (c("phone") != "SIN_DATO")),
+    ]
+
+
+@query
+def verify_clean(spark, d):
+    """All checks over tables that are cleaned but not yet cut by the cascade: references fail where parents are missing."""
+    return verify.run(_clean(Roles(spark, d)), [*verify.schema_checks(), *_domain_checks()])
+
+
+@query
+def verify_intact(spark, d):
+    """The same checks after the cascade, by kind: what a release of the tables rests on."""
+    out = verify.run(_intact(Roles(spark, d)), [*verify.schema_checks(), *_domain_checks()])
+    kind = F.element_at(F.split("check", " "), -1)
+    return out.groupBy(kind.alias("kind")).agg(F.count(F.lit(1)).alias("checks"), F.sum(F.col("passed").cast("int")).alias("passed"), F.sum("failing").alias("failing"))
+
+
 # --- matching --------------------------------------------------------------------------------------
 
 
@@ -346,10 +446,18 @@ def er_confidence(spark, d):
 
 
 def _decided(r: Roles, ratio: bool) -> tuple[DataFrame, DataFrame]:
-    scored = matching.score_candidates(r.sale, r.member, ratio)
+    scored = once(matching.score_candidates(r.sale, r.member, ratio))
     return scored, matching.decide(r.sale, scored)
 
 
+def _resolved(r: Roles, ratio: bool) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(diagnoses before aliases, diagnoses after, all candidates), each computed once."""
+    scored = once(matching.score_candidates(r.sale, r.member, ratio))
+    diagnosed = once(matching.diagnose(r.sale, scored))
+    after, candidates = matching.apply_aliases(r.named_sales(), diagnosed, scored)
+    return diagnosed, once(after), candidates
+
+
 def matched(f: Callable[[Roles, bool], DataFrame]) -> Callable[[Roles, bool], DataFrame]:
     """Registers a query on decisions by the whole name score, and as ``_rules`` by its rules alone, which SQL can express."""
     QUERIES[f.__name__] = lambda spark, d: f(Roles(spark, d), True)
@@ -393,6 +501,40 @@ def candidate_probability(r, ratio):
     return matching.probabilities(r.sale, rows, decided)
 
 
+@matched
+def match_diagnostics(r, ratio):
+    scored = matching.score_candidates(r.sale, r.member, ratio)
+    return matching.diagnose(r.sale, scored)
+
+
+@matched
+def alias_applied(r, ratio):
+    return _resolved(r, ratio)[1]
+
+
+@matched
+def alias_report(r, ratio):
+    before, after, _ = _resolved(r, ratio)
+    return matching.alias_report(after, matching.alias_seeds(r.named_sales(), before))
+
+
+@matched
+def candidate_probability_all(r, ratio):
+    _, after, candidates = _resolved(r, ratio)
+    return matching.ranked_candidates(r.sale, candidates, after)
+
+
+@matched
+def unmatched_detail(r, ratio):
+    _, after, candidates = _resolved(r, ratio)
+    return matching.unmatched_detail(r.sale, after, matching.ranked_candidates(r.sale, candidates, after))
+
+
+@matched
+def method_report(r, ratio):
+    return matching.method_report(_resolved(r, ratio)[1])
+
+
 @query
 def set_symdiff(spark, d):
     r = Roles(spark, d)
@@ -436,6 +578,31 @@ def weighted_profile(r, ratio):
     return features.weighted_profile(weights, profile, features.profile_priors(profile))
 
 
+def _profile(r: Roles) -> DataFrame:
+    return r.profile().select("member_id", "use_rate", "tickets_total", "tickets_used", "friends_count", "has_membership", (F.col("member_id") % 500).alias("points"))
+
+
+def _identity(r: Roles, ratio: bool) -> DataFrame:
+    _, after, candidates = _resolved(r, ratio)
+    ranked = once(matching.ranked_candidates(r.sale, candidates, after))
+    return features.identity_features(r.sale, ranked, after, _profile(r))
+
+
+@matched
+def identity_features(r, ratio):
+    return _identity(r, ratio)
+
+
+def _training(r: Roles, ratio: bool, tickets: DataFrame) -> DataFrame:
+    priors = features.measure_priors(features.measures(_profile(r)))
+    return features.training_rows(tickets.drop("starts_at"), r.sale, r.event, features.event_mix(r.ticket), once(_identity(r, ratio)), priors)
+
+
+@matched
+def training_rows(r, ratio):
+    return _training(r, ratio, r.ticket)
+
+
 @query
 def companion_shrink(spark, d):
     x = features.companion_shrink(F.col("subtotal") / 1000, F.lit(200.0), F.col("qty"))
@@ -520,13 +687,10 @@ def web_model(spark, d):
 
 
 @query
-def bootstrap_lcg(spark, d):
+def bootstrap_interval(spark, d):
     p = modeling.event_predictions(_oof(Roles(spark, d)))
     own = p.groupBy("event_id").agg((F.max(F.when(F.col("model") == "type_rate", F.abs("residual"))) - F.max(F.when(F.col("model") == "global_rate", F.abs("residual")))).alias("d"))
-    from pyspark.sql import Window
-
-    numbered = own.withColumn("i", (F.row_number().over(Window.orderBy("event_id")) - 1).cast("bigint")).select("i", "d")
-    return modeling.bootstrap(numbered)
+    return modeling.bootstrap(own.select(F.col("event_id").alias("id"), "d"))
 
 
 @query
@@ -534,16 +698,56 @@ def paired_wins(spark, d):
     return modeling.paired_wins(modeling.event_predictions(_oof(Roles(spark, d))), "type_rate", "global_rate")
 
 
+#: What the models learn from: the star of a ticket, and what is expected of its buyer.
+CATEGORICAL = ["ticket_type", "channel", "match_status"]
+NUMERIC = [
+    "price", "qty", "issued", "share_3", "price_ratio", "remaining_capacity", "lead_hours", "weekday_number", "is_weekend", "is_residency", "top_probability", "no_match_probability",
+    "ticket_identity_weight", "ticket_history_weight", *[f"expected_{m}" for m in features.MEASURES],
+]
+
+
+def _model_table(r: Roles) -> tuple[DataFrame, DataFrame]:
+    """(labelled rows, rows to score), with all features; the rules alone decide on names."""
+    every = once(_training(r, False, r.ticket).select("ticket_id", "event_id", *CATEGORICAL, *NUMERIC).join(r.ticket.select("ticket_id", "event_id", "checked_in").distinct(), ["ticket_id", "event_id"]))
+    label = F.col("checked_in").cast("int").alias("label")
+    return every.filter("checked_in is not null").select(*every.drop("checked_in").columns, label), every.filter("checked_in is null").drop("checked_in")
+
+
+def _folds(r: Roles, kind: str) -> modeling.Folds:
+    rows = _model_table(r)[0]
+    return modeling.fit_folds(rows, modeling.group_folds(rows, "event_id"), "event_id", kind, CATEGORICAL, NUMERIC)
+
+
 @query
 def ml_logistic_oof(spark, d):
-    rows = Roles(spark, d).labelled().withColumn("price", F.col("price").cast("double"))
-    return modeling.oof_model(rows, modeling.group_folds(rows, "event_id"), "event_id", "logistic", ["ticket_type"], ["price"])
+    return _folds(Roles(spark, d), "logistic").scored
 
 
 @query
 def ml_boosted_oof(spark, d):
-    rows = Roles(spark, d).labelled().withColumn("price", F.col("price").cast("double"))
-    return modeling.oof_model(rows, modeling.group_folds(rows, "event_id", 2), "event_id", "boosted", ["ticket_type"], ["price"], 2)
+    return _folds(Roles(spark, d), "boosted").scored
+
+
+def _final(r: Roles) -> tuple[modeling.PipelineModel, DataFrame, DataFrame, list[int]]:
+    """(boosted model of all labelled rows with the folds' median of rounds, those rows, rows to score, the folds' rounds)."""
+    rows, upcoming = _model_table(r)
+    folds = modeling.fit_folds(rows, modeling.group_folds(rows, "event_id"), "event_id", "boosted", CATEGORICAL, NUMERIC)
+    return modeling.final_fit(rows, "boosted", CATEGORICAL, NUMERIC, folds.final_rounds), rows, upcoming, folds.rounds
+
+
+@query
+def ml_final_fit(spark, d):
+    """Upcoming events with the attendance that the final model expects, and the rounds that the folds chose."""
+    fitted, _, upcoming, rounds = _final(Roles(spark, d))
+    scored = modeling.score(fitted, upcoming, CATEGORICAL, NUMERIC)
+    trees = F.lit(fitted.stages[-1].getNumTrees)
+    return scored.groupBy("event_id").agg(F.count(F.lit(1)).alias("tickets"), F.sum("p").alias("expected")).withColumns({"trees": trees, "fold_rounds": F.lit("+".join(map(str, rounds)))})
+
+
+@query
+def feature_importance(spark, d):
+    fitted, rows, _, _ = _final(Roles(spark, d))
+    return modeling.feature_importance(fitted, rows, CATEGORICAL, NUMERIC)
 
 
 # --- analytics -------------------------------------------------------------------------------------

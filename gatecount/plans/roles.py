@@ -7,6 +7,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .dirty import NEEDS, RAW
+
 #: Names and places for made-up members.
 FIRST = "ANA,LUIS,MARTA,JOSE,ELENA,PABLO,LUCIA,DIEGO,SOFIA,MARIO,CLARA,BRUNO"
 LAST = "GOMEZ,CASTRO,PEREZ,ROJAS,DIAZ,MORA,VEGA,LUNA,RIOS,SOTO,LEON"
@@ -44,7 +46,8 @@ ROLES = {
         case when o_orderkey % 7 = 0 then null when o_orderkey % 7 = 1 then concat(substring(m.phone, 1, 3), substring(m.phone, 8, 1), substring(m.phone, 5, 3), substring(m.phone, 4, 1), substring(m.phone, 9, 2)) when o_orderkey % 7 = 2 then '3999999999' else m.phone end as phone
         from {orders} join member m on o_custkey = m.member_id""",
 }
-_NEEDS = {"sale": ["member"]}
+ROLES |= RAW
+_NEEDS = {"sale": ["member"], **NEEDS}
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "labels", "conversations", "pages")
 
 
@@ -57,7 +60,7 @@ def _with_needs(names: tuple[str, ...]) -> list[str]:
 
 def ctes(*names: str, **more: str) -> str:
     """``with`` clause of the roles for the oracle, and of more named queries."""
-    parts = [f"{n} as ({ROLES[n].format(**{t: t for t in TABLES})})" for n in _with_needs(names)] + [f"{n} as ({q})" for n, q in more.items()]
+    parts = [f"{n} as ({ROLES[n].format(**{t: t for t in (*TABLES, *ROLES)})})" for n in _with_needs(names)] + [f"{n} as ({q})" for n, q in more.items()]
     return "with " + ",\n".join(parts) + "\n"
 
 
@@ -71,6 +74,7 @@ def role(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
         if f"{{{t}}}" in text:
             frames[t] = table(spark, sf_dir, t)
     for other in _NEEDS.get(name, []):
-        frames[other] = role(spark, sf_dir, other)
         text = text.replace(f"join {other} ", f"join {{{other}}} ")
+        if f"{{{other}}}" in text:
+            frames[other] = role(spark, sf_dir, other)
     return spark.sql(text, **frames)

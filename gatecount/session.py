@@ -10,7 +10,7 @@ def session(app: str = "gatecount", cores: int | None = None, **conf: str) -> Sp
     builder = SparkSession.builder.appName(app)
     if cores:
         builder = builder.master(f"local[{cores}]").config("spark.sql.shuffle.partitions", str(2 * cores)).config("spark.ui.enabled", "false")
-    defaults = {"spark.sql.session.timeZone": "UTC", "spark.sql.adaptive.enabled": "true", "spark.sql.adaptive.skewJoin.enabled": "true", "spark.sql.execution.arrow.pyspark.enabled": "true"}
+    defaults = {"spark.sql.session.timeZone": "UTC", "spark.sql.adaptive.enabled": "true", "spark.sql.adaptive.skewJoin.enabled": "true", "spark.sql.execution.arrow.pyspark.enabled": "true", "spark.cleaner.referenceTracking.cleanCheckpoints": "true"}
     for key, value in {**defaults, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()

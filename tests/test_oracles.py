@@ -6,7 +6,7 @@ import math
 import duckdb
 import pytest
 
-from gatecount.plans.oracles import ORACLE_SQL
+from gatecount.plans.oracles_clean import ORACLE_SQL
 from gatecount.plans.queries import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
