@@ -74,6 +74,17 @@ def top(df: DataFrame, n: int, by: str, key: str) -> DataFrame:
     return df.orderBy(F.desc(by), F.asc(key)).limit(n)
 
 
+def in_word_order(df: DataFrame, column: str, words: tuple[str, ...]) -> DataFrame:
+    """``df`` with ``place`` and in its order: the place of a word in a list from 1, other words after all of them."""
+    place = F.array_position(F.array(*map(F.lit, words)), F.col(column))
+    return df.withColumn("place", F.coalesce(F.nullif(place, F.lit(0)), F.lit(len(words) + 1)).cast("int")).orderBy("place", column)
+
+
+def fullest(summary: DataFrame, n: int) -> DataFrame:
+    """The ``n`` events that sold the most of their room, then those that begin first; top of partitions, then of those."""
+    return summary.orderBy(F.desc_nulls_last("fill_rate"), F.asc_nulls_last("starts_at"), F.asc("event_id")).limit(n)
+
+
 def channel_cut(ticket: DataFrame, sale: DataFrame) -> DataFrame:
     return rate_by(ticket.join(sale.select("sale_id", "channel"), "sale_id"), "channel", F.col("checked_in"))
 

@@ -110,6 +110,11 @@ def leak_report(flagged: DataFrame) -> DataFrame:
     return flagged.filter("future_use").agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("member_id").alias("members"), F.min("date_used").alias("first_use"), F.max("date_used").alias("last_use"))
 
 
+def leak_examples(flagged: DataFrame, key: str, n: int = 10) -> DataFrame:
+    """The first ``n`` uses in the future by key, for a report."""
+    return flagged.filter("future_use").orderBy(key).limit(n)
+
+
 def train_score_split(ticket: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Labelled tickets, and unlabelled ones without the target columns."""
     return ticket.filter(F.col("checked_in").isNotNull()), ticket.filter(F.col("checked_in").isNull()).drop("checked_in", "checked_in_at")

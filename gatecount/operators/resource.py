@@ -76,9 +76,12 @@ class Resource:
         return df.select(self.key, csv_line(*[F.col(c) for c in df.columns]).alias("line"))
 
 
-def search(df: DataFrame, words: str, columns: list[str]) -> DataFrame:
-    """Rows whose columns together hold the words, whatever case and accents."""
-    return df.filter(fold(F.concat_ws(" ", *columns)).contains(fold(F.lit(words))))
+def search(df: DataFrame, words: str, columns: list[str], **equal: object) -> DataFrame:
+    """Rows whose columns together hold the words, whatever case and accents, and whose ``equal`` columns have just that value; empty values are ignored."""
+    for column, value in equal.items():
+        if value not in (None, ""):
+            df = df.filter(F.col(column) == F.lit(value))
+    return df.filter(fold(F.concat_ws(" ", *columns)).contains(fold(F.lit(words)))) if words else df
 
 
 CATALOG = {

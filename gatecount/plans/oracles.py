@@ -8,7 +8,7 @@ from __future__ import annotations
 from math import e, factorial
 
 from ..functions.scalars import EMAIL_PATTERN
-from ..schema import TICKET_TYPES
+from ..schema import TICKET_TYPES, WEEKDAYS
 from .roles import ctes
 
 ORACLE_SQL: dict[str, str] = {}
@@ -58,6 +58,7 @@ put("res_count", "ticket", "select count(*) as total from ticket where ticket_ty
 put("res_csv_lines", "event", """select event_id, concat_ws(',', cast(event_id as varchar), case when regexp_matches(title, '[",\\n\\r]') then '"' || replace(title, '"', '""') || '"' else title end,
     case when regexp_matches(city, '[",\\n\\r]') then '"' || replace(city, '"', '""') || '"' else city end, case when regexp_matches(venue, '[",\\n\\r]') then '"' || replace(venue, '"', '""') || '"' else venue end) as line from event""")
 put("search_fold", "event", f"select event_id, city from event where contains({fold("concat_ws(' ', title, city, venue)")}, 'BOGOTA')")
+put("search_city", "event artist", f"""select event_id, title, city, name, capacity from event e join artist a on e.artist_id = a.artist_id where contains({fold("concat_ws(' ', title, city, venue, name)")}, 'SUPPLIER') and city = 'Cali' and capacity between 30 and 120""")
 put("view_member_profile", "member history social", "select member_id, city, tickets_total, tickets_used, use_rate, last_used_at, friends_count from profile", profile=PROFILE)
 put("view_event_summary", "event artist ticket", SUMMARY)
 put("view_artist_summary", "event artist ticket", f"""select a.artist_id, a.name, coalesce(past_n, 0) as past_events, coalesce(upcoming_n, 0) as upcoming_events, {r4("entered * 1e0 / nullif(sold, 0)")} as attendance_rate
@@ -106,6 +107,7 @@ put("reconcile_artists", "event ticket artist", "select a.artist_id, coalesce(n,
 FLAGGED = "select *, mature and not future_use as eligible from (select *, coalesce(date_used > timestamp '2024-01-28 12:00:00', false) as future_use, coalesce(created_at <= timestamp '2024-01-20 23:59:59', false) as mature from history)"
 put("leak_flags", "history", "select member_ticket_id, future_use, mature, eligible from flagged", flagged=FLAGGED)
 put("leak_report", "history", "select count(*) as rows, count(distinct member_id) as members, min(date_used) as first_use, max(date_used) as last_use from flagged where future_use", flagged=FLAGGED)
+put("leak_examples", "history", "select member_ticket_id, member_id, date_used from flagged where future_use order by member_ticket_id limit 10", flagged=FLAGGED)
 put("safe_history", "history", f"""select *, coalesce({r4("tickets_used * 1e0 / nullif(tickets_total, 0)")}, 0e0) as use_rate, tickets_total > 0 as history_available from (select member_id, {big("count(*) filter (where eligible)")} as tickets_total,
     {big("count(*) filter (where eligible and used)")} as tickets_used, max(date_used) filter (where eligible and used) as last_used_at, {big("count(*) filter (where future_use)")} as leaks from flagged group by member_id)""", flagged=FLAGGED)
 put("train_score_split", "ticket", "select ticket_type, count(*) as n, cast(sum(price) as bigint) as revenue, case when checked_in is null then 'score' else 'train' end as part from ticket group by ticket_type, checked_in is null")
@@ -135,7 +137,6 @@ CONFIDENCE = f"""case when e >= 1 and p >= 1 then {ladder((0.9, 0.995), (0.75, 0
     when e >= 1 or p >= 1 then {ladder((0.95, 0.96), (0.82, 0.91), (0.65, 0.8), floor=0.58)} when e > 0 or p > 0 then {ladder((0.95, 0.92), (0.82, 0.86), (0.65, 0.74), floor=0.45)} else 0e0 end"""
 METHOD = """concat_ws('+', case when e >= 1 then 'EMAIL_EXACTO' when e >= 0.89 then 'EMAIL_APROX_1_EDICION' end, case when p >= 1 then 'TELEFONO_EXACTO' when p >= 0.89 then 'TELEFONO_APROX_1_EDICION' end,
     case when n >= 0.9e0 then 'NOMBRE_FUERTE' when n >= 0.65e0 then 'NOMBRE_PARCIAL' else 'NOMBRE_CONTRADICE' end)"""
-put("er_confidence", "", f"select e, p, n, {CONFIDENCE} as confidence, {METHOD} as method from (select unnest([0e0, 0.9e0, 1e0]) as e) , (select unnest([0e0, 0.9e0, 1e0]) as p), (select unnest(range(0, 101)) / 100e0 as n)")
 SCORED = f"""select sale_id, member_id, e as email_score, p as phone_score, n as name_score, {CONFIDENCE} as evidence_confidence, {METHOD} as match_method from (select sale_id, member_id, e, p,
     case when list_contains(given, first_name) and list_contains(given, last_name) then 1e0 else round_even(least(1e0, greatest(case when list_contains(given, last_name) and len(list_filter(given, lambda t: len(t) = 1 and starts_with(first_name, t))) > 0 then 0.84e0 else 0e0 end,
     case when damerau_levenshtein(regexp_replace(buyer_name, '[^A-Z0-9]', '', 'g'), first_name || last_name) <= 1 then 0.95e0 else 0e0 end,
@@ -152,6 +153,7 @@ DECIDED = """select s.sale_id, case when accepted then cast(t.member_id as varch
 ER = {"emails": EMAILS, "phones": PHONES, "scored": SCORED}
 FULL = {**ER, "decided": DECIDED}
 put("er_candidates", "sale", "select * from scored", **ER)
+put("er_confidence", "sale", f"select e as email_score, p as phone_score, n as name_score, pairs, {CONFIDENCE} as confidence, {METHOD} as method from (select email_score as e, phone_score as p, name_score as n, count(*) as pairs from scored group by all)", **ER)
 put("er_decision_rules", "sale", "select * from decided", **FULL)
 put("match_report_rules", "sale", f"""select count(*) as sales, {big("count(*) filter (where member_id <> 'SIN_MATCH')")} as matched, {big("count(*) filter (where member_id <> 'SIN_MATCH' and confidence >= 0.9)")} as high,
     {big("count(*) filter (where member_id <> 'SIN_MATCH' and confidence < 0.9)")} as probable, {big("count(*) filter (where exact_conflict)")} as conflicts, {big("count(*) filter (where decision = 'AMBIGUO')")} as ambiguous, count(distinct member_id) filter (where member_id <> 'SIN_MATCH') as members from decided""", **FULL)
@@ -310,6 +312,9 @@ put("ols_dilution", "ticket event", FIT.replace("Y", "attendance_rate").replace(
 CUT = f"select NAME as dimension, KEY as key, count(*) as events, {', '.join(f'{big(f"sum({m})")} as {m}' for m in ('issued', 'attended', 'capacity', 'courtesy'))}, {r4('sum(attended) * 1e0 / greatest(sum(issued), 1)')} as rate, {r4('sum(issued) * 1e0 / greatest(sum(capacity), 1)')} as fill, {r4('sum(courtesy) * 1e0 / greatest(sum(issued), 1)')} as courtesy_share from rows group by KEY"
 put("cube_cuts", "ticket event", over_keys(CUT, "city", "venue", "weekday", "is_residency"), **CUBE)
 put("top_venues", "ticket event", f"select key, issued, rate from ({over_keys(CUT, 'venue')}) order by issued desc, key limit 12", **CUBE)
+DAYS = f"{list(WEEKDAYS)}"
+put("weekday_order", "ticket event", f"select cast(weekday + 1 as int) as place, {DAYS}[weekday + 1] as key, count(*) as events, {big('sum(issued)')} as issued, {r4('sum(attended) * 1e0 / greatest(sum(issued), 1)')} as rate from rows group by weekday", **CUBE)
+put("fullest_events", "event artist ticket", "select s.event_id, fill_rate, starts_at from summary s join event e on s.event_id = e.event_id order by fill_rate desc nulls last, starts_at nulls last, s.event_id limit 15", summary=SUMMARY)
 put("channel_cut", "ticket event sale", f"select channel, count(*) as n, {big('count(*) filter (where checked_in)')} as hits, {r4('count(*) filter (where checked_in) * 1e0 / greatest(count(*), 1)')} as rate from past p join sale s on p.sale_id = s.sale_id group by channel", **PAST)
 put("arrival_curve", "ticket event", f"select minutes, n, {r4('n * 1e0 / greatest(sum(n) over (), 1)')} as share from (select cast(greatest(-120, least(120, floor(minutes_from_start / 15e0) * 15)) as int) as minutes, count(*) as n from past where checked_in group by 1)", **PAST)
 put("hist10", "ticket event", "select b.i as bin, coalesce(n, 0) as n from range(10) b(i) left join (select cast(least(floor(attendance_rate * 10), 9) as bigint) as bin, count(*) as n from rows where attendance_rate is not null group by 1) h on b.i = h.bin", **CUBE)

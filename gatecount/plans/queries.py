@@ -11,7 +11,7 @@ from ..functions import scalars as S
 from ..functions import similarity as M
 from ..operators import analytics, cleaning, features, matching, modeling, quality, simulate, summaries, verify
 from ..operators.resource import resource, search
-from ..schema import CHANNELS, TABLES, TICKET_TYPES
+from ..schema import CHANNELS, TABLES, TICKET_TYPES, WEEKDAYS
 from ..stored import once
 from .roles import role, table
 
@@ -99,6 +99,13 @@ def search_fold(spark, d):
     return search(Roles(spark, d).event, "bogotA", ["title", "city", "venue"]).select("event_id", "city")
 
 
+@query
+def search_city(spark, d):
+    r = Roles(spark, d)
+    named = r.event.join(r.artist.select("artist_id", "name"), "artist_id")
+    return search(named, "supplier", ["title", "city", "venue", "name"], city="Cali").filter(F.col("capacity").between(30, 120)).select("event_id", "title", "city", "name", "capacity")
+
+
 # --- summaries -------------------------------------------------------------------------------------
 
 
@@ -275,6 +282,11 @@ def leak_report(spark, d):
     return quality.leak_report(_flagged(Roles(spark, d)))
 
 
+@query
+def leak_examples(spark, d):
+    return quality.leak_examples(_flagged(Roles(spark, d)), "member_ticket_id").select("member_ticket_id", "member_id", "date_used")
+
+
 @query
 def safe_history(spark, d):
     return quality.safe_history(_flagged(Roles(spark, d)))
@@ -441,8 +453,11 @@ def er_candidates_ratio(spark, d):
 
 @query
 def er_confidence(spark, d):
-    grid = spark.sql("select e, p, n / 100e0 as n from (select explode(array(0e0, 0.9e0, 1e0)) e) cross join (select explode(array(0e0, 0.9e0, 1e0)) p) cross join (select explode(sequence(0, 100)) n)")
-    return grid.select("e", "p", "n", matching.confidence(F.col("e"), F.col("p"), F.col("n")).alias("confidence"), matching.method(F.col("e"), F.col("p"), F.col("n")).alias("method"))
+    """How often candidates have each triple of scores, and what the decision table makes of it."""
+    r = Roles(spark, d)
+    e, p, n = F.col("email_score"), F.col("phone_score"), F.col("name_score")
+    kinds = matching.score_candidates(r.sale, r.member, ratio=False).groupBy("email_score", "phone_score", "name_score").agg(F.count(F.lit(1)).alias("pairs"))
+    return kinds.select("email_score", "phone_score", "name_score", "pairs", matching.confidence(e, p, n).alias("confidence"), matching.method(e, p, n).alias("method"))
 
 
 def _decided(r: Roles, ratio: bool) -> tuple[DataFrame, DataFrame]:
@@ -796,6 +811,20 @@ def top_venues(spark, d):
     return analytics.top(own, 12, "issued", "key").select("key", "issued", "rate")
 
 
+@query
+def weekday_order(spark, d):
+    """Cuts by weekday in the order of the week."""
+    day = F.element_at(F.array(*map(F.lit, WEEKDAYS)), F.col("weekday") + 1)
+    own = analytics.cuts(Roles(spark, d).rows().withColumn("weekday", day), ["weekday"])
+    return analytics.in_word_order(own, "key", WEEKDAYS).select("place", "key", "events", "issued", "rate")
+
+
+@query
+def fullest_events(spark, d):
+    r = Roles(spark, d)
+    return analytics.fullest(r.summary().join(r.event.select("event_id", "starts_at"), "event_id"), 15).select("event_id", "fill_rate", "starts_at")
+
+
 @query
 def channel_cut(spark, d):
     r = Roles(spark, d)

@@ -31,6 +31,29 @@ def test_csv_sources(spark, tmp_path):
     assert spark.read.option("header", True).csv(str(tmp_path / "out")).count() == 2
 
 
+def test_rejected_lines_are_kept(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('id,name\n1,"a, b"\n2,\n3\n,\n4,x,y\n', encoding="utf-8")
+    rows, rejects = csv.read_with_rejects(spark, str(tmp_path / "a.csv"), ["id", "name"])
+    assert sorted((r.id, r.name) for r in rows.collect()) == [("1", "a, b"), ("2", None)]
+    assert sorted((r.quality_issue, r.raw_line) for r in rejects.collect()) == [("BLANK_LINE", None), ("BROKEN_LINE", "3"), ("BROKEN_LINE", "4,x,y")]
+    assert all(r.source_file.endswith("a.csv") for r in rejects.collect())
+
+
+def test_typed_rows_say_their_file(spark, tmp_path):
+    from gatecount.schema import TABLES
+
+    (tmp_path / "s.csv").write_text("member_id,friends_count\n1,4\n2,many\n", encoding="utf-8")
+    out = csv.read_typed(spark, str(tmp_path), TABLES["social"]).collect()
+    assert sorted((r.member_id, r.friends_count) for r in out) == [("1", 4), ("2", None)] and all(r.source_file.endswith("s.csv") for r in out)
+
+
+def test_words_in_their_own_order(spark):
+    from gatecount.operators import analytics
+
+    df = spark.createDataFrame([("c",), ("x",), ("a",), ("b",)], "w string")
+    assert [(r.w, r.place) for r in analytics.in_word_order(df, "w", ("b", "a", "c")).collect()] == [("b", 1), ("a", 2), ("c", 3), ("x", 4)]
+
+
 def test_quarantine_sink(spark, tmp_path):
     df = quality.key_quarantine(spark.createDataFrame([(1, "a"), (1, "b"), (None, "c")], "id long, v string"), ["id"], [F.col("v")])
     csv.append_quarantine(df, "t", str(tmp_path / "q"))

@@ -36,4 +36,4 @@ def test_matches_oracle(spark, duck, name):
 
 def test_all_have_oracles_but_models_and_name_ratios():
     whole_score = {n.removesuffix("_rules") for n in QUERIES if n.endswith("_rules")}
-    assert set(QUERIES) - set(ORACLE_SQL) == {"er_candidates_ratio", "ml_logistic_oof", "ml_boosted_oof"} | whole_score
+    assert set(QUERIES) - set(ORACLE_SQL) == {"er_candidates_ratio", "ml_logistic_oof", "ml_boosted_oof", "ml_final_fit", "feature_importance"} | whole_score
