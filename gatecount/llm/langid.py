@@ -39,12 +39,17 @@ _GAP[128:] = False
 _MOST_KNOWN, _MOST_LANGUAGES, _PIECE_BYTES = 1 << 18, 10_000, 1 << 19
 
 
+#: Third bytes of the letters among U+2040 to U+207F (E2 81) and U+3000 to U+303F (E3 80).
+_LETTERS = {0x81: (0xB1, 0xBF), 0x80: (0x85, 0x86, 0x87, 0xB1, 0xB2, 0xB3, 0xB4, 0xB5, 0xBB, 0xBC)}
+
+
 def _gaps(data: np.ndarray) -> np.ndarray:
     """Bytes between words, with the white space and punctuation of U+0080 to U+00BF, U+2000 to U+207F and U+3000 to U+303F."""
     gap = _GAP[data]
-    ahead = np.append(data[1:], 0)
+    ahead, third = np.append(data[1:], 0), np.append(data[2:], (0, 0))[: len(data)]
     latin = np.flatnonzero((data == 0xC2) & ~np.isin(ahead, (0xAA, 0xB5, 0xBA)))
-    wide = np.flatnonzero(((data == 0xE2) & ((ahead == 0x80) | (ahead == 0x81))) | ((data == 0xE3) & (ahead == 0x80) & ~np.isin(np.append(data[2:], (0, 0))[: len(data)], (0x85, 0x86, 0x87))))
+    general = (data == 0xE2) & ((ahead == 0x80) | ((ahead == 0x81) & ~np.isin(third, _LETTERS[0x81])))
+    wide = np.flatnonzero(general | ((data == 0xE3) & (ahead == 0x80) & ~np.isin(third, _LETTERS[0x80])))
     for at in (latin, latin + 1, wide, wide + 1, wide + 2):
         gap[at[at < len(data)]] = True
     return gap

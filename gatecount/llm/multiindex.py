@@ -114,7 +114,13 @@ class Index:
 
 def _unit(raw: list[bytes], kind: str) -> np.ndarray:
     x = np.frombuffer(b"".join(raw), kind).reshape(len(raw), -1).astype(np.float64)
-    return x / np.linalg.norm(x, axis=1)[:, None]
+    with np.errstate(over="ignore", under="ignore"):
+        size = np.linalg.norm(x, axis=1)
+    far = ~((size > 1e-150) & (size < 1e150))  # squares overflow or vanish
+    if far.any():
+        x[far] /= np.abs(x[far]).max(1)[:, None]
+        size[far] = np.linalg.norm(x[far], axis=1)
+    return x / size[:, None]
 
 
 def _packed(vectors: DataFrame, kind: str) -> DataFrame:
@@ -127,7 +133,7 @@ def _packed(vectors: DataFrame, kind: str) -> DataFrame:
                 x = None
                 if v.is_valid and len(v) and not v.values.null_count:
                     x = v.values.to_numpy(zero_copy_only=False).astype(kind) + 0  # no negative zeros
-                    x = x if np.isfinite(x).all() and 0 < (norm := np.linalg.norm(x.astype(np.float64))) < np.inf else None
+                    x = x if np.isfinite(x).all() and x.any() else None
                 raw.append(None if x is None else x.tobytes())
             yield pa.record_batch([batch.column(0), pa.array(raw, pa.binary())], names=["vec_id", "raw"])
 

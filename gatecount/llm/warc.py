@@ -49,14 +49,18 @@ def _record(fields: list[tuple[str, str]], block: bytes) -> bytes:
     return press.compress(head.encode() + block + b"\r\n\r\n") + press.flush()
 
 
-def page_record(page_id: int | None, url: str, payload: bytes, date: str, refers_to: int | None = None) -> bytes:
-    """One compressed response record, or a revisit record without the payload."""
+def page_record(page_id: int | None, url: str, payload: bytes, date: str, refers_to: int | None = None, nth: int = 0) -> bytes:
+    """One compressed response record, or a revisit record without the payload.
+
+    Its id says page and payload, so a revisit can name the record it refers to; the ``nth`` record of the same page and
+    payload, counted from 0, has an id of its own.
+    """
     block = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
     clean = "".join(c for c in url if c > " ") or f"urn:page:{page_id}"
     digest = base64.b32encode(hashlib.sha1(payload).digest()).decode()
     fields = [
         ("WARC-Type", "response" if refers_to is None else "revisit"),
-        ("WARC-Record-ID", record_id(f"none {clean} {digest}" if page_id is None else page_id)),
+        ("WARC-Record-ID", record_id(f"{f'none {clean}' if page_id is None else page_id} {digest}" + (f" {nth}" if nth else ""))),
         ("WARC-Date", date),
         ("WARC-Target-URI", clean),
         ("WARC-Payload-Digest", f"sha1:{digest}"),
@@ -64,7 +68,7 @@ def page_record(page_id: int | None, url: str, payload: bytes, date: str, refers
         ("X-Page-ID", "-" if page_id is None else str(page_id)),
     ]
     if refers_to is not None:
-        fields += [("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"), ("WARC-Refers-To", record_id(refers_to)), ("X-Refers-To-Page-ID", str(refers_to))]
+        fields += [("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"), ("WARC-Refers-To", record_id(f"{refers_to} {digest}")), ("X-Refers-To-Page-ID", str(refers_to))]
         payload = b""
     return _record(fields, block + payload)
 
@@ -160,13 +164,13 @@ def write_archive(pages: DataFrame, *, revisit_bytes: int = 1000, shard_bytes: i
     shard = F.arrow_udf(shard_of, "int")
     large = facts.filter(F.col("bytes") >= revisit_bytes)
     kept = large.groupBy("digest").agg(F.max("page_id").alias("refers_to"), F.min("page_id").alias("least")).filter("refers_to > least").select("digest", "refers_to")
-    revisits = large.join(kept, "digest").filter("page_id < refers_to").select("page_id", F.lit(0).alias("kind"), F.col("digest").alias("url"), F.lit(None).cast("string").alias("html"), "refers_to").distinct()
-    rows = pages.select(page_id.alias("page_id"), F.lit(1).alias("kind"), "url", "html", F.lit(None).cast("long").alias("refers_to"))
+    revisits = large.join(kept, "digest").filter("page_id < refers_to").select("page_id", F.lit(0).alias("kind"), "digest", F.lit(None).cast("string").alias("url"), F.lit(None).cast("string").alias("html"), "refers_to").distinct()
+    rows = pages.select(page_id.alias("page_id"), F.lit(1).alias("kind"), F.sha1(payload).alias("digest"), "url", "html", F.lit(None).cast("long").alias("refers_to"))
     rows = rows.unionByName(revisits).withColumn("shard", shard(F.col("page_id")))
-    rows = rows.repartitionById(len(edge_array) + 1, F.col("shard")).sortWithinPartitions("shard", F.col("page_id").asc_nulls_last(), "kind", "url", "html")
+    rows = rows.repartitionById(len(edge_array) + 1, F.col("shard")).sortWithinPartitions("shard", F.col("page_id").asc_nulls_last(), "kind", "digest", "url")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        files, known, at = None, {}, False
+        files, known, at, last, nth = None, {}, False, None, 0
         done: list[tuple] = []
         for batch in batches:
             for row in batch.to_pylist():
@@ -174,12 +178,12 @@ def write_archive(pages: DataFrame, *, revisit_bytes: int = 1000, shard_bytes: i
                     done += files.close() if files else []
                     files = _Roll(out, row["shard"], roll_bytes, date)
                 if at is False or row["page_id"] != at:
-                    known, at = {}, row["page_id"]
+                    known, at, last = {}, row["page_id"], None
                 if row["kind"] == 0:
-                    known[row["url"]] = row["refers_to"]
+                    known[row["digest"]] = row["refers_to"]
                     continue
-                data = (row["html"] or "").encode()
-                done += files.write(at, page_record(at, row["url"] or "", data, date, known.get(hashlib.sha1(data).hexdigest()) if known else None))
+                last, nth = row["digest"], nth + 1 if row["digest"] == last else 0
+                done += files.write(at, page_record(at, row["url"] or "", (row["html"] or "").encode(), date, known.get(last), nth))
         done += files.close() if files else []
         if done:
             yield pa.RecordBatch.from_pylist([dict(zip((x.split()[0] for x in MANIFEST.split(", ")), d, strict=True)) for d in done], schema=pa.schema([("shard", pa.int32()), ("file", pa.string()), ("bytes", pa.int64()), ("sha256", pa.string()), ("records", pa.int64()), ("first_id", pa.int64()), ("last_id", pa.int64())]))

@@ -389,3 +389,14 @@ def test_adpcm_blocks_side_by_side():
     assert audio.resample(np.array([0, 100], np.int16), 1000, 2000).tolist() == [0, 50, 100, 100]
     with pytest.raises(ValueError):
         audio.read_wav(b"RIFFxxxxWAVEdata")
+
+
+def test_letters_among_punctuation():
+    import sys
+    import unicodedata
+
+    for k in [*range(0x80, 0xC0), *range(0x2000, 0x2080), *range(0x3000, 0x3040)]:
+        data = np.frombuffer(chr(k).encode(), np.uint8)
+        letter = unicodedata.category(chr(k))[0] == "L" or k == 0x3007
+        assert langid._gaps(data).any() != letter, hex(k)
+    assert sys.maxunicode > 0x3040

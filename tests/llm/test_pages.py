@@ -73,6 +73,25 @@ def test_archive_round_trip(spark):
     assert files(manifest) == files(second) and again != out
 
 
+def test_repeated_pages_have_records_of_their_own(spark):
+    from pathlib import Path
+    from urllib.parse import urlparse
+
+    long, other = "x" * 1200, "y" * 1200
+    rows = [(1, "http://a/", long), (1, "http://a/", long), (1, "http://b/", long), (1, "http://a/", other), (2, "http://a/", long), (2, "http://c/", long), (None, "http://a/", "z"), (None, "http://a/", "z"), (None, None, None)]
+    out, _ = warc.write_archive(page_table(spark, rows))
+    ids, refers = [], []
+    for file in Path(urlparse(out).path).glob("*.warc.gz"):
+        for m in warc.members(memoryview(file.read_bytes())):
+            head = m.split(b"\r\n\r\n")[0].decode()
+            fields = dict(x.split(": ", 1) for x in head.split("\r\n")[1:])
+            ids.append(fields["WARC-Record-ID"])
+            refers.append((fields["WARC-Record-ID"], fields["WARC-Type"], fields.get("WARC-Refers-To")))
+    kinds = {i: t for i, t, _ in refers}
+    assert len(ids) == len(set(ids)) and sum(t != "warcinfo" for t in kinds.values()) == len(rows)
+    assert sum(t == "revisit" for t in kinds.values()) == 3 and all(kinds[r] == "response" for _, t, r in refers if t == "revisit")
+
+
 def test_damage_is_seen():
     record = warc.page_record(1, "http://h/", b"payload", "2024-01-01T00:00:00Z")
     (data,) = warc.members(memoryview(record))
@@ -132,6 +151,31 @@ def test_attributes_are_names_and_values(page):
     assert ("Title" in text) == ("Title" in page) and ("Cost" in text) == ("Cost" in page)
 
 
+LONG = "This paragraph of article {k} is long enough to be a sentence of its own, and more than that."
+NAMED = {
+    "a name that says more than advert": (f'<div class="ad-free-content"><p>{LONG}</p><p>End {{k}}.</p></div><div class="contact">Contact us</div>', ["{long}", "End {k}."]),
+    "a name that says more than social": (f'<article><h1>T {{k}}</h1><p>Lead {{k}}.</p><section class="social-history"><p>{LONG}</p></section></article>', ["T {k}", "Lead {k}.", "{long}"]),
+    "a form around the article": (f'<div class="top">Contact</div><form id="f"><div><h1>T {{k}}</h1><p>{LONG}</p></div></form>', ["T {k}", "{long}"]),
+    "names inside an article": (f'<article><h2 id="tags">On tags {{k}}</h2><p>{LONG}</p><section id="search-methods"><p>Method {{k}}.</p></section><p>A <label>word {{k}}</label> stays.</p></article>', ["On tags {k}", "{long}", "Method {k}.", "A word {k} stays."]),
+    "a header of the article": (f'<div class="post"><header><h1>Title {{k}}</h1></header><p>{LONG}</p></div>', ["Title {k}", "{long}"]),
+    "comments under another name": (f'<div class="story"><h1>T {{k}}</h1><p>{LONG}</p><p>{LONG} Again.</p><p>{LONG} Once more.</p></div><div class="feedback"><div class="entry"><b>Ann {{k}}</b><p>I liked this text a lot, {{k}} times.</p></div><div class="entry"><b>Bob</b><p>So did I, but less than {{k}} times.</p></div></div>', ["T {k}", "{long}", "{long} Again.", "{long} Once more."]),
+    "sections are no comments": (f'<div class="story"><h1>T {{k}}</h1><p>{LONG}</p><div class="parts"><div class="part"><h2>One {{k}}</h2><p>{LONG} Again.</p></div><div class="part"><h2>Two {{k}}</h2><p>{LONG} More.</p></div></div></div>', ["T {k}", "{long}", "One {k}", "{long} Again.", "Two {k}", "{long} More."]),
+    "a short article beside long lists": (f'<div class="story"><p>{LONG}</p></div><div class="related-posts">' + "".join(f"<p>Another long title {{k}} of number {x}, which you may like as well as this</p>" for x in range(9)) + "</div>", ["{long}"]),
+}
+
+
+@pytest.mark.parametrize("case", NAMED)
+def test_names_decide_less_than_text(spark, case):
+    body, blocks = NAMED[case]
+    page = f"<html><body><nav>Home</nav>{body}<footer>&copy; site</footer></body></html>"
+    want = lambda k: [b.replace("{long}", LONG).format(k=k) for b in blocks]
+    alone = html.main_text(page.format(k=7), None).split("\n\n")
+    assert [b for b in alone if b not in ("Contact us", "Contact")] == want(7)
+    rows = [(k, f"http://h.example/{k}", page.format(k=k)) for k in range(8)]
+    for r in html.extract(page_table(spark, rows)).collect():
+        assert r.templated and r.text.split("\n\n") == want(r.page_id)
+
+
 def test_classes_are_those_of_brute_force(spark):
     """Valid template segments are the tokens whose counts agree with those of two others, a tag among them, in half of the pages."""
     from collections import Counter, defaultdict
@@ -145,11 +189,10 @@ def test_classes_are_those_of_brute_force(spark):
     vectors, kinds = defaultdict(dict), {}
     for k, _, page in rows:
         seen = Counter()
-        for kind, stack, what in html.walk(page):
-            if kind in ("tag", "text"):
-                key = stack[-1].key if kind == "tag" else html._segment_key(stack, what)
-                seen[key] += 1
-                kinds[key] = kind
+        read = html.Page(page)
+        for kind, key in [("tag", x.keys[-1]) for x in read.elements] + [("text", html._segment_key(x, text)) for x, text in read.items if text and not text.isspace()]:
+            seen[key] += 1
+            kinds[key] = kind
         for key, n in seen.items():
             vectors[key][k] = n
     classes = defaultdict(list)
@@ -192,3 +235,9 @@ def test_recall_near_the_threshold(spark):
     unit = rows / np.linalg.norm(rows, axis=1)[:, None]
     true = int(((unit @ unit.T) >= 0.95).sum()) - len(rows)
     assert found >= 0.97 * true
+
+
+def test_vectors_whose_squares_overflow_or_vanish(spark):
+    rows = [(1, [1e200, 1e200]), (2, [1e200, 1e200]), (3, [2e200, 2.1e200]), (4, [1e-200, 1e-200]), (5, [5e-324, 5e-324]), (6, [-1e200, 1e200]), (7, [0.0, -0.0]), (8, [1.0, 1.0])]
+    got = {r.vec_id: (r.n_links, r.component_id) for r in multiindex.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    assert got == {**{k: (5, 1) for k in (1, 2, 3, 4, 5, 8)}, 6: (0, 6), 7: (0, 7)}
