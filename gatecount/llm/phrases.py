@@ -1,6 +1,6 @@
 """Phrase collocations from position bitmaps: shift, AND and popcount, summed over shards.
 
-Texts are cut into shards of some two million word positions. In a shard every word has a bitmap of the
+Texts are cut into shards of some one and a half million word positions. In a shard every word has a bitmap of the
 positions where it stands; bitmaps are compressed, as only words of 16 positions that hold a bit are kept. A phrase
 has a bitmap too, of the positions of its last word. It is extended by one word: its bitmap, shifted by one, AND the
 bitmap of each word in the same sixteen positions, AND the positions where the longer phrase's tail is frequent; the
@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from .scratch import bounded_batches, discard, saved
 from .text import ASCII_LOWER, give_back, mix, pieces, words
 
-SHARD_POSITIONS = 1 << 21
+SHARD_POSITIONS = 3 << 19
 WIDTH = 16
 #: Chunks of ``WIDTH`` positions that are ANDed at a time.
 SLAB = 1 << 13
