@@ -4,8 +4,8 @@ Each stage takes (spark, docs, sf_dir) and works on all that the one before it k
 stages the documents are written as Parquet to the shared folder and read again. Decisions
 are tables of ids; they are broadcast up to ``BROADCAST_IDS`` rows, and joined by shuffle beyond.
 
-Documents without an id carry no decision of the filtering stages and stay; rows that repeat an
-id share its decisions of quality, and are not compared with others.
+Every row is decided on by itself: rows that share an id, or have none, get keys of their own above all
+ids for the stages that decide by id, and their ids back after. Of equal or near rows the one with the smallest key stays.
 """
 
 from __future__ import annotations
@@ -36,27 +36,44 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return known.withColumn("lang", F.col("lang_pred")).select(*COLUMNS)
 
 
-def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose perplexity under a model of trusted text is not above their language's quantile."""
-    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    rejected = saved(ngram.quality(docs, labels).filter("not kept").select("doc_id").distinct(), "rejected", narrow=True)
-    return docs.join(_sized(rejected), "doc_id", "left_anti").select(*COLUMNS)
+def _own_keys(docs: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """(``docs`` with a key of its own for each row in doc_id, and its id in own_id; the rows whose key isn't their id, if there are any).
+
+    Rows whose id occurs once keep it. The others are written once with numbers above all ids, so that all readers see the same.
+    """
+    docs = docs.withColumn("own_id", F.col("doc_id"))
+    repeated = saved(docs.groupBy("doc_id").count().filter("count > 1 or doc_id is null").select("doc_id"), "repeated", narrow=True)
+    if repeated.isEmpty():
+        return docs, None
+    again = F.broadcast(repeated) if repeated.count() <= BROADCAST_IDS else repeated
+    same = docs["doc_id"].eqNullSafe(again["doc_id"])
+    top = docs.agg(F.greatest(F.coalesce(F.max("doc_id"), F.lit(0)), F.lit(0))).first()[0]
+    if top >= 1 << 62:
+        raise ValueError("ids leave no room for keys above them")
+    others = saved(docs.join(again, same, "left_semi").withColumn("doc_id", F.lit(top + 1) + F.monotonically_increasing_id()), "own-keys")
+    return docs.join(again, same, "left_anti").unionByName(others), others
 
 
-def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of copies and near copies: that with the smallest id.
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose perplexity under a model of trusted text is not above their language's quantile.
 
-    Rows that share an id can't be told apart by a decision: they stay, equal ones once.
+    Rows that share an id share its label, and each has a perplexity of its own.
     """
-    repeated = saved(docs.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").select("doc_id"), "repeated", narrow=True)
-    again = None if repeated.isEmpty() else _sized(repeated)
-    alone = docs if again is None else docs.join(again, "doc_id", "left_anti")
-    found = jaccard.similar_documents(alone)
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality", "toxic")
+    keyed, others = _own_keys(docs)
+    if others is not None:
+        labels = labels.unionByName(others.select("doc_id", "own_id").join(labels.withColumnRenamed("doc_id", "own_id"), "own_id").select("doc_id", "quality", "toxic"))
+    rejected = saved(ngram.quality(keyed, labels).filter("not kept").select("doc_id").distinct(), "rejected", narrow=True)
+    kept = keyed.join(_sized(rejected), "doc_id", "left_anti")
+    return kept.withColumn("doc_id", F.col("own_id")).select(*COLUMNS)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of copies and near copies: that with the smallest id among those whose id is their own, or else any one row."""
+    keyed, _ = _own_keys(docs)
+    found = jaccard.similar_documents(keyed)
     dropped = saved(found.filter("doc_id != component_id").select("doc_id"), "dropped", narrow=True)
-    kept = alone.join(_sized(dropped), "doc_id", "left_anti").select(*COLUMNS)
-    if again is None:
-        return kept
-    return kept.unionByName(docs.join(again, "doc_id", "left_semi").select(*COLUMNS).dropDuplicates(["doc_id", "text"]))
+    return keyed.join(_sized(dropped), "doc_id", "left_anti").withColumn("doc_id", F.col("own_id")).select(*COLUMNS)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
