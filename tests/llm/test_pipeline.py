@@ -48,17 +48,31 @@ def test_quality_drops_what_the_model_rejects(spark, docs, corpus, tmp_path):
     rejected = {r.doc_id for r in ngram.quality(whole, labels).filter("not kept").collect()}
     out = corpus_pipeline.quality(spark, whole, str(tmp_path)).collect()
     assert 500 in rejected and {402, 403} <= rejected and len(rejected) < 20
-    assert sorted(map(str, out)) == sorted(str(r) for r in whole.collect() if r.doc_id is None or r.doc_id not in rejected)
+    got = sorted((r.doc_id is None, r.doc_id or 0, r.text or "") for r in out)
+    own = [r for r in whole.collect() if r.doc_id not in (None, 405)]
+    assert [x for x in got if x[1] not in (0, 405)] == sorted((False, r.doc_id, r.text or "") for r in own if r.doc_id not in rejected and r.doc_id)
+    assert sum(r.doc_id == 405 for r in out) == 3 and [r.text for r in out if r.doc_id is None] == [corpus[9][1]], "an empty text goes, whatever its id"
+
+
+def test_rows_that_share_an_id_are_decided_on_by_themselves(spark, corpus, tmp_path):
+    labels = spark.createDataFrame([(k, 1, 0) for k in range(0, 300)], "doc_id long, quality long, toxic long")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    shared = [(None, "zqx kkw " * 30, "en", "a", 1), (700, "zqx kkw " * 30, "en", "a", 1), (700, corpus[12][1], "en", "a", 1)]
+    out = corpus_pipeline.quality(spark, spark.createDataFrame([*corpus, *shared], SCHEMA), str(tmp_path)).collect()
+    assert not any(r.text and "zqx" in r.text for r in out)
+    assert [r.text for r in out if r.doc_id == 700] == [corpus[12][1]]
 
 
 def test_one_of_each_group_of_near_copies_stays(spark, docs, corpus):
-    alone = [r for r in corpus if r[0] not in (None, 405)]
-    kept = {k for k, _, root in components([r[1] for r in alone], [r[0] for r in alone]) if k == root}
+    keys = [r[0] if r[0] not in (None, 405) else 10_000 + k for k, r in enumerate(corpus)]
+    kept = {k for k, _, root in components([r[1] for r in corpus], keys) if k == root}
     out = corpus_pipeline.near_duplicates(spark, docs, "").collect()
     assert {400, 401} & kept == set()
-    assert sorted(r.doc_id for r in out if r.doc_id not in (None, 405)) == sorted(kept)
-    assert sorted(r.text[-3:] for r in out if r.doc_id == 405) == ["one", "two"]
-    assert sum(r.doc_id is None for r in out) == 2
+    assert sorted((r.doc_id is None, r.doc_id or 0, r.text or "") for r in out) == sorted((r[0] is None, r[0] or 0, r[1] or "") for k, r in zip(keys, corpus, strict=True) if k in kept)
+    assert not any(r.doc_id == 405 for r in out), "each is a near copy of a document whose id is its own"
+    pair = [(9, "one two three four five six", "en", "a", 1), (9, "one two three four five six", "en", "a", 1), (9, "quite another text of six words", "en", "a", 1), (None, "one two three four five six", "en", "a", 1)]
+    left = corpus_pipeline.near_duplicates(spark, spark.createDataFrame(pair, SCHEMA), "").collect()
+    assert sorted(r.text for r in left) == ["one two three four five six", "quite another text of six words"]
 
 
 def test_mix_takes_documents_up_to_two_times(spark, docs, corpus):
