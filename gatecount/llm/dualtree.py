@@ -7,7 +7,7 @@ an opened pair both nodes are halved down to leaves under the same test, and pai
 search runs twice: over the few most promising blocks of a group, which gives each anchor a bound to beat, and then over
 all other blocks that the bounds don't rule out. Boxes of blocks are streamed from the shared folder, not broadcast.
 
-Odd rows: null labels, null vectors, and null or non-finite components take no part; nor do vectors whose squared length
+Odd rows: null labels, null or empty vectors, and null or non-finite components take no part; nor do vectors whose squared length
 passes 2**62 after the step to integers, since their products may not fit a long. Vectors of different lengths don't
 compare. A null id is no anchor, keeps its label, and comes last among ties. Rows that repeat an id are rows of their
 own: an anchor that occurs twice gives its rows twice, and each is a candidate of the other.

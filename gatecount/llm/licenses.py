@@ -153,7 +153,7 @@ def evaluate(steps: list[str]) -> tuple[int, frozenset[str], frozenset[str]]:
 
 
 def automaton() -> ahocorasick.Automaton:
-    """All phrases and tags between spaces; values are (base, kind, label or empty, words, length)."""
+    """All phrases and tags between spaces; values are (in the base count, label or empty for a tag, words, characters)."""
     found = ahocorasick.Automaton()
     for phrases, base in ((NOTICES, False), (BASE, True)):
         for phrase, label in phrases.items():
