@@ -4,10 +4,14 @@ from difflib import SequenceMatcher
 from itertools import product
 from math import exp
 
+import pytest
 from pyspark.sql import functions as F
 
 from gatecount.functions.scalars import token_key
 from gatecount.operators import matching
+from gatecount.plans.queries import QUERIES
+
+SMALL = "/root/testdata/sf0.001"
 
 SALES = [
     (1, "ana.ruiz@mail.com", "3001234567", "Ana Ruiz"), (2, "ana.ruis@mail.com", "3001234567", "Anna Ruis"), (3, "luis@mail.com", None, "Lius Perz"), (4, None, "3109876543", "L. Perez"),
@@ -199,3 +203,11 @@ def test_diagnoses_hold_the_runner_up(spark):
         by = [next((str(-p[3]) for p in pairs if p[k] == 1), "SIN_MATCH") for k in (5, 6)]
         assert [r.exact_email_candidate, r.exact_phone_candidate] == by
         assert r.exact_contact_conflict == ("SIN_MATCH" not in by and by[0] != by[1])
+
+
+@pytest.mark.parametrize("name", ["er_candidates", "er_candidates_ratio", "er_decision_rules", "alias_vote_rules", "candidate_probability_all_rules", "identity_features_rules"])
+def test_no_join_broadcasts_what_grows(spark, name):
+    """A broadcast of members or sales goes through the driver; those of one row, without keys, are no hash joins."""
+    plan = QUERIES[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan
+    assert "BroadcastHashJoin" not in plan
