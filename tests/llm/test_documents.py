@@ -356,6 +356,19 @@ def test_stored_pcm_is_the_whole_recording(spark):
     assert audio.resample(np.array([8, 8, 8, 8, 3, 4], np.int16), 8000, 2000, rest=True).tolist() == [8, 3]
 
 
+def test_media_features_are_of_resampled_sound(spark):
+    texts = ["whole recording, every sample. " * 9, "", "é" * 33]
+    stored = audio.store_text_audio(documents(spark, texts), pcm_rate=None)
+    assert stored.columns == ["doc_id", "n_bytes", "media"]
+    for r, t in zip(audio.describe_audio(stored, pcm_rate=16000).orderBy("doc_id").collect(), texts, strict=True):
+        payload = t.encode().ljust(max(1, -(-len(t.encode()) // 64)) * 64, b"\0")
+        own = audio.TABLES[(audio.MULAW, audio.ALAW)[zlib.crc32(payload) & 1]][np.frombuffer(payload, np.uint8)].tolist()
+        between = [(a + b) // 2 for a, b in zip(own, [*own[1:], own[-1]], strict=True)]
+        both = np.array([x for pair in zip(own, between, strict=True) for x in pair], np.int64)
+        signs = both < 0
+        assert r.feature == f"rate=16000;samples={2 * len(payload)};power={int((both**2).sum()) // len(both)};peak={abs(both).max()};crossings={(signs[1:] != signs[:-1]).sum()};pcm_crc32={zlib.crc32(both.astype('<i2').tobytes())}"
+
+
 def test_companding_tables():
     mu, a = audio.TABLES[audio.MULAW], audio.TABLES[audio.ALAW]
     assert (mu[0xFF], mu[0x7F], mu[0x80], mu[0x00]) == (0, 0, 32124, -32124)
