@@ -131,3 +131,12 @@ def test_boosting_stops_by_the_fold_held_back(spark):
     noise = df.withColumn("label", (F.xxhash64("id") % 2 == 0).cast("int"))
     short = modeling.fit_folds(noise, modeling.group_folds(noise, "g", 2), "g", "boosted", ["kind"], ["noise"], 2, rounds=30)
     assert max(short.rounds) < 30, "noise has nothing to learn"
+
+
+def test_long_work_is_dealt_to_all_cores(spark):
+    """What adaptive execution leaves in one part is fitted, and resampled, in two parts a core."""
+    cores = spark.sparkContext.defaultParallelism
+    df = spark.range(400).select((F.col("id") % 20).alias("g"), F.lit("a").alias("kind"), F.col("id").alias("x"), (F.col("id") % 2).cast("int").alias("label")).coalesce(1)
+    assert modeling._once_for_fits(df).rdd.getNumPartitions() == 2 * cores
+    sums = modeling.bootstrap(df.select(F.col("x").alias("id"), F.lit(1.0).alias("d")), 5)
+    assert f"RoundRobinPartitioning({2 * cores})" in sums._jdf.queryExecution().executedPlan().toString()
