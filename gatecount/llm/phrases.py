@@ -22,6 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -228,27 +229,28 @@ def grow(ids: np.ndarray, lists: list[tuple[np.ndarray, np.ndarray]]) -> tuple[n
 # --- jobs --------------------------------------------------------------------------------------------
 
 
-def _grown(buckets: int):
+def _grown(buckets: int, depth: int):
     """bucket, shard and, as arrays, the phrases of a shard that are a word longer than its longest list, dealt out by hash."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            depth = sum(name.startswith("l") for name in batch.schema.names)
-            for r, shard in enumerate(batch.column("shard").to_pylist()):
-                lists = []
-                for k in range(depth):
-                    held = batch.column(f"l{k}")[r].values
-                    key, own = (np.asarray(held.field(c).flatten() if k else held.field(c), np.int64) for c in ("key", "id"))
-                    order = np.argsort(key)
-                    lists.append((key[order], own[order]))
-                prefix, suffix, n = grow(np.frombuffer(batch.column("ids")[r].as_buffer(), np.int32), lists)
-                bucket = (mix(prefix.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93) ^ suffix.astype(np.uint64)) % np.uint64(buckets)).astype(np.int64)
-                order = np.argsort(bucket, kind="stable")
-                cut = np.flatnonzero(np.diff(bucket[order], prepend=-1))
-                parts = np.split(order, cut[1:]) if len(order) else []
-                blobs = [[x[own].astype(kind).tobytes() for own in parts] for x, kind in ((np.arange(len(n)), np.int32), (prefix, np.int64), (suffix, np.int64), (n, np.int32))]
-                yield pa.RecordBatch.from_arrays([pa.array(bucket[order][cut]), pa.array(np.full(len(parts), shard)), *[pa.array(x, pa.binary()) for x in blobs]], names=["bucket", "shard", *_ARRAYS])
-            give_back()
+    schema = pa.schema([("bucket", pa.int64()), ("shard", pa.int64())] + [(c, pa.binary()) for c in _ARRAYS])
+
+    def run(shards: pa.Table, held: pa.Table) -> pa.Table:
+        lists, level = [], np.asarray(held.column("level"))
+        for k in range(depth):
+            rows = held.filter(pa.array(level == k))
+            key, own = (np.asarray(pc.list_flatten(rows.column(c).combine_chunks()), np.int64) for c in ("key", "id"))
+            order = np.argsort(key)
+            lists.append((key[order], own[order]))
+        if not shards.num_rows or not all(len(key) for key, _ in lists):
+            return schema.empty_table()
+        prefix, suffix, n = grow(np.frombuffer(shards.column("ids")[0].as_buffer(), np.int32), lists)
+        bucket = (mix(prefix.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93) ^ suffix.astype(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")
+        cut = np.flatnonzero(np.diff(bucket[order], prepend=-1))
+        parts = np.split(order, cut[1:]) if len(order) else []
+        blobs = [[x[own].astype(kind).tobytes() for own in parts] for x, kind in ((np.arange(len(n)), np.int32), (prefix, np.int64), (suffix, np.int64), (n, np.int32))]
+        out = pa.Table.from_arrays([pa.array(bucket[order][cut], pa.int64()), pa.array(np.full(len(parts), shards.column("shard")[0].as_py()), pa.int64()), *[pa.array(x, pa.binary()) for x in blobs]], schema=schema)
+        give_back()
+        return out
 
     return run
 
@@ -295,7 +297,7 @@ def frequent_phrases(docs: DataFrame, least: int = 100, longest: int = 5, shard_
     """
     spark = docs.sparkSession
     bounded_batches(spark)
-    shards = saved(docs.select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text")).mapInArrow(_shards(shard_positions), _SHARDS), "phrase-shards")
+    shards = saved(docs.select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text")).mapInArrow(_shards(shard_positions), _SHARDS), "phrase-shards", long_rows=True)
     total = shards.select(F.explode(F.arrays_zip("vocabulary.lang", "vocabulary.n")).alias("x")).groupBy(F.col("x.lang").alias("lang")).agg(F.sum("x.n").alias("n"))
     each = shards.select("shard", F.posexplode(F.arrays_zip("vocabulary.lang", "vocabulary.word", "vocabulary.n")).alias("at", "x"))
     each = each.select("shard", (F.col("at") + 1).alias("key"), "x.lang", "x.word", "x.n")
@@ -308,10 +310,12 @@ def frequent_phrases(docs: DataFrame, least: int = 100, longest: int = 5, shard_
     tables = [marked[0].filter("first").select("id", "lang", F.array("word").alias("words"), "a", none.alias("before"), none.alias("after"))]
     scratch = [shards, marked[0]]
     for length in range(2, longest + 1):
-        work = shards.select("shard", "ids")
-        for k, own in enumerate(marked):
-            work = work.join(own.groupBy("shard").agg(F.collect_list(F.struct("key", "id")).alias(f"l{k}")), "shard")  # a shard's phrases: at most its positions
-        counted = work.mapInArrow(_grown(buckets), _DEALT).groupBy("bucket").applyInArrow(_summed(least), _SUMMED)
+        lists = marked[0].select("shard", F.lit(0).alias("level"), F.array("key").alias("key"), F.array("id").alias("id"))
+        for k, own in enumerate(marked[1:], 1):
+            lists = lists.unionByName(own.select("shard", F.lit(k).alias("level"), "key", "id"))
+        # a shard meets its lists by merging, which spills; collected, the lists of all shards of a task would lie in memory
+        grown = shards.select("shard", "ids").groupBy("shard").cogroup(lists.groupBy("shard")).applyInArrow(_grown(buckets, length - 1), _DEALT)
+        counted = grown.groupBy("bucket").applyInArrow(_summed(least), _SUMMED)
         summed = saved(counted, f"phrase-{length}")
         marked.append(summed.filter("shard is not null").select("shard", "key", "id"))
         shorter = tables[-1]

@@ -275,3 +275,16 @@ def test_bitmaps_shift_over_chunks():
     maps = phrases.Bitmaps.at(items).shifted()
     bits = sorted((int(c), k * 16 + b) for k in range(3) for c, m in zip(maps.codes[k], maps.masks[k], strict=True) for b in range(16) if m >> b & 1)
     assert bits == [(1, 1), (1, 17), (1, 32), (2, 16)]
+
+
+def test_long_rows_are_written_by_their_bytes(spark):
+    """A hundred shards of megabytes would lie in a task's memory before Parquet looked at their size."""
+    import glob
+
+    from pyarrow.parquet import ParquetFile
+
+    from gatecount.llm.scratch import saved
+
+    table = saved(spark.range(6, numPartitions=1).select(F.randstr(F.lit(6 << 20), F.lit(1)).alias("x")), "long", long_rows=True)
+    groups = [ParquetFile(f.removeprefix("file://")).metadata.num_row_groups for f in table.inputFiles()]
+    assert sum(groups) > 1 and table.filter(F.length("x") == 6 << 20).count() == 6
