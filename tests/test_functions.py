@@ -1,5 +1,6 @@
 """Golden values and properties of the scalar and similarity functions."""
 
+import unicodedata
 from difflib import SequenceMatcher
 
 import pytest
@@ -114,3 +115,13 @@ def test_share_link_round_trip(spark):
     assert one(spark, link) == "/e/e1?c=3&k=2&v=1"
     x = one(spark, S.parse_share_link(link))
     assert (x["event_id"], x["c"], x["m"], x["k"], x["v"]) == ("e1", 3, 0, 2, 1)
+
+
+def test_latin_letters_are_composed_and_stay_out_of_python(spark):
+    """Nothing below U+0300 changes under NFC, alone or after another such letter; marks after it do."""
+    low = "".join(map(chr, range(0x300)))
+    assert all(unicodedata.normalize("NFC", a + b) == a + b for a in low for b in (a, "a", "é"))
+    texts = ["plain", "Medell\u00edn", low[1:], "Medelli\u0301n", None, "\u212b"]
+    df = spark.createDataFrame([(t,) for t in texts], "w string").select("w", S.composed(F.col("w")).alias("c"))
+    assert [r.c for r in df.collect()] == [t and unicodedata.normalize("NFC", t) for t in texts]
+    assert r"[^\x00-\u02FF]" in df._jdf.queryExecution().optimizedPlan().toString()
