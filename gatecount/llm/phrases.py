@@ -62,6 +62,17 @@ def _positions(data: np.ndarray, offsets: np.ndarray) -> tuple[pa.Array, np.ndar
     return pa.Array.from_buffers(pa.large_string(), len(start), [None, pa.py_buffer(at), pa.py_buffer(held)]), row, begins
 
 
+def _planes(ids: np.ndarray) -> bytes:
+    """Numbers by planes of their bytes, packed: a word that is met early has a small number, so the upper planes are nearly empty."""
+    return len(ids).to_bytes(8, "little") + pa.compress(ids.astype("<i4").view(np.uint8).reshape(-1, 4).T.tobytes(), codec="zstd", asbytes=True)
+
+
+def _from_planes(packed: pa.Buffer) -> np.ndarray:
+    n = int.from_bytes(packed.slice(0, 8).to_pybytes(), "little")
+    planes = pa.decompress(packed.slice(8), decompressed_size=4 * n, codec="zstd")
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(4, n).T).view("<i4").ravel()
+
+
 class _Shard:
     """Positions of whole texts: a code for each word of a language, 0 for what parts pieces."""
 
@@ -91,7 +102,7 @@ class _Shard:
         ids[np.arange(self.n) + np.cumsum(begins)] = code + 1
         names = list(self.langs)
         return {
-            "shard": number, "ids": ids.tobytes(),
+            "shard": number, "ids": _planes(ids),
             "vocabulary": {"lang": [names[k] for k in known // size], "word": coded.dictionary.take(pa.array(known % size)).to_pylist(), "n": count.tolist()},
         }
 
@@ -229,6 +240,18 @@ def grow(ids: np.ndarray, lists: list[tuple[np.ndarray, np.ndarray]]) -> tuple[n
 # --- jobs --------------------------------------------------------------------------------------------
 
 
+_LISTED = "shard long, key array<int>, id array<long>, first array<struct<id:long,lang:string,word:string,a:long>>"
+
+
+def _listed(words_: pa.Table) -> pa.Table:
+    """The frequent words of a shard in one row, with language, text and count of those whose id it gave."""
+    own = words_.filter(pc.is_valid(words_.column("word"))).combine_chunks()
+    parts = [own.column(c).combine_chunks().cast(kind) for c, kind in (("id", pa.int64()), ("lang", pa.string()), ("word", pa.string()), ("a", pa.int64()))]
+    listed = [words_.column("key").combine_chunks().cast(pa.int32()), words_.column("id").combine_chunks(), pa.StructArray.from_arrays(parts, ["id", "lang", "word", "a"])]
+    whole = [pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in listed]
+    return pa.Table.from_arrays([words_.column("shard").slice(0, 1).combine_chunks(), *whole], ["shard", "key", "id", "first"])
+
+
 def _grown(buckets: int, depth: int):
     """bucket, shard and, as arrays, the phrases of a shard that are a word longer than its longest list, dealt out by hash."""
     schema = pa.schema([("bucket", pa.int64()), ("shard", pa.int64())] + [(c, pa.binary()) for c in _ARRAYS])
@@ -242,7 +265,7 @@ def _grown(buckets: int, depth: int):
             lists.append((key[order], own[order]))
         if not shards.num_rows or not all(len(key) for key, _ in lists):
             return schema.empty_table()
-        prefix, suffix, n = grow(np.frombuffer(shards.column("ids")[0].as_buffer(), np.int32), lists)
+        prefix, suffix, n = grow(_from_planes(shards.column("ids")[0].as_buffer()), lists)
         bucket = (mix(prefix.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93) ^ suffix.astype(np.uint64)) % np.uint64(buckets)).astype(np.int64)
         order = np.argsort(bucket, kind="stable")
         cut = np.flatnonzero(np.diff(bucket[order], prepend=-1))
@@ -304,15 +327,18 @@ def frequent_phrases(docs: DataFrame, least: int = 100, longest: int = 5, shard_
     within = Window.partitionBy("lang", "word")
     own = F.shiftleft(F.col("shard"), KEY_BITS).bitwiseOR(F.col("key").cast("long"))  # a word's id is its number in one of its shards
     each = each.withColumns({"a": F.sum("n").over(within), "id": F.min(own).over(within)}).filter(F.col("a") >= least)
-    marked = [saved(each.withColumn("first", F.col("id") == own), "phrase-1")]
+    # the lists of a shard are met by each length: as rows of single words they would move some forty bytes a word each time
+    new = lambda c: F.when(F.col("id") == own, F.col(c)).alias(c)
+    marked = [saved(each.select("shard", "key", "id", new("lang"), new("word"), new("a")).groupBy("shard").applyInArrow(_listed, _LISTED), "phrase-1", long_rows=True)]
     buckets = max(1, shards.count())  # a bucket has about as many counts as a shard
     none = F.array().cast("array<long>")
-    tables = [marked[0].filter("first").select("id", "lang", F.array("word").alias("words"), "a", none.alias("before"), none.alias("after"))]
+    tables = [marked[0].select(F.inline("first")).select("id", "lang", F.array("word").alias("words"), "a", none.alias("before"), none.alias("after"))]
     scratch = [shards, marked[0]]
     for length in range(2, longest + 1):
-        lists = marked[0].select("shard", F.lit(0).alias("level"), F.array("key").alias("key"), F.array("id").alias("id"))
-        for k, own in enumerate(marked[1:], 1):
-            lists = lists.unionByName(own.select("shard", F.lit(k).alias("level"), "key", "id"))
+        lists = None
+        for k, own in enumerate(marked):
+            level = own.select("shard", F.lit(k).alias("level"), "key", "id")
+            lists = level if lists is None else lists.unionByName(level)
         # a shard meets its lists by merging, which spills; collected, the lists of all shards of a task would lie in memory
         grown = shards.select("shard", "ids").groupBy("shard").cogroup(lists.groupBy("shard")).applyInArrow(_grown(buckets, length - 1), _DEALT)
         counted = grown.groupBy("bucket").applyInArrow(_summed(least), _SUMMED)

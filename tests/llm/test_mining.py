@@ -257,6 +257,20 @@ def test_phrases_against_brute_force(spark, least, positions, most):
     assert Counter(map(tuple, got)) == want and len(want) > 20
 
 
+def test_lists_of_words_are_a_row_a_shard(spark):
+    """Lists meet their shards once a length, so a row a word would be moved as often."""
+    df = documents(spark, [f"w{k} w{k} w{k + 1}" for k in range(40)])
+    _, tables, scratch = phrases.frequent_phrases(df, least=1, longest=2, shard_positions=60)
+    lists = scratch[1].filter("shard is not null").groupBy("shard").count()
+    assert lists.filter("count > 1").count() == 0 and lists.count() > 1
+    assert {(r.words[0], r.a) for r in tables[0].collect()} == {("w0", 2), ("w40", 1)} | {(f"w{k}", 3) for k in range(1, 40)}
+
+
+def test_planes_give_their_numbers_back():
+    for ids in (np.zeros(0, np.int32), np.array([0, 1, 255, 256, 1 << 16, (1 << 31) - 1], np.int32)):
+        assert phrases._from_planes(phrases.pa.py_buffer(phrases._planes(ids))).tolist() == ids.tolist()
+
+
 def test_phrases_of_empty_and_rare(spark):
     assert phrases.collocations(documents(spark, [])).count() == 0
     assert phrases.collocations(documents(spark, ["one two three", None])).count() == 0
