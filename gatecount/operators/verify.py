@@ -1,7 +1,8 @@
-"""Verification compiled to one aggregation a table: rules of the schema, references, and rules over groups.
+"""Verification compiled to few aggregations: rules of the schema, references, and rules over groups.
 
-A check is a condition on rows, or on groups of rows with the same keys. All row checks of a table, references included,
-are sums of one scan; group checks of a table with the same keys share one aggregation. The number of aggregations follows
+A check is a condition on rows, or on groups of rows with the same keys. All row checks of a table are sums of one scan;
+group checks of a table with the same keys share one aggregation, and so do references of that column: its values are counted
+before they meet their parents. Rows are compared by digests. So no whole row is moved, and the number of aggregations follows
 the tables and key sets, not the checks.
 """
 
@@ -46,7 +47,15 @@ class ReferenceCheck:
     parent_key: str
 
 
-Check = RowCheck | GroupCheck | ReferenceCheck
+@dataclass(frozen=True)
+class CopiesCheck:
+    """No row of ``table`` occurs twice, by its schema's columns; rows that do are counted once each."""
+
+    table: str
+    name: str
+
+
+Check = RowCheck | GroupCheck | ReferenceCheck | CopiesCheck
 
 
 def schema_checks(tables: Iterable[str] = TABLES) -> list[Check]:
@@ -69,7 +78,7 @@ def schema_checks(tables: Iterable[str] = TABLES) -> list[Check]:
                 out.append(ReferenceCheck(table, f"{at} refers", f.name, rules["refers"], key_of(rules["refers"])))
             if rules.get("key"):
                 out.append(GroupCheck(table, f"{at} unique", (f.name,), F.count(F.lit(1)) <= 1))
-        out.append(GroupCheck(table, f"{table} without copies", tuple(TABLES[table].fieldNames()), F.count(F.lit(1)) <= 1))
+        out.append(CopiesCheck(table, f"{table} without copies"))
     return out
 
 
@@ -95,14 +104,34 @@ def _aggregations(frames: dict[str, DataFrame], checks: list[Check]) -> Iterable
         df = frames[table]
         own = [c for c in checks if c.table == table]
         sums = {c.name: _failing(c.holds) for c in own if isinstance(c, RowCheck)}
-        for k, c in enumerate(c for c in own if isinstance(c, ReferenceCheck)):
-            parents = frames[c.parent].select(F.col(c.parent_key).alias(f"_parent{k}")).distinct()
-            df = df.join(parents, F.col(c.column) == F.col(f"_parent{k}"), "left")
-            sums[c.name] = _failing(F.col(f"_parent{k}").isNotNull())
-        if sums:
-            yield df.agg(*[s.alias(n) for n, s in sums.items()]), list(sums)
-        grouped = [c for c in own if isinstance(c, GroupCheck)]
-        for keys in dict.fromkeys(c.keys for c in grouped):
-            same = [c for c in grouped if c.keys == keys]
-            held = frames[table].groupBy(*keys).agg(*[c.holds.alias(f"_holds{k}") for k, c in enumerate(same)])
-            yield held.agg(*[_failing(F.col(f"_holds{k}")).alias(c.name) for k, c in enumerate(same)]), [c.name for c in same]
+        grouped, refers = [c for c in own if isinstance(c, GroupCheck)], [c for c in own if isinstance(c, ReferenceCheck)]
+        keysets = dict.fromkeys(c.keys for c in grouped)
+        rows = [(df.agg(*[s.alias(n) for n, s in sums.items()]), list(sums))] if sums else []
+        for column in dict.fromkeys(c.column for c in refers if (c.column,) not in keysets):
+            rows.append(_by_keys(frames, df, (column,), [], [c for c in refers if c.column == column]))
+        if rows:
+            whole = rows[0][0]
+            for one, _ in rows[1:]:
+                whole = whole.join(one)  # one row each
+            yield whole, [n for _, names in rows for n in names]
+        for keys in keysets:
+            yield _by_keys(frames, df, keys, [c for c in grouped if c.keys == keys], [c for c in refers if (c.column,) == keys])
+        for c in (c for c in own if isinstance(c, CopiesCheck)):
+            held = df.groupBy(_digest(df, TABLES[table].fieldNames()).alias("_digest")).agg(F.count(F.lit(1)).alias("_rows"))
+            yield held.agg(_failing(F.col("_rows") <= 1).alias(c.name)), [c.name]
+
+
+def _by_keys(frames: dict[str, DataFrame], df: DataFrame, keys: tuple[str, ...], groups: list[GroupCheck], refers: list[ReferenceCheck]) -> tuple[DataFrame, list[str]]:
+    """One row: what fails of the rules over groups of ``keys``, and of the references of that one column, whose rows are counted by value first."""
+    held = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"), *[c.holds.alias(f"_holds{k}") for k, c in enumerate(groups)])
+    counts = {c.name: _failing(F.col(f"_holds{k}")) for k, c in enumerate(groups)}
+    for k, c in enumerate(refers):
+        parents = frames[c.parent].select(F.col(c.parent_key).alias(f"_parent{k}")).distinct()
+        held = held.join(parents, F.col(c.column) == F.col(f"_parent{k}"), "left")
+        counts[c.name] = F.coalesce(F.sum(F.when(F.col(f"_parent{k}").isNull(), F.col("_rows"))), F.lit(0))
+    return held.agg(*[n.alias(name) for name, n in counts.items()]), list(counts)
+
+
+def _digest(df: DataFrame, columns: list[str]) -> Column:
+    """SHA-256 of a row's columns, by name in JSON: a null has no entry there, and so differs from every text."""
+    return F.unhex(F.sha2(F.to_json(F.struct(*[df[c] for c in columns])), 256))

@@ -117,6 +117,20 @@ def test_verifier_counts_failures(spark):
         verify.run(frames, [checks[0], checks[0]])
 
 
+def test_verifier_moves_no_whole_rows(spark):
+    """References and copies: a row's other columns don't leave their scan."""
+    rows = [("1", "9", "GENERAL"), ("2", None, "VIP"), ("2", None, "VIP"), ("3", None, None), ("3", "", None), ("4", "7", "VIP")]
+    fill = [f for f in TABLES["ticket"] if f.name not in ("ticket_id", "event_id", "ticket_type")]
+    ticket = spark.createDataFrame(rows, "ticket_id string, event_id string, ticket_type string").withColumns({f.name: F.lit(None).cast(f.dataType) for f in fill})
+    frames = {"ticket": ticket, "event": spark.createDataFrame([("9",), ("9",)], "event_id string")}
+    checks = [verify.ReferenceCheck("ticket", "refers", "event_id", "event", "event_id"), verify.CopiesCheck("ticket", "copies"), verify.RowCheck("ticket", "typed", F.col("ticket_type").isNotNull())]
+    out = verify.run(frames, checks)
+    assert {r.check: r.failing for r in out.collect()} == {"refers": 5, "copies": 1, "typed": 2}
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    moved = [line for line in plan.split("\n") if "Exchange hashpartitioning" in line]
+    assert moved and not any("ticket_type" in line or "ticket_id" in line for line in moved)
+
+
 def test_aggregations_follow_tables_not_checks(spark):
     checks = verify.schema_checks()
     assert len(checks) > 140 and {c.table for c in checks} == set(TABLES)
