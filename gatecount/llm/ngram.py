@@ -44,6 +44,7 @@ from .text import give_back, mix, pieces, ragged, span_hashes, words
 
 _LEAST_SHARDS, _SHARD_BYTES = 32, 4 << 20  # bytes of training text that make a shard
 _BLOCK_WORDS, _BLOCK_ROWS, _HELD_WORDS = 500_000, 1 << 15, 500_000
+_PIECE_BYTES = 1 << 18  # of text read at a time: working arrays take some fifty bytes a byte, in each Python worker
 _CLASSES, _CLASS_BITS, _RESERVED = 32, 5, 34  # shape classes; classes and text borders
 _WORD_BITS = 45  # of a word's hash, with its class
 _MARK_BITS = (32, 24)  # that tell the nearest word before a gram, and any further one
@@ -109,7 +110,7 @@ class Languages:
 
 def _read(texts: pa.Array, langs: np.ndarray, known: Languages) -> Iterator[tuple]:
     """(first row, end row, row, hash, bytes, start, end) of the words of runs of rows; of rows in known languages only."""
-    for first, last, data, offsets in pieces(texts):
+    for first, last, data, offsets in pieces(texts, _PIECE_BYTES):
         start, end, row = words(data, offsets)
         lang = langs[first:last][row]
         h = np.zeros(len(row), np.uint64)

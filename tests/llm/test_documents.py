@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -302,6 +303,19 @@ def test_quality_does_not_depend_on_how_it_is_dealt(spark, monkeypatch):
     assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k], rel=1e-4) for k in want)
 
 
+def test_reading_for_the_model_holds_little_of_a_batch():
+    """A worker's arrays follow a small piece of text: two workers share an executor with the JVM's heap."""
+    known = ngram.Languages(["en"])
+    texts = pa.array(["some plain words of a text, again and again " * 20] * 4000)
+    next(ngram._read(texts.slice(0, 600), np.zeros(600, np.int64), known))  # tables that stay
+    tracemalloc.start()
+    found = sum(len(h) for *_, h, _, _, _ in ngram._read(texts, np.zeros(len(texts), np.int64), known))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found == 4000 * 20 * 9
+    assert peak < 20 << 20, peak
+
+
 def test_quality_of_odd_rows(spark):
     rng = np.random.default_rng(1)
     clean = [" ".join(rng.choice(["red", "green", "blue", "pink", "grey"], 20)) for _ in range(300)]
