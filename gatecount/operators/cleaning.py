@@ -44,12 +44,25 @@ class Cleaner:
 # --- the compiler ------------------------------------------------------------------------------------
 
 
+def _named(raw: DataFrame, key: str) -> DataFrame:
+    raw = raw.toDF(*[" ".join(c.split()) for c in raw.columns])
+    if key not in raw.columns:
+        raise ValueError(f"no key column {key}")
+    return raw
+
+
+def first_rows(raw: DataFrame, key: str) -> DataFrame:
+    """Trimmed column names, the first row of each key that isn't missing: the rows of ``distinct_rows`` without an issue, moved once and not three times."""
+    raw = _named(raw, key)
+    rows = raw.select(S.text(F.col(key)).alias("_key"), F.struct(*raw.columns).alias("_row")).filter(F.col("_key") != "")
+    firsts = rows.groupBy("_key").agg(F.min("_row").alias("_first"))
+    return firsts.select(*[(F.col("_key") if c == key else F.col("_first")[c]).alias(c) for c in raw.columns])
+
+
 def distinct_rows(raw: DataFrame, key: str) -> DataFrame:
     """Trimmed column names, each distinct row once with ``copies``, and base_issue: a missing key, or not the first row of its key."""
-    raw = raw.toDF(*[" ".join(c.split()) for c in raw.columns])
+    raw = _named(raw, key)
     columns = raw.columns
-    if key not in columns:
-        raise ValueError(f"no key column {key}")
     rows = raw.groupBy(*columns).agg(F.count(F.lit(1)).alias("copies")).withColumn("_key", S.text(F.col(key)))
     blank, whole = F.col("_key") == "", F.struct(*columns)
     firsts = rows.filter(~blank).groupBy("_key").agg(F.min(whole).alias("_first"))
@@ -62,7 +75,16 @@ def mark(raw: DataFrame, cleaner: Cleaner) -> DataFrame:
 
     Rows that the key rejects have no flags, and no other reason.
     """
-    rows = distinct_rows(raw, cleaner.key)
+    return _compiled(distinct_rows(raw, cleaner.key), cleaner)
+
+
+def clean(raw: DataFrame, cleaner: Cleaner) -> DataFrame:
+    """The clean rows alone, as ``clean_rows`` has them of the marked table."""
+    rows = first_rows(raw, cleaner.key).withColumns({"copies": F.lit(1), "base_issue": F.lit(None).cast("string")})
+    return clean_rows(_compiled(rows, cleaner), cleaner.table)
+
+
+def _compiled(rows: DataFrame, cleaner: Cleaner) -> DataFrame:
     rows = rows.withColumns({c: S.composed(F.col(c)) for c, kind in rows.dtypes if kind == "string" and c not in (cleaner.key, "base_issue")})
     for step in cleaner.steps:
         rows = rows.withColumns(step)
@@ -261,6 +283,12 @@ CASCADE = (
 )
 
 
+def cascade_columns(table: str, rules: tuple[tuple[str, str, str, str], ...] = CASCADE) -> list[str]:
+    """The columns of a table that the cascade reads: its key, its references, and the event of tickets and sales."""
+    own = [key_of(table), *[column for t, column, *_ in rules if t == table], *(["event_id"] if table in ("ticket", "sale") else [])]
+    return list(dict.fromkeys(own))
+
+
 def integrity_cascade(frames: dict[str, DataFrame], rules: tuple[tuple[str, str, str, str], ...] = CASCADE) -> dict[str, DataFrame]:
     """Tables with quality_issue, the first reference that a row breaks; last, tickets whose event isn't that of their sale.
 

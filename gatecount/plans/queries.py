@@ -335,9 +335,13 @@ def _marked(r: Roles, table: str) -> DataFrame:
     return cleaning.mark(getattr(r, f"raw_{table}"), _cleaners()[table])
 
 
+def _cleaned(r: Roles, table: str) -> DataFrame:
+    return cleaning.clean(getattr(r, f"raw_{table}"), _cleaners()[table])
+
+
 def _clean(r: Roles) -> dict[str, DataFrame]:
     """Every table cleaned, each computed once."""
-    return {t: once(cleaning.clean_rows(_marked(r, t), t)) for t in TABLES}
+    return {t: once(_cleaned(r, t)) for t in TABLES}
 
 
 def _register_cleaners() -> None:
@@ -378,7 +382,9 @@ def sentinel_fill(spark, d):
 
 @query
 def integrity_cascade(spark, d):
-    return cleaning.quarantine_of(cleaning.integrity_cascade(_clean(Roles(spark, d))))
+    r = Roles(spark, d)
+    keys = {t: once(_cleaned(r, t).select(*cleaning.cascade_columns(t))) for t in TABLES}
+    return cleaning.quarantine_of(cleaning.integrity_cascade(keys))
 
 
 def _intact(r: Roles) -> dict[str, DataFrame]:

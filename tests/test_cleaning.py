@@ -139,3 +139,22 @@ def test_aggregations_follow_tables_not_checks(spark):
     assert len(plans) == len(TABLES) * 3, "rows, keys and copies of each table"
     assert sum(len(names) for _, names in plans) == len(checks)
     assert all(key_of(t) for t in TABLES)
+
+
+def test_clean_rows_alone_are_those_of_the_marked_table_and_move_once(spark):
+    rows = [_sale(), _sale(), _sale(sale_id=" 1 ", qty="9"), _sale(sale_id="2", qty=None), _sale(sale_id="2"), _sale(sale_id="3", buyer_name=None), _sale(sale_id=" "), _sale(sale_id=None), _sale(sale_id="4", channel="fax")]
+    raw, cleaner = _strings(spark, f" {SALE}", rows), cleaning.sale()
+    alone = cleaning.clean(raw, cleaner)
+    want = cleaning.clean_rows(cleaning.mark(raw, cleaner), "sale")
+    assert alone.schema == want.schema and sorted(alone.collect()) == sorted(want.collect())
+    assert sorted(r.sale_id for r in want.collect()) == ["1", "3"]
+    assert alone._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1].count("Exchange hashpartitioning") == 1
+
+
+def test_the_cascade_stores_keys_and_references_alone(spark, monkeypatch):
+    from gatecount.plans import queries
+
+    stored = []
+    monkeypatch.setattr(queries, "once", lambda df: stored.append(df.columns) or df)
+    queries.QUERIES["integrity_cascade"](spark, "/root/testdata/sf0.001")
+    assert sorted(stored) == sorted([["member_id"], ["member_ticket_id", "member_id"], ["member_id"], ["artist_id"], ["event_id", "artist_id"], ["sale_id", "event_id"], ["ticket_id", "event_id", "sale_id"]])
