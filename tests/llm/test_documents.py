@@ -383,6 +383,29 @@ def test_media_features_are_of_resampled_sound(spark):
         assert r.feature == f"rate=16000;samples={2 * len(payload)};power={int((both**2).sum()) // len(both)};peak={abs(both).max()};crossings={(signs[1:] != signs[:-1]).sum()};pcm_crc32={zlib.crc32(both.astype('<i2').tobytes())}"
 
 
+def test_the_query_stores_all_formats_and_their_sound(spark, tmp_path):
+    """A third of the payloads are ADPCM; the PCM of all is stored whole, and features are of it at 16 kHz."""
+    from gatecount.llm.queries import op7_media
+
+    texts = [f"line {k} of a call, " * (4 * k + 1) for k in range(40)] + ["", None, "é" * 33, "x" * 1020, "y" * 2040]
+    documents(spark, texts).write.parquet(f"{tmp_path}/documents.parquet")
+    rows = op7_media(spark, str(tmp_path)).orderBy("doc_id").collect()
+    stored = audio.store_text_audio(documents(spark, texts), kinds=(audio.MULAW, audio.ALAW, audio.IMA_ADPCM)).orderBy("doc_id").collect()
+    kinds = []
+    for r, x, t in zip(rows, stored, texts, strict=True):
+        raw = (t or "").encode()
+        payload, file = raw.ljust(max(1, -(-len(raw) // 64)) * 64, b"\0"), bytes(x.media)
+        kinds.append(audio.read_wav(file)[0])
+        assert (r.payload_bytes, r.payload_sha256, r.media_bytes, r.media_sha256) == (len(payload), hashlib.sha256(payload).hexdigest(), len(file), hashlib.sha256(file).hexdigest())
+        if kinds[-1] == audio.IMA_ADPCM:
+            own = [s for k in range(0, len(payload), 1020) for s in _adpcm_block(bytes(4) + payload[k : k + 1020], 2 * len(payload[k : k + 1020]) + 1)]
+        else:
+            own = audio.TABLES[kinds[-1]][np.frombuffer(payload, np.uint8)].tolist()
+        assert np.frombuffer(bytes(x.pcm), "<i2").tolist() == own
+        assert r.feature == audio.features(audio.resample(np.array(own, np.int16), 8000, 16000, rest=True), 16000)
+    assert set(kinds) == {audio.MULAW, audio.ALAW, audio.IMA_ADPCM}
+
+
 def test_companding_tables():
     mu, a = audio.TABLES[audio.MULAW], audio.TABLES[audio.ALAW]
     assert (mu[0xFF], mu[0x7F], mu[0x80], mu[0x00]) == (0, 0, 32124, -32124)
