@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from gatecount.functions import scalars
 from gatecount.operators import merges, modeling, ranks
+from gatecount.stored import once
 
 
 @pytest.mark.parametrize("kind", ["normal", "ties", "heavy", "one", "two", "negative"])
@@ -140,3 +141,15 @@ def test_long_work_is_dealt_to_all_cores(spark):
     assert modeling._once_for_fits(df).rdd.getNumPartitions() == 2 * cores
     sums = modeling.bootstrap(df.select(F.col("x").alias("id"), F.lit(1.0).alias("d")), 5)
     assert f"RoundRobinPartitioning({2 * cores})" in sums._jdf.queryExecution().executedPlan().toString()
+
+
+def test_stored_tables_leave_no_shuffle_files(spark):
+    """The files of a stored table's shuffle are gone at once, and its rows can be read again and again."""
+    import glob
+
+    files = lambda: {f for top in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString() for f in glob.glob(f"{top}/**/shuffle_*.data", recursive=True)}
+    before = files()
+    out = once(spark.range(1000).repartition(3).groupBy((F.col("id") % 7).alias("k")).agg(F.count(F.lit(1)).alias("n")))
+    assert not files() - before
+    assert out.count() == 7 and sum(r.n for r in out.collect()) == 1000
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "false") == "false"
