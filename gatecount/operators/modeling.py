@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from hashlib import md5
 from math import e, factorial
@@ -11,7 +10,6 @@ from statistics import median
 
 import numpy as np
 import pyarrow as pa
-from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
@@ -21,6 +19,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import clip_probability, hash_number
 from ..stored import once
+from . import boosting
 from .merges import shuffled
 from .ranks import quantiles, running_sums
 
@@ -176,6 +175,8 @@ def paired_wins(predictions: DataFrame, first: str, second: str) -> DataFrame:
 MOST_ROUNDS, LEAST_ROUNDS = 350, 25
 #: A further tree must lower the held-back loss by this share of it.
 LEAST_GAIN = 1e-4
+#: Weight of a further tree, and share of the rows that a tree is fitted to.
+STEP, SHARE = 0.035, 0.85
 
 
 def pipeline(kind: str, categorical: list[str], numeric: list[str], n_rows: int, rounds: int = MOST_ROUNDS, held: str | None = None) -> Pipeline:
@@ -193,7 +194,7 @@ def pipeline(kind: str, categorical: list[str], numeric: list[str], n_rows: int,
     if kind == "logistic":
         model = LogisticRegression(regParam=1 / (0.35 * max(n_rows, 1)), elasticNetParam=0.0, standardization=False, maxIter=100)
     elif kind == "boosted":
-        model = GBTClassifier(maxDepth=3, stepSize=0.035, maxIter=rounds, subsamplingRate=0.85, seed=7, validationTol=LEAST_GAIN)
+        model = GBTClassifier(maxDepth=3, stepSize=STEP, maxIter=rounds, subsamplingRate=SHARE, seed=7, validationTol=LEAST_GAIN)
         model = model.setValidationIndicatorCol(held) if held else model
     else:
         raise ValueError(kind)
@@ -221,22 +222,22 @@ class Folds:
 def fit_folds(labelled: DataFrame, fold_of: DataFrame, group: str, kind: str, categorical: list[str], numeric: list[str], folds: int = FOLDS, rounds: int = MOST_ROUNDS) -> Folds:
     """A model for each fold, fitted on the others; a boosted one stops by its own fold's loss.
 
-    Rows are computed once for all fits, and the folds are fitted side by side: a fit is a chain of short jobs. An error is
-    raised if a row is left without a score.
+    Rows are computed once for all fits. Boosted folds grow side by side in the same jobs (``boosting``), by MLlib's rule; linear
+    ones are fitted one after the other, as each keeps its rows in memory and, beyond that, on disk. An error is raised if a row is
+    left without a score.
     """
     rows = _once_for_fits(_model_rows(labelled, categorical, numeric).join(shuffled(fold_of), group))
-    n, out, trees, boosted = rows.count(), None, [], kind == "boosted"
-
-    def fit(k: int) -> PipelineModel:
-        marked = rows.withColumn("held_back", F.col("fold") == k)
-        return pipeline(kind, categorical, numeric, n, rounds, "held_back" if boosted else None).fit(marked if boosted else marked.filter("not held_back"))
-
-    with ThreadPoolExecutor(folds) as pool:
-        models = list(pool.map(inheritable_thread_target(rows.sparkSession)(fit), range(folds)))
-    for k, fitted in enumerate(models):
-        trees.append(fitted.stages[-1].getNumTrees if boosted else 1)
-        part = fitted.transform(rows.filter(F.col("fold") == k)).withColumn("p", vector_to_array("probability")[1]).select(*labelled.columns, "fold", "p")
-        out = part if out is None else out.unionByName(part)
+    n, out, trees = rows.count(), None, []
+    if kind == "boosted":
+        bins, models = boosting.fit_folds(rows, categorical, numeric, folds, rounds, STEP, SHARE, LEAST_GAIN)
+        trees = [len(models[k]) for k in range(folds)]
+        out = boosting.scored(rows, bins, models, STEP).select(*labelled.columns, "fold", "p")
+    else:
+        for k in range(folds):
+            fitted = pipeline(kind, categorical, numeric, n).fit(rows.filter(F.col("fold") != k))
+            trees.append(1)
+            part = fitted.transform(rows.filter(F.col("fold") == k)).withColumn("p", vector_to_array("probability")[1]).select(*labelled.columns, "fold", "p")
+            out = part if out is None else out.unionByName(part)
     out = once(out)
     scored = out.filter("p is not null").count()
     if scored != n or n != labelled.count():

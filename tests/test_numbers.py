@@ -134,6 +134,22 @@ def test_boosting_stops_by_the_fold_held_back(spark):
     assert max(short.rounds) < 30, "noise has nothing to learn"
 
 
+def test_boosted_folds_are_those_of_mllib(spark, monkeypatch):
+    """All folds are fitted in three jobs a round, and score as MLlib's models of the same folds, rounds and share of rows do."""
+    monkeypatch.setattr(modeling, "SHARE", 1.0)
+    df = _planted(spark, 600).cache()
+    fold_of = modeling.group_folds(df, "g", 3).cache()
+    fitted = modeling.fit_folds(df, fold_of, "g", "boosted", ["kind"], ["x", "noise"], 3, rounds=12)
+    assert fitted.rounds == [12] * 3
+    mine = {r.id: r.p for r in fitted.scored.collect()}
+    rows, theirs = modeling._model_rows(df, ["kind"], ["x", "noise"]).join(fold_of, "g"), {}
+    for k in range(3):
+        model = modeling.pipeline("boosted", ["kind"], ["x", "noise"], 600, 12).fit(rows.filter(F.col("fold") != k))
+        theirs |= {r.id: r.probability[1] for r in model.transform(rows.filter(F.col("fold") == k)).collect()}
+    apart = np.array([abs(mine[i] - theirs[i]) for i in theirs])
+    assert len(mine) == 600 and np.median(apart) < 0.02 and np.mean(apart) < 0.03  # bins are cut a little elsewhere
+
+
 def test_long_work_is_dealt_to_all_cores(spark):
     """What adaptive execution leaves in one part is fitted, and resampled, in two parts a core."""
     cores = spark.sparkContext.defaultParallelism
