@@ -1,5 +1,6 @@
 """Quantiles, ranks, the bootstrap, checked joins, Unicode keys and model fits."""
 
+import time
 import unicodedata
 
 import numpy as np
@@ -150,6 +151,28 @@ def test_boosted_folds_are_those_of_mllib(spark, monkeypatch):
     assert len(mine) == 600 and np.median(apart) < 0.02 and np.mean(apart) < 0.03  # bins are cut a little elsewhere
 
 
+def test_linear_folds_hold_one_folds_rows_at_a_time(spark, monkeypatch):
+    """A linear fit keeps its rows, on disk where memory ends: those of all folds together once filled it."""
+    running, most, real = [], [], modeling.pipeline
+
+    class Watched:
+        def __init__(self, inner):
+            self.inner = inner
+
+        def fit(self, rows):
+            running.append(1)
+            most.append(len(running))
+            time.sleep(0.5)
+            fitted = self.inner.fit(rows)
+            running.pop()
+            return fitted
+
+    monkeypatch.setattr(modeling, "pipeline", lambda *a: Watched(real(*a)))
+    df = _planted(spark, 120)
+    folds = modeling.fit_folds(df, modeling.group_folds(df, "g", 3), "g", "logistic", ["kind"], ["x", "noise"], 3)
+    assert most == [1, 1, 1] and folds.scored.count() == 120
+
+
 def test_long_work_is_dealt_to_all_cores(spark):
     """What adaptive execution leaves in one part is fitted, and resampled, in two parts a core."""
     cores = spark.sparkContext.defaultParallelism
